@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from plumbline.llm.decontaminate import OP2_SQL, op2_benchmark_decontamination
+from plumbline.llm.embedding_dedup import OP1_SQL, op1_embedding_near_dedup
+from plumbline.llm.minhash_dedup import OP4_SQL, op4_minhash_near_dedup
 from plumbline.llm.suffix_dedup import op8_suffix_array_dedup
 
-ALL = [op8_suffix_array_dedup]
+ALL = [op1_embedding_near_dedup, op2_benchmark_decontamination, op4_minhash_near_dedup, op8_suffix_array_dedup]
 
 
 def queries():
@@ -12,4 +15,4 @@ def queries():
 
 
 def oracle_sql():
-    return {}
+    return {"op1_embedding_near_dedup": OP1_SQL, "op2_benchmark_decontamination": OP2_SQL, "op4_minhash_near_dedup": OP4_SQL}
