@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from plumbline.llm.decontaminate import OP2_SQL, op2_benchmark_decontamination
 from plumbline.llm.embedding_dedup import OP1_SQL, op1_embedding_near_dedup
+from plumbline.llm.katz import op5_katz_backoff
 from plumbline.llm.minhash_dedup import OP4_SQL, op4_minhash_near_dedup
 from plumbline.llm.suffix_dedup import op8_suffix_array_dedup
 
-ALL = [op1_embedding_near_dedup, op2_benchmark_decontamination, op4_minhash_near_dedup, op8_suffix_array_dedup]
+ALL = [op1_embedding_near_dedup, op2_benchmark_decontamination, op4_minhash_near_dedup, op5_katz_backoff, op8_suffix_array_dedup]
 
 
 def queries():
