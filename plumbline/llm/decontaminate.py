@@ -113,6 +113,8 @@ def _flat(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _longest(tests: Tests, which: np.ndarray, where: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
     """(item, its first word, place, words) of the longest verbatim matches: windows that follow each other on both sides."""
+    if not len(which):
+        return
     order = np.lexsort((where, where - tests.start[which], tests.item[which]))
     which, where = which[order], where[order]
     new = np.ones(len(which), bool)
