@@ -32,7 +32,7 @@ from plumbline.llm.common import partitions, prepare, semi, table
 from plumbline.llm.text import MIX, chunks, prefix_hash, span_hash
 
 GRAM = 64
-GROUP = 256
+GROUP = 48
 #: Bits of a position within a chunk; the rest of a 64-bit key is hash.
 POS_BITS = 28
 
@@ -73,39 +73,47 @@ def anchors(data: np.ndarray, off: np.ndarray, width: int, gram: int):
     return r, a - off[r], start - off[r], stop - off[r], grams[a], context ^ ((a - start).astype(np.uint64) * np.uint64(MIX))
 
 
-def suffix_ranks(data: np.ndarray, width: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
-    """Rank of each suffix by its first `width` bytes (a suffix array by prefix doubling), and the ranks of shorter prefixes."""
+def suffix_ranks(data: np.ndarray, starts: np.ndarray, width: int, exact: bool) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+    """Rank of the suffixes at `starts` by their first `width` bytes, and for shorter prefixes what tells them apart.
+
+    Prefix doubling, last to first halved: prefixes of up to an eighth of the width are told apart by their hashes, in whose
+    order they stand (any fixed order of the first symbols serves a suffix array), longer ones by ranks of pairs.
+    """
     n = len(data)
-    rank, levels, k = data.astype(np.uint64), [], 1
-    while k < width:
-        levels.append((k, rank))
-        step = min(k, width - k)  # the last step overlaps, so that exactly `width` bytes count
-        after = np.zeros(n, np.uint64)
-        after[: max(0, n - step)] = rank[step:]
-        if k + step <= 8:  # up to 8 bytes are their own rank
-            rank = (rank << np.uint64(8 * step)) | (after & np.uint64((1 << 8 * step) - 1))
+    sizes = [width]
+    while sizes[-1] > 1:
+        sizes.append((sizes[-1] + 1) // 2)
+    prefix, at, levels, rank, before = prefix_hash(data), np.arange(n), [], None, 0
+    for k in reversed(sizes):
+        if 8 * k <= width or k == 1:
+            if exact or 16 * k > width:
+                rank = span_hash(prefix, at, np.minimum(at + k, n))
+                levels.append((k, rank))
         else:
-            if k <= 8:
-                rank, after = (x.astype(np.uint64) for x in np.split(np.unique(np.concatenate([rank, after]), return_inverse=True)[1], 2))
-            pair = rank * np.uint64(int(max(rank.max(), after.max())) + 1) + after
-            rank = np.unique(pair, return_inverse=True)[1].astype(np.uint64)
-        k += step
-    levels.append((k, rank))
+            if levels[-1][1] is rank and 8 * before <= width:  # hashes become ranks
+                rank = np.unique(rank, return_inverse=True)[1].astype(np.uint64)
+            place = starts if k == width else at
+            after = np.zeros(len(place), np.uint64)
+            fits = place + k <= n
+            after[fits] = rank[place[fits] + k - before]
+            rank = np.unique(rank[place] * np.uint64(n + 1) + after, return_inverse=True)[1].astype(np.uint64)
+            if k < width:
+                levels.append((k, rank))
+        before = k
     return rank, levels
 
 
-def common_prefix(levels: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray, width: int) -> np.ndarray:
-    """Length, up to width, of the common prefix of the suffixes at a and b, from the ranks of their prefixes."""
+def common_prefix(levels: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of the suffixes at a and b, which differ within the width."""
     n = len(levels[0][1])
-    length = np.where(levels[-1][1][a] == levels[-1][1][b], width, 0)
-    a, b, open_ = a.copy(), b.copy(), length == 0
-    for k, rank in reversed(levels[:-1]):
-        fits = open_ & (a + k <= n) & (b + k <= n)
-        same = fits & (rank[np.minimum(a, n - 1)] == rank[np.minimum(b, n - 1)])
+    length = np.zeros(len(a), np.int64)
+    a, b = a.copy(), b.copy()
+    for k, rank in reversed(levels):
+        same = (np.maximum(a, b) + k <= n) & (rank[np.minimum(a, n - 1)] == rank[np.minimum(b, n - 1)])
         length[same] += k
         a[same] += k
         b[same] += k
-    return np.minimum(length, width)
+    return length
 
 
 def smaller(position: np.ndarray, step: int) -> np.ndarray:
@@ -125,19 +133,28 @@ def smaller(position: np.ndarray, step: int) -> np.ndarray:
     return link
 
 
-def longest_factors(data: np.ndarray, starts: np.ndarray, width: int, forward: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """For each of the (rising) starts, the longest match up to width with an earlier start: the LPF array; and with a later one."""
-    rank, levels = suffix_ranks(data, width)
-    order = starts[np.lexsort((starts, rank[starts]))]
+def longest_factors(data: np.ndarray, starts: np.ndarray, width: int, forward: bool = True, exact: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """For each of the (rising) starts, the longest match up to width with an earlier start: the LPF array; and with a later one.
+
+    Without `exact`, matches shorter than width are not measured and count as 0.
+    """
+    rank, levels = suffix_ranks(data, starts, width, exact)
+    by_rank = np.argsort(rank, kind="stable")
+    order, rank = starts[by_rank], rank[by_rank]
     out = []
     for position in (order, -order) if forward else (order,):
         best = np.zeros(len(order), np.int64)
         for step in (-1, 1):
             link = smaller(position, step)
             has = np.flatnonzero(link >= 0)
-            best[has] = np.maximum(best[has], common_prefix(levels, order[has], order[link[has]], width))
+            same = rank[has] == rank[link[has]]
+            best[has[same]] = width
+            if not exact:
+                continue
+            has = has[~same & (best[has] < width)]
+            best[has] = np.maximum(best[has], common_prefix(levels, order[has], order[link[has]]))
         back = np.empty(len(order), np.int64)
-        back[np.searchsorted(starts, order)] = best
+        back[by_rank] = best
         out.append(back)
     return out[0], out[-1]
 
@@ -190,7 +207,7 @@ def _match(width: int, later: bool, most: int = 1_500_000):
         count = size - width + 1
         which = np.repeat(np.arange(len(rows)), count)
         starts = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + base[which]
-        earlier, after = longest_factors(data, starts, width, not later)
+        earlier, after = longest_factors(data, starts, width, not later, exact=False)
         hit = np.maximum(earlier, after) >= width
         first, last = runs(hit)
         cut = np.flatnonzero(np.diff(which)) + 1  # runs end where contexts do

@@ -40,7 +40,7 @@ def corpus(seed=1):
 
 
 @pytest.mark.parametrize("mode", ["all", "later"])
-@pytest.mark.parametrize("group", [256, 2])
+@pytest.mark.parametrize("group", [48, 2])
 def test_equals_brute_force(spark, mode, group):
     rows = corpus()
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as key", "2 as rank")
