@@ -10,8 +10,9 @@ that is 0.9996 at J = 0.8 and more above it.
 Equal sets are one class first, whatever their number. Within a scan block only the smallest member of a table's bucket
 goes on to the shuffle, so a bucket gets at most one row from each block. Then, as only reachability counts:
 
-1. Each set is compared with one partner, the bucket leader that it meets in most tables; confirmed links are joined.
-2. In every bucket with members of several components so far, all pairs across components are compared as well.
+1. Turn after turn, every set is compared with the PARTNERS bucket leaders that it shares most tables with, leaders being
+   others each turn, and confirmed links are joined; buckets within one component drop out.
+2. Once few pairs across components are left (or after TURNS), all of them in all buckets are compared.
 
 So every candidate pair is either compared or already known to be in one component. Results per document: n_shingles,
 component_id (smallest reachable id) and kept. Null or wordless text has an empty set and no link; fewer words than the
@@ -33,6 +34,10 @@ from plumbline.llm.text import BASE, MIX2, NOT_SPACE, chunks, mix, pair_hash, wo
 
 SIDE = 12
 ROWS = 3
+TURNS = 8
+PARTNERS = 3
+#: Pairs across components, for each row of a bucket, that are few.
+ENOUGH = 2
 
 
 def shingles(data: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -163,16 +168,19 @@ def _confirm(percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough. Only texts in some pair are read into sets."""
-    pairs = pairs.distinct().checkpoint()
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough. Only sets in some pair are shuffled."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().checkpoint()
-    sets = semi(reps, ids, "id").select("id", "text").mapInArrow(_sets(size), "id long, words binary").checkpoint()
+    sets = semi(sets, ids, "id")
     left = sets.select(F.col("id").alias("a"), F.col("words").alias("wa"))
     right = sets.select(F.col("id").alias("b"), F.col("words").alias("wb"))
     return pairs.join(left, "a").join(right, "b").mapInArrow(_confirm(percent), "a long, b long").checkpoint()
 
 
+def _ordered(x: str, y: str) -> list:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, side: int = SIDE, rows: int = ROWS) -> DataFrame:
     """(id, n_shingles, component_id, kept) of each row of docs."""
     spark = docs.sparkSession
@@ -184,19 +192,42 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keys = classes.select("id", "sig").mapInArrow(_table_keys(side), "key long, id long, leader long")
     keys = keys.where("id <> leader").union(keys.where("id = leader").repartition(max(partitions(spark), keys_parts(classes, side)), "key").mapInPandas(_bucket_leaders, "key long, id long, leader long"))
     members = keys.checkpoint()
-    best = members.where("id <> leader").groupBy("id", "leader").count().groupBy("id").agg(F.max_by("leader", F.struct("count", -F.col("leader"))).alias("leader"))
-    texts = docs.where("id is not null")
-    first = _verified(best.select(F.col("leader").alias("a"), F.col("id").alias("b")), texts, size, percent)
-    known = components(first)
-    # Buckets whose members are in several components: all pairs across them.
-    bucket = members.select("key", "id").union(members.select("key", F.col("leader").alias("id"))).distinct()
-    bucket = bucket.join(known.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    mixed = bucket.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    bucket = bucket.join(mixed, "key").checkpoint()
-    other = bucket.select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
-    across = bucket.join(other, "key").where("component < cb").select(F.col("id").alias("a"), "b")
-    more = _verified(across, texts, size, percent)
-    joined = components(first.union(more))
+    # Sets of all that share a bucket, from the classes' texts (equal rows give equal sets).
+    bucket = members.select("key", "id").union(members.select("key", F.col("leader").alias("id"))).distinct().checkpoint()
+    needed = bucket.select("id").distinct().checkpoint()
+    sets = semi(docs.where("id is not null"), needed, "id").select("id", "text").mapInArrow(_sets(size), "id long, words binary").checkpoint()
+    links = tested = None
+    for turn in range(TURNS + 1):
+        # Buckets whose members are in several components so far.
+        known = (components(links) if links is not None else spark.createDataFrame([], "node bigint, component bigint")).withColumnRenamed("node", "id")
+        bucket = bucket.select("key", "id").join(known, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+        mixed = bucket.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+        bucket = bucket.join(mixed, "key").checkpoint()
+        # Pairs across components that all-pairs would now make.
+        count = bucket.groupBy("key", "component").count().groupBy("key").agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("own"))
+        left = count.agg(F.coalesce(F.sum(F.col("n") * F.col("n") - F.col("own")), F.lit(0)) / 2, F.coalesce(F.sum("n"), F.lit(0))).first()
+        if not left[0]:
+            break
+        last = turn == TURNS or left[0] <= ENOUGH * left[1]
+        if last:
+            other = bucket.select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
+            pairs = bucket.join(other, "key").where("component < cb").select(*_ordered("id", "b"))
+        else:
+            # One leader for each bucket, another each turn; a set meets the few leaders that it shares most tables with.
+            lead = bucket.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("r"), "id", "component")).alias("m")).select("key", F.col("m.id").alias("leader"), F.col("m.component").alias("cl"))
+            meet = bucket.join(lead, "key").where("component <> cl").groupBy("id", "leader").count()
+            few = meet.groupBy("id").agg(F.slice(F.sort_array(F.collect_list(F.struct("count", "leader")), False), 1, PARTNERS).alias("few"))
+            pairs = few.select("id", F.explode("few.leader").alias("leader")).select(*_ordered("id", "leader"))
+        pairs = pairs.distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = pairs.checkpoint()
+        found = _verified(pairs, sets, percent)
+        links = found if links is None else links.union(found)
+        tested = pairs if tested is None else tested.union(pairs)
+        if last:
+            break
+    joined = components(links) if links is not None else spark.createDataFrame([], "node bigint, component bigint")
     joined = classes.join(joined, classes["id"] == joined["node"], "left").select("h1", "h2", "n", F.coalesce("component", "id").alias("component"))
     out = signed.select("id", "n", "h1", "h2").join(joined, ["h1", "h2", "n"], "left").select("id", "n", F.coalesce(F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.col("component")), "id").alias("component_id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
