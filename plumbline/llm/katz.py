@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import prepare, stored, table
-from plumbline.llm.text import NOT_SPACE, chunks, mix, pair_hash, word_hashes
+from plumbline.llm.text import NOT_SPACE, chunks, pair_hash, word_hashes
 
 CUTOFF = 5
 TAIL = 0.1
@@ -39,7 +39,9 @@ TAIL = 0.1
 START, END = np.uint64(0x51A7), np.uint64(0xE2D)
 #: Stands for a null id in a packed row.
 NULL = -(2**63)
-BUCKET_TOKENS = 5_000_000
+BUCKET_TOKENS = 4_000_000
+#: Rows of a batch of results.
+ROWS = 200_000
 BLOCK_BYTES = 6_000_000
 BLOCK_ROWS = 30_000
 #: A word with more than this share of a bucket's tokens is spread over all buckets by history.
@@ -102,7 +104,16 @@ def _frequent(share: float, only: np.ndarray | None = None):
     return run
 
 
-PACK = "bucket int, block long, w binary, wn binary, h binary, hn binary, doc binary, n binary, rows binary, held binary, ids binary, tokens binary"
+PACK = "bucket int, block long, w binary, wn binary, h binary, hi binary, hn binary, doc binary, n binary, rows binary, held binary, ids binary, tokens binary"
+
+
+def sorted_bytes(x: np.ndarray) -> np.ndarray:
+    """Rising 64-bit values as differences, byte plane after byte plane: their leading zeros compress."""
+    return np.diff(x, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.copy()
+
+
+def sorted_values(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(raw, np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel(), dtype=np.uint64)
 
 
 def _pack(buckets: int, hot: np.ndarray):
@@ -148,13 +159,14 @@ def _pack(buckets: int, hot: np.ndarray):
                 first[1:] = x[p][1:] != x[p][:-1]
                 f = np.flatnonzero(first)
                 docs, local = np.unique(doc[s], return_inverse=True)
+                hs, hi = np.unique(y[p], return_inverse=True)
                 cols = [
-                    w[x[p][f]], np.diff(np.append(f, len(p))).astype(np.int32), h[y[p]], np.diff(np.append(p, len(x))).astype(np.int32),
-                    local.astype(np.int32), n[s].astype(np.int32), docs.astype(np.int32), held[docs], count.astype(np.int32) if home else np.zeros(0, np.int32),
+                    sorted_bytes(w[x[p][f]]), np.diff(np.append(f, len(p))).astype(np.int32), sorted_bytes(h[hs]), hi.astype(np.uint16 if len(hs) < 2**16 else np.uint32), np.diff(np.append(p, len(x))).astype(np.int32),
+                    local.astype(np.uint16), n[s].astype(np.int32), docs.astype(np.int32), held[docs], count.astype(np.int32) if home else np.zeros(0, np.int32),
                     np.array([NULL if i is None else i for i in ids] if home else [], np.int64),
                 ]
                 raw = [pa.array([c.tobytes()], pa.binary()) for c in cols]
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([block]), *raw[:8], raw[9], raw[8]], names=PACK.replace(",", "").split()[::2])
+                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([block]), *raw[:9], raw[10], raw[9]], names=PACK.replace(",", "").split()[::2])
 
     return run
 
@@ -163,32 +175,34 @@ def _pack(buckets: int, hot: np.ndarray):
 OUT = "kind int, key long, doc long, id long, tokens long, n1 long, n2 long, n3 long, n4 long, n5 long, x double, y double, known long"
 
 
-def _score(buckets: int, hot: np.ndarray, hot_counts: np.ndarray, slices: int = 4):
+def _score(hot: np.ndarray, hot_counts: np.ndarray):
     """The tables of one bucket, and all that they alone decide."""
 
     def frame(kind: int, key, **cols) -> pd.DataFrame:
-        out = {"kind": kind, "key": np.asarray(key)}
+        out = {"kind": np.full(len(key), kind, np.int32), "key": np.asarray(key, np.int64)}
         for name in ("doc", "id", "tokens", "n1", "n2", "n3", "n4", "n5", "x", "y", "known"):
-            out[name] = cols.get(name, {"x": 0.0, "y": 0.0, "id": NULL}.get(name, 0))
+            kind_ = np.float64 if name in "xy" else np.int64
+            out[name] = np.asarray(cols[name], kind_) if name in cols else np.full(len(key), NULL if name == "id" else 0, kind_)
         return pd.DataFrame(out)
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        get = lambda r, c, kind: np.frombuffer(getattr(r, c), kind)
+    def bucket(rows: list[dict]) -> Iterator[pd.DataFrame]:
         # Documents: blocks' row numbers are unique, so (block, row) is a document.
         base, key, held, parts, total = 0, [], [], [], 0
-        for r in rows.itertuples():
-            docs = get(r, "rows", np.int32)
-            key.append((np.int64(r.block) << 20) | docs)
-            held.append(get(r, "held", bool))
-            wn, hn = get(r, "wn", np.int32), get(r, "hn", np.int32)
-            w, h = get(r, "w", np.uint64), get(r, "h", np.uint64)
-            parts.append((w, wn, h, hn, get(r, "doc", np.int32) + np.int32(base), get(r, "n", np.int32), np.cumsum(wn) - wn, np.cumsum(hn) - hn))
+        for r in rows:
+            docs = np.frombuffer(r["rows"], np.int32)
+            key.append((np.int64(r["block"]) << 20) | docs)
+            held.append(np.frombuffer(r["held"], bool))
+            wn, hn = np.frombuffer(r["wn"], np.int32), np.frombuffer(r["hn"], np.int32)
+            w, h = sorted_values(r["w"]), sorted_values(r["h"])
+            hi = np.frombuffer(r["hi"], np.uint16 if len(h) < 2**16 else np.uint32)
+            parts.append((w, wn, h, hi, hn, np.frombuffer(r["doc"], np.uint16), base, np.frombuffer(r["n"], np.int32)))
             base += len(docs)
-            total += len(h)
-            if len(r.ids):
-                tokens_ = get(r, "tokens", np.int32)
-                out.append(frame(0, (np.int64(r.block) << 20) | np.arange(len(tokens_)), tokens=tokens_, id=get(r, "ids", np.int64)))
+            total += len(hi)
+            if len(r["ids"]):
+                tokens_ = np.frombuffer(r["tokens"], np.int32)
+                yield frame(0, (np.int64(r["block"]) << 20) | np.arange(len(tokens_)), tokens=tokens_, id=np.frombuffer(r["ids"], np.int64))
+        if not key:
+            return
         key, held = np.concatenate(key), np.concatenate(held)
         doc_n = np.zeros((CUTOFF, base), np.int64)
         doc_x, doc_y, doc_known = np.zeros(base), np.zeros(base), np.zeros(base, np.int64)
@@ -196,22 +210,25 @@ def _score(buckets: int, hot: np.ndarray, hot_counts: np.ndarray, slices: int =
         hist: list = []
         unseen: list = []
         # Words in ranges of their hash, so that the working set is a share of the bucket.
-        slices_ = max(1, min(slices * 8, total // 400_000))
+        slices_ = max(1, total // 300_000)
         cuts = [np.uint64(k * (2**64 // slices_)) for k in range(slices_)] + [None]
+        ends = [(0, 0)] * len(parts)
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
             cw, ch, pt, dd, nn, ps = [], [], [], [], [], []
             n_pairs = 0
-            for w, wn, h, hn, doc, n, wp, hp in parts:
+            for k, (w, wn, h, hi_, hn, doc, at_doc, n) in enumerate(parts):
                 a = np.searchsorted(w, lo)
                 z = len(w) if hi is None else np.searchsorted(w, hi)
                 if a == z:
                     continue
-                p0, p1 = wp[a], wp[z - 1] + wn[z - 1]
-                e0, e1 = hp[p0], hp[p1 - 1] + hn[p1 - 1]
+                p0, e0 = ends[k]
+                p1 = p0 + int(wn[a:z].sum())
+                e1 = e0 + int(hn[p0:p1].sum())
+                ends[k] = p1, e1
                 cw.append(np.repeat(w[a:z], wn[a:z]))
-                ch.append(h[p0:p1])
-                ps.append(np.repeat(np.arange(p1 - p0) + n_pairs, hn[p0:p1]))
-                dd.append(doc[e0:e1])
+                ch.append(h[hi_[p0:p1]])
+                ps.append(np.repeat(np.arange(p1 - p0, dtype=np.int32) + np.int32(n_pairs), hn[p0:p1]))
+                dd.append(doc[e0:e1].astype(np.int32) + np.int32(at_doc))
                 nn.append(n[e0:e1])
                 n_pairs += p1 - p0
             if not cw:
@@ -248,24 +265,39 @@ def _score(buckets: int, hot: np.ndarray, hot_counts: np.ndarray, slices: int =
             rest = np.bincount(ph, weights=np.where(r > CUTOFF, r, 0), minlength=len(hists))
             tail = np.bincount(ph, weights=r > CUTOFF, minlength=len(hists))
             mass = np.bincount(ph, weights=np.where(seen, c[pw] + 1, 0), minlength=len(hists))
-            hist.append((hists[mass > 0], *(s[mass > 0] for s in small), rest[mass > 0], mass[mass > 0], tail[mass > 0]))
+            some = mass > 0
+            hist.append((hists[some], *(s[some].astype(np.int32) for s in small), rest[some], mass[some], tail[some].astype(np.int32)))
             # Unseen tokens: log10(c(w) + 1) is known here; their history's terms come with the join.
             new = np.flatnonzero(er == 0)
             unseen.append((hists[ph[entry[new]]], dd[new], nn[new], nn[new] * log_c1[ew[new]]))
-        doc_rows = {f"n{k + 1}": doc_n[k] for k in range(CUTOFF)}
-        out.append(frame(0, key, x=doc_x, y=doc_y, known=doc_known, **doc_rows))
-        out.append(frame(3, np.arange(1, CUTOFF + 2), tokens=cc[1:]))
-        out.append(frame(3, [0], tokens=[vocabulary]))
+        yield frame(0, key, x=doc_x, y=doc_y, known=doc_known, **{f"n{k + 1}": doc_n[k] for k in range(CUTOFF)})
+        yield frame(3, np.arange(1, CUTOFF + 2), tokens=cc[1:])
+        yield frame(3, [0], tokens=[vocabulary])
+        for h, d, n, x in unseen:
+            for at in range(0, len(h), ROWS):
+                s = slice(at, at + ROWS)
+                both = pd.DataFrame({"h": h[s].view(np.int64), "d": d[s], "n": n[s], "x": x[s]}).groupby(["h", "d"], as_index=False).sum()
+                yield frame(2, both["h"].to_numpy(), doc=key[both["d"].to_numpy()], tokens=both["n"].to_numpy(), x=both["x"].to_numpy())
+        del unseen[:], parts[:]
         if hist:
-            h = np.concatenate([x[0] for x in hist])
-            hs, i = np.unique(h, return_inverse=True)
-            sums = [np.bincount(i, weights=np.concatenate([x[k] for x in hist])) for k in range(1, CUTOFF + 4)]
-            out.append(frame(1, hs.view(np.int64), x=sums[CUTOFF], y=sums[CUTOFF + 1], known=sums[CUTOFF + 2].astype(np.int64), **{f"n{k + 1}": sums[k].astype(np.int64) for k in range(CUTOFF)}))
-        if unseen:
-            h, d, n, x = (np.concatenate([u[k] for u in unseen]) for k in range(4))
-            both = pd.DataFrame({"h": h.view(np.int64), "d": d, "n": n, "x": x}).groupby(["h", "d"], as_index=False).sum()
-            out.append(frame(2, both["h"].to_numpy(), doc=key[both["d"].to_numpy()], tokens=both["n"].to_numpy(), x=both["x"].to_numpy()))
-        return pd.concat(out)
+            hs, i = np.unique(np.concatenate([x[0] for x in hist]), return_inverse=True)
+            sums = [np.bincount(i, weights=np.concatenate([x[k] for x in hist]), minlength=len(hs)) for k in range(1, CUTOFF + 4)]
+            del hist[:]
+            for at in range(0, len(hs), ROWS):
+                s = slice(at, at + ROWS)
+                yield frame(1, hs[s].view(np.int64), x=sums[CUTOFF][s], y=sums[CUTOFF + 1][s], known=sums[CUTOFF + 2][s].astype(np.int64), **{f"n{k + 1}": sums[k][s].astype(np.int64) for k in range(CUTOFF)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come bucket after bucket."""
+        held: list[dict] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and row["bucket"] != held[0]["bucket"]:
+                    yield from (pa.RecordBatch.from_pandas(f, preserve_index=False) for f in bucket(held))
+                    held = []
+                held.append(row)
+        if held:
+            yield from (pa.RecordBatch.from_pandas(f, preserve_index=False) for f in bucket(held))
 
     return run
 
@@ -298,7 +330,7 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hot = np.sort(np.array([w for w, n in counts.items() if n > share * train], np.int64).view(np.uint64)) if buckets > 1 else np.zeros(0, np.uint64)
     hot_counts = np.array([counts[int(w)] for w in hot.view(np.int64)], np.int64)
     packed = docs.mapInArrow(_pack(buckets, hot), PACK)
-    found = packed.repartition(4 * buckets, "bucket").groupBy("bucket").applyInPandas(_score(buckets, hot, hot_counts), OUT)
+    found = packed.repartition(4 * buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_score(hot, hot_counts), OUT)
     found = stored(found, "kind")
     per_r = {r["key"]: r["n"] for r in found.where("kind = 3").groupBy("key").agg(F.sum("tokens").alias("n")).collect()}
     vocabulary = per_r.pop(0, 0) + len(hot)
