@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.session import ship
+
 #: Ids that may be broadcast: 8 bytes each, so 4 MB at most; beyond it both sides are shuffled.
 BROADCAST_IDS = 500_000
 #: Rows in an Arrow batch: bounds what a Python worker holds of long texts.
@@ -16,6 +18,7 @@ BATCH_ROWS = 1_000
 
 def prepare(spark: SparkSession) -> None:
     """Make sure of a shared checkpoint folder (the cluster's if it names one) and bounded Arrow batches."""
+    ship(spark)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
@@ -43,6 +46,12 @@ def semi(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(ids) if few else ids, key, "left_semi")
 
 
+def anti(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not among ids (distinct, counted): by broadcast if they are few, else by a shuffle."""
+    few = ids.count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(ids) if few else ids, key, "left_anti")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable over undirected edges, for nodes that have any.
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import prepare, table
+from plumbline.llm.common import anti, prepare, table
 from plumbline.llm.text import ALNUM, chunks, word_hashes
 
 BLOCK_WORDS = 1_000_000
@@ -219,7 +219,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """The documents that are not contaminated, with all their columns. Equal rows share their fate."""
     tagged = docs.withColumn("_row", F.xxhash64(F.col(id_col), F.col(text_col)))
     bad = contamination(tagged.select("_row", F.col(text_col)), items, "_row", text_col, **how).where("contaminated").select("_row").distinct()
-    return tagged.join(bad, "_row", "left_anti").drop("_row")
+    return anti(tagged, bad.checkpoint(), "_row").drop("_row")
 
 
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

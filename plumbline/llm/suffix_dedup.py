@@ -197,16 +197,21 @@ def _contexts(width: int):
     return run
 
 
+def window_starts(rows: pd.DataFrame, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, place) of each window of the joined contexts, and the places where contexts start."""
+    size = rows["bytes"].str.len().to_numpy()
+    base = np.cumsum(size) - size
+    count = size - width + 1
+    which = np.repeat(np.arange(len(rows)), count)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + base[which], base
+
+
 def _match(width: int, later: bool, most: int = 1_500_000):
     """LPF over the contexts of a shard, k-grams one after another, `most` bytes at a time."""
 
     def shard(rows: pd.DataFrame) -> list[tuple[int, int, int]]:
-        size = rows["bytes"].str.len().to_numpy()
         data = np.frombuffer(b"".join(rows["bytes"]), np.uint8)
-        base = np.cumsum(size) - size
-        count = size - width + 1
-        which = np.repeat(np.arange(len(rows)), count)
-        starts = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + base[which]
+        which, starts, base = window_starts(rows, width)
         earlier, after = longest_factors(data, starts, width, not later, exact=False)
         hit = np.maximum(earlier, after) >= width
         first, last = runs(hit)
@@ -242,14 +247,16 @@ def _match(width: int, later: bool, most: int = 1_500_000):
     return run
 
 
-def _window_hashes(width: int):
+def _window_hashes(width: int, most: int = 2_000):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples():
-                data = np.frombuffer(row.bytes, np.uint8)
-                at = np.arange(len(data) - width + 1)
-                h = span_hash(prefix_hash(data), at, at + width) ^ ((row.lead + at).astype(np.uint64) * np.uint64(MIX))
-                yield pd.DataFrame({"window": h.view(np.int64), "gram": row.gram, "key": row.key, "at": row.first + at, "n": row.n, "rank": row.rank})
+        for whole in frames:
+            for i in range(0, len(whole), most):
+                frame = whole.iloc[i : i + most]
+                which, starts, base = window_starts(frame, width)
+                data = np.frombuffer(b"".join(frame["bytes"]), np.uint8)
+                at = starts - base[which]
+                h = span_hash(prefix_hash(data), starts, starts + width) ^ ((frame["lead"].to_numpy()[which] + at).astype(np.uint64) * np.uint64(MIX))
+                yield pd.DataFrame({"window": h.view(np.int64), "at": frame["first"].to_numpy()[which] + at} | {c: frame[c].to_numpy()[which] for c in ("gram", "key", "n", "rank")})
 
     return run
 
@@ -280,7 +287,7 @@ def repeated_windows(docs: DataFrame, width: int = 400, gram: int = GRAM, group:
     cut = (cut.join(order, "key") if later else cut.withColumn("rank", F.lit(0).cast("long"))).checkpoint()
     shards = cut.where("not hot").repartition(partitions(docs.sparkSession), "gram").sortWithinPartitions("gram")
     edges = shards.mapInPandas(_match(width, later), "key long, first long, last long")
-    windows = cut.where("hot").mapInPandas(_window_hashes(width), "window long, gram long, key long, at long, n long, rank long")
+    windows = cut.where("hot").mapInPandas(_window_hashes(width), "window long, at long, gram long, key long, n long, rank long")
     spread = windows.groupBy("gram", "window").agg(F.sum("n").alias("total"), F.min(F.struct("rank", "key", "at")).alias("m")).where("total > 1")
     common = windows.join(spread, ["gram", "window"])
     if later:
