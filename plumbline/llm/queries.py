@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from plumbline.llm.decontaminate import OP2_SQL, op2_benchmark_decontamination
 from plumbline.llm.embedding_dedup import OP1_SQL, op1_embedding_near_dedup
+from plumbline.llm.html_content import op9_html_extraction
 from plumbline.llm.katz import op5_katz_backoff
 from plumbline.llm.langid import op10_language_id
 from plumbline.llm.line_templates import OP3_SQL, op3_line_template_dedup
@@ -11,7 +12,7 @@ from plumbline.llm.minhash_dedup import OP4_SQL, op4_minhash_near_dedup
 from plumbline.llm.suffix_dedup import op8_suffix_array_dedup
 from plumbline.llm.unigram import op7_sentencepiece
 
-ALL = [op1_embedding_near_dedup, op2_benchmark_decontamination, op3_line_template_dedup, op4_minhash_near_dedup, op5_katz_backoff, op7_sentencepiece, op8_suffix_array_dedup, op10_language_id]
+ALL = [op1_embedding_near_dedup, op2_benchmark_decontamination, op3_line_template_dedup, op4_minhash_near_dedup, op5_katz_backoff, op7_sentencepiece, op8_suffix_array_dedup, op9_html_extraction, op10_language_id]
 
 
 def queries():
