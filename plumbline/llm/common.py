@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def plain_plans(spark: SparkSession) -> Iterator[None]:
+    """Loops over checkpoints: each keeps the constraints of its plan, and inferring more from them grows without bound."""
+    name = "spark.sql.constraintPropagation.enabled"
+    before = spark.conf.get(name, "true")
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(rows: DataFrame, *by: str) -> DataFrame:
     """Cut the lineage with a compressed table in the shared checkpoint folder; much smaller there than a checkpoint."""
     spark = rows.sparkSession

@@ -29,15 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import components, partitions, prepare, semi, table
+from plumbline.llm.common import components, partitions, plain_plans, prepare, semi, table
 from plumbline.llm.text import BASE, MIX2, NOT_SPACE, chunks, mix, pair_hash, word_hashes
 
 SIDE = 12
 ROWS = 3
-TURNS = 8
-PARTNERS = 3
+TURNS = 3
+PARTNERS = 6
 #: Pairs across components, for each row of a bucket, that are few.
-ENOUGH = 2
+ENOUGH = 4
 
 
 def shingles(data: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -183,8 +183,13 @@ def _ordered(x: str, y: str) -> list:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, side: int = SIDE, rows: int = ROWS) -> DataFrame:
     """(id, n_shingles, component_id, kept) of each row of docs."""
+    prepare(docs.sparkSession)
+    with plain_plans(docs.sparkSession):
+        return _near_duplicates(docs, id_col, text_col, size, percent, side, rows)
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, side: int, rows: int) -> DataFrame:
     spark = docs.sparkSession
-    prepare(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = docs.mapInArrow(_signatures(size, side, rows), "id long, n long, h1 long, h2 long, sig binary").checkpoint()
     # One class for each set; its smallest id stands for it. Counts and minima aggregate before the shuffle.
@@ -227,7 +232,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         tested = pairs if tested is None else tested.union(pairs)
         if last:
             break
-    joined = components(links) if links is not None else spark.createDataFrame([], "node bigint, component bigint")
+    joined = (components(links) if links is not None else spark.createDataFrame([], "node bigint, component bigint")).checkpoint()
     joined = classes.join(joined, classes["id"] == joined["node"], "left").select("h1", "h2", "n", F.coalesce("component", "id").alias("component"))
     out = signed.select("id", "n", "h1", "h2").join(joined, ["h1", "h2", "n"], "left").select("id", "n", F.coalesce(F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.col("component")), "id").alias("component_id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
