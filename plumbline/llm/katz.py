@@ -39,10 +39,10 @@ TAIL = 0.1
 START, END = np.uint64(0x51A7), np.uint64(0xE2D)
 #: Stands for a null id in a packed row.
 NULL = -(2**63)
-BUCKET_TOKENS = 4_000_000
+BUCKET_TOKENS = 3_000_000
 #: Rows of a batch of results.
 ROWS = 200_000
-BLOCK_BYTES = 6_000_000
+BLOCK_BYTES = 3_000_000
 BLOCK_ROWS = 30_000
 #: A word with more than this share of a bucket's tokens is spread over all buckets by history.
 HOT = 0.25
@@ -210,7 +210,7 @@ def _score(hot: np.ndarray, hot_counts: np.ndarray):
         hist: list = []
         unseen: list = []
         # Words in ranges of their hash, so that the working set is a share of the bucket.
-        slices_ = max(1, total // 300_000)
+        slices_ = max(1, total // 200_000)
         cuts = [np.uint64(k * (2**64 // slices_)) for k in range(slices_)] + [None]
         ends = [(0, 0)] * len(parts)
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
