@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from functools import partial
+
+from plumbline.plans import catalog, norms
+from plumbline.plans.sql import duck_sql, run, with_views
+
+
+def _sql(text: str, spark, sf_dir: str):
+    return run(spark, sf_dir, text)
+
 
 def queries():
-    return {}
+    return {name: partial(_sql, text) for name, text in catalog.QUERIES.items()}
 
 
 def oracle_sql():
-    return {}
+    return {name: duck_sql(with_views(text)) for name, text in catalog.QUERIES.items()}
 
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+flagship = norms.flagship
