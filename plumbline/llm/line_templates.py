@@ -7,45 +7,103 @@ whose constants are at least SIMILAR of its tokens, recurs: its lines are droppe
 (least id, then position), so content that merely repeats is kept once.
 
 Copies of one text count once, so whole documents that repeat are left to document dedup. Lines under MIN_TOKENS tokens are
-never touched. All steps are DataFrame operations; leaves, lines and templates are counted by partial aggregation, so no hot
-line or leaf meets in one task. Null text has no lines and stays null; an empty text is one empty line. Repeated rows share
+never touched. Lines and tokens are 64-bit hashes, made in numpy as the texts are scanned; leaves, lines and templates are counted by
+DataFrame aggregations that combine before the shuffle, so no hot line or leaf meets in one task. Null text has no lines and stays null; an empty text is one empty line. Repeated rows share
 their fate. Null ids come last.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import prepare, table
+from plumbline.llm.common import BROADCAST_IDS, anti, plain_plans, prepare, semi, stored, table
+from plumbline.llm.text import MIX2, NOT_SPACE, POWERS, chunks, mix, prefix_hash, span_hash, words
 
 DEPTH = 3
 MIN_DOCS = 5
 MIN_TOKENS = 4
 SIMILAR = 0.6
 FIELD = "<*>"
+FIELD_HASH = np.uint64(0xF1E1D)
+
+
+def line_arrays(data: np.ndarray, off: np.ndarray):
+    """Of the lines with tokens: (row, place in the row, tokens, fields, leaf, hash), and of all tokens (line, hash, is a field)."""
+    start, end, rows = words(data, off, NOT_SPACE)
+    if not len(start):
+        return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),) * 2, (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool))
+    token = span_hash(prefix_hash(data), start, end)
+    digits = np.concatenate([[0], np.cumsum((data >= 48) & (data < 58))])
+    field = digits[end] > digits[start]
+    token[field] = FIELD_HASH
+    breaks = np.flatnonzero(data == 10)
+    row = np.repeat(np.arange(len(off) - 1), np.diff(rows))
+    line = np.searchsorted(breaks, start) + row
+    first = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
+    n = np.diff(np.append(first, len(line)))
+    k = np.arange(len(line)) - np.repeat(first, n)
+    up, _ = POWERS.get(int(n.max()) + 1)
+    spread = mix(token) * up[k]
+    whole = mix(np.add.reduceat(spread, first))
+    lead = mix(np.add.reduceat(np.where(k < DEPTH, spread, np.uint64(0)), first) + n.astype(np.uint64) * np.uint64(MIX2))
+    at = line[first] - (np.searchsorted(breaks, off[:-1]) + np.arange(len(off) - 1))[row[first]]
+    return (row[first], at, n, np.add.reduceat(field.astype(np.int64), first), lead, whole), (np.repeat(np.arange(len(first)), n), token, field)
+
+
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        key, ids, t = (batch.column(c) for c in ("key", "id", "t"))
+        for i, data, off in chunks(batch.column("text")):
+            (row, at, n, fields, leaf, h), _ = line_arrays(data, off)
+            some = n >= MIN_TOKENS
+            rows = pa.array(i + row[some])
+            firm = pa.array((n - fields)[some] >= SIMILAR * n[some])
+            yield pa.RecordBatch.from_arrays([key.take(rows), ids.take(rows), t.take(rows), pa.array(at[some]), pa.array(n[some]), firm, pa.array(leaf[some].view(np.int64)), pa.array(h[some].view(np.int64))], names=["key", "id", "t", "pos", "n", "firm", "leaf", "h"])
+
+
+def _tokens(wanted: np.ndarray):
+    """The tokens of the wanted lines (a sorted array of hashes)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, data, off in chunks(batch.column("text")):
+                (row, _, n, _, leaf, h), (line, token, field) = line_arrays(data, off)
+                place = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
+                some = ((wanted[place] == h) & (n >= MIN_TOKENS))[line] if len(line) else np.zeros(0, bool)
+                first = np.cumsum(n) - n
+                at = (np.arange(len(line)) - first[line])[some]
+                line = line[some]
+                yield pa.RecordBatch.from_arrays([pa.array(leaf[line].view(np.int64)), pa.array(h[line].view(np.int64)), batch.column("t").take(pa.array(i + row[line])), pa.array(n[line]), pa.array(at), pa.array(token[some].view(np.int64)), pa.array(field[some])], names=["leaf", "h", "t", "n", "at", "token", "field"])
+
+    return run
 
 
 def recurring_lines(docs: DataFrame, id_col: str, text_col: str, min_docs: int = MIN_DOCS) -> DataFrame:
     """(key, dropped): for each text with recurring lines, the places of those to drop. key: xxhash64 of id and text."""
-    rows = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("t"), F.posexplode(F.split(text_col, "\n")).alias("pos", "line"))
-    line = F.trim(F.regexp_replace("line", "[\t\x0b\f\r ]+", " "))
-    # Token by token, without going back: linear in the line.
-    line = F.regexp_replace(line, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*", FIELD)
-    rows = rows.withColumn("line", line).withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1).where(f"n >= {MIN_TOKENS}")
-    rows = rows.withColumn("leaf", F.xxhash64("n", F.substring_index("line", " ", DEPTH))).withColumn("h", F.xxhash64("line"))
-    fields = F.size(F.split("line", " <\\*>", -1)) - 1 + F.col("line").startswith(FIELD).cast("int")
-    rows = rows.withColumn("firm", (F.col("n") - fields) >= SIMILAR * F.col("n"))
-    small = rows.select("key", "id", "t", "pos", "leaf", "h", "firm", "n")
+    texts = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
+    small = stored(texts.mapInArrow(_lines, "key long, id long, t long, pos long, n long, firm boolean, leaf long, h long"))
     per_line = small.groupBy("leaf", "h", "t").agg(F.first("firm").alias("firm"))
     lines = per_line.groupBy("leaf", "h").agg(F.count("*").alias("texts"), F.first("firm").alias("firm")).checkpoint()
-    same = lines.where((F.col("texts") >= min_docs) & F.col("firm")).select("h", F.col("h").alias("template"))
+    recurs = (F.col("texts") >= min_docs) & F.col("firm")
+    same = lines.where(recurs).select("h", F.col("h").alias("template"))
     # Leaves that could still hold a template with fields: enough texts besides the lines that recur as they are.
-    rest = lines.where(~((F.col("texts") >= min_docs) & F.col("firm")))
+    rest = lines.where(~recurs)
     leaves = rest.groupBy("leaf").agg(F.sum("texts").alias("texts"), F.count("*").alias("kinds")).where(f"texts >= {min_docs} and kinds > 1").select("leaf")
-    left = rest.join(leaves, "leaf").select("leaf", "h")
-    tokens = rows.select("leaf", "h", "t", "line", "n").join(left, ["leaf", "h"]).select("leaf", "h", "t", "n", F.posexplode(F.split("line", " ")).alias("at", "token")).distinct().checkpoint()
-    constant = tokens.where(f"token <> '{FIELD}'").select("leaf", "at", "token", "t").distinct().groupBy("leaf", "at", "token").count().where(f"count >= {min_docs}").select("leaf", "at", "token", F.lit(1).alias("c"))
+    left = rest.join(leaves, "leaf").select("h").distinct().checkpoint()
+    # Their tokens: one more scan for each BROADCAST_IDS lines that are left.
+    blocks = 1 + left.count() // BROADCAST_IDS
+    tokens = None
+    for b in range(blocks):
+        some = left.where(F.pmod(F.xxhash64("h"), F.lit(blocks)) == b).toPandas()["h"].to_numpy(np.int64).view(np.uint64)
+        one = texts.select("t", "text").mapInArrow(_tokens(np.sort(some) if len(some) else np.zeros(1, np.uint64)), "leaf long, h long, t long, n long, at long, token long, field boolean")
+        tokens = one if tokens is None else tokens.union(one)
+    tokens = stored(tokens.distinct())
+    constant = tokens.where("not field").select("leaf", "at", "token", "t").distinct().groupBy("leaf", "at", "token").count().where(f"count >= {min_docs}").select("leaf", "at", "token")
     kinds = tokens.select("leaf", "h", "n", "at", "token").distinct().join(constant, ["leaf", "at", "token"])
     # A template is its leaf and its constants with their places: hashes add up whatever the order.
     template = kinds.groupBy("leaf", "h", "n").agg(F.sum(F.xxhash64("at", "token") % F.lit(2**40)).alias("sum"), F.count("*").alias("firm")).where(f"firm >= {SIMILAR} * n").select("h", "leaf", F.xxhash64("leaf", "sum").alias("template"))
@@ -60,13 +118,20 @@ def recurring_lines(docs: DataFrame, id_col: str, text_col: str, min_docs: int =
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
     """docs with recurring lines taken out of the text, and two columns: _n_lines and _n_dropped."""
     prepare(docs.sparkSession)
-    found = recurring_lines(docs, id_col, text_col, min_docs)
+    with plain_plans(docs.sparkSession):
+        found = stored(recurring_lines(docs, id_col, text_col, min_docs))
+        keyed = docs.withColumn("_key", F.xxhash64(id_col, text_col))
+        found = found.withColumnRenamed("key", "_key").withColumnRenamed("dropped", "_dropped")
+        ids = found.select("_key")
+        # Only texts that lose lines meet their places in a shuffle.
+        joined = semi(keyed, ids, "_key").join(found, "_key").unionByName(anti(keyed, ids, "_key").withColumn("_dropped", F.lit(None).cast("array<bigint>")))
     lines = F.split(text_col, "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "dropped")
-    text = F.when(F.col("dropped").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
-    joined = docs.withColumn("key", F.xxhash64(id_col, text_col)).join(found, "key", "left")
-    counted = joined.withColumn("_n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long")).withColumn("_n_dropped", F.coalesce(F.size("dropped"), F.lit(0)).cast("long"))
-    return counted.withColumn(text_col, text).drop("key", "dropped")
+    kept = F.array_except(F.sequence(F.lit(0).cast("long"), F.size(lines).cast("long") - 1), "_dropped")
+    text = F.when(F.col("_dropped").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i.cast("int"))), "\n"))
+    breaks = F.length(text_col) - F.length(F.replace(text_col, F.lit("\n"), F.lit("")))
+    counted = joined.withColumn("_n_lines", F.coalesce(breaks + 1, F.lit(0)).cast("long")).withColumn("_n_dropped", F.coalesce(F.size("_dropped"), F.lit(0)).cast("long"))
+    counted = counted.withColumn("_n_dropped", F.greatest("_n_dropped", F.lit(0).cast("long")))
+    return counted.withColumn(text_col, text).drop("_key", "_dropped")
 
 
 def op3_line_template_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
