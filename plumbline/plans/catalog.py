@@ -58,6 +58,8 @@ lim AS (SELECT subject_id, condition, band, $PCT(weight, 0.75) AS cut FROM graph
 kept AS (SELECT g.* FROM graph g JOIN lim l ON g.subject_id = l.subject_id AND g.condition = l.condition AND g.band = l.band WHERE g.weight >= l.cut),
 sym AS (SELECT subject_id, condition, band, ca AS u, cb AS v, weight FROM kept UNION ALL SELECT subject_id, condition, band, cb AS u, ca AS v, weight FROM kept)"""
 
+RATIO = "SUM(CASE WHEN side = 'num' THEN power END) / nullif(SUM(CASE WHEN side = 'den' THEN power END), 0)"
+
 QUERIES: dict[str, str] = {
     # --- sources, cleaning, projections -------------------------------------------------------------------------
     "s2_merge_sources": "SELECT CASE WHEN dataset = 0 THEN 'lemon' ELSE 'dortmund' END AS source, CONCAT(CASE WHEN dataset = 0 THEN 'lemon' ELSE 'dortmund' END, '_', CAST(subject_id AS VARCHAR(20))) AS subject, age, sex FROM subjects",
@@ -135,9 +137,9 @@ QUERIES: dict[str, str] = {
     "r3_bland_altman": f"WITH {ICC} SELECT condition, channel, band, metric, {r('bias')} AS bias, {r('sd_diff')} AS sd_diff, {r('bias - 1.96 * sd_diff')} AS lower_limit, {r('bias + 1.96 * sd_diff')} AS upper_limit FROM rel2",
     "r4_heteroscedasticity": f"""WITH {PAIRS}, t AS (SELECT condition, band, metric, ABS(x1 - x2) AS d, x1 - x2 AS raw, (x1 + x2) / 2 AS lev, ROW_NUMBER() OVER (PARTITION BY condition, band, metric ORDER BY (x1 + x2) / 2, subject_id, channel) AS k, COUNT(*) OVER (PARTITION BY condition, band, metric) AS n FROM pair)
  SELECT condition, band, metric, COUNT(*) AS n, {r('regr_slope(d, lev)')} AS slope, {r(corr('d', 'lev'))} AS r, {r('VAR_SAMP(CASE WHEN k > n - CAST(FLOOR(n / 3) AS BIGINT) THEN raw END) / nullif(VAR_SAMP(CASE WHEN k <= CAST(FLOOR(n / 3) AS BIGINT) THEN raw END), 0)')} AS tail_ratio FROM t GROUP BY condition, band, metric HAVING COUNT(*) >= 6""",
-    "r5_beyond_mdc": f"WITH {ICC} SELECT r.condition, r.channel, r.band, r.metric, {r('AVG(CASE WHEN ABS(p.x1 - p.x2) > r.sem * 1.96 * SQRT(2) THEN 1.0 ELSE 0.0 END)')} AS share FROM rel2 r JOIN pair p ON p.condition = r.condition AND p.channel = r.channel AND p.band = r.band AND p.metric = r.metric GROUP BY r.condition, r.channel, r.band, r.metric",
+    "r5_beyond_mdc": f"WITH {ICC} SELECT r.condition, r.channel, r.band, r.metric, {r('AVG(CASE WHEN ABS(p.x1 - p.x2) > r.sem * 1.96 * SQRT(2) THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)')} AS share FROM rel2 r JOIN pair p ON p.condition = r.condition AND p.channel = r.channel AND p.band = r.band AND p.metric = r.metric GROUP BY r.condition, r.channel, r.band, r.metric",
     "r6_reliability_summary": f"WITH {ICC} SELECT metric, COUNT(*) AS n, {r('$PCT(icc, 0.5)')} AS median_icc, COUNT_IF(icc < 0.7) AS n_low FROM rel2 GROUP BY ROLLUP (metric)",
-    "v1_alpha_closed_over_open": f"WITH {MEANS}, p AS (SELECT bin, channel, MAX(CASE WHEN condition = 'ec' THEN mean END) AS ec, MAX(CASE WHEN condition = 'eo' THEN mean END) AS eo FROM cell WHERE sex = 'pooled' AND band = 'Alpha' AND metric = 'absolute_power' GROUP BY bin, channel) SELECT COUNT(*) AS n, COUNT_IF(ec > eo) AS n_pass, {r('AVG(CASE WHEN ec > eo THEN 1.0 ELSE 0.0 END)')} AS share, AVG(CASE WHEN ec > eo THEN 1.0 ELSE 0.0 END) >= 0.9 AS ok FROM p WHERE ec IS NOT NULL AND eo IS NOT NULL",
+    "v1_alpha_closed_over_open": f"WITH {MEANS}, p AS (SELECT bin, channel, MAX(CASE WHEN condition = 'ec' THEN mean END) AS ec, MAX(CASE WHEN condition = 'eo' THEN mean END) AS eo FROM cell WHERE sex = 'pooled' AND band = 'Alpha' AND metric = 'absolute_power' GROUP BY bin, channel) SELECT COUNT(*) AS n, COUNT_IF(ec > eo) AS n_pass, {r('AVG(CASE WHEN ec > eo THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)')} AS share, AVG(CASE WHEN ec > eo THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) >= 0.9 AS ok FROM p WHERE ec IS NOT NULL AND eo IS NOT NULL",
     "v2_age_trend": f"WITH {MEANS} SELECT condition, channel, metric, COUNT(*) AS n_bins, {r(corr('(bin_lo + bin_hi) / 2.0', 'mean'))} AS r FROM cell WHERE sex = 'pooled' AND band = 'Alpha' AND n >= 5 GROUP BY condition, channel, metric HAVING COUNT(*) >= 3",
     "v3_posterior_ratio": f"WITH {MEANS} SELECT bin, condition, {r(f'AVG(CASE WHEN channel IN ({names(POSTERIOR)}) THEN mean END) / nullif(AVG(CASE WHEN channel IN ({names(ANTERIOR)}) THEN mean END), 0)')} AS ratio FROM cell WHERE sex = 'pooled' AND band = 'Alpha' AND metric = 'absolute_power' GROUP BY bin, condition",
     "v4_ranges": f"WITH {MEANS} SELECT q.metric, q.lo, q.hi, COUNT(*) AS n, COUNT_IF(c.mean BETWEEN q.lo AND q.hi) AS n_inside FROM cell c JOIN (VALUES ('relative_power', 0.0, 0.1), ('absolute_power', 1.0, 60000.0)) AS q(metric, lo, hi) ON q.metric = c.metric WHERE c.sex = 'pooled' GROUP BY q.metric, q.lo, q.hi",
@@ -146,9 +148,9 @@ QUERIES: dict[str, str] = {
     "v11_check_summary": f"WITH {MEANS}, c AS (SELECT CASE WHEN n < 5 THEN 'SKIP' WHEN sd = 0 THEN 'WARN' WHEN ABS(p50 - mean) > sd THEN 'FAIL' ELSE 'PASS' END AS status FROM cell) SELECT status, COUNT(*) AS n FROM c GROUP BY status",
     # --- recording quality ---------------------------------------------------------------------------------------------------
     "q1_integrity": f"WITH m AS (SELECT recording_id, channel, v, AVG(v) OVER (PARTITION BY recording_id) AS c FROM signal) SELECT recording_id, COUNT(DISTINCT channel) AS n_channels, COUNT(*) AS n, {r('$PCT(ABS(v - c), 0.5)')} AS typical, COUNT(DISTINCT channel) >= 3 AS ok FROM m GROUP BY recording_id",
-    "q2_flat_railed": f"SELECT recording_id, channel, {r('VAR_POP(v)')} AS variance, VAR_POP(v) < 0.1 AS flat, AVG(CASE WHEN ABS(v) > 80 THEN 1.0 ELSE 0.0 END) > 0.1 AS railed FROM signal GROUP BY recording_id, channel",
+    "q2_flat_railed": f"SELECT recording_id, channel, {r('VAR_POP(v)')} AS variance, VAR_POP(v) < 0.1 AS flat, AVG(CASE WHEN ABS(v) > 80 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) > 0.1 AS railed FROM signal GROUP BY recording_id, channel",
     "q3_line_noise": f"WITH p AS (SELECT recording_id, AVG(psd) AS power FROM psd WHERE freq BETWEEN 48 AND 50.5 GROUP BY recording_id), s AS (SELECT AVG(power) AS m, STDDEV_POP(power) AS s FROM p) SELECT recording_id, {r('(power - m) / nullif(s, 0)')} AS z, (power - m) / nullif(s, 0) > 3 AS noisy FROM p CROSS JOIN s",
-    "q4_gross_artefacts": f"WITH c AS (SELECT win, channel, MAX(ABS(v)) > 60 AS bad FROM signal GROUP BY win, channel), w AS (SELECT win, AVG(CASE WHEN bad THEN 1.0 ELSE 0.0 END) > 0.5 AS bad FROM c GROUP BY win) SELECT COUNT(*) AS n_windows, COUNT_IF(bad) AS n_bad, {r('AVG(CASE WHEN bad THEN 100.0 ELSE 0.0 END)')} AS percent, COUNT_IF(NOT bad) * 3600 AS usable_seconds FROM w",
+    "q4_gross_artefacts": f"WITH c AS (SELECT win, channel, MAX(ABS(v)) > 60 AS bad FROM signal GROUP BY win, channel), w AS (SELECT win, AVG(CASE WHEN bad THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) > 0.5 AS bad FROM c GROUP BY win) SELECT COUNT(*) AS n_windows, COUNT_IF(bad) AS n_bad, {r('AVG(CASE WHEN bad THEN CAST(100 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)')} AS percent, COUNT_IF(NOT bad) * 3600 AS usable_seconds FROM w",
     "q5_amplitude": f"SELECT channel, {r('AVG(v)')} AS dc, {r('STDDEV_POP(v)')} AS sd, {r('MAX(ABS(v))')} AS peak, {r('$PCT(ABS(v), 0.5)')} AS median FROM signal GROUP BY channel",
     "q7_marker_limits": "SELECT recording_id, kind, COUNT(*) AS n, CASE WHEN COUNT(*) < 3 THEN 'fail' WHEN COUNT(*) < 6 THEN 'warn' ELSE 'pass' END AS verdict FROM markers WHERE kind IN ('eo', 'ec') GROUP BY recording_id, kind",
     "q8_alpha_peak": "SELECT MAX_BY(freq, m) AS peak FROM (SELECT freq, AVG(psd) AS m FROM psd WHERE freq BETWEEN 8 AND 13 GROUP BY freq) q",
@@ -159,7 +161,7 @@ QUERIES: dict[str, str] = {
     "k1_average_reference": f"SELECT channel, epoch, t_idx, {r('v - AVG(v) OVER (PARTITION BY epoch, t_idx)')} AS v FROM epochs",
     "k2_welch": f"WITH {DFT} SELECT channel, k, {r('AVG(re * re + im * im)')} AS power FROM spec GROUP BY channel, k",
     "k3_band_power": f"WITH {BANDPOWER} SELECT b.recording_id, b.band, {r('power')} AS absolute, {r('power / nullif(total, 0)')} AS relative FROM bp b JOIN total t ON t.recording_id = b.recording_id",
-    "k4_band_ratios": f"WITH {BANDPOWER} SELECT b.recording_id, q.ratio, {r('SUM(CASE WHEN side = ''num'' THEN power END) / CASE WHEN SUM(CASE WHEN side = ''den'' THEN power END) > 0 THEN SUM(CASE WHEN side = ''den'' THEN power END) END'.replace(chr(39) * 2, chr(39)))} AS value FROM bp b JOIN ratios q ON q.band = b.band GROUP BY b.recording_id, q.ratio",
+    "k4_band_ratios": f"WITH {BANDPOWER} SELECT b.recording_id, q.ratio, {r(RATIO)} AS value FROM bp b JOIN ratios q ON q.band = b.band GROUP BY b.recording_id, q.ratio",
     "k5_aperiodic": f"WITH {FIT} SELECT recording_id, {r('-slope')} AS exponent, {r('intercept')} AS level, {r('r2')} AS r2, r2 >= 0.85 AS good, n_points FROM f2 WHERE n_points >= 5",
     "k6_corrected_power": f"WITH {FIT} SELECT p.recording_id, p.freq, {r('p.psd / POWER(10, f.intercept + f.slope * LOG10(p.freq))')} AS corrected FROM psd p JOIN f2 f ON f.recording_id = p.recording_id WHERE p.freq >= 2 AND p.freq <= 40 AND f.n_points >= 5",
     "k7_asymmetry": f"SELECT a.subject_id, a.condition, a.band, p.lft, p.rgt, {r('CASE WHEN a.value + b.value > 0 THEN (b.value - a.value) / (a.value + b.value) ELSE 0 END')} AS asymmetry FROM metrics a JOIN (VALUES ('F3', 'F4'), ('C3', 'C4'), ('P3', 'P4'), ('O1', 'O2')) AS p(lft, rgt) ON p.lft = a.channel JOIN metrics b ON b.channel = p.rgt AND b.subject_id = a.subject_id AND b.condition = a.condition AND b.band = a.band AND b.metric = a.metric WHERE a.metric = 'absolute_power'",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plumbline.functions.numeric import SW_C1, SW_C2, low_first, norm_cdf, norm_ppf, num, shapiro_p, t_beyond, t_table, two_tailed
+from plumbline.functions.numeric import SW_C1, SW_C2, SW_MEAN_LARGE, SW_MEAN_SMALL, SW_SD_LARGE, SW_SD_SMALL, low_first, norm_cdf, norm_ppf, num, t_beyond, t_table, two_tailed
 from plumbline.plans.sql import run
 from plumbline.sources.fixtures import EDGES, LOG_METRICS, NEIGHBOURS, POINTS
 
@@ -49,21 +49,26 @@ def shapiro(rows: DataFrame, keys: list[str]) -> DataFrame:
         F.max("n").alias("k"), F.sum(F.col("m") * F.col("m")).alias("mm"), F.sum(F.col("m") * F.col("x")).alias("mx"), F.var_pop("x").alias("v"),
         ends[0].alias("m1"), ends[1].alias("m2"), tops[0].alias("x1"), tops[1].alias("x2"), lows[0].alias("y1"), lows[1].alias("y2"), F.min("x").alias("lo"), F.max("x").alias("hi"),
     )
-    return cells.where("hi > lo").select(*keys, F.expr(SHAPIRO_P).alias("normality_p"))
-
-
-def _shapiro_text() -> str:
-    u = "(1 / sqrt(k))"
-    a1 = f"(CASE WHEN k = 3 THEN sqrt({num(0.5)}) ELSE {low_first(SW_C1, u)} + m1 / sqrt(mm) END)"
-    a2 = f"({low_first(SW_C2, u)} + m2 / sqrt(mm))"
-    # The inner weights are m / sqrt(phi); the ends have weights of their own.
-    phi = f"(CASE WHEN k > 5 THEN (mm - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * {a1} * {a1} - 2 * {a2} * {a2}) ELSE (mm - 2 * m1 * m1) / nullif(1 - 2 * {a1} * {a1}, 0) END)"
-    inner = "(CASE WHEN k > 5 THEN mx - m1 * (x1 - y1) - m2 * (x2 - y2) ELSE mx - m1 * (x1 - y1) END)"
-    top = f"(CASE WHEN k = 3 THEN {a1} * (x1 - y1) WHEN k > 5 THEN {a1} * (x1 - y1) + {a2} * (x2 - y2) + {inner} / sqrt({phi}) ELSE {a1} * (x1 - y1) + {inner} / sqrt({phi}) END)"
-    return f"({top} * {top} / (k * v))"
-
-
-SHAPIRO_P = shapiro_p(_shapiro_text(), "k")
+    cells = cells.where("hi > lo")
+    # One column a step: written out as one expression this grows beyond what a planner can hold.
+    for name, text in SHAPIRO_STEPS.items():
+        cells = cells.withColumn(name, F.expr(text))
+    return cells.select(*keys, "normality_p")
+
+
+_U = "(1 / sqrt(k))"
+_LOG = "ln(k)"
+_GAMMA = f"({num(0.459)} * k - {num(2.273)})"
+#: Royston's AS R94 from a cell's sums: end weights a1 and a2, inner weights m / sqrt(phi), the statistic and its p.
+SHAPIRO_STEPS = {
+    "a1": f"CASE WHEN k = 3 THEN sqrt({num(0.5)}) ELSE {low_first(SW_C1, _U)} + m1 / sqrt(mm) END",
+    "a2": f"{low_first(SW_C2, _U)} + m2 / sqrt(mm)",
+    "phi": "CASE WHEN k > 5 THEN (mm - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * a1 * a1 - 2 * a2 * a2) ELSE (mm - 2 * m1 * m1) / nullif(1 - 2 * a1 * a1, 0) END",
+    "top": "CASE WHEN k = 3 THEN a1 * (x1 - y1) WHEN k > 5 THEN a1 * (x1 - y1) + a2 * (x2 - y2) + (mx - m1 * (x1 - y1) - m2 * (x2 - y2)) / sqrt(phi) ELSE a1 * (x1 - y1) + (mx - m1 * (x1 - y1)) / sqrt(phi) END",
+    "w": f"least(top * top / nullif(k * v, 0), {num(1 - 1e-16)})",
+    "y": f"CASE WHEN k <= 11 THEN (-ln(greatest({_GAMMA} - ln(1 - w), {num(1e-300)})) - {low_first(SW_MEAN_SMALL, 'k')}) / exp({low_first(SW_SD_SMALL, 'k')}) ELSE (ln(1 - w) - {low_first(SW_MEAN_LARGE, _LOG)}) / exp({low_first(SW_SD_LARGE, _LOG)}) END",
+    "normality_p": f"CASE WHEN w IS NULL THEN NULL WHEN k = 3 THEN greatest({num(0.0)}, {num(1.909859317102744)} * (asin(sqrt(w)) - asin(sqrt({num(0.75)})))) WHEN k <= 11 AND ln(1 - w) >= {_GAMMA} THEN {num(0.0)} ELSE {norm_cdf('(-y)')} END",
+}
 
 
 def norm_cells(metrics: DataFrame, edges: list[int] = EDGES) -> DataFrame:
@@ -121,7 +126,8 @@ def score(metrics: DataFrame, cells: DataFrame, match: str = "label", use_sex: b
     rows = rows.where("cell is not null").select("subject_id", "age", "condition", "channel", "band", "metric", "value", "cell.*")
     log_ok = is_log() & (F.col("value") > 0) & F.col("log_mean").isNotNull() & (F.col("log_sd") > 0)
     z = F.when(log_ok, (F.ln("value") - F.col("log_mean")) / F.col("log_sd")).when(F.col("sd") > 0, (F.col("value") - F.col("mean")) / F.col("sd")).when(F.col("mean") != 0, (F.col("value") - F.col("mean")) / F.abs("mean")).otherwise(0.0)
-    rows = rows.withColumn("z", z).withColumn("rank", percentile_rank())
+    # Ten decimals, so that equal deviations are ties whatever the order of sums was.
+    rows = rows.withColumn("z", F.round(z, 10)).withColumn("rank", percentile_rank())
     edge = F.when(F.col("n") < 200, F.greatest(F.lit(1.0), F.least(F.lit(99.0), F.col("rank")))).otherwise(F.greatest(F.lit(0.5), F.least(F.lit(99.5), F.col("rank")))) / 100
     rows = rows.withColumn("robust_z", edge).withColumn("robust_z", F.expr(norm_ppf("robust_z")))
     a = F.abs("z")
@@ -173,10 +179,9 @@ def clusters(scores: DataFrame, cut: float = 1.5, neighbours: dict[str, list[str
     names = sorted(set(near) | {b for bs in near.values() for b in bs})
     sets = rows.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("channel", "z"))).alias("zs")).withColumn("label", F.transform_values("zs", lambda k, _: k))
     around = F.create_map(*(x for n in names for x in (F.lit(n), F.array(*(F.lit(b) for b in near.get(n, []))))))
-    for _ in range(turns.bit_length() + 1):
-        step = F.transform_values("label", lambda k, v: F.array_min(F.concat(F.array(v), F.coalesce(F.filter(F.transform(around[k], lambda b: F.col("label")[b]), lambda x: x.isNotNull()), F.array().cast("array<string>")))))
-        for _ in range(4):
-            sets = sets.withColumn("label", step)
+    near_labels = lambda label, k: F.filter(F.transform(F.coalesce(around[k], F.array().cast("array<string>")), lambda b: label[b]), lambda x: x.isNotNull())
+    step = lambda label, _: F.transform_values(label, lambda k, v: F.array_min(F.concat(F.array(v), near_labels(label, k))))
+    sets = sets.withColumn("label", F.aggregate(F.sequence(F.lit(1), F.lit(turns)), F.col("label"), step))
     out = sets.select(*keys, F.explode(F.map_entries("label")).alias("e"), "zs").select(*keys, F.col("e.value").alias("root"), F.col("e.key").alias("channel"), F.col("zs")[F.col("e.key")].alias("z"))
     return out.groupBy(*keys, "root").agg(F.count("*").alias("size"), F.array_join(F.array_sort(F.collect_list("channel")), ",").alias("channels"), F.avg(F.abs("z")).alias("mean_abs_z"), F.max(F.abs("z")).alias("max_abs_z")).where("size >= 2")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from plumbline.plans import catalog, norms
+from plumbline.plans import catalog, core, norms
 from plumbline.plans.sql import duck_sql, run, with_views
 
 
@@ -13,11 +13,11 @@ def _sql(text: str, spark, sf_dir: str):
 
 
 def queries():
-    return {name: partial(_sql, text) for name, text in catalog.QUERIES.items()}
+    return {name: partial(_sql, text) for name, text in catalog.QUERIES.items()} | core.QUERIES
 
 
 def oracle_sql():
-    return {name: duck_sql(with_views(text)) for name, text in catalog.QUERIES.items()}
+    return {name: duck_sql(with_views(text)) for name, text in (catalog.QUERIES | core.ORACLES).items()}
 
 
 flagship = norms.flagship
