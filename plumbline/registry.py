@@ -4,20 +4,23 @@ from __future__ import annotations
 
 from functools import partial
 
+from plumbline.operators import grouped
 from plumbline.plans import catalog, core, norms
 from plumbline.plans.sql import duck_sql, run, with_views
 
+SQL = catalog.QUERIES | {"c8_efficiency_three_hops": grouped.C8_SQL}
+
 
 def _sql(text: str, spark, sf_dir: str):
     return run(spark, sf_dir, text)
 
 
 def queries():
-    return {name: partial(_sql, text) for name, text in catalog.QUERIES.items()} | core.QUERIES
+    return {name: partial(_sql, text) for name, text in SQL.items()} | core.QUERIES | grouped.QUERIES
 
 
 def oracle_sql():
-    return {name: duck_sql(with_views(text)) for name, text in (catalog.QUERIES | core.ORACLES).items()}
+    return {name: duck_sql(with_views(text)) for name, text in (SQL | core.ORACLES).items()}
 
 
 flagship = norms.flagship
