@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,20 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@contextmanager
-def plain_plans(spark: SparkSession) -> Iterator[None]:
-    """Loops over checkpoints: each keeps the constraints of its plan, and inferring more from them grows without bound."""
-    name = "spark.sql.constraintPropagation.enabled"
-    before = spark.conf.get(name, "true")
-    spark.conf.set(name, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def stored(rows: DataFrame, *by: str) -> DataFrame:
-    """Cut the lineage with a compressed table in the shared checkpoint folder; much smaller there than a checkpoint."""
+    """Cut the lineage with a compressed table in the shared checkpoint folder.
+
+    It is much smaller there than a checkpoint, and its size is known anew: a checkpoint keeps the estimate of its plan, which
+    squares with each join of a loop until planning takes minutes.
+    """
     spark = rows.sparkSession
     path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{uuid.uuid4().hex}"
     rows.write.option("compression", "zstd").partitionBy(*by).parquet(path)
@@ -74,23 +64,23 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     many edges only meets partial aggregations and joins that Spark can split.
     """
     spark = edges.sparkSession
-    link = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct().checkpoint()
+    link = stored(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct())
     nodes, left = None, not link.isEmpty()
     steps = []
     while left:
         both = link.union(link.select("b", "a"))
         near = F.min(F.struct(F.xxhash64("b").alias("r"), F.col("b").alias("v"))).alias("m")
-        hook = both.groupBy("a").agg(near).select("a", F.least("m", F.struct(F.xxhash64("a").alias("r"), F.col("a").alias("v")))["v"].alias("to")).checkpoint()
+        hook = stored(both.groupBy("a").agg(near).select("a", F.least("m", F.struct(F.xxhash64("a").alias("r"), F.col("a").alias("v")))["v"].alias("to")))
         steps.append(hook)
         from_a = hook.select(F.col("a"), F.col("to").alias("ta"))
         from_b = hook.select(F.col("a").alias("b"), F.col("to").alias("tb"))
-        link = link.join(from_a, "a").join(from_b, "b").select(F.col("ta").alias("a"), F.col("tb").alias("b")).where("a <> b").distinct().checkpoint()
+        link = stored(link.join(from_a, "a").join(from_b, "b").select(F.col("ta").alias("a"), F.col("tb").alias("b")).where("a <> b").distinct())
         left = not link.isEmpty()
     if not steps:
         return spark.createDataFrame([], "node bigint, component bigint")
     nodes = steps[0].select(F.col("a").alias("node"), F.col("to").alias("root"))
     for hook in steps[1:]:
         nodes = nodes.join(hook.withColumnRenamed("a", "root"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
-    nodes = nodes.checkpoint()
+    nodes = stored(nodes)
     least = nodes.groupBy("root").agg(F.min("node").alias("component"))
-    return nodes.join(least, "root").select("node", "component")
+    return stored(nodes.join(least, "root").select("node", "component"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import BROADCAST_IDS, anti, plain_plans, prepare, semi, stored, table
+from plumbline.llm.common import BROADCAST_IDS, anti, prepare, semi, stored, table
 from plumbline.llm.text import MIX2, NOT_SPACE, POWERS, chunks, mix, prefix_hash, span_hash, words
 
 DEPTH = 3
@@ -118,13 +118,12 @@ def recurring_lines(docs: DataFrame, id_col: str, text_col: str, min_docs: int =
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
     """docs with recurring lines taken out of the text, and two columns: _n_lines and _n_dropped."""
     prepare(docs.sparkSession)
-    with plain_plans(docs.sparkSession):
-        found = stored(recurring_lines(docs, id_col, text_col, min_docs))
-        keyed = docs.withColumn("_key", F.xxhash64(id_col, text_col))
-        found = found.withColumnRenamed("key", "_key").withColumnRenamed("dropped", "_dropped")
-        ids = found.select("_key")
-        # Only texts that lose lines meet their places in a shuffle.
-        joined = semi(keyed, ids, "_key").join(found, "_key").unionByName(anti(keyed, ids, "_key").withColumn("_dropped", F.lit(None).cast("array<bigint>")))
+    found = stored(recurring_lines(docs, id_col, text_col, min_docs))
+    keyed = docs.withColumn("_key", F.xxhash64(id_col, text_col))
+    found = found.withColumnRenamed("key", "_key").withColumnRenamed("dropped", "_dropped")
+    ids = found.select("_key")
+    # Only texts that lose lines meet their places in a shuffle.
+    joined = semi(keyed, ids, "_key").join(found, "_key").unionByName(anti(keyed, ids, "_key").withColumn("_dropped", F.lit(None).cast("array<bigint>")))
     lines = F.split(text_col, "\n")
     kept = F.array_except(F.sequence(F.lit(0).cast("long"), F.size(lines).cast("long") - 1), "_dropped")
     text = F.when(F.col("_dropped").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i.cast("int"))), "\n"))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import components, partitions, plain_plans, prepare, semi, table
+from plumbline.llm.common import components, partitions, prepare, semi, stored, table
 from plumbline.llm.text import BASE, MIX2, NOT_SPACE, chunks, mix, pair_hash, word_hashes
 
 SIDE = 12
@@ -170,11 +170,11 @@ def _confirm(percent: int):
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough. Only sets in some pair are shuffled."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().checkpoint()
+    ids = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
     sets = semi(sets, ids, "id")
     left = sets.select(F.col("id").alias("a"), F.col("words").alias("wa"))
     right = sets.select(F.col("id").alias("b"), F.col("words").alias("wb"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(_confirm(percent), "a long, b long").checkpoint()
+    return stored(pairs.join(left, "a").join(right, "b").mapInArrow(_confirm(percent), "a long, b long"))
 
 
 def _ordered(x: str, y: str) -> list:
@@ -183,31 +183,26 @@ def _ordered(x: str, y: str) -> list:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, side: int = SIDE, rows: int = ROWS) -> DataFrame:
     """(id, n_shingles, component_id, kept) of each row of docs."""
-    prepare(docs.sparkSession)
-    with plain_plans(docs.sparkSession):
-        return _near_duplicates(docs, id_col, text_col, size, percent, side, rows)
-
-
-def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, side: int, rows: int) -> DataFrame:
     spark = docs.sparkSession
+    prepare(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    signed = docs.mapInArrow(_signatures(size, side, rows), "id long, n long, h1 long, h2 long, sig binary").checkpoint()
+    signed = stored(docs.mapInArrow(_signatures(size, side, rows), "id long, n long, h1 long, h2 long, sig binary"))
     # One class for each set; its smallest id stands for it. Counts and minima aggregate before the shuffle.
-    classes = signed.where("n > 0 and id is not null").groupBy("h1", "h2", "n").agg(F.min(F.struct("id", "sig")).alias("m")).select("h1", "h2", "n", "m.id", "m.sig").checkpoint()
+    classes = stored(signed.where("n > 0 and id is not null").groupBy("h1", "h2", "n").agg(F.min(F.struct("id", "sig")).alias("m")).select("h1", "h2", "n", "m.id", "m.sig"))
     keys = classes.select("id", "sig").mapInArrow(_table_keys(side), "key long, id long, leader long")
     keys = keys.where("id <> leader").union(keys.where("id = leader").repartition(max(partitions(spark), keys_parts(classes, side)), "key").mapInPandas(_bucket_leaders, "key long, id long, leader long"))
-    members = keys.checkpoint()
+    members = stored(keys)
     # Sets of all that share a bucket, from the classes' texts (equal rows give equal sets).
-    bucket = members.select("key", "id").union(members.select("key", F.col("leader").alias("id"))).distinct().checkpoint()
-    needed = bucket.select("id").distinct().checkpoint()
-    sets = semi(docs.where("id is not null"), needed, "id").select("id", "text").mapInArrow(_sets(size), "id long, words binary").checkpoint()
+    bucket = stored(members.select("key", "id").union(members.select("key", F.col("leader").alias("id"))).distinct())
+    needed = stored(bucket.select("id").distinct())
+    sets = stored(semi(docs.where("id is not null"), needed, "id").select("id", "text").mapInArrow(_sets(size), "id long, words binary"))
     links = tested = None
     for turn in range(TURNS + 1):
         # Buckets whose members are in several components so far.
         known = (components(links) if links is not None else spark.createDataFrame([], "node bigint, component bigint")).withColumnRenamed("node", "id")
         bucket = bucket.select("key", "id").join(known, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
         mixed = bucket.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-        bucket = bucket.join(mixed, "key").checkpoint()
+        bucket = stored(bucket.join(mixed, "key"))
         # Pairs across components that all-pairs would now make.
         count = bucket.groupBy("key", "component").count().groupBy("key").agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("own"))
         left = count.agg(F.coalesce(F.sum(F.col("n") * F.col("n") - F.col("own")), F.lit(0)) / 2, F.coalesce(F.sum("n"), F.lit(0))).first()
@@ -226,13 +221,13 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, size: int, per
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = pairs.checkpoint()
+        pairs = stored(pairs)
         found = _verified(pairs, sets, percent)
         links = found if links is None else links.union(found)
         tested = pairs if tested is None else tested.union(pairs)
         if last:
             break
-    joined = (components(links) if links is not None else spark.createDataFrame([], "node bigint, component bigint")).checkpoint()
+    joined = stored((components(links) if links is not None else spark.createDataFrame([], "node bigint, component bigint")))
     joined = classes.join(joined, classes["id"] == joined["node"], "left").select("h1", "h2", "n", F.coalesce("component", "id").alias("component"))
     out = signed.select("id", "n", "h1", "h2").join(joined, ["h1", "h2", "n"], "left").select("id", "n", F.coalesce(F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.col("component")), "id").alias("component_id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
