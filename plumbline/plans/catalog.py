@@ -171,6 +171,7 @@ QUERIES: dict[str, str] = {
     "k12_mean_log_power": f"WITH {BANDPOWER} SELECT band, {r('AVG(LOG10(power))')} AS mean FROM bp WHERE power > 0 GROUP BY band",
     # --- coupling and graphs ---------------------------------------------------------------------------------------------------------
     "c1_hub_signals": f"SELECT h.hub, e.epoch, e.t_idx, {r('AVG(v)')} AS v FROM epochs e JOIN (VALUES ('front', 0), ('front', 1), ('back', 2), ('back', 3), ('back', 4)) AS h(hub, channel) ON h.channel = e.channel GROUP BY h.hub, e.epoch, e.t_idx",
+    "c14_hub_matrix": f"SELECT m.subject_id, m.condition, m.band, h.hub, {r('AVG(m.value)')} AS value, COUNT(*) AS n_channels FROM hubs h JOIN metrics m ON m.channel = h.channel WHERE m.metric = 'absolute_power' GROUP BY m.subject_id, m.condition, m.band, h.hub",
     "c2_coherence": f"WITH {DFT} SELECT ca, cb, {r('coh')} AS coh, {r('dwpli')} AS dwpli, {r('imcoh')} AS imcoh FROM edge",
     "c4_volume_conduction": f"WITH {DFT} SELECT ca, cb, coh > 0.6 AND dwpli < 0.1 AS suspect FROM edge",
     "c5_node_strength": f"WITH {DFT} SELECT channel, {r('SUM(coh)')} AS strength FROM (SELECT ca AS channel, coh FROM edge UNION ALL SELECT cb, coh FROM edge) q GROUP BY channel",

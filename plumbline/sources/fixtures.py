@@ -10,8 +10,12 @@ NEIGHBOURS = {
     "Pz": ["Cz", "P3", "P4"], "P4": ["C4", "T6", "Pz", "O2"], "T6": ["T4", "P4", "O2"], "O1": ["T5", "P3", "O2"], "O2": ["T6", "P4", "O1"],
 }
 POSTERIOR, ANTERIOR = ["P3", "Pz", "P4", "O1", "O2"], ["Fp1", "Fp2", "F3", "Fz", "F4"]
-BANDS = {"Delta": (1.0, 4.0), "Theta": (4.0, 8.0), "Alpha": (8.0, 13.0), "Beta": (13.0, 30.0), "Gamma": (30.0, 45.0)}
-RATIOS = {"Theta/Beta": (["Theta"], ["Beta"]), "Alpha/Theta": (["Alpha"], ["Theta"]), "Delta/Alpha": (["Delta"], ["Alpha"]), "(Delta+Theta)/(Alpha+Beta)": (["Delta", "Theta"], ["Alpha", "Beta"])}
+BANDS = {"Delta": (1.0, 4.0), "Theta": (4.0, 8.0), "Alpha": (8.0, 13.0), "Alpha1": (8.0, 10.5), "Alpha2": (10.5, 13.0), "Beta": (13.0, 30.0), "Beta1": (13.0, 15.0), "Beta2": (15.0, 18.0), "Beta3": (18.0, 25.0), "HighBeta": (25.0, 30.0), "Gamma": (30.0, 50.0)}
+RATIOS = {
+    "Theta/Beta": (["Theta"], ["Beta"]), "Theta/Beta1": (["Theta"], ["Beta1"]), "Delta/HighBeta": (["Delta"], ["HighBeta"]), "Alpha/HighBeta": (["Alpha"], ["HighBeta"]), "Alpha/Theta": (["Alpha"], ["Theta"]),
+    "Delta/Alpha": (["Delta"], ["Alpha"]), "Alpha/Beta": (["Alpha"], ["Beta"]), "(Delta+Theta)/(Alpha+Beta)": (["Delta", "Theta"], ["Alpha", "Beta"]),
+}
+HUBS = {"F_mid": ["Fz"], "F_L": ["F3", "F7"], "F_R": ["F4", "F8"], "C_mid": ["Cz"], "T_L": ["T3", "T5"], "T_R": ["T4", "T6"], "P_mid": ["Pz"], "P_L": ["P3"], "P_R": ["P4"], "O": ["O1", "O2"]}
 LOG_METRICS = ("absolute_power", "corrected_absolute_power", "gsf_absolute_power")
 POINTS = [0.5, 1, 2.5, 5, 10, 25, 50, 75, 90, 95, 97.5, 99, 99.5]
 EDGES = [20, 30, 40, 50, 60, 70, 80]
@@ -42,6 +46,7 @@ VIEWS = {
     "adjacency": rows(*((a, b) for a, bs in NEIGHBOURS.items() for b in bs), names="t(channel, neighbour)"),
     "bands": rows(*((n, lo, hi) for n, (lo, hi) in BANDS.items()), names="t(band, lo, hi)"),
     "ratios": rows(*((n, side, b) for n, (num, den) in RATIOS.items() for side, bs in (("num", num), ("den", den)) for b in bs), names="t(ratio, side, band)"),
+    "hubs": rows(*((h, c) for h, cs in HUBS.items() for c in cs), names="t(hub, channel)"),
     "regions": rows(*((c, "posterior") for c in POSTERIOR), *((c, "anterior") for c in ANTERIOR), names="t(channel, region)"),
     "psd": "SELECT vec_id AS recording_id, CAST(pos AS DOUBLE) * CAST(0.78125 AS DOUBLE) AS freq, CAST(v AS DOUBLE) * CAST(v AS DOUBLE) AS psd FROM ($POS(embedding, embeddings, vec_id))",
     "epochs": "SELECT vec_id % 5 AS channel, CAST(FLOOR(vec_id / 5) AS BIGINT) AS epoch, pos AS t_idx, CAST(v AS DOUBLE) AS v FROM ($POS(embedding, embeddings, vec_id))",
