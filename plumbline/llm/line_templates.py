@@ -6,8 +6,10 @@ variable fields; what remains is the line's template. A template that at least `
 whose constants are at least SIMILAR of its tokens, recurs: its lines are dropped everywhere but at the first occurrence
 (least id, then position), so content that merely repeats is kept once.
 
-Copies of one text count once, so whole documents that repeat are left to document dedup. Lines under MIN_TOKENS tokens are
-never touched. Lines and tokens are 64-bit hashes, made in numpy as the texts are scanned; leaves, lines and templates are counted by
+A line whose tokens, digits included, are the same in at least VERBATIM_DOCS different texts recurs too, whatever its tokens: the
+thresholds MIN_TOKENS, MIN_DOCS and SIMILAR hold for templates only. Just lines of under MIN_CHARS characters (white space aside) stay.
+
+Copies of one text count once, so whole documents that repeat are left to document dedup. Lines and tokens are 64-bit hashes, made in numpy as the texts are scanned; leaves, lines and templates are counted by
 DataFrame aggregations that combine before the shuffle, so no hot line or leaf meets in one task. Null text has no lines and stays null; an empty text is one empty line. Repeated rows share
 their fate. Null ids come last.
 """
@@ -27,20 +29,24 @@ from plumbline.llm.text import MIX2, NOT_SPACE, POWERS, chunks, mix, prefix_hash
 DEPTH = 3
 MIN_DOCS = 5
 MIN_TOKENS = 4
+VERBATIM_DOCS = 2
+MIN_CHARS = 3
 SIMILAR = 0.6
 FIELD = "<*>"
 FIELD_HASH = np.uint64(0xF1E1D)
 
 
 def line_arrays(data: np.ndarray, off: np.ndarray):
-    """Of the lines with tokens: (row, place in the row, tokens, fields, leaf, hash), and of all tokens (line, hash, is a field)."""
+    """Of the lines with tokens: (row, place in the row, tokens, fields, leaf, hash, hash with digits, characters), and of all tokens (line, hash, is a field)."""
     start, end, rows = words(data, off, NOT_SPACE)
     if not len(start):
-        return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),) * 2, (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool))
+        return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),) * 3 + (np.zeros(0, np.int64),), (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool))
     token = span_hash(prefix_hash(data), start, end)
     digits = np.concatenate([[0], np.cumsum((data >= 48) & (data < 58))])
     field = digits[end] > digits[start]
+    true = token.copy()
     token[field] = FIELD_HASH
+    begun = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
     breaks = np.flatnonzero(data == 10)
     row = np.repeat(np.arange(len(off) - 1), np.diff(rows))
     line = np.searchsorted(breaks, start) + row
@@ -50,20 +56,24 @@ def line_arrays(data: np.ndarray, off: np.ndarray):
     up, _ = POWERS.get(int(n.max()) + 1)
     spread = mix(token) * up[k]
     whole = mix(np.add.reduceat(spread, first))
+    exact = mix(np.add.reduceat(mix(true) * up[k], first))
     lead = mix(np.add.reduceat(np.where(k < DEPTH, spread, np.uint64(0)), first) + n.astype(np.uint64) * np.uint64(MIX2))
     at = line[first] - (np.searchsorted(breaks, off[:-1]) + np.arange(len(off) - 1))[row[first]]
-    return (row[first], at, n, np.add.reduceat(field.astype(np.int64), first), lead, whole), (np.repeat(np.arange(len(first)), n), token, field)
+    return (row[first], at, n, np.add.reduceat(field.astype(np.int64), first), lead, whole, exact, np.add.reduceat(begun[end] - begun[start], first)), (np.repeat(np.arange(len(first)), n), token, field)
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         key, ids, t = (batch.column(c) for c in ("key", "id", "t"))
         for i, data, off in chunks(batch.column("text")):
-            (row, at, n, fields, leaf, h), _ = line_arrays(data, off)
-            some = n >= MIN_TOKENS
+            (row, at, n, fields, leaf, h, exact, chars), _ = line_arrays(data, off)
+            some = (n >= MIN_TOKENS) | (chars >= MIN_CHARS)
             rows = pa.array(i + row[some])
-            firm = pa.array((n - fields)[some] >= SIMILAR * n[some])
-            yield pa.RecordBatch.from_arrays([key.take(rows), ids.take(rows), t.take(rows), pa.array(at[some]), pa.array(n[some]), firm, pa.array(leaf[some].view(np.int64)), pa.array(h[some].view(np.int64))], names=["key", "id", "t", "pos", "n", "firm", "leaf", "h"])
+            n, fields, leaf, h, exact = n[some], fields[some], leaf[some], h[some], exact[some]
+            firm = pa.array(n - fields >= SIMILAR * n)
+            # Templates take lines of MIN_TOKENS; the hash with digits is null where it equals the other.
+            short = n < MIN_TOKENS
+            yield pa.RecordBatch.from_arrays([key.take(rows), ids.take(rows), t.take(rows), pa.array(at[some]), firm, pa.array(leaf.view(np.int64), mask=short), pa.array(h.view(np.int64), mask=short), pa.array(exact.view(np.int64), mask=~short & (fields == 0))], names=["key", "id", "t", "pos", "firm", "leaf", "h", "exact"])
 
 
 def _tokens(wanted: np.ndarray):
@@ -72,7 +82,7 @@ def _tokens(wanted: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, data, off in chunks(batch.column("text")):
-                (row, _, n, _, leaf, h), (line, token, field) = line_arrays(data, off)
+                (row, _, n, _, leaf, h, _, _), (line, token, field) = line_arrays(data, off)
                 place = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
                 some = ((wanted[place] == h) & (n >= MIN_TOKENS))[line] if len(line) else np.zeros(0, bool)
                 first = np.cumsum(n) - n
@@ -86,11 +96,12 @@ def _tokens(wanted: np.ndarray):
 def recurring_lines(docs: DataFrame, id_col: str, text_col: str, min_docs: int = MIN_DOCS) -> DataFrame:
     """(key, dropped): for each text with recurring lines, the places of those to drop. key: xxhash64 of id and text."""
     texts = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
-    small = stored(texts.mapInArrow(_lines, "key long, id long, t long, pos long, n long, firm boolean, leaf long, h long"))
-    per_line = small.groupBy("leaf", "h", "t").agg(F.first("firm").alias("firm"))
-    lines = per_line.groupBy("leaf", "h").agg(F.count("*").alias("texts"), F.first("firm").alias("firm")).checkpoint()
+    small = stored(texts.mapInArrow(_lines, "key long, id long, t long, pos long, firm boolean, leaf long, h long, exact long"))
+    per_line = small.where("h is not null").groupBy("leaf", "h", "t").agg(F.first("firm").alias("firm"), F.first(F.expr("exact is null")).alias("plain"))
+    lines = per_line.groupBy("leaf", "h").agg(F.count("*").alias("texts"), F.first("firm").alias("firm"), F.first("plain").alias("plain")).checkpoint()
     recurs = (F.col("texts") >= min_docs) & F.col("firm")
-    same = lines.where(recurs).select("h", F.col("h").alias("template"))
+    same = lines.where(recurs | (F.col("plain") & (F.col("texts") >= VERBATIM_DOCS))).select("h", F.col("h").alias("template"))
+    again = small.where("exact is not null").select("exact", "t").distinct().groupBy("exact").count().where(f"count >= {VERBATIM_DOCS}").select("exact", F.col("exact").alias("template"))
     # Leaves that could still hold a template with fields: enough texts besides the lines that recur as they are.
     rest = lines.where(~recurs)
     leaves = rest.groupBy("leaf").agg(F.sum("texts").alias("texts"), F.count("*").alias("kinds")).where(f"texts >= {min_docs} and kinds > 1").select("leaf")
@@ -109,7 +120,7 @@ def recurring_lines(docs: DataFrame, id_col: str, text_col: str, min_docs: int =
     template = kinds.groupBy("leaf", "h", "n").agg(F.sum(F.xxhash64("at", "token") % F.lit(2**40)).alias("sum"), F.count("*").alias("firm")).where(f"firm >= {SIMILAR} * n").select("h", "leaf", F.xxhash64("leaf", "sum").alias("template"))
     shared = tokens.select("leaf", "h", "t").distinct().join(template, ["leaf", "h"]).select("template", "t").distinct().groupBy("template").count().where(f"count >= {min_docs}").select("template")
     found = same.union(template.join(shared, "template").select("h", "template")).checkpoint()
-    hits = small.select("h", "key", "id", "pos").join(found, "h")
+    hits = small.select("h", "key", "id", "pos").join(found, "h").drop("h").union(small.select("exact", "key", "id", "pos").join(again, "exact").select("key", "id", "pos", "template"))
     first = hits.groupBy("template").agg(F.min(F.struct(F.coalesce("id", F.lit(2**62)).alias("id"), F.col("key"), F.col("pos"))).alias("m"))
     drop = hits.join(first, "template").where("key <> m.key or pos <> m.pos")
     return drop.groupBy("key").agg(F.collect_set("pos").alias("dropped"))

@@ -78,6 +78,14 @@ def test_recurring_lines_go_but_for_the_first(spark):
     assert drop_lines(df.limit(0)).count() == 0
 
 
+def test_verbatim_lines_go_whatever_their_length(spark):
+    here = "所有权利均受保护"
+    rows = [(1, f"a first text\nLes.\nAll rights reserved.\n{here}\n555 0100 555 0101"), (2, f"Les.\nthe second\nAll  rights reserved.\n{here}\nok"), (3, "555 0100 555 0101\n555 0100 555 0102\nok\n\n"), (4, "\n\nLes.\nonly here\nonly here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x.text for x in drop_lines(df).collect()}
+    assert got == {1: rows[0][1], 2: "the second\nok", 3: "555 0100 555 0102\nok\n\n", 4: "\n\nonly here\nonly here"}
+
+
 def test_html_of_other_layouts(spark):
     rows = [
         (1, "<body><nav><a href=x>Home</a></nav><article><p>One &lt;two&gt; &amp; three</p><aside class='ad'>Buy now</aside><p>four<b>teen</b></p></article><section id=comments><article><p>A reader said this at some length</p></article></section><footer>foot</footer></body>"),
