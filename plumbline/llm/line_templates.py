@@ -2,9 +2,10 @@
 
 Method: a tree of fixed depth. A line's leaf is its number of tokens and its first DEPTH tokens, where a token with a digit
 is a variable field. Within a leaf, tokens that hold at their place in at least `min_docs` texts are constants and all others
-variable fields; what remains is the line's template. A template that at least `min_docs` different texts share, and
-whose constants are at least SIMILAR of its tokens, recurs: its lines are dropped everywhere but at the first occurrence
-(least id, then position), so content that merely repeats is kept once.
+variable fields; what remains is the line's template, if constants are at least SIMILAR of its tokens. A template counts for all lines
+that hold its constants, those with more constants (a name that is frequent by itself) as well. If they are in at least `min_docs`
+different texts it recurs: its lines are dropped everywhere but at the first occurrence (least id, then position), so content that merely
+repeats is kept once.
 
 A line whose tokens, digits included, are the same in at least VERBATIM_DOCS different texts recurs too, whatever its tokens: the
 thresholds MIN_TOKENS, MIN_DOCS and SIMILAR hold for templates only. Just lines of under MIN_CHARS characters (white space aside) stay.
@@ -76,19 +77,23 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([key.take(rows), ids.take(rows), t.take(rows), pa.array(at[some]), firm, pa.array(leaf.view(np.int64), mask=short), pa.array(h.view(np.int64), mask=short), pa.array(exact.view(np.int64), mask=~short & (fields == 0))], names=["key", "id", "t", "pos", "firm", "leaf", "h", "exact"])
 
 
-def _tokens(wanted: np.ndarray):
-    """The tokens of the wanted lines (a sorted array of hashes)."""
+def _tokens(wanted: np.ndarray, one: np.ndarray):
+    """The tokens of the wanted lines (a sorted array of hashes); of a line with a text in `one` (else 0), only from there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, data, off in chunks(batch.column("text")):
                 (row, _, n, _, leaf, h, _, _), (line, token, field) = line_arrays(data, off)
                 place = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
-                some = ((wanted[place] == h) & (n >= MIN_TOKENS))[line] if len(line) else np.zeros(0, bool)
+                if not len(line):
+                    continue
+                t = batch.column("t").to_numpy()[i + row]
+                hot = one[place] != 0
+                some = ((wanted[place] == h) & (n >= MIN_TOKENS) & (~hot | (one[place] == t)))[line]
                 first = np.cumsum(n) - n
                 at = (np.arange(len(line)) - first[line])[some]
                 line = line[some]
-                yield pa.RecordBatch.from_arrays([pa.array(leaf[line].view(np.int64)), pa.array(h[line].view(np.int64)), batch.column("t").take(pa.array(i + row[line])), pa.array(n[line]), pa.array(at), pa.array(token[some].view(np.int64)), pa.array(field[some])], names=["leaf", "h", "t", "n", "at", "token", "field"])
+                yield pa.RecordBatch.from_arrays([pa.array(leaf[line].view(np.int64)), pa.array(h[line].view(np.int64)), pa.array(t[line]), pa.array(n[line]), pa.array(at), pa.array(token[some].view(np.int64)), pa.array(field[some]), pa.array(hot[line])], names=["leaf", "h", "t", "n", "at", "token", "field", "hot"])
 
     return run
 
@@ -98,34 +103,76 @@ def recurring_lines(docs: DataFrame, id_col: str, text_col: str, min_docs: int =
     texts = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
     small = stored(texts.mapInArrow(_lines, "key long, id long, t long, pos long, firm boolean, leaf long, h long, exact long"))
     per_line = small.where("h is not null").groupBy("leaf", "h", "t").agg(F.first("firm").alias("firm"), F.first(F.expr("exact is null")).alias("plain"))
-    lines = per_line.groupBy("leaf", "h").agg(F.count("*").alias("texts"), F.first("firm").alias("firm"), F.first("plain").alias("plain")).checkpoint()
+    lines = per_line.groupBy("leaf", "h").agg(F.count("*").alias("texts"), F.min("t").alias("one"), F.first("firm").alias("firm"), F.first("plain").alias("plain")).checkpoint()
     recurs = (F.col("texts") >= min_docs) & F.col("firm")
+    # Lines that recur as they are.
     same = lines.where(recurs | (F.col("plain") & (F.col("texts") >= VERBATIM_DOCS))).select("h", F.col("h").alias("template"))
-    again = small.where("exact is not null").select("exact", "t").distinct().groupBy("exact").count().where(f"count >= {VERBATIM_DOCS}").select("exact", F.col("exact").alias("template"))
-    # Leaves that could still hold a template with fields: enough texts besides the lines that recur as they are.
-    rest = lines.where(~recurs)
-    leaves = rest.groupBy("leaf").agg(F.sum("texts").alias("texts"), F.count("*").alias("kinds")).where(f"texts >= {min_docs} and kinds > 1").select("leaf")
-    left = rest.join(leaves, "leaf").select("h").distinct().checkpoint()
+    again = small.where("exact is not null").select("exact", "t").distinct().groupBy("exact").count().where(f"count >= {VERBATIM_DOCS}").select("exact")
+    # Leaves that could hold a template with fields: enough texts, and a line that does not recur as it is.
+    hot = F.col("texts") >= min_docs
+    leaves = lines.groupBy("leaf").agg(F.sum("texts").alias("texts"), F.count("*").alias("kinds"), F.max(~recurs).alias("open")).where(f"texts >= {min_docs} and kinds > 1 and open").select("leaf")
+    # A line in min_docs texts makes all its tokens constants and its template shared, so one of its texts tells all.
+    left = lines.join(leaves, "leaf").groupBy("h").agg(F.max(F.when(hot, F.col("one")).otherwise(0)).alias("one")).checkpoint()
     # Their tokens: one more scan for each BROADCAST_IDS lines that are left.
     blocks = 1 + left.count() // BROADCAST_IDS
     tokens = None
     for b in range(blocks):
-        some = left.where(F.pmod(F.xxhash64("h"), F.lit(blocks)) == b).toPandas()["h"].to_numpy(np.int64).view(np.uint64)
-        one = texts.select("t", "text").mapInArrow(_tokens(np.sort(some) if len(some) else np.zeros(1, np.uint64)), "leaf long, h long, t long, n long, at long, token long, field boolean")
-        tokens = one if tokens is None else tokens.union(one)
+        some = left.where(F.pmod(F.xxhash64("h"), F.lit(blocks)) == b).toPandas()
+        wanted, one = (some[c].to_numpy(np.int64) if len(some) else np.zeros(1, np.int64) for c in ("h", "one"))
+        order = np.argsort(wanted.view(np.uint64))
+        part = texts.select("t", "text").mapInArrow(_tokens(wanted[order].view(np.uint64), one[order]), "leaf long, h long, t long, n long, at long, token long, field boolean, hot boolean")
+        tokens = part if tokens is None else tokens.union(part)
     tokens = stored(tokens.distinct())
-    constant = tokens.where("not field").select("leaf", "at", "token", "t").distinct().groupBy("leaf", "at", "token").count().where(f"count >= {min_docs}").select("leaf", "at", "token")
-    kinds = tokens.select("leaf", "h", "n", "at", "token").distinct().join(constant, ["leaf", "at", "token"])
+    constant = tokens.where("not field").select("leaf", "at", "token", "t", "hot").distinct().groupBy("leaf", "at", "token").agg(F.count("*").alias("count"), F.max("hot").alias("hot")).where(f"hot or count >= {min_docs}").select("leaf", "at", "token")
+    kinds = tokens.select("leaf", "h", "n", "at", "token", "hot").distinct().join(constant, ["leaf", "at", "token"])
     # A template is its leaf and its constants with their places: hashes add up whatever the order.
-    template = kinds.groupBy("leaf", "h", "n").agg(F.sum(F.xxhash64("at", "token") % F.lit(2**40)).alias("sum"), F.count("*").alias("firm")).where(f"firm >= {SIMILAR} * n").select("h", "leaf", F.xxhash64("leaf", "sum").alias("template"))
-    shared = tokens.select("leaf", "h", "t").distinct().join(template, ["leaf", "h"]).select("template", "t").distinct().groupBy("template").count().where(f"count >= {min_docs}").select("template")
-    found = same.union(template.join(shared, "template").select("h", "template")).checkpoint()
-    hits = small.select("h", "key", "id", "pos").join(found, "h").drop("h").union(small.select("exact", "key", "id", "pos").join(again, "exact").select("key", "id", "pos", "template"))
-    first = hits.groupBy("template").agg(F.min(F.struct(F.coalesce("id", F.lit(2**62)).alias("id"), F.col("key"), F.col("pos"))).alias("m"))
-    drop = hits.join(first, "template").where("key <> m.key or pos <> m.pos")
+    template = stored(kinds.groupBy("leaf", "h", "n", "hot").agg(F.sum(F.xxhash64("at", "token") % F.lit(2**40)).alias("sum"), F.count("*").alias("firm")).where(f"firm >= {SIMILAR} * n").select("h", "leaf", "hot", "firm", F.xxhash64("leaf", "sum").alias("template")))
+    in_texts = tokens.select("leaf", "h", "t").distinct().join(template, ["leaf", "h"]).groupBy("template", "t").agg(F.max("hot").alias("hot"))
+    own = in_texts.groupBy("template").agg((F.max("hot") | (F.count("*") >= min_docs)).alias("shared"))
+    known = stored(template.groupBy("leaf", "template", "firm").agg(F.min("h").alias("h")).join(own, "template"))
+    wider = stored(_wider(known, kinds))
+    # Shared alone, with a template that is and has all its constants, or by the texts of all that have them.
+    by_one = known.where("shared").select("template", F.col("template").alias("whole"))
+    match = known.select("template", F.col("template").alias("whole")).union(wider)
+    certain = match.join(by_one.select("template"), "template").select("whole").distinct()
+    few = in_texts.select("template", "t").join(known.where("not shared").select("template"), "template")
+    summed = match.join(certain, "whole", "left_anti").join(few, "template").select("whole", "t").distinct().groupBy("whole").count().where(f"count >= {min_docs}").select("whole")
+    found = template.select("h", "template").join(match, "template").join(certain.union(summed), "whole").select("h", F.col("whole").alias("template"))
+    found = stored(same.union(found))
+    order = F.struct(F.coalesce("id", F.lit(2**62)).alias("id"), F.col("key"), F.col("pos"))
+    hits = small.select("h", "key", "id", "pos").join(found.select("h").distinct(), "h")
+    # A line's first occurrence stays if it is the first of each of its templates.
+    least = stored(hits.groupBy("h").agg(F.min(order).alias("m")))
+    first = found.join(least, "h").groupBy("template").agg(F.min("m").alias("first"))
+    stays = found.join(first, "template").join(least, "h").groupBy("h").agg(F.first("m").alias("m"), F.min(F.col("m") == F.col("first")).alias("stays"))
+    drop = hits.join(stays, "h").where("not stays or key <> m.key or pos <> m.pos").select("key", "pos")
+    repeats = small.select("exact", "key", "id", "pos").join(again, "exact")
+    start = repeats.groupBy("exact").agg(F.min(order).alias("m"))
+    drop = drop.union(repeats.join(start, "exact").where("key <> m.key or pos <> m.pos").select("key", "pos"))
     return drop.groupBy("key").agg(F.collect_set("pos").alias("dropped"))
 
 
+def _wider(known: DataFrame, kinds: DataFrame) -> DataFrame:
+    """(template, whole): pairs of a leaf's templates where the first holds all constants of the second and more.
+
+    They meet on the constant of the second that fewest templates of the leaf hold, if the bits of the second's constants are all
+    among those of the first; the constants themselves are then compared.
+    """
+    several = known.groupBy("leaf").agg(F.count("*").alias("k"), F.min("firm").alias("lo"), F.max("firm").alias("hi")).where("k > 1 and lo < hi").select("leaf")
+    some = known.join(several, "leaf")
+    held = kinds.select("leaf", "h", F.xxhash64("at", "token").alias("c")).join(some.select("leaf", "h", "template", "firm"), ["leaf", "h"])
+    bit = lambda shift: F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(shiftright(c, {shift}), 64) as int))"))
+    sets = stored(held.groupBy("leaf", "template", "firm").agg(F.collect_set("c").alias("cs"), bit(0).alias("b0"), bit(20).alias("b1")))
+    holds = stored(sets.select("leaf", "template", "firm", "b0", "b1", F.explode("cs").alias("c")))
+    often = holds.groupBy("leaf", "c").agg(F.count("*").alias("k"))
+    rare = holds.join(often, ["leaf", "c"]).groupBy("template").agg(F.min(F.struct("k", "c")).alias("r"), F.first("leaf").alias("leaf"), F.first("firm").alias("size"), F.first("b0").alias("w0"), F.first("b1").alias("w1")).select("leaf", F.col("r.c").alias("c"), F.col("template").alias("whole"), "size", "w0", "w1")
+    wide = holds.withColumnsRenamed({"leaf": "l", "c": "d"})
+    pairs = rare.join(wide, F.expr("leaf = l and c = d and firm > size and (w0 & ~b0) = 0 and (w1 & ~b1) = 0")).select("template", "whole")
+    mine = sets.select("template", F.col("cs").alias("mine"))
+    theirs = sets.select(F.col("template").alias("whole"), F.col("cs").alias("theirs"))
+    return pairs.join(mine, "template").join(theirs, "whole").where("size(array_except(theirs, mine)) = 0").select("template", "whole")
+
+
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
     """docs with recurring lines taken out of the text, and two columns: _n_lines and _n_dropped."""
     prepare(docs.sparkSession)
