@@ -45,12 +45,13 @@ f1 AS (SELECT recording_id, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FRO
 f2 AS (SELECT p.recording_id, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, regr_r2(y, x) AS r2, COUNT(*) AS n_points FROM pts p JOIN f1 ON f1.recording_id = p.recording_id WHERE y <= a + b * x + {num(1e-12)} GROUP BY p.recording_id)"""
 MARK = "ev AS (SELECT event_id, recording_id, onset, kind, LEAD(onset) OVER (PARTITION BY recording_id ORDER BY onset, event_id) AS nxt FROM markers WHERE kind IS NOT NULL)"
 N = 64
-DFT = f"""freqs AS (SELECT * FROM (VALUES (2), (3), (4), (5), (6)) AS t(k)),
+#: All bins of an epoch but the mean's. Epochs last a second (64 samples at 64 Hz, as in c12_), so bin k is k Hz.
+DFT = f"""freqs AS (SELECT * FROM (VALUES {', '.join(f'({k})' for k in range(1, N // 2 + 1))}) AS t(k)),
 spec AS (SELECT channel, epoch, k, SUM(v * (0.5 - 0.5 * COS(2 * PI() * t_idx / {N})) * COS(2 * PI() * k * t_idx / {N})) AS re, -SUM(v * (0.5 - 0.5 * COS(2 * PI() * t_idx / {N})) * SIN(2 * PI() * k * t_idx / {N})) AS im FROM epochs CROSS JOIN freqs GROUP BY channel, epoch, k),
 cross_ AS (SELECT a.channel AS ca, b.channel AS cb, a.k, a.epoch, a.re * b.re + a.im * b.im AS sr, a.im * b.re - a.re * b.im AS si, a.re * a.re + a.im * a.im AS sa, b.re * b.re + b.im * b.im AS sb FROM spec a JOIN spec b ON a.epoch = b.epoch AND a.k = b.k AND a.channel < b.channel),
 coh_f AS (SELECT ca, cb, k, SQRT(SUM(sr) * SUM(sr) + SUM(si) * SUM(si)) / nullif(SQRT(SUM(sa) * SUM(sb)), 0) AS coh, ABS(SUM(si)) / nullif(SQRT(SUM(sa) * SUM(sb)), 0) AS imcoh,
  (SUM(si) * SUM(si) - SUM(si * si)) / nullif(SUM(ABS(si)) * SUM(ABS(si)) - SUM(si * si), 0) AS wpli FROM cross_ GROUP BY ca, cb, k),
-edge AS (SELECT ca, cb, AVG(coh) AS coh, AVG(imcoh) AS imcoh, AVG(ABS(wpli)) AS dwpli FROM coh_f GROUP BY ca, cb)"""
+edge AS (SELECT ca, cb, band, AVG(coh) AS coh, AVG(imcoh) AS imcoh, AVG(ABS(wpli)) AS dwpli FROM coh_f JOIN bands ON k >= lo AND k <= hi GROUP BY ca, cb, band)"""
 #: Correlation graphs between channels in each subject: 19 nodes at most.
 GRAPH = """node AS (SELECT subject_id, condition, channel, band, value FROM metrics WHERE metric = 'absolute_power'),
 graph AS (SELECT a.subject_id, a.condition, a.band, a.channel AS ca, b.channel AS cb, 1 / (1 + ABS(LN(a.value) - LN(b.value))) AS weight FROM node a JOIN node b ON a.subject_id = b.subject_id AND a.condition = b.condition AND a.band = b.band AND a.channel < b.channel WHERE a.value > 0 AND b.value > 0),
@@ -172,9 +173,9 @@ QUERIES: dict[str, str] = {
     # --- coupling and graphs ---------------------------------------------------------------------------------------------------------
     "c1_hub_signals": f"SELECT h.hub, e.epoch, e.t_idx, {r('AVG(v)')} AS v FROM epochs e JOIN (VALUES ('front', 0), ('front', 1), ('back', 2), ('back', 3), ('back', 4)) AS h(hub, channel) ON h.channel = e.channel GROUP BY h.hub, e.epoch, e.t_idx",
     "c14_hub_matrix": f"SELECT m.subject_id, m.condition, m.band, h.hub, {r('AVG(m.value)')} AS value, COUNT(*) AS n_channels FROM hubs h JOIN metrics m ON m.channel = h.channel WHERE m.metric = 'absolute_power' GROUP BY m.subject_id, m.condition, m.band, h.hub",
-    "c2_coherence": f"WITH {DFT} SELECT ca, cb, {r('coh')} AS coh, {r('dwpli')} AS dwpli, {r('imcoh')} AS imcoh FROM edge",
-    "c4_volume_conduction": f"WITH {DFT} SELECT ca, cb, coh > 0.6 AND dwpli < 0.1 AS suspect FROM edge",
-    "c5_node_strength": f"WITH {DFT} SELECT channel, {r('SUM(coh)')} AS strength FROM (SELECT ca AS channel, coh FROM edge UNION ALL SELECT cb, coh FROM edge) q GROUP BY channel",
+    "c2_coherence": f"WITH {DFT} SELECT ca, cb, band, {r('coh')} AS coh, {r('dwpli')} AS dwpli, {r('imcoh')} AS imcoh FROM edge",
+    "c4_volume_conduction": f"WITH {DFT} SELECT ca, cb, band, coh > 0.6 AND dwpli < 0.1 AS suspect FROM edge",
+    "c5_node_strength": f"WITH {DFT} SELECT channel, band, {r('SUM(coh)')} AS strength FROM (SELECT ca AS channel, band, coh FROM edge UNION ALL SELECT cb, band, coh FROM edge) q GROUP BY channel, band",
     "c6_threshold": f"WITH {GRAPH} SELECT subject_id, condition, band, COUNT(*) AS n_edges, {r('MIN(weight)')} AS least FROM kept GROUP BY subject_id, condition, band",
     "c7_thresholded_strength": f"WITH {GRAPH} SELECT subject_id, condition, band, u AS channel, {r('SUM(weight)')} AS strength, COUNT(*) AS degree FROM sym GROUP BY subject_id, condition, band, u",
     "c11_modulation_index": f"""WITH pa AS (SELECT a.vec_id, CAST(FLOOR((ATAN2(b.v, a.v) + PI()) / (2 * PI() / 18)) AS BIGINT) AS bin, SQRT(a.v * a.v + b.v * b.v) AS amp FROM (SELECT vec_id, pos, CAST(v AS DOUBLE) AS v FROM ($POS(embedding, embeddings, vec_id))) a JOIN (SELECT vec_id, pos, CAST(v AS DOUBLE) AS v FROM ($POS(embedding, embeddings, vec_id))) b ON a.vec_id = b.vec_id AND b.pos = a.pos + 1),
