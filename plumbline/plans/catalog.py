@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from plumbline.functions.numeric import norm_cdf, norm_ppf, num, two_tailed
-from plumbline.sources.fixtures import ANTERIOR, POINTS, POSTERIOR
+from plumbline.sources.fixtures import ANTERIOR, CHANNELS, POINTS, POSTERIOR
 
 
 def r(x: str) -> str:
@@ -67,7 +67,7 @@ QUERIES: dict[str, str] = {
     "s9_category_routing": """SELECT c_name, channel, CASE WHEN channel LIKE '\\_src\\_ba\\_conn%' ESCAPE '\\' THEN 'source_ba_connectivity' WHEN channel LIKE '%src%' THEN 'source' WHEN channel LIKE '%pair%' THEN 'pair' WHEN channel LIKE '%/%' THEN 'asymmetry' ELSE 'scalp' END AS category
  FROM (SELECT c_name, CASE c_custkey % 5 WHEN 0 THEN '_src_ba_conn_1' WHEN 1 THEN '_src_ba_4' WHEN 2 THEN '_pair_F3_F4' WHEN 3 THEN 'F3/F4' ELSE 'Fz' END AS channel FROM customer) q""".replace("LIKE '\\_src\\_ba\\_conn%' ESCAPE '\\'", "LIKE '%src_ba_conn%'"),
     "s10_bundle_manifest": f"WITH {FAN} SELECT metric AS category, COUNT(*) AS n_values, COUNT(DISTINCT channel) AS n_channels, COUNT(DISTINCT band) AS n_bands, COUNT(DISTINCT sex) AS n_sexes, $JOIN(DISTINCT band) AS bands, $JOIN(DISTINCT bin) AS age_bins FROM fan GROUP BY metric",
-    "s7_wide_subjects": "SELECT subject_id, " + ", ".join(f"{r(f'''MAX(CASE WHEN channel = '{c}' AND band = '{b}' AND metric = 'absolute_power' AND condition = 'eo' THEN value END)''')} AS {c.lower()}_{b.lower()}" for c in ("Fz", "Cz", "Pz") for b in ("Alpha", "Beta", "Theta")) + " FROM metrics GROUP BY subject_id",
+    "s7_wide_subjects": "SELECT subject_id, MAX(age) AS age, MAX(sex) AS sex, condition, " + ", ".join(f"{r(f'''MAX(CASE WHEN channel = '{c}' AND band = '{b}' AND metric = '{m}' THEN value END)''')} AS {c.lower()}_{b.lower()}_{m}" for c in sorted(CHANNELS) for b in ("Alpha", "Beta", "Theta") for m in ("absolute_power", "corrected_absolute_power", "relative_power")) + " FROM metrics GROUP BY subject_id, condition",
     "p2_age_parse": "SELECT subject_id, COALESCE(TRY_CAST(raw AS DOUBLE), (TRY_CAST(SPLIT_PART(raw, '-', 1) AS DOUBLE) + TRY_CAST(SPLIT_PART(raw, '-', 2) AS DOUBLE)) / 2) AS age FROM (SELECT subject_id, CASE subject_id % 4 WHEN 0 THEN CAST(CAST(FLOOR(age) AS BIGINT) AS VARCHAR(20)) WHEN 1 THEN CONCAT(CAST(CAST(FLOOR(age) AS BIGINT) AS VARCHAR(20)), '-', CAST(CAST(FLOOR(age) AS BIGINT) + 5 AS VARCHAR(20))) WHEN 2 THEN 'n/a' ELSE NULL END AS raw FROM subjects) q",
     "p3_sex_normalise": "SELECT c_custkey, raw, CASE WHEN UPPER(TRIM(raw)) LIKE 'M%' THEN 'M' WHEN UPPER(TRIM(raw)) LIKE 'F%' THEN 'F' WHEN TRIM(raw) = '1' THEN 'F' WHEN TRIM(raw) = '2' THEN 'M' ELSE TRIM(raw) END AS sex FROM (SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN ' male' WHEN 1 THEN 'Female ' WHEN 2 THEN '1' WHEN 3 THEN '2' WHEN 4 THEN 'x' ELSE c_mktsegment END AS raw FROM customer) q",
     "p4_entities": "SELECT o_orderkey, REGEXP_EXTRACT(name, 'sub-([A-Za-z0-9]+)', 1) AS subject, REGEXP_EXTRACT(name, 'ses-([A-Za-z0-9]+)', 1) AS session, REGEXP_EXTRACT(name, 'task-([A-Za-z0-9]+)', 1) AS task, CASE WHEN LOWER(name) LIKE '%open%' THEN 'eo' WHEN LOWER(name) LIKE '%closed%' THEN 'ec' ELSE 'rest' END AS condition FROM (SELECT o_orderkey, CONCAT('sub-', CAST(o_custkey AS VARCHAR(20)), '_ses-', CAST(o_orderkey % 3 AS VARCHAR(20)), '_task-', CASE o_orderstatus WHEN 'O' THEN 'EyesOpen' WHEN 'F' THEN 'EyesClosed' ELSE 'rest' END, '_eeg.set') AS name FROM orders) q",
@@ -89,7 +89,7 @@ QUERIES: dict[str, str] = {
     "j14_adjacent_pairs": "SELECT m.subject_id, m.condition, m.band, m.channel, a.neighbour FROM metrics m JOIN adjacency a ON a.channel = m.channel JOIN metrics n ON n.subject_id = m.subject_id AND n.condition = m.condition AND n.band = m.band AND n.metric = m.metric AND n.channel = a.neighbour WHERE m.metric = 'relative_power' AND m.value > 0.07 AND n.value > 0.07",
     "j15_weighted_remap": f"SELECT subject_id, condition, band, region, {r('SUM(value * w) / nullif(SUM(w), 0)')} AS value FROM (SELECT m.subject_id, m.condition, m.band, g.region, m.value, CASE WHEN m.channel IN ('Pz', 'Fz') THEN 2.0 ELSE 1.0 END AS w FROM metrics m JOIN regions g ON g.channel = m.channel WHERE m.metric = 'absolute_power') q GROUP BY subject_id, condition, band, region",
     "j17_interval_join": f"WITH {MARK}, block AS (SELECT recording_id, event_id AS block, kind, onset, LEAST(COALESCE(nxt, onset + 3600), onset + 3600) AS stop FROM ev WHERE kind <> 'boundary') SELECT b.recording_id, b.block, b.kind, COUNT(*) AS n, {r('MIN(m.onset - b.onset)')} AS first_after FROM block b JOIN markers m ON m.recording_id = b.recording_id AND m.onset >= b.onset AND m.onset < b.stop WHERE b.stop - b.onset >= 5 GROUP BY b.recording_id, b.block, b.kind",
-    "u2_priority_union": "SELECT subject_id, age, source FROM (SELECT subject_id, age, source, ROW_NUMBER() OVER (PARTITION BY subject_id ORDER BY pr DESC) AS k FROM (SELECT subject_id, age, 'base' AS source, 1 AS pr FROM subjects UNION ALL SELECT o_custkey, CAST(o_orderkey % 50 AS DOUBLE), 'update', 2 FROM orders WHERE o_orderkey % 97 = 0 AND o_orderkey IN (SELECT MAX(o_orderkey) FROM orders WHERE o_orderkey % 97 = 0 GROUP BY o_custkey)) q) w WHERE k = 1",
+    "u2_priority_union": "SELECT subject_id, age, source FROM (SELECT subject_id, age, source, ROW_NUMBER() OVER (PARTITION BY subject_id ORDER BY pr DESC) AS k FROM (SELECT subject_id, age, 'base' AS source, 1 AS pr FROM subjects UNION ALL SELECT o_custkey, CAST(o_orderkey % 50 AS DOUBLE), 'update', 2 FROM orders WHERE o_orderkey IN (SELECT MAX(o_orderkey) FROM orders GROUP BY o_custkey)) q) w WHERE k = 1",
     "u3_common_keys": "SELECT channel, band, metric, bin FROM metrics JOIN bins ON age >= bin_lo AND age < bin_hi WHERE dataset = 0 INTERSECT SELECT channel, band, metric, bin FROM metrics JOIN bins ON age >= bin_lo AND age < bin_hi WHERE dataset = 1",
     "u4_missing_channels": "SELECT s.subject_id, c.channel FROM (SELECT DISTINCT subject_id FROM metrics) s CROSS JOIN (SELECT DISTINCT channel FROM adjacency) c EXCEPT SELECT subject_id, channel FROM metrics WHERE condition = 'eo'",
     # --- aggregations -----------------------------------------------------------------------------------------------
@@ -129,7 +129,7 @@ QUERIES: dict[str, str] = {
     "w6_block_coverage": f"WITH {MARK} SELECT recording_id, kind, COUNT(*) AS n_blocks, {r('SUM(COALESCE(nxt, onset) - onset)')} AS seconds FROM ev WHERE kind <> 'boundary' GROUP BY recording_id, kind",
     "w8_pre_post_order": "SELECT o_orderkey, o_custkey, CASE WHEN COUNT(*) OVER (PARTITION BY o_custkey, o_orderstatus) = 1 THEN 'single' WHEN ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderdate, o_orderkey) = 1 THEN 'pre' ELSE 'post' END AS timing FROM orders",
     "w9_format_priority": "SELECT stem, fmt, o_orderkey FROM (SELECT o_orderkey, o_custkey AS stem, CASE o_orderstatus WHEN 'F' THEN 'set' WHEN 'O' THEN 'edf' ELSE 'raw' END AS fmt, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END, o_orderkey) AS k FROM orders) q WHERE k = 1",
-    "w10_middle_epochs": "SELECT channel, epoch FROM (SELECT channel, epoch, ROW_NUMBER() OVER (PARTITION BY channel ORDER BY epoch) - 1 AS k, COUNT(*) OVER (PARTITION BY channel) AS n FROM (SELECT DISTINCT channel, epoch FROM epochs) e) q WHERE n >= 30 AND k >= CAST(FLOOR((n - LEAST(n, 60)) / 2) AS BIGINT) AND k < CAST(FLOOR((n - LEAST(n, 60)) / 2) AS BIGINT) + LEAST(n, 60)",
+    "w10_middle_epochs": "SELECT channel, epoch FROM (SELECT channel, epoch, ROW_NUMBER() OVER (PARTITION BY channel ORDER BY epoch) - 1 AS k, COUNT(*) OVER (PARTITION BY channel) AS n FROM (SELECT DISTINCT channel, epoch FROM epochs) e) q WHERE n >= 30 AND k >= CAST(FLOOR((n - LEAST(n, 120)) / 2) AS BIGINT) AND k < CAST(FLOOR((n - LEAST(n, 120)) / 2) AS BIGINT) + LEAST(n, 120)",
     # --- top k -----------------------------------------------------------------------------------------------------------
     "t4_disagreements": f"WITH grp AS (SELECT dataset, bin, condition, channel, band, metric, AVG(value) AS mean, STDDEV_SAMP(value) AS sd FROM metrics JOIN bins ON age >= bin_lo AND age < bin_hi GROUP BY dataset, bin, condition, channel, band, metric HAVING COUNT(*) >= 3) SELECT a.bin, a.condition, a.channel, a.band, a.metric, {r('(a.mean - b.mean) / SQRT((a.sd * a.sd + b.sd * b.sd) / 2)')} AS d FROM grp a JOIN grp b ON a.dataset = 0 AND b.dataset = 1 AND a.bin = b.bin AND a.condition = b.condition AND a.channel = b.channel AND a.band = b.band AND a.metric = b.metric WHERE a.sd > 0 AND b.sd > 0 ORDER BY ABS((a.mean - b.mean) / SQRT((a.sd * a.sd + b.sd * b.sd) / 2)) DESC, 1, 2, 3, 4, 5 LIMIT 20",
     "t6_top_areas": f"SELECT region, channel, mean FROM (SELECT g.region, m.channel, {r('AVG(m.value)')} AS mean, ROW_NUMBER() OVER (PARTITION BY g.region ORDER BY AVG(m.value) DESC, m.channel) AS k FROM metrics m JOIN regions g ON g.channel = m.channel WHERE m.metric = 'absolute_power' GROUP BY g.region, m.channel) q WHERE k <= 3",
