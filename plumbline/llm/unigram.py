@@ -1,13 +1,18 @@
 """Operator 7, SentencePiece encoding and decoding: unigram Viterbi over a double-array trie of pieces.
 
-Pieces and their log scores come from a model file (its path is a parameter; nothing is trained). Spaces become markers, a
+Pieces and their scores come from a model file (its path is a parameter; nothing is trained). The given file is of the BPE kind: its
+scores are negated merge ranks and stand in for log probabilities, so early merges are preferred and long pieces of late merges
+may be passed over for several early ones; segmentations are optimal under those scores, and decoding is exact under any. Spaces become markers, a
 marker stands before the text, and the segmentation of the greatest score sum is taken; of equal sums the one whose last piece is
 longest. A character that no piece covers costs UNKNOWN and becomes its UTF-8 bytes, as does a literal marker character, so
 that decoding gives back every text exactly. Null and empty texts have no pieces.
 
 Text is cut where no piece can reach across, before markers and around characters that only single pieces hold; segments
-repeat, so each distinct one of a batch is segmented once. All of them walk the trie together, one byte a step in numpy, and
-the Viterbi steps run over all segments at once. Memory is bounded by the batch; no row is cut short.
+repeat, so each distinct one of a batch is segmented once. They walk the trie together in blocks of bounded size, one byte a step
+in numpy, and the Viterbi steps run over all segments of a block at once. Memory is bounded by the batch; no row is cut short.
+
+Rows are encoded one by one: ties and repeated rows give equal results, null ids pass through, an empty table gives an empty one, and
+columns beyond id and text are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +32,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁".encode()
 #: What a character outside all pieces costs beyond the least score.
 UNKNOWN = 10.0
+#: Bytes of distinct segments that one run of the Viterbi takes; a longer segment is a run of its own.
+BLOCK_BYTES = 250_000
 
 
 class Trie:
@@ -137,6 +144,8 @@ class Pieces:
 
     def viterbi(self, data: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, ids' offsets, score) of the segments data[first : first + size]; byte 0 is a marker and 255 a NUL."""
+        if not len(first):
+            return np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0)
         # Markers take their three bytes, so that the trie sees what the pieces hold.
         wide = np.where(data == 0, 3, 1)
         at = np.cumsum(wide) - wide
@@ -241,9 +250,7 @@ class Pieces:
             last = np.append(first[1:], len(data))
             h = span_hash(prefix_hash(data), first, last)
             _, sample, which = np.unique(h, return_index=True, return_inverse=True)
-            a, n = first[sample], (last - first)[sample]
-            place = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            ids, at, _ = self.viterbi(data[place], np.cumsum(n) - n, n)
+            ids, at = self._blocks(data, first[sample], (last - first)[sample])
             count = np.diff(at)[which]
             if len(count):
                 all_ids.append(ids[np.repeat(at[:-1][which] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))])
@@ -252,6 +259,19 @@ class Pieces:
         size = np.concatenate(sizes)
         return np.concatenate(all_ids), np.concatenate([[0], np.cumsum(size)])
 
+    def _blocks(self, data: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids' offsets) of the segments, BLOCK_BYTES of them at a time: what the Viterbi arrays hold stays bounded."""
+        block = (np.cumsum(size) - size) // BLOCK_BYTES
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(first)]])
+        out, count = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            a, n = first[lo:hi], size[lo:hi]
+            place = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            ids, at, _ = self.viterbi(data[place], np.cumsum(n) - n, n)
+            out.append(ids)
+            count.append(np.diff(at))
+        return np.concatenate(out), np.cumsum(np.concatenate(count))
+
     def decode(self, ids: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bytes, rows' offsets): markers become spaces, and the first of each text goes."""
         size = self.lengths[ids]
