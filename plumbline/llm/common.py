@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +19,10 @@ def prepare(spark: SparkSession) -> None:
     """Make sure of a shared checkpoint folder (the cluster's if it names one) and bounded Arrow batches."""
     ship(spark)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(shared)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
@@ -37,7 +39,18 @@ def stored(rows: DataFrame, *by: str) -> DataFrame:
     spark = rows.sparkSession
     path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{uuid.uuid4().hex}"
     rows.write.option("compression", "zstd").partitionBy(*by).parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    out = spark.read.schema(rows.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Delete stored tables whose successors are stored; others are left alone."""
+    for rows in tables:
+        path = getattr(rows, "_stored_at", None)
+        if path:
+            at = rows.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(rows.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -56,6 +69,12 @@ def anti(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(ids) if few else ids, key, "left_anti")
 
 
+def small_join(rows: DataFrame, other: DataFrame, key: str | list[str]) -> DataFrame:
+    """Inner join with a stored table of one row a key: by broadcast if it has few rows, else by a shuffle."""
+    few = other.count() <= BROADCAST_IDS // 4
+    return rows.join(F.broadcast(other) if few else other, key)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable over undirected edges, for nodes that have any.
 
@@ -74,7 +93,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         steps.append(hook)
         from_a = hook.select(F.col("a"), F.col("to").alias("ta"))
         from_b = hook.select(F.col("a").alias("b"), F.col("to").alias("tb"))
-        link = stored(link.join(from_a, "a").join(from_b, "b").select(F.col("ta").alias("a"), F.col("tb").alias("b")).where("a <> b").distinct())
+        before, link = link, stored(link.join(from_a, "a").join(from_b, "b").select(F.col("ta").alias("a"), F.col("tb").alias("b")).where("a <> b").distinct())
+        release(before)
         left = not link.isEmpty()
     if not steps:
         return spark.createDataFrame([], "node bigint, component bigint")
@@ -83,4 +103,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         nodes = nodes.join(hook.withColumnRenamed("a", "root"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
     nodes = stored(nodes)
     least = nodes.groupBy("root").agg(F.min("node").alias("component"))
-    return stored(nodes.join(least, "root").select("node", "component"))
+    out = stored(nodes.join(least, "root").select("node", "component"))
+    release(link, nodes, *steps)
+    return out

@@ -12,10 +12,13 @@ goes on to the shuffle, so a bucket gets at most one row from each block. Then,
 
 1. Turn after turn, every set is compared with the PARTNERS bucket leaders that it shares most tables with, leaders being
    others each turn, and confirmed links are joined; buckets within one component drop out.
-2. Once few pairs across components are left (or after TURNS), all of them in all buckets are compared.
+2. Once the pairs across components are no more than a few a row, they are compared one by one.
+3. If after TURNS more are left (a hot group whose stragglers stay just below the threshold), its sets are dealt to tiles of each
+   half key, and the tiles outside the key's main component are compared with all others, in blocks inside the tasks: no pair is
+   emitted but a spanning forest of the links. Tiles are bounded, so the size of a group adds tasks and not memory.
 
 So every candidate pair is either compared or already known to be in one component. Results per document: n_shingles,
-component_id (smallest reachable id) and kept. Null or wordless text has an empty set and no link; fewer words than the
+component_id (smallest reachable id) and kept. Long texts are whole; an empty table gives an empty one; further columns are ignored. Null or wordless text has an empty set and no link; fewer words than the
 shingle size are one shingle. Rows that share an id are one node; a null id links with nothing and is kept.
 """
 
@@ -29,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import components, partitions, prepare, semi, stored, table
+from plumbline.llm.common import components, partitions, prepare, release, semi, small_join, stored, table
+from plumbline.llm.embedding_dedup import forest
 from plumbline.llm.text import BASE, MIX2, NOT_SPACE, chunks, mix, pair_hash, word_hashes
 
 SIDE = 12
@@ -38,6 +42,10 @@ TURNS = 3
 PARTNERS = 6
 #: Pairs across components, for each row of a bucket, that are few.
 ENOUGH = 4
+#: Sets of a tile: an eighth of the group, within these bounds.
+TILE_LEAST, TILE_MOST = 128, 1_024
+#: Shingles that a block of the tiles' comparison covers.
+BLOCK = 4_096
 
 
 def shingles(data: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -174,7 +182,68 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     sets = semi(sets, ids, "id")
     left = sets.select(F.col("id").alias("a"), F.col("words").alias("wa"))
     right = sets.select(F.col("id").alias("b"), F.col("words").alias("wb"))
-    return stored(pairs.join(left, "a").join(right, "b").mapInArrow(_confirm(percent), "a long, b long"))
+    out = stored(pairs.join(left, "a").join(right, "b").mapInArrow(_confirm(percent), "a long, b long"))
+    release(ids)
+    return out
+
+
+def _half_rows(side: int):
+    """(half, id, component): a row for each half key of the first collection."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint64).reshape(-1, 2 * side)[:, :side]
+            half = pair_hash(sig, np.broadcast_to(np.arange(side, dtype=np.uint64), sig.shape)).ravel()
+            rows = pa.array(np.repeat(np.arange(batch.num_rows), side))
+            yield pa.RecordBatch.from_arrays([pa.array(half.view(np.int64)), batch.column("id").take(rows), batch.column("component").take(rows)], names=["half", "id", "component"])
+
+    return run
+
+
+def _compare_tiles(percent: int):
+    """A spanning forest of the links between the sets of two tiles (or within one)."""
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        ids, size = part["id"].to_numpy(), part["words"].str.len().to_numpy() // 8
+        values, column = np.unique(np.frombuffer(b"".join(part["words"]), np.uint64), return_inverse=True)
+        row = np.repeat(np.arange(len(part)), size)
+        shared = np.bincount(column, minlength=len(values)) > 1
+        row, column = row[shared[column]], (np.cumsum(shared) - 1)[column[shared[column]]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        common = np.zeros((len(part), len(part)), np.float32)
+        for lo in range(0, int(shared.sum()), BLOCK):
+            a, z = np.searchsorted(column, [lo, lo + BLOCK])
+            block = np.zeros((len(part), BLOCK), np.float32)
+            block[row[a:z], column[a:z] - lo] = 1
+            common += block @ block.T
+        both = size[:, None] + size[None]
+        a, b = np.nonzero(np.triu(100 * common.astype(np.int64) >= percent * (both - common.astype(np.int64)), 1))
+        node, root = forest(len(part), a, b)
+        return pd.DataFrame({"a": ids[root], "b": ids[node]})
+
+    return run
+
+
+def _in_tiles(bucket: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, side: int) -> DataFrame:
+    """Links (a, b) between the components of the buckets (key, id, component) that are left."""
+    ids = stored(bucket.select("id", "component").distinct())
+    half = stored(semi(classes.select("id", "sig"), ids.select("id"), "id").join(ids, "id").mapInArrow(_half_rows(side), "half long, id long, component long"))
+    per = half.groupBy("half", "component").count().groupBy("half").agg(F.max(F.struct("count", "component")).alias("main"), F.sum("count").alias("n")).where("main.count < n")
+    tile = F.greatest(F.lit(TILE_LEAST), F.least(F.lit(TILE_MOST), (F.col("n") / 8).cast("long")))
+    # Tiles 0 to rest - 1 hold what is outside the main component, the next ones what is in it.
+    per = stored(per.select("half", F.col("main.component").alias("top"), F.ceil((F.col("n") - F.col("main.count")) / tile).alias("rest"), F.ceil(F.col("main.count") / tile).alias("more")))
+    inside = F.col("component") == F.col("top")
+    place = F.when(inside, F.col("rest") + F.pmod(F.xxhash64("id"), "more")).otherwise(F.pmod(F.xxhash64("id"), "rest"))
+    dealt = small_join(half, per, "half").withColumn("tile", place)
+    with_rest = F.sequence(F.lit(0).cast("long"), F.col("rest") - 1)
+    with_all = F.sequence(F.lit(0).cast("long"), F.col("rest") + F.col("more") - 1)
+    dealt = dealt.select("half", "id", "tile", F.explode(F.when(inside, with_rest).otherwise(with_all)).alias("other"))
+    dealt = dealt.select("half", "id", F.least("tile", "other").alias("x"), F.greatest("tile", "other").alias("y"))
+    found = dealt.join(sets, "id").groupBy("half", "x", "y").applyInPandas(_compare_tiles(percent), "a long, b long")
+    out = stored(found.distinct())
+    release(ids, half, per)
+    return out
 
 
 def _ordered(x: str, y: str) -> list:
@@ -194,22 +263,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = stored(keys)
     # Sets of all that share a bucket, from the classes' texts (equal rows give equal sets).
     bucket = stored(members.select("key", "id").union(members.select("key", F.col("leader").alias("id"))).distinct())
+    release(members)
     needed = stored(bucket.select("id").distinct())
     sets = stored(semi(docs.where("id is not null"), needed, "id").select("id", "text").mapInArrow(_sets(size), "id long, words binary"))
-    links = tested = None
+    none = spark.createDataFrame([], "node bigint, component bigint")
+    links = tested = known = None
     for turn in range(TURNS + 1):
         # Buckets whose members are in several components so far.
-        known = (components(links) if links is not None else spark.createDataFrame([], "node bigint, component bigint")).withColumnRenamed("node", "id")
-        bucket = bucket.select("key", "id").join(known, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+        release(known)
+        known = components(links) if links is not None else none
+        before, bucket = bucket, bucket.select("key", "id").join(known.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
         mixed = bucket.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
         bucket = stored(bucket.join(mixed, "key"))
+        release(before)
         # Pairs across components that all-pairs would now make.
         count = bucket.groupBy("key", "component").count().groupBy("key").agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("own"))
         left = count.agg(F.coalesce(F.sum(F.col("n") * F.col("n") - F.col("own")), F.lit(0)) / 2, F.coalesce(F.sum("n"), F.lit(0))).first()
         if not left[0]:
             break
-        last = turn == TURNS or left[0] <= ENOUGH * left[1]
-        if last:
+        few_left = left[0] <= ENOUGH * left[1]
+        if turn == TURNS and not few_left:
+            found = _in_tiles(bucket, classes, sets, percent, side)
+            links = found if links is None else links.union(found)
+            break
+        if few_left:
             other = bucket.select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
             pairs = bucket.join(other, "key").where("component < cb").select(*_ordered("id", "b"))
         else:
@@ -225,9 +302,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = _verified(pairs, sets, percent)
         links = found if links is None else links.union(found)
         tested = pairs if tested is None else tested.union(pairs)
-        if last:
+        if few_left:
             break
-    joined = stored((components(links) if links is not None else spark.createDataFrame([], "node bigint, component bigint")))
+    joined = components(links) if links is not None else none
+    release(bucket, needed, sets)
     joined = classes.join(joined, classes["id"] == joined["node"], "left").select("h1", "h2", "n", F.coalesce("component", "id").alias("component"))
     out = signed.select("id", "n", "h1", "h2").join(joined, ["h1", "h2", "n"], "left").select("id", "n", F.coalesce(F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.col("component")), "id").alias("component_id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
