@@ -11,7 +11,10 @@ words, their histories, and which documents have the pair how often. A bucket's
 r are exact there, and scores what depends on them at once: for each document how many tokens have r = 1..CUTOFF, the sum of
 log r of the others, the unigram score. A token's history term -log c(h) is added where h itself is the word. Only what
 depends on alpha(h), tokens whose pair was not seen, goes through a join on the history. Discounts come from counts of
-counts that the same pass gives, so the corpus is read twice (once for the very frequent words) and shuffled once.
+counts that the same pass gives, so texts are scanned three times (sizes aside; twice for the very frequent words) and shuffled once.
+
+The order is 2, so the recursion has one step: a block's trigrams would add some 8 bytes a token to the 14 that the shuffle has now,
+about 2.9 GB for check_l's 130 million tokens against a disk budget of 2.04 GB.
 
 Results per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Null text is empty: only the end
 token. A null id counts as training. Rows are scored one by one, so repeated rows give repeated results.
@@ -30,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import prepare, stored, table
+from plumbline.llm.common import prepare, release, stored, table
 from plumbline.llm.text import NOT_SPACE, chunks, pair_hash, word_hashes
 
 CUTOFF = 5
@@ -39,9 +42,9 @@ TAIL = 0.1
 START, END = np.uint64(0x51A7), np.uint64(0xE2D)
 #: Stands for a null id in a packed row.
 NULL = -(2**63)
-BUCKET_TOKENS = 3_000_000
-#: Rows of a batch of results.
-ROWS = 200_000
+BUCKET_TOKENS = 1_000_000
+#: Rows of a batch of results, and entries of a bucket that are counted at once.
+ROWS = 100_000
 BLOCK_BYTES = 3_000_000
 BLOCK_ROWS = 30_000
 #: A word with more than this share of a bucket's tokens is spread over all buckets by history.
@@ -144,13 +147,11 @@ def _pack(buckets: int, hot: np.ndarray):
                 entry[some] = pair_hash(w[iw[some]], h[ih[some]]) % np.uint64(buckets)
             order = np.argsort(entry.astype(np.int16 if buckets < 32_000 else np.int64), kind="stable")
             doc, ih, iw, n, entry = doc[order], ih[order], iw[order], n[order], entry[order]
-            edge = np.searchsorted(entry, np.arange(buckets + 1))
             block = part << 20 | number
-            for b in range(buckets):
-                s = slice(edge[b], edge[b + 1])
+            # Only buckets that get something: at most as many rows as the block has pairs, however many buckets there are.
+            for b in np.union1d(entry, [block % buckets]).tolist():
+                s = slice(*np.searchsorted(entry, [b, b + 1]))
                 home = block % buckets == b
-                if edge[b] == edge[b + 1] and not home:
-                    continue
                 x, y = iw[s], ih[s]
                 pair = np.ones(len(x), bool)
                 pair[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
@@ -210,7 +211,7 @@ def _score(hot: np.ndarray, hot_counts: np.ndarray):
         hist: list = []
         unseen: list = []
         # Words in ranges of their hash, so that the working set is a share of the bucket.
-        slices_ = max(1, total // 200_000)
+        slices_ = max(1, total // ROWS)
         cuts = [np.uint64(k * (2**64 // slices_)) for k in range(slices_)] + [None]
         ends = [(0, 0)] * len(parts)
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
@@ -295,6 +296,7 @@ def _score(hot: np.ndarray, hot_counts: np.ndarray):
                 if held and row["bucket"] != held[0]["bucket"]:
                     yield from (pa.RecordBatch.from_pandas(f, preserve_index=False) for f in bucket(held))
                     held = []
+                    pa.default_memory_pool().release_unused()
                 held.append(row)
         if held:
             yield from (pa.RecordBatch.from_pandas(f, preserve_index=False) for f in bucket(held))
@@ -322,8 +324,13 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     buckets = 1 + ((size["b"] or 0) // 6 + size["n"]) // bucket_tokens
     # Words that would fill a bucket: candidates from blocks' shares, then exact counts of those few.
     share = HOT / buckets
-    top = docs.mapInArrow(_frequent(share / 2), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
-    candidates = np.sort(np.array([t["word"] for t in top if t["word"]], np.int64).view(np.uint64))
+    # What blocks below share / 2 leave out is less than that share of all, so no hot word is missed; the sum of word 0, all tokens, is
+    # the largest, and at most 2 / share words (one in bucket_tokens / 8 tokens) get to the driver.
+    found = stored(docs.mapInArrow(_frequent(share / 2), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    total = found.where("word = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    top = found.where((F.col("word") != 0) & (F.col("n") > share / 2 * total)).collect()
+    release(found)
+    candidates = np.sort(np.array([t["word"] for t in top], np.int64).view(np.uint64))
     exact = docs.mapInArrow(_frequent(0, candidates), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     counts = {t["word"]: t["n"] for t in exact}
     train = counts.pop(0, 0)
