@@ -12,7 +12,8 @@ thresholds MIN_TOKENS, MIN_DOCS and SIMILAR hold for templates only. Just lines
 
 Copies of one text count once, so whole documents that repeat are left to document dedup. Lines and tokens are 64-bit hashes, made in numpy as the texts are scanned; leaves, lines and templates are counted by
 DataFrame aggregations that combine before the shuffle, so no hot line or leaf meets in one task. Null text has no lines and stays null; an empty text is one empty line. Repeated rows share
-their fate. Null ids come last.
+their fate. Null ids come last. Long texts are whole, an empty table gives an empty one, and further columns stay as they are, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import BROADCAST_IDS, anti, prepare, semi, stored, table
+from plumbline.llm.common import anti, prepare, release, semi, small_join, stored, table
 from plumbline.llm.text import MIX2, NOT_SPACE, POWERS, chunks, mix, prefix_hash, span_hash, words
 
 DEPTH = 3
@@ -33,6 +34,8 @@ MIN_TOKENS = 4
 VERBATIM_DOCS = 2
 MIN_CHARS = 3
 SIMILAR = 0.6
+#: Bits of the map of open lines that the second scan gets: 8 MB.
+BITS = 2**26
 FIELD = "<*>"
 FIELD_HASH = np.uint64(0xF1E1D)
 
@@ -77,33 +80,40 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([key.take(rows), ids.take(rows), t.take(rows), pa.array(at[some]), firm, pa.array(leaf.view(np.int64), mask=short), pa.array(h.view(np.int64), mask=short), pa.array(exact.view(np.int64), mask=~short & (fields == 0))], names=["key", "id", "t", "pos", "firm", "leaf", "h", "exact"])
 
 
-def _tokens(wanted: np.ndarray, one: np.ndarray):
-    """The tokens of the wanted lines (a sorted array of hashes); of a line with a text in `one` (else 0), only from there."""
+def _tokens(bitmap: np.ndarray):
+    """A row of token hashes for each line whose hash is in the bitmap (and some that only share a bit, which a join takes out)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, data, off in chunks(batch.column("text")):
                 (row, _, n, _, leaf, h, _, _), (line, token, field) = line_arrays(data, off)
-                place = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
-                if not len(line):
-                    continue
-                t = batch.column("t").to_numpy()[i + row]
-                hot = one[place] != 0
-                some = ((wanted[place] == h) & (n >= MIN_TOKENS) & (~hot | (one[place] == t)))[line]
-                first = np.cumsum(n) - n
-                at = (np.arange(len(line)) - first[line])[some]
-                line = line[some]
-                yield pa.RecordBatch.from_arrays([pa.array(leaf[line].view(np.int64)), pa.array(h[line].view(np.int64)), pa.array(t[line]), pa.array(n[line]), pa.array(at), pa.array(token[some].view(np.int64)), pa.array(field[some]), pa.array(hot[line])], names=["leaf", "h", "t", "n", "at", "token", "field", "hot"])
+                bit = h & np.uint64(BITS - 1)
+                keep = (n >= MIN_TOKENS) & ((bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+                some = keep[line] if len(line) else np.zeros(0, bool)
+                ends = pa.array(np.concatenate([[0], np.cumsum(n[keep])]).astype(np.int32))
+                token, field = pa.array(token[some].view(np.int64)), pa.array(field[some])
+                yield pa.RecordBatch.from_arrays([pa.array(leaf[keep].view(np.int64)), pa.array(h[keep].view(np.int64)), batch.column("t").take(pa.array(i + row[keep])), pa.ListArray.from_arrays(ends, token), pa.ListArray.from_arrays(ends, field)], names=["leaf", "h", "t", "tokens", "fields"])
 
     return run
 
 
+def _bitmap(hashes: DataFrame) -> np.ndarray:
+    """BITS bits, set where the low bits of a hash (column h) point to: a fixed size, whatever the number of hashes."""
+    place = (F.col("h").bitwiseAND(F.lit(BITS - 1)) + 1).alias("place")
+    parts = hashes.select(place).groupBy(F.bitmap_bucket_number("place").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect()
+    out = np.zeros(BITS // 8, np.uint8)
+    for x in parts:
+        raw = np.frombuffer(bytes(x["bits"]), np.uint8)
+        out[(x["part"] - 1) * 4_096 : (x["part"] - 1) * 4_096 + len(raw)] = raw
+    return out
+
+
 def recurring_lines(docs: DataFrame, id_col: str, text_col: str, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(key, dropped): for each text with recurring lines, the places of those to drop. key: xxhash64 of id and text."""
+    """(key, id, t, dropped): for each text with recurring lines, the places of those to drop. key and t: xxhash64 of id and text, and of the text."""
     texts = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
     small = stored(texts.mapInArrow(_lines, "key long, id long, t long, pos long, firm boolean, leaf long, h long, exact long"))
     per_line = small.where("h is not null").groupBy("leaf", "h", "t").agg(F.first("firm").alias("firm"), F.first(F.expr("exact is null")).alias("plain"))
-    lines = per_line.groupBy("leaf", "h").agg(F.count("*").alias("texts"), F.min("t").alias("one"), F.first("firm").alias("firm"), F.first("plain").alias("plain")).checkpoint()
+    lines = stored(per_line.groupBy("leaf", "h").agg(F.count("*").alias("texts"), F.min("t").alias("one"), F.first("firm").alias("firm"), F.first("plain").alias("plain")))
     recurs = (F.col("texts") >= min_docs) & F.col("firm")
     # Lines that recur as they are.
     same = lines.where(recurs | (F.col("plain") & (F.col("texts") >= VERBATIM_DOCS))).select("h", F.col("h").alias("template"))
@@ -112,22 +122,18 @@ def recurring_lines(docs: DataFrame, id_col: str, text_col: str, min_docs: int =
     hot = F.col("texts") >= min_docs
     leaves = lines.groupBy("leaf").agg(F.sum("texts").alias("texts"), F.count("*").alias("kinds"), F.max(~recurs).alias("open")).where(f"texts >= {min_docs} and kinds > 1 and open").select("leaf")
     # A line in min_docs texts makes all its tokens constants and its template shared, so one of its texts tells all.
-    left = lines.join(leaves, "leaf").groupBy("h").agg(F.max(F.when(hot, F.col("one")).otherwise(0)).alias("one")).checkpoint()
-    # Their tokens: one more scan for each BROADCAST_IDS lines that are left.
-    blocks = 1 + left.count() // BROADCAST_IDS
-    tokens = None
-    for b in range(blocks):
-        some = left.where(F.pmod(F.xxhash64("h"), F.lit(blocks)) == b).toPandas()
-        wanted, one = (some[c].to_numpy(np.int64) if len(some) else np.zeros(1, np.int64) for c in ("h", "one"))
-        order = np.argsort(wanted.view(np.uint64))
-        part = texts.select("t", "text").mapInArrow(_tokens(wanted[order].view(np.uint64), one[order]), "leaf long, h long, t long, n long, at long, token long, field boolean, hot boolean")
-        tokens = part if tokens is None else tokens.union(part)
-    tokens = stored(tokens.distinct())
-    constant = tokens.where("not field").select("leaf", "at", "token", "t", "hot").distinct().groupBy("leaf", "at", "token").agg(F.count("*").alias("count"), F.max("hot").alias("hot")).where(f"hot or count >= {min_docs}").select("leaf", "at", "token")
-    kinds = tokens.select("leaf", "h", "n", "at", "token", "hot").distinct().join(constant, ["leaf", "at", "token"])
+    left = stored(lines.join(leaves, "leaf").groupBy("h").agg(F.max(F.when(hot, F.col("one")).otherwise(0)).alias("one")))
+    # Their tokens: one more scan, which knows the lines that are left by a bitmap; the join then takes just those.
+    scanned = texts.select("t", "text").mapInArrow(_tokens(_bitmap(left)), "leaf long, h long, t long, tokens array<long>, fields array<boolean>")
+    held = small_join(scanned, left, "h").where("one = 0 or one = t").groupBy("leaf", "h", "t").agg(F.first("tokens").alias("tokens"), F.first("fields").alias("fields"), F.max(F.col("one") != 0).alias("hot"))
+    held = stored(held)
+    tokens = held.select("leaf", "h", "t", "hot", F.size("tokens").cast("long").alias("n"), F.posexplode(F.arrays_zip("tokens", "fields")).alias("at", "x")).select("leaf", "h", "t", "n", F.col("at").cast("long").alias("at"), F.col("x.tokens").alias("token"), F.col("x.fields").alias("field"), "hot")
+    constant = stored(tokens.where("not field").select("leaf", "at", "token", "t", "hot").distinct().groupBy("leaf", "at", "token").agg(F.count("*").alias("count"), F.max("hot").alias("hot")).where(f"hot or count >= {min_docs}").select("leaf", "at", "token"))
+    kinds = stored(tokens.select("leaf", "h", "n", "at", "token", "hot").distinct().join(constant, ["leaf", "at", "token"]))
+    release(left, constant)
     # A template is its leaf and its constants with their places: hashes add up whatever the order.
     template = stored(kinds.groupBy("leaf", "h", "n", "hot").agg(F.sum(F.xxhash64("at", "token") % F.lit(2**40)).alias("sum"), F.count("*").alias("firm")).where(f"firm >= {SIMILAR} * n").select("h", "leaf", "hot", "firm", F.xxhash64("leaf", "sum").alias("template")))
-    in_texts = tokens.select("leaf", "h", "t").distinct().join(template, ["leaf", "h"]).groupBy("template", "t").agg(F.max("hot").alias("hot"))
+    in_texts = stored(held.select("leaf", "h", "t").join(template, ["leaf", "h"]).groupBy("template", "t").agg(F.max("hot").alias("hot")))
     own = in_texts.groupBy("template").agg((F.max("hot") | (F.count("*") >= min_docs)).alias("shared"))
     known = stored(template.groupBy("leaf", "template", "firm").agg(F.min("h").alias("h")).join(own, "template"))
     wider = stored(_wider(known, kinds))
@@ -139,17 +145,20 @@ def recurring_lines(docs: DataFrame, id_col: str, text_col: str, min_docs: int =
     summed = match.join(certain, "whole", "left_anti").join(few, "template").select("whole", "t").distinct().groupBy("whole").count().where(f"count >= {min_docs}").select("whole")
     found = template.select("h", "template").join(match, "template").join(certain.union(summed), "whole").select("h", F.col("whole").alias("template"))
     found = stored(same.union(found))
+    release(lines, held, kinds, in_texts, known, wider, template)
     order = F.struct(F.coalesce("id", F.lit(2**62)).alias("id"), F.col("key"), F.col("pos"))
-    hits = small.select("h", "key", "id", "pos").join(found.select("h").distinct(), "h")
+    hits = stored(small.select("h", "key", "id", "t", "pos").join(found.select("h").distinct(), "h"))
     # A line's first occurrence stays if it is the first of each of its templates.
     least = stored(hits.groupBy("h").agg(F.min(order).alias("m")))
     first = found.join(least, "h").groupBy("template").agg(F.min("m").alias("first"))
     stays = found.join(first, "template").join(least, "h").groupBy("h").agg(F.first("m").alias("m"), F.min(F.col("m") == F.col("first")).alias("stays"))
-    drop = hits.join(stays, "h").where("not stays or key <> m.key or pos <> m.pos").select("key", "pos")
-    repeats = small.select("exact", "key", "id", "pos").join(again, "exact")
+    repeats = stored(small.select("exact", "key", "id", "t", "pos").join(again, "exact"))
     start = repeats.groupBy("exact").agg(F.min(order).alias("m"))
-    drop = drop.union(repeats.join(start, "exact").where("key <> m.key or pos <> m.pos").select("key", "pos"))
-    return drop.groupBy("key").agg(F.collect_set("pos").alias("dropped"))
+    drop = hits.join(stays, "h").where("not stays or key <> m.key or pos <> m.pos").select("key", "id", "t", "pos")
+    drop = drop.union(repeats.join(start, "exact").where("key <> m.key or pos <> m.pos").select("key", "id", "t", "pos"))
+    out = stored(drop.groupBy("key", "id", "t").agg(F.collect_set("pos").alias("dropped")))
+    release(small, found, hits, least, repeats)
+    return out
 
 
 def _wider(known: DataFrame, kinds: DataFrame) -> DataFrame:
@@ -173,22 +182,29 @@ def _wider(known: DataFrame, kinds: DataFrame) -> DataFrame:
     return pairs.join(mine, "template").join(theirs, "whole").where("size(array_except(theirs, mine)) = 0").select("template", "whole")
 
 
-def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
-    """docs with recurring lines taken out of the text, and two columns: _n_lines and _n_dropped."""
+def cut_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
+    """(doc, kept, n_lines, n_dropped) of each row: the row as a struct, so that no name clashes, and its text without recurring lines."""
     prepare(docs.sparkSession)
-    found = stored(recurring_lines(docs, id_col, text_col, min_docs))
-    keyed = docs.withColumn("_key", F.xxhash64(id_col, text_col))
-    found = found.withColumnRenamed("key", "_key").withColumnRenamed("dropped", "_dropped")
-    ids = found.select("_key")
-    # Only texts that lose lines meet their places in a shuffle.
-    joined = semi(keyed, ids, "_key").join(found, "_key").unionByName(anti(keyed, ids, "_key").withColumn("_dropped", F.lit(None).cast("array<bigint>")))
-    lines = F.split(text_col, "\n")
-    kept = F.array_except(F.sequence(F.lit(0).cast("long"), F.size(lines).cast("long") - 1), "_dropped")
-    text = F.when(F.col("_dropped").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i.cast("int"))), "\n"))
-    breaks = F.length(text_col) - F.length(F.replace(text_col, F.lit("\n"), F.lit("")))
-    counted = joined.withColumn("_n_lines", F.coalesce(breaks + 1, F.lit(0)).cast("long")).withColumn("_n_dropped", F.coalesce(F.size("_dropped"), F.lit(0)).cast("long"))
-    counted = counted.withColumn("_n_dropped", F.greatest("_n_dropped", F.lit(0).cast("long")))
-    return counted.withColumn(text_col, text).drop("_key", "_dropped")
+    found = recurring_lines(docs, id_col, text_col, min_docs)
+    text = F.col("doc")[text_col]
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")).withColumn("key", F.xxhash64(F.col("doc")[id_col], text))
+    ids = found.select("key").distinct()
+    # Only texts that lose lines meet their places, always in a shuffle: lists of places have no bound.
+    places = found.select(F.col("key").alias("k"), "id", "t", "dropped")
+    same = (F.col("key") == F.col("k")) & F.col("doc")[id_col].cast("long").eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("t"))
+    losing = semi(keyed, ids, "key").join(places.hint("merge"), same, "left").select("doc", "dropped")
+    lines = F.split(text, "\n")
+    kept = F.array_except(F.sequence(F.lit(0).cast("long"), F.size(lines).cast("long") - 1), "dropped")
+    cut = losing.select("doc", F.when(F.col("dropped").isNull(), text).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i.cast("int"))), "\n")).alias("kept"), F.greatest(F.coalesce(F.size("dropped"), F.lit(0)), F.lit(0)).cast("long").alias("n_dropped"))
+    rest = anti(keyed, ids, "key").select("doc", text.alias("kept"), F.lit(0).cast("long").alias("n_dropped"))
+    breaks = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+    return cut.union(rest).select("doc", "kept", F.coalesce(breaks + 1, F.lit(0)).cast("long").alias("n_lines"), "n_dropped")
+
+
+def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
+    """docs with recurring lines taken out of the text, and two columns: _n_lines and _n_dropped (in place of any of these names)."""
+    named = [F.col("kept").alias(c) if c == text_col else F.col("doc")[c].alias(c) for c in docs.columns if c not in ("_n_lines", "_n_dropped")]
+    return cut_lines(docs, id_col, text_col, min_docs).select(*named, F.col("n_lines").alias("_n_lines"), F.col("n_dropped").alias("_n_dropped"))
 
 
 def op3_line_template_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,23 +215,28 @@ def op3_line_template_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP3_SQL = rf"""
 WITH l AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
 x AS (SELECT r, doc_id, text, unnest(range(0, len(ls))) AS pos, unnest(ls) AS raw FROM l),
-m AS (SELECT r, doc_id, text, pos, regexp_replace(trim(regexp_replace(raw, '[\t\x0b\f\r ]+', ' ', 'g')), '[^ ]*[0-9][^ ]*', '{FIELD}', 'g') AS line FROM x),
-n AS (SELECT *, len(string_split(line, ' ')) AS n, string_split(line, ' ') AS ts FROM m WHERE len(string_split(line, ' ')) >= {MIN_TOKENS}),
-f AS (SELECT *, n || ':' || array_to_string(ts[1:{DEPTH}], ' ') AS leaf, len(list_filter(ts, lambda t: t <> '{FIELD}')) >= {SIMILAR} * n AS firm FROM n),
-k AS (SELECT leaf, line, n, any_value(firm) AS firm, any_value(ts) AS ts, count(DISTINCT text) AS texts FROM f GROUP BY leaf, line, n),
-same AS (SELECT line, line AS template FROM k WHERE texts >= {MIN_DOCS} AND firm),
-rest AS (SELECT * FROM k WHERE NOT (texts >= {MIN_DOCS} AND firm)),
-leaves AS (SELECT leaf FROM rest GROUP BY leaf HAVING sum(texts) >= {MIN_DOCS} AND count(*) > 1),
-tok AS (SELECT DISTINCT leaf, line, n, text, unnest(range(1, n + 1)) AS place, unnest(ts) AS token FROM f SEMI JOIN leaves USING (leaf) SEMI JOIN rest USING (line)),
+m AS (SELECT r, doc_id, text, pos, trim(regexp_replace(raw, '[\t\x0b\f\r ]+', ' ', 'g')) AS exact FROM x),
+f AS (SELECT *, regexp_replace(exact, '[^ ]*[0-9][^ ]*', '{FIELD}', 'g') AS line, len(string_split(exact, ' ')) AS n FROM m WHERE exact <> ''),
+g AS (SELECT *, string_split(line, ' ') AS ts FROM f WHERE n >= {MIN_TOKENS}),
+k AS (SELECT n || ':' || array_to_string(ts[1:{DEPTH}], ' ') AS leaf, line, n, ts, text FROM g GROUP BY ALL),
+kind AS (SELECT leaf, line, n, len(list_filter(any_value(ts), lambda t: t <> '{FIELD}')) AS firm, count(*) AS texts FROM k GROUP BY leaf, line, n),
+again AS (SELECT exact FROM f WHERE n >= {MIN_TOKENS} OR length(replace(exact, ' ', '')) >= {MIN_CHARS} GROUP BY exact HAVING count(DISTINCT text) >= {VERBATIM_DOCS}),
+open_ AS (SELECT leaf FROM kind GROUP BY leaf HAVING sum(texts) >= {MIN_DOCS} AND count(*) > 1 AND bool_or(texts < {MIN_DOCS} OR firm < {SIMILAR} * n)),
+tok AS (SELECT leaf, line, n, text, unnest(range(1, n + 1)) AS place, unnest(ts) AS token FROM k SEMI JOIN open_ USING (leaf)),
 con AS (SELECT leaf, place, token FROM tok WHERE token <> '{FIELD}' GROUP BY ALL HAVING count(DISTINCT text) >= {MIN_DOCS}),
-t AS (SELECT leaf, line, n, array_to_string(list(place || token ORDER BY place), ' ') AS cs, count(*) AS firm FROM (SELECT DISTINCT leaf, line, n, place, token FROM tok) JOIN con USING (leaf, place, token) GROUP BY ALL HAVING count(*) >= {SIMILAR} * n),
-sh AS (SELECT leaf, cs FROM t JOIN (SELECT DISTINCT leaf, line, text FROM tok) USING (leaf, line) GROUP BY leaf, cs HAVING count(DISTINCT text) >= {MIN_DOCS}),
-found AS (SELECT line, template FROM same UNION ALL SELECT line, leaf || '|' || cs FROM t JOIN sh USING (leaf, cs)),
-hit AS (SELECT r, doc_id, text, pos, template FROM f JOIN found USING (line)),
-one AS (SELECT template, min(doc_id) AS d FROM hit GROUP BY template),
-one2 AS (SELECT template, d, min(pos) AS p FROM hit JOIN one USING (template) WHERE doc_id = d GROUP BY ALL),
-gone AS (SELECT r, list(DISTINCT pos) AS ps FROM hit JOIN one2 USING (template) WHERE doc_id <> d OR pos <> p GROUP BY r)
-SELECT l.doc_id, len(l.ls) AS n_lines, coalesce(len(g.ps), 0) AS n_dropped,
+t AS (SELECT leaf, line, list(place || ' ' || token ORDER BY place) AS cs FROM (SELECT DISTINCT leaf, line, n, place, token FROM tok) JOIN con USING (leaf, place, token) GROUP BY leaf, line, n HAVING count(*) >= {SIMILAR} * n),
+u AS (SELECT leaf, cs, min(line) AS one FROM t GROUP BY leaf, cs),
+held AS (SELECT w.leaf, w.cs AS whole, v.cs FROM u w JOIN u v ON w.leaf = v.leaf AND (v.cs = w.cs OR (len(v.cs) > len(w.cs) AND list_has_all(v.cs, w.cs)))),
+wide AS (SELECT h.leaf, h.whole FROM held h JOIN t ON t.leaf = h.leaf AND t.cs = h.cs JOIN k ON k.leaf = t.leaf AND k.line = t.line GROUP BY ALL HAVING count(DISTINCT k.text) >= {MIN_DOCS}),
+found AS (SELECT line, line AS template FROM kind WHERE texts >= {MIN_DOCS} AND firm >= {SIMILAR} * n
+  UNION SELECT t.line, t.leaf || '|' || array_to_string(h.whole, ' ') FROM t JOIN held h ON h.leaf = t.leaf AND h.cs = t.cs JOIN wide w ON w.leaf = h.leaf AND w.whole = h.whole),
+least_ AS (SELECT line, min({{'d': doc_id, 'p': pos}}) AS m FROM g GROUP BY line),
+first_ AS (SELECT template, min(m) AS one FROM found JOIN least_ USING (line) GROUP BY template),
+stays AS (SELECT line, any_value(m) AS m, bool_and(m = one) AS stays FROM found JOIN first_ USING (template) JOIN least_ USING (line) GROUP BY line),
+begins AS (SELECT exact, min({{'d': doc_id, 'p': pos}}) AS m FROM f SEMI JOIN again USING (exact) GROUP BY exact),
+gone AS (SELECT r, list(DISTINCT pos) AS ps FROM (SELECT r, pos FROM g JOIN stays s USING (line) WHERE NOT s.stays OR {{'d': doc_id, 'p': pos}} <> s.m
+  UNION ALL SELECT r, pos FROM f JOIN begins b USING (exact) WHERE {{'d': doc_id, 'p': pos}} <> b.m) GROUP BY r)
+SELECT l.doc_id, coalesce(len(l.ls), 0) AS n_lines, coalesce(len(g.ps), 0) AS n_dropped,
        sha256(coalesce(array_to_string(list_filter(l.ls, lambda v, i: g.ps IS NULL OR NOT list_contains(g.ps, i - 1)), chr(10)), '')) AS kept_sha256
 FROM l LEFT JOIN gone g USING (r)
 """
