@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import partitions, prepare, semi, table
+from plumbline.llm.common import partitions, prepare, release, semi, small_join, stored, table
 from plumbline.llm.text import MIX, chunks, prefix_hash, span_hash
 
 GRAM = 64
@@ -169,14 +169,14 @@ def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _anchor_rows(width: int, gram: int):
-    names = ["key", "anchor", "first", "last", "gram", "context"]
+    names = ["key", "rank", "anchor", "first", "last", "gram", "context"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column("key").to_numpy(zero_copy_only=False)
+            keys, ranks = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "rank"))
             for i, data, off in chunks(batch.column("text")):
                 r, a, s, e, g, c = anchors(data, off, width, gram)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[i + r]), *(pa.array(x) for x in (a, s, e, g.view(np.int64), c.view(np.int64)))], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[i + r]), pa.array(ranks[i + r]), *(pa.array(x) for x in (a, s, e, g.view(np.int64), c.view(np.int64)))], names=names)
 
     return run
 
@@ -189,10 +189,10 @@ def _contexts(width: int):
             out = []
             for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist(), strict=True):
                 data = (text or "").encode()
-                out += [(w["gram"], w["key"], w["first"], w["last"], w["first"] - w["anchor"], w["n"], w["hot"], data[w["first"] : w["last"] + width]) for w in wanted]
-            cols = list(zip(*out, strict=True)) or [()] * 8
-            kinds = [pa.int64()] * 6 + [pa.bool_(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["gram", "key", "first", "last", "lead", "n", "hot", "bytes"])
+                out += [(w["gram"], w["key"], w["rank"], w["first"], w["last"], w["first"] - w["anchor"], w["n"], w["hot"], data[w["first"] : w["last"] + width]) for w in wanted]
+            cols = list(zip(*out, strict=True)) or [()] * 9
+            kinds = [pa.int64()] * 7 + [pa.bool_(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["gram", "key", "rank", "first", "last", "lead", "n", "hot", "bytes"])
 
     return run
 
@@ -209,7 +209,7 @@ def window_starts(rows: pd.DataFrame, width: int) -> tuple[np.ndarray, np.ndarra
 def _match(width: int, later: bool, most: int = 1_500_000):
     """LPF over the contexts of a shard, k-grams one after another, `most` bytes at a time."""
 
-    def shard(rows: pd.DataFrame) -> list[tuple[int, int, int]]:
+    def shard(rows: pd.DataFrame) -> list[tuple[int, int, int, int]]:
         data = np.frombuffer(b"".join(rows["bytes"]), np.uint8)
         which, starts, base = window_starts(rows, width)
         earlier, after = longest_factors(data, starts, width, not later, exact=False)
@@ -221,7 +221,7 @@ def _match(width: int, later: bool, most: int = 1_500_000):
             inner = cut[np.searchsorted(cut, f, "right") : np.searchsorted(cut, e, "right")]
             for x, y in zip([f, *inner], [*(inner - 1), e], strict=True):
                 r = which[x]
-                out.append((int(rows["key"].iloc[r]), int(rows["first"].iloc[r] + starts[x] - base[r]), int(rows["first"].iloc[r] + starts[y] - base[r])))
+                out.append((int(rows["key"].iloc[r]), int(rows["rank"].iloc[r]), int(rows["first"].iloc[r] + starts[x] - base[r]), int(rows["first"].iloc[r] + starts[y] - base[r])))
         return out
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -230,7 +230,7 @@ def _match(width: int, later: bool, most: int = 1_500_000):
 
         def done() -> pd.DataFrame:
             rows = pd.concat(held).sort_values(["rank", "key", "first"] if later else ["gram", "key", "first"])
-            return pd.DataFrame(shard(rows), columns=["key", "first", "last"])
+            return pd.DataFrame(shard(rows), columns=["key", "rank", "first", "last"])
 
         last_gram = None
         for frame in frames:
@@ -262,37 +262,38 @@ def _window_hashes(width: int, most: int = 2_000):
 
 
 def repeated_windows(docs: DataFrame, width: int = 400, gram: int = GRAM, group: int = GROUP, mode: str = "all") -> DataFrame:
-    """(key, first, last): runs of starts whose `width` bytes occur elsewhere. docs: (key, rank, text); rank orders documents."""
+    """(key, rank, first, last): runs of starts whose `width` bytes occur elsewhere. docs: (key, rank, text); rank orders documents, both name a row."""
     later = mode == "later"
-    found = docs.select("key", "text").mapInArrow(_anchor_rows(width, gram), "key long, anchor long, first long, last long, gram long, context long")
-    twice = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    some = found.join(twice, "gram").checkpoint()
-    order = docs.select("key", "rank").distinct() if later else None
-    ranked = some.join(order, "key") if later else some.withColumn("rank", F.lit(0).cast("long"))
+    row = ["key", "rank"]
+    found = stored(docs.select(*row, "text").mapInArrow(_anchor_rows(width, gram), "key long, rank long, anchor long, first long, last long, gram long, context long"))
+    twice = stored(found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"))
+    some = stored(semi(found, twice, "gram"))
+    release(found, twice)
     least = F.min(F.struct("rank", "key", "anchor", "first", "last")).alias("m")
-    kinds = ranked.groupBy("gram", "context").agg(F.count("*").alias("n"), least).select("gram", "context", "n", "m.*").checkpoint()
+    kinds = stored(some.groupBy("gram", "context").agg(F.count("*").alias("n"), least).select("gram", "context", "n", "m.*"))
     several = kinds.groupBy("gram").agg(F.count("*").alias("k"), F.min("n").alias("least")).where("k > 1").select("gram", (F.col("k") > group).alias("hot"), (F.col("least") == 1).alias("open"))
     # Runs whose whole context occurs again: all of them, or all but the first.
-    again = kinds.where("n > 1").select("gram", "context", *(F.col(c).alias("m_" + c) for c in ("key", "first")))
-    whole = some.join(again, ["gram", "context"])
+    again = stored(kinds.where("n > 1").select("gram", "context", *(F.col(c).alias("m_" + c) for c in ("key", "rank", "first"))))
+    whole = small_join(some, again, ["gram", "context"])
     if later:
-        whole = whole.where("key <> m_key or first <> m_first")
-    whole = whole.select("key", "first", "last")
+        whole = whole.where("key <> m_key or rank <> m_rank or first <> m_first")
+    whole = whole.select(*row, "first", "last")
     # One context of each kind, where a k-gram has several and some are not decided yet.
-    wanted = kinds.join(several.where("true" if later else "open").select("gram", "hot"), "gram").select("key", F.struct("gram", "key", "anchor", "first", "last", "n", "hot").alias("w"))
-    wanted = wanted.groupBy("key").agg(F.collect_list("w").alias("wanted")).checkpoint()
-    ids = wanted.select("key")
-    texts = semi(docs.select("key", "rank", "text"), ids, "key").dropDuplicates(["key"])
-    cut = texts.join(wanted, "key").select("text", "wanted").mapInArrow(_contexts(width), "gram long, key long, first long, last long, lead long, n long, hot boolean, bytes binary")
-    cut = (cut.join(order, "key") if later else cut.withColumn("rank", F.lit(0).cast("long"))).checkpoint()
+    several = stored(several.where("true" if later else "open").select("gram", "hot"))
+    wanted = small_join(kinds, several, "gram").select(*row, F.struct("gram", *row, "anchor", "first", "last", "n", "hot").alias("w"))
+    wanted = stored(wanted.groupBy(*row).agg(F.collect_list("w").alias("wanted")))
+    texts = semi(docs.select(*row, "text"), wanted.select("key").distinct(), "key").dropDuplicates(row)
+    cut = texts.join(wanted, row).select("text", "wanted").mapInArrow(_contexts(width), "gram long, key long, rank long, first long, last long, lead long, n long, hot boolean, bytes binary")
+    cut = stored(cut)
+    release(kinds, several, wanted)
     shards = cut.where("not hot").repartition(partitions(docs.sparkSession), "gram").sortWithinPartitions("gram")
-    edges = shards.mapInPandas(_match(width, later), "key long, first long, last long")
+    edges = shards.mapInPandas(_match(width, later), "key long, rank long, first long, last long")
     windows = cut.where("hot").mapInPandas(_window_hashes(width), "window long, at long, gram long, key long, n long, rank long")
-    spread = windows.groupBy("gram", "window").agg(F.sum("n").alias("total"), F.min(F.struct("rank", "key", "at")).alias("m")).where("total > 1")
-    common = windows.join(spread, ["gram", "window"])
+    spread = stored(windows.groupBy("gram", "window").agg(F.sum("n").alias("total"), F.min(F.struct("rank", "key", "at")).alias("m")).where("total > 1").select("gram", "window", "m"))
+    common = small_join(windows, spread, ["gram", "window"])
     if later:
-        common = common.where("key <> m.key or at <> m.at")
-    common = common.select("key", F.col("at").alias("first"), F.col("at").alias("last"))
+        common = common.where("key <> m.key or rank <> m.rank or at <> m.at")
+    common = common.select(*row, F.col("at").alias("first"), F.col("at").alias("last"))
     return whole.union(edges).union(common)
 
 
@@ -326,10 +327,11 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # Rows with equal id and text share a key and a fate; counts still see each of them.
     keyed = keyed.withColumn("key", F.xxhash64("id", "text")).withColumn("rank", F.coalesce("id", F.lit(2**62)))
     found = repeated_windows(keyed, width, mode=mode, **how)
-    spans = found.groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    joined = keyed.join(spans, "key", "left").select("id", "text", "spans")
+    spans = found.groupBy("key", "rank").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    joined = keyed.join(spans, ["key", "rank"], "left").select("id", "text", "spans")
     return joined.mapInArrow(_cut(width), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary").withColumnRenamed("id", id_col)
 
 
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_substrings(table(spark, sf_dir, "documents")).drop("kept")
+    """The digest of each document, and cut: whether it lost bytes."""
+    return dedup_substrings(table(spark, sf_dir, "documents")).drop("kept").withColumn("cut", F.col("n_removed") > 0)
