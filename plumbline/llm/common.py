@@ -57,22 +57,28 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def semi(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+def named(docs: DataFrame, *columns: str) -> DataFrame:
+    """(doc, h1, h2): each row as a struct, so that no name clashes, with 128 bits of hash of the given columns as its name."""
+    back = [F.col("doc")[c] for c in reversed(columns)]
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")).withColumns({"h1": F.xxhash64(*(F.col("doc")[c] for c in columns)), "h2": F.xxhash64(F.lit(1), *back)})
+
+
+def semi(rows: DataFrame, ids: DataFrame, key: str | list[str]) -> DataFrame:
     """Rows whose key is among ids (distinct, counted): by broadcast if they are few, else by a shuffle."""
     few = ids.count() <= BROADCAST_IDS
     return rows.join(F.broadcast(ids) if few else ids, key, "left_semi")
 
 
-def anti(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+def anti(rows: DataFrame, ids: DataFrame, key: str | list[str]) -> DataFrame:
     """Rows whose key is not among ids (distinct, counted): by broadcast if they are few, else by a shuffle."""
     few = ids.count() <= BROADCAST_IDS
     return rows.join(F.broadcast(ids) if few else ids, key, "left_anti")
 
 
-def small_join(rows: DataFrame, other: DataFrame, key: str | list[str]) -> DataFrame:
-    """Inner join with a stored table of one row a key: by broadcast if it has few rows, else by a shuffle."""
+def small_join(rows: DataFrame, other: DataFrame, key: str | list[str], how: str = "inner") -> DataFrame:
+    """Join with a stored table of one row a key: by broadcast if it has few rows, else by a shuffle."""
     few = other.count() <= BROADCAST_IDS // 4
-    return rows.join(F.broadcast(other) if few else other, key)
+    return rows.join(F.broadcast(other) if few else other, key, how)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import anti, prepare, table
+from plumbline.llm.common import anti, named, prepare, stored, table
 from plumbline.llm.text import ALNUM, chunks, word_hashes
 
 BLOCK_WORDS = 1_000_000
@@ -195,16 +195,17 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     if blocks == 1:
         hits = docs.mapInArrow(_hits(Tests([tuple(r) for r in tests.collect()], window), window), f"id {id_type}, {kind}")
     else:
-        keyed = docs.withColumn("key", F.xxhash64("id", "text"))
+        # 128 bits of hash name a row.
+        keyed = docs.withColumn("key", F.struct(F.xxhash64("id", "text").alias("h1"), F.xxhash64(F.lit(1), "text", "id").alias("h2")))
         tagged = tests.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)))
         # One scan for each block: only documents with hits go to the union.
         found = None
         for b in range(blocks):
             part = Tests([tuple(r) for r in tagged.where(F.col("block") == b).select("item", "text").collect()], window)
-            one = keyed.mapInArrow(_hits(part, window), f"id {id_type}, key long, {kind}").where("size(spans) > 0").select("key", "spans", "matches")
+            one = keyed.mapInArrow(_hits(part, window), f"id {id_type}, key struct<h1: long, h2: long>, {kind}").where("size(spans) > 0").select("key", "spans", "matches")
             found = one if found is None else found.union(one)
         found = found.distinct().groupBy("key").agg(F.collect_list("spans").alias("spans"), F.flatten(F.collect_list("matches")).alias("matches"))
-        none = keyed.select("id", "key", "text").mapInArrow(_hits(Tests([], window), window), f"id {id_type}, key long, {kind}").select("id", "key", "n_words")
+        none = keyed.select("id", "key", "text").mapInArrow(_hits(Tests([], window), window), f"id {id_type}, key struct<h1: long, h2: long>, {kind}").select("id", "key", "n_words")
         all_spans = none.join(found, "key", "left").select("id", "n_words", F.coalesce("spans", F.array().cast(f"array<array<{SPAN}>>")).alias("spans"), F.coalesce("matches", F.array().cast(f"array<{MATCH}>")).alias("matches"))
         hits = all_spans.mapInPandas(_merge, f"id {id_type}, {kind}")
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
@@ -217,9 +218,11 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The documents that are not contaminated, with all their columns. Equal rows share their fate."""
-    tagged = docs.withColumn("_row", F.xxhash64(F.col(id_col), F.col(text_col)))
-    bad = contamination(tagged.select("_row", F.col(text_col)), items, "_row", text_col, **how).where("contaminated").select("_row").distinct()
-    return anti(tagged, bad.checkpoint(), "_row").drop("_row")
+    prepare(docs.sparkSession)
+    keyed = named(docs, id_col, text_col)
+    rows = keyed.select(F.struct("h1", "h2").alias("row"), F.col("doc")[text_col].alias("text"))
+    bad = stored(contamination(rows, items, "row", "text", **how).where("contaminated").select("row.h1", "row.h2").distinct())
+    return anti(keyed, bad, ["h1", "h2"]).select(*(F.col("doc")[c].alias(c) for c in docs.columns))
 
 
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

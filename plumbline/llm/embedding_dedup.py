@@ -11,8 +11,9 @@ counted all but never listed; a hot group is spread over all its tile pairs. The
 is too; the tile pairs of n vectors are compared in (n / tile)**2 / 2 tasks' steps, less those that the boxes exclude.
 
 Results per row: vec_id, n_links (other rows with cosine >= threshold, equal vectors included), component_id (smallest id
-reachable) and kept. Null, empty or zero vectors, ones with null or non-finite parts and ones of another length than the most
-common one link with nothing. Rows that share an id are one node but count as links of their own.
+reachable) and kept. Null, empty or zero vectors and ones with null or non-finite parts link with nothing; neither do vectors of
+different lengths, whose cosine is not defined: each length is compared by itself. Rows that share an id are one node but count as
+links of their own. A null id links with nothing and is kept; an empty table gives an empty one; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import components, partitions, prepare, table
+from plumbline.llm.common import components, partitions, prepare, release, stored, table
 from plumbline.llm.text import mix
 
 THRESHOLD = 0.95
@@ -87,15 +88,15 @@ def _assign(dim: int, axes: np.ndarray, bounds: np.ndarray, parts: int):
     return run
 
 
-def _pack(axes: np.ndarray):
-    """One row for a tile: its ids, class sizes, vectors and the box of its first places."""
+def _pack(axes: np.ndarray, kind: type):
+    """One row for a tile: its ids, class sizes, vectors (as wide as they came) and the box of its first places."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         x = np.vstack(part["v"].to_numpy()).astype(np.float64)
         y = (x / np.linalg.norm(x, axis=1)[:, None]) @ axes[:, :BOX]
         return pd.DataFrame({
             "tile": [int(part["tile"].iloc[0])], "ids": [part["id"].to_numpy(np.int64).tobytes()], "sizes": [part["n"].to_numpy(np.int64).tobytes()],
-            "vectors": [x.tobytes()], "lo": [y.min(axis=0).tolist()], "hi": [y.max(axis=0).tolist()],
+            "vectors": [x.astype(kind).tobytes()], "lo": [y.min(axis=0).tolist()], "hi": [y.max(axis=0).tolist()],
         })
 
     return run
@@ -141,7 +142,7 @@ def compare(x: np.ndarray, y: np.ndarray, axes: np.ndarray, threshold: float) ->
     return link
 
 
-def _compare_tiles(dim: int, axes: np.ndarray, threshold: float):
+def _compare_tiles(dim: int, axes: np.ndarray, threshold: float, kind: type):
     """Per tile pair: links of each row as (id, n, -1) and a spanning forest as (id, -1, other)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +150,7 @@ def _compare_tiles(dim: int, axes: np.ndarray, threshold: float):
             for r in range(batch.num_rows):
                 raw = {c: batch.column(c)[r].as_buffer() for c in ("ids", "sizes", "vectors", "ids2", "sizes2", "vectors2")}
                 ids, sizes, ids2, sizes2 = (np.frombuffer(raw[c], np.int64) for c in ("ids", "sizes", "ids2", "sizes2"))
-                x, y = (np.frombuffer(raw[c], np.float64).reshape(-1, dim) for c in ("vectors", "vectors2"))
+                x, y = (np.frombuffer(raw[c], kind).astype(np.float64).reshape(-1, dim) for c in ("vectors", "vectors2"))
                 same = batch.column("tile")[r].as_py() == batch.column("tile2")[r].as_py()
                 link = compare(x, y, axes, threshold)
                 if same:
@@ -166,21 +167,11 @@ def _compare_tiles(dim: int, axes: np.ndarray, threshold: float):
     return run
 
 
-def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
-    """(id, n_links, component_id, kept) of each row of vectors."""
-    spark = vectors.sparkSession
-    prepare(spark)
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    fine = F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0) & F.col("id").isNotNull()
-    # -0.0 is 0.0, so that equal vectors have equal hashes.
-    rows = rows.withColumn("v", F.when(F.coalesce(fine, F.lit(False)), F.transform("v", lambda x: x + F.lit(0.0)))).withColumn("h", F.sha2(F.to_json(F.struct("v")), 256))
-    top = rows.where("v is not null").groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if top is None:
-        return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    dim = top["d"]
-    good = rows.where(F.size("v") == dim)
+def _links(good: DataFrame, dim: int, kind: type, threshold: float, tile: int) -> tuple[DataFrame, DataFrame]:
+    """Of vectors (h1, h2, id, v) of one length: the classes (h1, h2, id, n) and what their tile pairs give (a, links, b)."""
+    spark = good.sparkSession
     # A class's node is its smallest id; if two classes share that id (repeated ids), edges to it still mean the same node.
-    classes = good.groupBy("h").agg(F.min(F.struct("id", "v")).alias("m"), F.count("*").alias("n")).select("h", "m.id", "m.v", "n").checkpoint()
+    classes = stored(good.groupBy("h1", "h2").agg(F.min(F.struct("id", "v")).alias("m"), F.count("*").alias("n")).select("h1", "h2", "m.id", "m.v", "n"))
     total = classes.count()
     moments = classes.select("v").mapInArrow(_moments(dim), "k long, x double").groupBy("k").agg(F.sum("x").alias("x")).orderBy("k").collect()
     _, axes = np.linalg.eigh(np.array([m["x"] for m in moments]).reshape(dim, dim))
@@ -192,7 +183,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     lead = classes.select("id", "v").mapInArrow(_project(dim, axes), "lead double")
     bounds = np.array(lead.select(F.percentile_approx("lead", cuts, 20 * ranges)).first()[0] if cuts else [])
     tiles = classes.select("id", "n", "v").mapInArrow(_assign(dim, axes, bounds, parts), "id long, n long, v array<double>, tile long")
-    tiles = tiles.groupBy("tile").applyInPandas(_pack(axes), "tile long, ids binary, sizes binary, vectors binary, lo array<double>, hi array<double>").checkpoint()
+    tiles = stored(tiles.groupBy("tile").applyInPandas(_pack(axes, kind), "tile long, ids binary, sizes binary, vectors binary, lo array<double>, hi array<double>"))
     # Boxes farther apart than the chord of the threshold hold no link. Only ids and boxes take part in this choice.
     chord = 2 - 2 * threshold + SLACK
     box = tiles.select("tile", "lo", "hi")
@@ -200,17 +191,42 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     cell = lambda side, more: F.floor(F.col(side)[0] / float(chord**0.5)) + more
     near = box.withColumn("cell", F.explode(F.sequence(cell("lo", -1), cell("hi", 1))))
     other = box.select(F.col("tile").alias("tile2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), F.explode(F.sequence(cell("lo", 0), cell("hi", 0))).alias("cell"))
-    pairs = near.join(other, "cell").where((F.col("tile") <= F.col("tile2")) & (gap <= chord)).select("tile", "tile2").distinct().checkpoint()
+    pairs = stored(near.join(other, "cell").where((F.col("tile") <= F.col("tile2")) & (gap <= chord)).select("tile", "tile2").distinct())
     second = tiles.select(F.col("tile").alias("tile2"), F.col("ids").alias("ids2"), F.col("sizes").alias("sizes2"), F.col("vectors").alias("vectors2"))
     first = tiles.select("tile", "ids", "sizes", "vectors")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # tiles are large rows
-    found = pairs.repartition(max(partitions(spark), 1), "tile", "tile2").join(first, "tile").join(second, "tile2").mapInArrow(_compare_tiles(dim, axes, threshold), "a long, links long, b long").checkpoint()
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows)
+    spark.conf.set(rows, "4")  # tiles are large rows
+    try:
+        found = stored(pairs.repartition(max(partitions(spark), 1), "tile", "tile2").join(first, "tile").join(second, "tile2").mapInArrow(_compare_tiles(dim, axes, threshold, kind), "a long, links long, b long"))
+    finally:
+        spark.conf.set(rows, before)
+    release(tiles, pairs)
+    return classes.select("h1", "h2", "id", "n"), found
+
+
+def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
+    """(id, n_links, component_id, kept) of each row of vectors."""
+    spark = vectors.sparkSession
     prepare(spark)
+    kind = np.float32 if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else np.float64
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    fine = F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0) & F.col("id").isNotNull()
+    # -0.0 is 0.0, so that equal vectors have equal hashes: 128 bits name a class.
+    rows = rows.withColumn("v", F.when(F.coalesce(fine, F.lit(False)), F.transform("v", lambda x: x + F.lit(0.0))))
+    rows = rows.withColumns({"h1": F.when(F.col("v").isNotNull(), F.xxhash64("v")), "h2": F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(1), F.reverse("v")))})
+    lengths = [r["d"] for r in rows.where("v is not null").groupBy(F.size("v").alias("d")).count().orderBy("d").collect()]
+    if not lengths:
+        return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+    classes = found = None
+    for dim in lengths:
+        one, more = _links(rows.where(F.size("v") == dim).select("h1", "h2", "id", "v"), dim, kind, threshold, tile)
+        classes, found = (one, more) if classes is None else (classes.union(one), found.union(more))
     links = found.where("links >= 0").groupBy("a").agg(F.sum("links").alias("links")).withColumnRenamed("a", "id")
     nodes = components(found.where("links < 0").select("a", "b"))
-    classes = classes.select("h", "id", "n").join(links, "id", "left").join(nodes, classes["id"] == nodes["node"], "left")
-    per = classes.select("h", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
-    out = rows.withColumn("h", F.when(F.size("v") == dim, F.col("h"))).select("id", "h").join(per, "h", "left")
+    classes = classes.join(links, "id", "left").join(nodes.withColumnRenamed("node", "id"), "id", "left")
+    per = stored(classes.select("h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "id").alias("component")))
+    out = rows.select("id", "h1", "h2").join(per, ["h1", "h2"], "left")
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 

@@ -5,11 +5,12 @@ markup declares, the address (path parts and top-level domain), and the prior of
 likelihood tables P(evidence | language); the host prior is smoothed hierarchically, the host towards its domain and that
 towards the whole corpus, from grouped aggregations of the text posteriors of all rows.
 
-The trigram model is fitted on about TRAIN_ROWS labelled rows per language, those of least hash, TRAIN_BYTES of each;
-everything else (declared and address tables, priors) covers all rows. Hot hosts only meet partial aggregations.
+The trigram model is fitted on about TRAIN_ROWS labelled rows per language, those of least hash, whole texts; everything else (declared and address tables, priors) covers all rows. Hot hosts only meet partial aggregations.
 
 Results: lang (None without letters), confidence (posterior of lang), text_lang, and kept: False for rows without any letter
-and for rows whose text fits no language better than chance bytes (junk). Null text, markup and address are no evidence.
+and for rows whose text fits no language better than chance bytes (junk). Null text, markup and address are no evidence; null
+keys pass through. Of equal posteriors the language first by name is taken. Repeated rows count as often as they stand and get equal
+results, an empty table gives an empty one, texts are whole, and columns beyond those named are ignored.
 """
 
 from __future__ import annotations
@@ -22,13 +23,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import anti, prepare, table
+from plumbline.llm.common import anti, named, prepare, release, small_join, stored, table
 from plumbline.llm.text import LOWER, chunks
 
 TRAIN_ROWS = 400
-TRAIN_BYTES = 20_000
 SLOTS = 1 << 16
-#: A text's evidence counts as this many trigrams at most: neighbours are not independent.
+#: Neighbouring trigrams are not independent: beyond this many, a text's evidence grows with the root of their number, without end.
 EVIDENCE = 40
 #: Pseudo-counts with which a host leans on its domain, and a domain on the corpus.
 LEAN = 5.0
@@ -46,7 +46,9 @@ def trigrams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     low = LOWER[data]
     letter = _CLASS[low] > 0
     low = np.where(letter, low, 32).astype(np.uint32)
-    keep = letter | np.append(True, letter[:-1])
+    after_letter = np.append(True, letter[:-1])
+    after_letter[off[:-1][off[:-1] < len(low)]] = True  # no row looks at the one before
+    keep = letter | after_letter[: len(low)]
     row = np.repeat(np.arange(len(off) - 1), np.diff(off))
     low, row, letter = low[keep], row[keep], letter[keep]
     if len(low) < 3:
@@ -71,8 +73,11 @@ def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     some = labelled.where("label is not null and text is not null").select("label", "text", F.xxhash64("text").alias("r"))
     # A threshold on the hash from the label's row count keeps the sample near TRAIN_ROWS without sorting anything.
     share = F.least(F.lit(1.0), F.lit(float(TRAIN_ROWS)) / F.count("*"))
-    sample = some.join(some.groupBy("label").agg(share.alias("share")), "label").where((F.col("r") / F.lit(2.0**64) + 0.5) <= F.col("share")).select("label", F.substring("text", 1, TRAIN_BYTES).alias("text"))
+    # Labels are few, so their shares are broadcast and no text is shuffled.
+    shares = stored(some.groupBy("label").agg(share.alias("share")))
+    sample = small_join(some, shares, "label").where((F.col("r") / F.lit(2.0**64) + 0.5) <= F.col("share")).select("label", "text")
     counts = sample.mapInArrow(_train, "label string, slot long, n long").groupBy("label", "slot").agg(F.sum("n").alias("n")).collect()
+    release(shares)
     langs = sorted({c["label"] for c in counts})
     table_ = np.zeros((len(langs), SLOTS))
     for c in counts:
@@ -120,8 +125,8 @@ def fuse(rows: DataFrame, keys: list[str], text: str, declared: Column, address:
     k = len(langs)
     kinds = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in base.schema if c.name != "text")
     scored = base.mapInArrow(_likelihood(table_, markup), f"{kinds}, mean array<double>, n long")
-    weight = F.least(F.col("n"), F.lit(EVIDENCE)).cast("double")
-    scored = scored.withColumn("text_log", F.transform("mean", lambda m: m * weight)).checkpoint()
+    weight = F.when(F.col("n") > EVIDENCE, F.sqrt(F.col("n") * float(EVIDENCE))).otherwise(F.col("n").cast("double"))
+    scored = stored(scored.withColumn("text_log", F.transform("mean", lambda m: m * weight)))
     best = F.array_position("mean", F.array_max("mean")).cast("int")
     # Text posteriors: soft counts for all the other tables.
     top = F.array_max("text_log")
@@ -150,8 +155,8 @@ def fuse(rows: DataFrame, keys: list[str], text: str, declared: Column, address:
     domains = hosts.groupBy("domain").agg(*(F.sum(f"p{i}").alias(f"d{i}") for i in range(k)))
     n_host, n_domain = sum(F.col(f"p{i}") for i in range(k)), sum(F.col(f"d{i}") for i in range(k))
     leaned = [(F.col(f"p{i}") + LEAN * (F.col(f"d{i}") + LEAN * prior[i]) / (n_domain + LEAN)) / (n_host + LEAN) for i in range(k)]
-    hosts = hosts.join(domains, "domain").select("host", F.array(*(F.log(x) for x in leaned)).alias("host_log"))
-    joined = scored.join(hosts, "host", "left")
+    hosts = stored(hosts.join(domains, "domain").select("host", F.array(*(F.log(x) for x in leaned)).alias("host_log")))
+    joined = small_join(scored, hosts, "host", "left")
     flat = F.array(*(F.lit(float(np.log(p))) for p in prior))
     add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
     from_address = F.aggregate(F.coalesce("address", F.array().cast("array<string>")), F.array_repeat(F.lit(0.0), k), lambda s, a: F.zip_with(s, evidence(parts, a), lambda x, y: x + y))
@@ -192,7 +197,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_known_languages(docs: DataFrame) -> DataFrame:
     """Documents whose text fits a language; columns as they were. Declared language and source are evidence too."""
     prepare(docs.sparkSession)
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text", "lang", "source"))
-    found = fuse(keyed, ["_row"], "text", F.col("lang"), F.array().cast("array<string>"), F.col("source"))
-    bad = found.where("not kept").select("_row").distinct()
-    return anti(keyed, bad.checkpoint(), "_row").drop("_row")
+    keyed = named(docs, "doc_id", "text", "lang", "source")
+    rows = keyed.select("h1", "h2", *(F.col("doc")[c].alias(c) for c in ("text", "lang", "source")))
+    found = fuse(rows, ["h1", "h2"], "text", F.col("lang"), F.array().cast("array<string>"), F.col("source"))
+    bad = stored(found.where("not kept").select("h1", "h2").distinct())
+    return anti(keyed, bad, ["h1", "h2"]).select(*(F.col("doc")[c].alias(c) for c in docs.columns))

@@ -84,7 +84,7 @@ _RUN = re.compile(r"a+|A+|9{6,}")
 
 
 def shape(word: str) -> str:
-    raw = "".join(_SHAPE.get(c, c if c < "\x80" else "a") for c in word[:40])
+    raw = "".join(_SHAPE.get(c, c if c < "\x80" else "a") for c in word)
     return _RUN.sub(lambda m: m[0][0] if m[0][0] != "9" else "9+", raw)
 
 

@@ -49,9 +49,10 @@ def test_vectors_equal_brute_force(spark):
     r = np.random.default_rng(1)
     base = r.normal(size=(30, 16))
     rows = [(i, v.tolist()) for i, v in enumerate(base)] + [(100 + i, (base[i % 6] + r.normal(size=16) * 0.12).tolist()) for i in range(60)]
+    rows += [(300, [1.0, 0.0]), (301, [2.0, 0.0]), (302, [0.0, 1.0])]  # a length of few vectors
     rows += [(200, (2 * base[0]).tolist()), (201, base[1].tolist()), (202, None), (203, [0.0] * 16), (204, [float("nan")] + [1.0] * 15), (205, [None] + [1.0] * 15), (206, [1.0, 2.0]), (207, []), (-5, base[2].tolist())]
-    x = {i: np.array(v, float) for i, v in rows if v and len(v) == 16 and None not in v and np.isfinite(np.array(v, float)).all() and any(v)}
-    link = {i: {j for j in x if j != i and x[i] @ x[j] / np.linalg.norm(x[i]) / np.linalg.norm(x[j]) >= 0.95} for i in x}
+    x = {i: np.array(v, float) for i, v in rows if v and None not in v and np.isfinite(np.array(v, float)).all() and any(v)}
+    link = {i: {j for j in x if j != i and len(x[i]) == len(x[j]) and x[i] @ x[j] / np.linalg.norm(x[i]) / np.linalg.norm(x[j]) >= 0.95} for i in x}
 
     def reach(i):
         seen, todo = {i}, [i]
@@ -122,6 +123,84 @@ def test_language_keeps_clean_text_and_drops_junk(spark):
     assert langid.keep_known_languages(df.limit(0)).count() == 0
 
 
+def test_language_of_pages_by_markup_address_and_host(spark):
+    """Text alone, then declared language, address part and host prior, each against the fusion by its definition."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = langid.fit(docs.select(docs["lang"].alias("label"), "text"))
+    text = {lang: [r.text[:400] for r in docs.where(docs["lang"] == lang).limit(6).collect()] for lang in ("en", "fr")}
+    rows = [(i, f"https://www.a.example.com/en/{i}", f"<html lang='en'><p>{t}</p>") for i, t in enumerate(text["en"])]
+    rows += [(20 + i, f"https://b.example.fr/fr/{i}", f'<HTML class=x lang="fr-FR"><p>{t}</p>') for i, t in enumerate(text["fr"])]
+    # No letters; hardly any text, where the evidence decides; null html; null url; a repeated row.
+    rows += [(50, "https://b.example.fr/fr/x", "<html lang=fr>12 34"), (51, "https://b.example.fr/fr/y", "<html lang=fr><p>on"), (52, "https://www.a.example.com/en/y", "<html lang=en><p>on"), (53, "https://b.example.fr/z", None), (54, None, "<p>" + text["en"][0]), (0, rows[0][1], rows[0][2])]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' as host", "1 as n")
+    found = langid.fuse(df, ["page_id", "url"], "html", label=langid.F.lit(None).cast("string"), markup=True, model=model, **langid.page_evidence()).collect()
+    got = {r.page_id: r for r in found}
+    assert len(found) == len(rows) and all(got[i].lang == "en" for i in range(6)) and all(got[20 + i].lang == "fr" for i in range(6))
+    assert (got[50].lang, got[50].kept, got[53].lang, got[54].lang) == (None, False, None, "en")
+    assert (got[51].lang, got[52].lang) == ("fr", "en") and got[51].text_lang == got[52].text_lang
+    langs, table = model
+    k = len(langs)
+    ev = {r.page_id: r for r in df.select("page_id", *(c.alias(a) for a, c in {**langid.page_evidence(), "declared": langid.F.lower(langid.page_evidence()["declared"])}.items())).collect()}
+    logs = []
+    for i, _, t in rows:
+        raw = langid.visible(t.encode()) if t else b""
+        slot, _ = langid.trigrams(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        n = len(slot)
+        logs.append((i, n, table[slot].mean(axis=0) * (n if n <= 40 else (40 * n) ** 0.5) if n else np.zeros(k)))
+    post = [(i, np.exp(x - x.max()) / np.exp(x - x.max()).sum()) for i, n, x in logs if n]
+    total = sum(p for _, p in post)
+    prior = (total + 1) / (total.sum() + k)
+    sums = lambda has: sum((p for i, p in post if has(ev[i])), np.zeros(k))
+    for i, n, x in logs:
+        if not n:
+            continue
+        e = ev[i]
+        for has in [lambda v, d=e.declared: v.declared == d] * bool(e.declared) + [lambda v, a=a: a in v.address for a in dict.fromkeys(e.address)]:
+            x = x + np.log((sums(has) + 0.5 * prior) / (total + 0.5))
+        if e.host:
+            domain = ".".join(e.host.split(".")[-2:])
+            lean = (sums(lambda v, d=domain: v.host and v.host.endswith(d)) + 5 * prior) / (sums(lambda v, d=domain: v.host and v.host.endswith(d)).sum() + 5)
+            own = sums(lambda v, h=e.host: v.host == h)
+            x = x + np.log((own + 5 * lean) / (own.sum() + 5))
+        else:
+            x = x + np.log(prior)
+        assert abs(got[i].confidence - 1 / np.exp(x - x.max()).sum()) < 1e-6 and got[i].lang == langs[int(x.argmax())]
+
+
+def test_marginals_equal_enumeration():
+    import itertools
+
+    r = np.random.default_rng(4)
+    for page in ("<div><p>a</p><ul><li>b<li>c</ul></div><p>d", "<main>x<p>y<b>z</b></p></main>", "<p>a"):
+        batch = html_content.Batch([page])
+        weights, pair = r.normal(size=html_content.N_FEATURES), r.normal(size=(2, 2))
+        odds, expected = batch.marginals(weights, pair)
+        own, mass, joint = batch.x @ weights, np.zeros((batch.n, 2)), np.zeros((2, 2))
+        for state in itertools.product((0, 1), repeat=batch.n):
+            links = [(state[batch.parent[i]], state[i]) for i in range(batch.n) if batch.parent[i] >= 0]
+            p = np.exp(sum(own[i] for i in range(batch.n) if state[i]) + sum(pair[a, b] for a, b in links))
+            mass[np.arange(batch.n), state] += p
+            for a, b in links:
+                joint[a, b] += p
+        assert np.allclose(odds, np.log(mass[:, 1] / mass[:, 0])) and np.allclose(expected, joint / mass[0].sum())
+
+
+def test_clashing_names_in_every_stage(spark):
+    """Columns named as the stages' own ones stay as they are."""
+    import corpus_pipeline
+
+    own = ["doc", "key", "h1", "h2", "id", "t", "pos", "kept", "dropped", "n_dropped", "n_lines", "_row", "_key", "_dropped", "_n_lines", "_n_dropped", "component_id", "n_shingles", "row", "host", "declared", "n"]
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(40).selectExpr("*", *(f"'{c}' as {c}" for c in own))
+    odd = docs.limit(1).selectExpr("cast(null as long) doc_id", "text", "lang", "cast(null as string) source", "n_chars", *own)
+    docs = docs.union(odd).union(docs.limit(2))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns and out.schema == docs.schema, name
+        rows = out.collect()
+        assert rows and all(r[c] == c for r in rows for c in own), name
+        assert stage(spark, docs.limit(0), "/root/testdata/sf0.001").count() == 0, name
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
