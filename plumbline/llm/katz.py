@@ -42,7 +42,7 @@ TAIL = 0.1
 START, END = np.uint64(0x51A7), np.uint64(0xE2D)
 #: Stands for a null id in a packed row.
 NULL = -(2**63)
-BUCKET_TOKENS = 1_000_000
+BUCKET_TOKENS = 2_500_000
 #: Rows of a batch of results, and entries of a bucket that are counted at once.
 ROWS = 100_000
 BLOCK_BYTES = 3_000_000
@@ -119,6 +119,16 @@ def sorted_values(raw: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(raw, np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel(), dtype=np.uint64)
 
 
+def narrow(x: np.ndarray) -> np.ndarray:
+    """Counts as bytes if all fit, else as 32-bit numbers."""
+    return x.astype(np.uint8 if x.max(initial=0) < 256 else np.int32)
+
+
+def wide(raw: bytes, n: int) -> np.ndarray:
+    """The n counts of narrow()."""
+    return np.frombuffer(raw, np.uint8 if len(raw) == n else np.int32)
+
+
 def _pack(buckets: int, hot: np.ndarray):
     """One row for each bucket and block of documents."""
 
@@ -162,8 +172,8 @@ def _pack(buckets: int, hot: np.ndarray):
                 docs, local = np.unique(doc[s], return_inverse=True)
                 hs, hi = np.unique(y[p], return_inverse=True)
                 cols = [
-                    sorted_bytes(w[x[p][f]]), np.diff(np.append(f, len(p))).astype(np.int32), sorted_bytes(h[hs]), hi.astype(np.uint16 if len(hs) < 2**16 else np.uint32), np.diff(np.append(p, len(x))).astype(np.int32),
-                    local.astype(np.uint16), n[s].astype(np.int32), docs.astype(np.int32), held[docs], count.astype(np.int32) if home else np.zeros(0, np.int32),
+                    sorted_bytes(w[x[p][f]]), narrow(np.diff(np.append(f, len(p)))), sorted_bytes(h[hs]), hi.astype(np.uint16 if len(hs) < 2**16 else np.uint32), narrow(np.diff(np.append(p, len(x)))),
+                    local.astype(np.uint16), narrow(n[s]), docs.astype(np.int32), held[docs], count.astype(np.int32) if home else np.zeros(0, np.int32),
                     np.array([NULL if i is None else i for i in ids] if home else [], np.int64),
                 ]
                 raw = [pa.array([c.tobytes()], pa.binary()) for c in cols]
@@ -193,10 +203,9 @@ def _score(hot: np.ndarray, hot_counts: np.ndarray):
             docs = np.frombuffer(r["rows"], np.int32)
             key.append((np.int64(r["block"]) << 20) | docs)
             held.append(np.frombuffer(r["held"], bool))
-            wn, hn = np.frombuffer(r["wn"], np.int32), np.frombuffer(r["hn"], np.int32)
             w, h = sorted_values(r["w"]), sorted_values(r["h"])
-            hi = np.frombuffer(r["hi"], np.uint16 if len(h) < 2**16 else np.uint32)
-            parts.append((w, wn, h, hi, hn, np.frombuffer(r["doc"], np.uint16), base, np.frombuffer(r["n"], np.int32)))
+            hi, doc = np.frombuffer(r["hi"], np.uint16 if len(h) < 2**16 else np.uint32), np.frombuffer(r["doc"], np.uint16)
+            parts.append((w, wide(r["wn"], len(w)), h, hi, wide(r["hn"], len(hi)), doc, base, wide(r["n"], len(doc))))
             base += len(docs)
             total += len(hi)
             if len(r["ids"]):
@@ -223,14 +232,14 @@ def _score(hot: np.ndarray, hot_counts: np.ndarray):
                 if a == z:
                     continue
                 p0, e0 = ends[k]
-                p1 = p0 + int(wn[a:z].sum())
-                e1 = e0 + int(hn[p0:p1].sum())
+                p1 = p0 + int(wn[a:z].sum(dtype=np.int64))
+                e1 = e0 + int(hn[p0:p1].sum(dtype=np.int64))
                 ends[k] = p1, e1
                 cw.append(np.repeat(w[a:z], wn[a:z]))
                 ch.append(h[hi_[p0:p1]])
                 ps.append(np.repeat(np.arange(p1 - p0, dtype=np.int32) + np.int32(n_pairs), hn[p0:p1]))
                 dd.append(doc[e0:e1].astype(np.int32) + np.int32(at_doc))
-                nn.append(n[e0:e1])
+                nn.append(n[e0:e1].astype(np.int64))
                 n_pairs += p1 - p0
             if not cw:
                 continue
@@ -357,17 +366,18 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # The history term taken at the history's own word was -log c(h): undo it, and add the backed-off probability.
     back = F.col("x") + F.col("tokens") * (F.coalesce(F.col("alpha") + F.when(F.col("key") == int(START), F.lit(0.0)).otherwise(F.col("log_c")), F.lit(0.0)) - norm)
     zero = F.lit(0).cast("long")
-    part = found.where("kind = 0").select("key", F.expr(f"nullif(id, {NULL + 1} - 1)").alias("id"), "tokens", *(f"n{k + 1}" for k in range(CUTOFF)), "x", "y", "known", F.lit(0.0).alias("z"), zero.alias("gone"))
-    part = part.union(unseen.select(F.col("doc").alias("key"), F.lit(None).cast("long"), zero, *(zero for _ in range(CUTOFF)), F.lit(0.0), F.lit(0.0), zero, back.alias("z"), F.when(F.col("key") == int(START), F.col("tokens")).otherwise(zero)))
-    seen = F.col("y") + F.col("z") + sum((F.col(f"n{k + 1}") * math.log10((k + 1) * d[k]) for k in range(CUTOFF)), F.lit(0.0))
-    per = part.groupBy("key").agg(F.max("id").alias("id"), *(F.sum(c).alias(c) for c in ("tokens", *(f"n{k + 1}" for k in range(CUTOFF)), "x", "y", "known", "z", "gone")))
+    # Of seen tokens all is known by now but their first history: one sum a row goes through the shuffle.
+    seen = F.col("y") + sum((F.col(f"n{k + 1}") * math.log10((k + 1) * d[k]) for k in range(CUTOFF)), F.lit(0.0))
+    part = found.where("kind = 0").select("key", F.expr(f"nullif(id, {NULL + 1} - 1)").alias("id"), "tokens", "x", seen.alias("y"), "known", zero.alias("gone"))
+    part = part.union(unseen.select(F.col("doc").alias("key"), F.lit(None).cast("long"), zero, F.lit(0.0), back, zero, F.when(F.col("key") == int(START), F.col("tokens")).otherwise(zero)))
+    per = part.groupBy("key").agg(F.max("id").alias("id"), *(F.sum(c).alias(c) for c in ("tokens", "x", "y", "known", "gone")))
     # The first token's history is the start, which has no word of its own: its count is the number of training texts.
-    starts = per.select(F.coalesce(F.crc32(F.col("id").cast("string")) % 7 == 2, F.lit(False)).alias("held_out")).where("not held_out").count()
-    first = F.when(F.col("gone") > 0, 0.0).otherwise(-math.log10(max(1, starts)))
     held = F.coalesce(F.crc32(F.col("id").cast("string")) % 7 == 2, F.lit(False))
+    starts = docs.where(~held).count()
+    first = F.when(F.col("gone") > 0, 0.0).otherwise(-math.log10(max(1, starts)))
     return per.select(
         F.col("id").alias(id_col), held.alias("held_out"), F.col("tokens").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(int(train)).cast("long").alias("train_tokens"),
-        (F.col("x") - F.col("tokens") * norm).alias("base_score"), (seen + first).alias("score"),
+        (F.col("x") - F.col("tokens") * norm).alias("base_score"), (F.col("y") + first).alias("score"),
     )
 
 
