@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +15,11 @@ from plumbline.session import ship
 BROADCAST_IDS = 500_000
 #: Rows in an Arrow batch: bounds what a Python worker holds of long texts.
 BATCH_ROWS = 1_000
+BATCH_BYTES = 8_000_000
 
 
 def prepare(spark: SparkSession) -> None:
-    """Make sure of a shared checkpoint folder (the cluster's if it names one) and bounded Arrow batches."""
+    """Make sure of a shared checkpoint folder (the cluster's if it names one) and bounded Arrow batches (kept for the session: plans run later)."""
     ship(spark)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         shared = spark.conf.get("spark.checkpoint.dir", None)
@@ -24,6 +27,15 @@ def prepare(spark: SparkSession) -> None:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(shared)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def give_back() -> None:
+    """Return freed memory of this Python worker to the system: workers are reused, and what they keep adds to the executor's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import prepare, release, stored, table
+from plumbline.llm.common import give_back, prepare, release, stored, table
 from plumbline.llm.text import NOT_SPACE, chunks, pair_hash, word_hashes
 
 CUTOFF = 5
@@ -85,6 +85,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarra
                 ids, parts, have = [], [], 0
     if ids:
         yield ids, *(np.concatenate(x) for x in zip(*parts, strict=True))
+    del ids, parts
+    give_back()
 
 
 def _frequent(share: float, only: np.ndarray | None = None):
@@ -305,10 +307,12 @@ def _score(hot: np.ndarray, hot_counts: np.ndarray):
                 if held and row["bucket"] != held[0]["bucket"]:
                     yield from (pa.RecordBatch.from_pandas(f, preserve_index=False) for f in bucket(held))
                     held = []
-                    pa.default_memory_pool().release_unused()
+                    give_back()
                 held.append(row)
         if held:
             yield from (pa.RecordBatch.from_pandas(f, preserve_index=False) for f in bucket(held))
+        del held
+        give_back()
 
     return run
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import components, partitions, prepare, release, semi, small_join, stored, table
+from plumbline.llm.common import components, give_back, partitions, prepare, release, semi, small_join, stored, table
 from plumbline.llm.embedding_dedup import forest
 from plumbline.llm.text import BASE, MIX2, NOT_SPACE, chunks, mix, pair_hash, word_hashes
 
@@ -127,6 +127,8 @@ def _table_keys(side: int, block: int = 20_000):
                 held, n = [], 0
         if n:
             yield from tables(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        del held
+        give_back()
 
     return run
 

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import prepare, table
+from plumbline.llm.common import give_back, prepare, table
 from plumbline.llm.text import chunks, prefix_hash, span_hash
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -287,6 +287,8 @@ def _encode(pieces: Pieces):
             ids, off = pieces.encode(batch.column("text"))
             lists = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in batch.schema.names if c != "text"), lists], names=[*(c for c in batch.schema.names if c != "text"), "ids"])
+            del ids, off, lists
+        give_back()
 
     return run
 
