@@ -43,7 +43,12 @@ bp AS (SELECT s.recording_id, b.band, SUM(CASE WHEN s.f0 >= b.lo THEN (s.freq -
 FIT = f"""pts AS (SELECT recording_id, LOG10(freq) AS x, LOG10(GREATEST(psd, {num(1e-30)})) AS y FROM psd WHERE freq >= 2 AND freq <= 40),
 f1 AS (SELECT recording_id, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM pts GROUP BY recording_id),
 f2 AS (SELECT p.recording_id, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, regr_r2(y, x) AS r2, COUNT(*) AS n_points FROM pts p JOIN f1 ON f1.recording_id = p.recording_id WHERE y <= a + b * x + {num(1e-12)} GROUP BY p.recording_id)"""
-MARK = "ev AS (SELECT event_id, recording_id, onset, kind, LEAD(onset) OVER (PARTITION BY recording_id ORDER BY onset, event_id) AS nxt FROM markers WHERE kind IS NOT NULL)"
+#: Blocks run to the next event or, the last ones, to the recording's end.
+MARK = """ev AS (SELECT event_id, recording_id, onset, kind, LEAD(onset) OVER (PARTITION BY recording_id ORDER BY onset, event_id) AS nxt FROM markers WHERE kind IS NOT NULL),
+rec AS (SELECT recording_id, MAX(onset) AS last FROM markers GROUP BY recording_id),
+block AS (SELECT e.recording_id, e.event_id, e.kind, e.onset, COALESCE(e.nxt, c.last) AS stop FROM ev e JOIN rec c ON c.recording_id = e.recording_id WHERE e.kind <> 'boundary')"""
+#: Channels as recorded: subjects of the second dataset wear two more.
+SEEN = "seen AS (SELECT DISTINCT subject_id, channel FROM metrics UNION ALL SELECT subject_id, 'AF3' FROM subjects WHERE dataset = 1 UNION ALL SELECT subject_id, 'FC1' FROM subjects WHERE dataset = 1)"
 N = 64
 #: All bins of an epoch but the mean's. Epochs last a second (64 samples at 64 Hz, as in c12_), so bin k is k Hz.
 DFT = f"""freqs AS (SELECT * FROM (VALUES {', '.join(f'({k})' for k in range(1, N // 2 + 1))}) AS t(k)),
@@ -55,7 +60,7 @@ edge AS (SELECT ca, cb, band, AVG(coh) AS coh, AVG(imcoh) AS imcoh, AVG(ABS(wpli
 #: Correlation graphs between channels in each subject: 19 nodes at most.
 GRAPH = """node AS (SELECT subject_id, condition, channel, band, value FROM metrics WHERE metric = 'absolute_power'),
 graph AS (SELECT a.subject_id, a.condition, a.band, a.channel AS ca, b.channel AS cb, 1 / (1 + ABS(LN(a.value) - LN(b.value))) AS weight FROM node a JOIN node b ON a.subject_id = b.subject_id AND a.condition = b.condition AND a.band = b.band AND a.channel < b.channel WHERE a.value > 0 AND b.value > 0),
-lim AS (SELECT subject_id, condition, band, $PCT(weight, 0.75) AS cut FROM graph GROUP BY subject_id, condition, band),
+lim AS (SELECT subject_id, condition, band, $PCT(weight, 0.75) AS cut FROM (SELECT subject_id, condition, band, weight FROM graph UNION ALL SELECT subject_id, condition, band, weight FROM graph) g GROUP BY subject_id, condition, band),
 kept AS (SELECT g.* FROM graph g JOIN lim l ON g.subject_id = l.subject_id AND g.condition = l.condition AND g.band = l.band WHERE g.weight >= l.cut),
 sym AS (SELECT subject_id, condition, band, ca AS u, cb AS v, weight FROM kept UNION ALL SELECT subject_id, condition, band, cb AS u, ca AS v, weight FROM kept)"""
 
@@ -77,21 +82,21 @@ QUERIES: dict[str, str] = {
     "p13_normal": f"SELECT l_orderkey, l_linenumber, {r(norm_cdf('z'))} AS cdf, {r(two_tailed('z'))} AS p, {r(norm_ppf('u'))} AS ppf FROM (SELECT l_orderkey, l_linenumber, (l_quantity - 25) / 7 AS z, (l_discount * 100 + 1) / 13 AS u FROM lineitem) q",
     "p17_row_filters": "SELECT m.subject_id, m.channel, m.band, m.value FROM metrics m WHERE m.condition = 'eo' AND m.metric = 'relative_power' AND m.channel NOT IN ('Fp1', 'Fp2') AND EXISTS (SELECT 1 FROM subjects s WHERE s.subject_id = m.subject_id AND s.sex IN ('F', 'M') AND s.age >= 20)".replace("m.value", "(round(m.value, 6) + 0.0) AS value", 1),
     "p18_slice": "SELECT subject_id, k FROM (SELECT subject_id, ROW_NUMBER() OVER (ORDER BY subject_id) AS k FROM (SELECT DISTINCT subject_id FROM metrics WHERE condition = 'eo') e) q WHERE k > 10 AND k <= 60",
-    "p20_montage": "SELECT subject_id, COUNT(DISTINCT channel) AS n_channels, CASE WHEN MAX(CASE WHEN channel IN ('AF3', 'AF4', 'FC1') THEN 1 ELSE 0 END) = 1 THEN '37' ELSE '19' END AS montage FROM metrics GROUP BY subject_id",
+    "p20_montage": f"WITH {SEEN} SELECT subject_id, COUNT(DISTINCT channel) AS n_channels, CASE WHEN MAX(CASE WHEN channel IN ('AF3', 'AF4', 'FC1') THEN 1 ELSE 0 END) = 1 THEN '37' ELSE '19' END AS montage, COUNT(DISTINCT CASE WHEN channel IN ({names(POSTERIOR)}) THEN channel END) AS n_posterior FROM seen GROUP BY subject_id",
     # --- joins and sets --------------------------------------------------------------------------------------------
     "j4_demographics_priority": "SELECT o.o_orderkey, COALESCE(a.age, b.age) AS age, CASE WHEN a.subject_id IS NOT NULL THEN 'first' WHEN b.subject_id IS NOT NULL THEN 'second' ELSE 'none' END AS found FROM orders o LEFT JOIN subjects a ON a.subject_id = o.o_orderkey LEFT JOIN subjects b ON b.subject_id = o.o_custkey",
     "j5_session_pairs": f"WITH {PAIRS} SELECT subject_id, condition, channel, band, metric, {r('x1')} AS x1, {r('x2')} AS x2 FROM pair",
     "j7_condition_pairs": f"WITH {MEANS} SELECT bin, channel, band, metric, {r('''MAX(CASE WHEN condition = 'ec' THEN mean END)''')} AS ec, {r('''MAX(CASE WHEN condition = 'eo' THEN mean END)''')} AS eo FROM cell WHERE sex = 'pooled' GROUP BY bin, channel, band, metric",
     "j8_metric_pairs": f"SELECT subject_id, condition, channel, band, {r('''MAX(CASE WHEN metric = 'absolute_power' THEN value END)''')} AS absolute, {r('''MAX(CASE WHEN metric = 'corrected_absolute_power' THEN value END)''')} AS corrected FROM metrics GROUP BY subject_id, condition, channel, band",
     "j9_eligibility": "SELECT s.subject_id, s.age, s.sex, COALESCE(q.n, 0) AS n_rows, COALESCE(q.n, 0) >= 20 AND s.age >= 20 AND s.age < 80 AND s.sex IN ('F', 'M') AS eligible FROM subjects s LEFT JOIN (SELECT subject_id, COUNT(*) AS n FROM metrics GROUP BY subject_id) q ON q.subject_id = s.subject_id",
-    "j10_not_done": "SELECT s.subject_id FROM subjects s WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = s.subject_id)",
+    "j10_not_done": "SELECT s.subject_id FROM subjects s WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = s.subject_id AND o.o_orderstatus = 'P')",
     "j13_nearest_within": "SELECT p_partkey, s_suppkey, d FROM (SELECT p_partkey, s_suppkey, d, ROW_NUMBER() OVER (PARTITION BY p_partkey ORDER BY d, s_suppkey) AS k FROM (SELECT p.p_partkey, s.s_suppkey, ABS(p.p_partkey - 20 * s.s_suppkey) AS d FROM part p JOIN supplier s ON CAST(FLOOR(s.s_suppkey * 20 / 15) AS BIGINT) BETWEEN CAST(FLOOR(p.p_partkey / 15) AS BIGINT) - 1 AND CAST(FLOOR(p.p_partkey / 15) AS BIGINT) + 1) q WHERE d <= 15) w WHERE k = 1",
     "j14_adjacent_pairs": "SELECT m.subject_id, m.condition, m.band, m.channel, a.neighbour FROM metrics m JOIN adjacency a ON a.channel = m.channel JOIN metrics n ON n.subject_id = m.subject_id AND n.condition = m.condition AND n.band = m.band AND n.metric = m.metric AND n.channel = a.neighbour WHERE m.metric = 'relative_power' AND m.value > 0.07 AND n.value > 0.07",
     "j15_weighted_remap": f"SELECT subject_id, condition, band, region, {r('SUM(value * w) / nullif(SUM(w), 0)')} AS value FROM (SELECT m.subject_id, m.condition, m.band, g.region, m.value, CASE WHEN m.channel IN ('Pz', 'Fz') THEN 2.0 ELSE 1.0 END AS w FROM metrics m JOIN regions g ON g.channel = m.channel WHERE m.metric = 'absolute_power') q GROUP BY subject_id, condition, band, region",
-    "j17_interval_join": f"WITH {MARK}, block AS (SELECT recording_id, event_id AS block, kind, onset, LEAST(COALESCE(nxt, onset + 3600), onset + 3600) AS stop FROM ev WHERE kind <> 'boundary') SELECT b.recording_id, b.block, b.kind, COUNT(*) AS n, {r('MIN(m.onset - b.onset)')} AS first_after FROM block b JOIN markers m ON m.recording_id = b.recording_id AND m.onset >= b.onset AND m.onset < b.stop WHERE b.stop - b.onset >= 5 GROUP BY b.recording_id, b.block, b.kind",
+    "j17_interval_join": f"WITH {MARK} SELECT b.recording_id, b.kind, b.event_id AS block, m.event_id, ROW_NUMBER() OVER (PARTITION BY b.recording_id, b.kind ORDER BY b.onset, b.event_id, m.onset, m.event_id) AS k FROM block b JOIN markers m ON m.recording_id = b.recording_id AND m.onset >= b.onset AND m.onset < b.stop WHERE b.stop - b.onset >= 5",
     "u2_priority_union": "SELECT subject_id, age, source FROM (SELECT subject_id, age, source, ROW_NUMBER() OVER (PARTITION BY subject_id ORDER BY pr DESC) AS k FROM (SELECT subject_id, age, 'base' AS source, 1 AS pr FROM subjects UNION ALL SELECT o_custkey, CAST(o_orderkey % 50 AS DOUBLE), 'update', 2 FROM orders WHERE o_orderkey IN (SELECT MAX(o_orderkey) FROM orders GROUP BY o_custkey)) q) w WHERE k = 1",
     "u3_common_keys": "SELECT channel, band, metric, bin FROM metrics JOIN bins ON age >= bin_lo AND age < bin_hi WHERE dataset = 0 INTERSECT SELECT channel, band, metric, bin FROM metrics JOIN bins ON age >= bin_lo AND age < bin_hi WHERE dataset = 1",
-    "u4_missing_channels": "SELECT s.subject_id, c.channel FROM (SELECT DISTINCT subject_id FROM metrics) s CROSS JOIN (SELECT DISTINCT channel FROM adjacency) c EXCEPT SELECT subject_id, channel FROM metrics WHERE condition = 'eo'",
+    "u4_missing_channels": f"WITH {SEEN}, want AS (SELECT s.subject_id, c.channel FROM (SELECT DISTINCT subject_id FROM seen) s CROSS JOIN (SELECT DISTINCT channel FROM adjacency) c) SELECT subject_id, channel, 'missing' AS kind FROM (SELECT * FROM want EXCEPT SELECT subject_id, channel FROM seen) a UNION ALL SELECT subject_id, channel, 'unexpected' FROM (SELECT subject_id, channel FROM seen EXCEPT SELECT * FROM want) b",
     # --- aggregations -----------------------------------------------------------------------------------------------
     "a7_cohort_counts": "SELECT b.bin, m.condition, COUNT(DISTINCT CASE WHEN sex = 'F' THEN subject_id END) AS n_f, COUNT(DISTINCT CASE WHEN sex = 'M' THEN subject_id END) AS n_m, COUNT(DISTINCT CASE WHEN sex NOT IN ('F', 'M') THEN subject_id END) AS n_other FROM metrics m JOIN bins b ON age >= bin_lo AND age < bin_hi GROUP BY b.bin, m.condition",
     "a8_psd_norms": f"SELECT freq, COUNT(*) AS n, {r(f'AVG(LOG10(GREATEST(psd, {num(1e-30)}) * 1e12))')} AS mean, {r(f'STDDEV_SAMP(LOG10(GREATEST(psd, {num(1e-30)}) * 1e12))')} AS sd, " + ", ".join(f"{r(f'$PCT(LOG10(GREATEST(psd, {num(1e-30)}) * 1e12), {p / 100})')} AS p{str(p).replace('.', '_')}" for p in POINTS) + " FROM psd GROUP BY freq",
@@ -116,17 +121,20 @@ QUERIES: dict[str, str] = {
     "a23_session_inventory": "SELECT n_sessions, COUNT(*) AS n_subjects FROM (SELECT subject_id, COUNT(DISTINCT session) AS n_sessions FROM retest GROUP BY subject_id) q GROUP BY n_sessions",
     "a24_verdict": "SELECT user_id, CASE MAX(CASE WHEN event_type = 'error' OR value < 0 THEN 2 WHEN value > 90 THEN 1 ELSE 0 END) WHEN 2 THEN 'fail' WHEN 1 THEN 'warn' ELSE 'pass' END AS verdict, COUNT_IF(value > 90) AS n_warn FROM events GROUP BY user_id",
     "a27_pre_post": f"WITH {PAIRS} SELECT condition, band, COUNT(*) AS n, {r('AVG(LOG10(x2) - LOG10(x1))')} AS mean, {r('STDDEV_SAMP(LOG10(x2) - LOG10(x1))')} AS sd, {r('AVG(LOG10(x2) - LOG10(x1)) / nullif(STDDEV_SAMP(LOG10(x2) - LOG10(x1)), 0)')} AS d FROM pair WHERE metric = 'absolute_power' AND x1 > 0 AND x2 > 0 GROUP BY condition, band",
-    "a28_payload_rules": f"WITH {MEANS} SELECT 'median_near_mean' AS rule_name, COUNT_IF(ABS(p50 - mean) > 2 * sd) = 0 AS ok, COUNT(*) AS n FROM cell UNION ALL SELECT 'sd_not_negative', COUNT_IF(sd < 0) = 0, COUNT(*) FROM cell UNION ALL SELECT 'has_rows', COUNT(*) > 0, COUNT(*) FROM cell",
+    "a28_payload_rules": f"""WITH v AS (SELECT freq, LOG10(GREATEST(psd, {num(1e-30)}) * 1e12) AS x FROM psd), c AS (SELECT freq, COUNT(*) AS n, AVG(x) AS mean, """ + ", ".join(f"$PCT(x, {p / 100}) AS q{i}" for i, p in enumerate(POINTS)) + f""" FROM v GROUP BY freq)
+ SELECT 'median_near_mean' AS rule_name, {r(f'$PCT(ABS(q{POINTS.index(50)} - mean), 0.5)')} AS value, $PCT(ABS(q{POINTS.index(50)} - mean), 0.5) <= 0.25 AS ok FROM c
+ UNION ALL SELECT 'percentiles_rise', {r('MIN(LEAST(' + ', '.join(f'q{i + 1} - q{i}' for i in range(len(POINTS) - 1)) + '))')}, MIN(LEAST({', '.join(f'q{i + 1} - q{i}' for i in range(len(POINTS) - 1))})) >= {num(-1e-4)} FROM c
+ UNION ALL SELECT 'largest', {r(f'MAX(q{len(POINTS) - 1})')}, MAX(q{len(POINTS) - 1}) <= 6 FROM c UNION ALL SELECT 'has_rows', CAST(COUNT(*) AS DOUBLE), COUNT(*) > 0 FROM c""",
     # --- windows --------------------------------------------------------------------------------------------------------
-    "w2_segments": f"WITH {MARK} SELECT recording_id, kind, {r('onset')} AS start, {r('COALESCE(nxt, onset)')} AS stop, {r('COALESCE(nxt, onset) - onset')} AS duration FROM ev WHERE kind <> 'boundary' AND COALESCE(nxt, onset) - onset >= 5",
+    "w2_segments": f"WITH {MARK} SELECT recording_id, kind, {r('onset')} AS start, {r('stop')} AS stop, {r('stop - onset')} AS duration FROM block WHERE stop - onset >= 5",
     "w3_marker_blocks": f"""WITH g AS (SELECT event_id, recording_id, kind, onset, onset - LAG(onset) OVER (PARTITION BY recording_id, kind ORDER BY onset, event_id) AS gap FROM markers WHERE kind IN ('eo', 'ec')),
  med AS (SELECT recording_id, kind, $PCT(gap, 0.5) AS step FROM g WHERE gap IS NOT NULL GROUP BY recording_id, kind),
  b AS (SELECT g.recording_id, g.kind, g.onset, m.step, SUM(CASE WHEN gap IS NULL OR gap > 2.5 * m.step THEN 1 ELSE 0 END) OVER (PARTITION BY g.recording_id, g.kind ORDER BY g.onset, g.event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS block FROM g JOIN med m ON m.recording_id = g.recording_id AND m.kind = g.kind)
  SELECT recording_id, kind, block, COUNT(*) AS n, {r('MIN(onset)')} AS start, {r('MAX(onset) + MAX(step)')} AS stop FROM b GROUP BY recording_id, kind, block""",
-    "w4_bad_intervals": """WITH w AS (SELECT channel, win, MAX(ABS(v)) > 60 AS bad FROM signal GROUP BY channel, win), i AS (SELECT channel, win, win - ROW_NUMBER() OVER (PARTITION BY channel ORDER BY win) AS island FROM w WHERE bad)
- SELECT channel, MIN(win) AS first_win, MAX(win) AS last_win, COUNT(*) AS n FROM i GROUP BY channel, island""",
+    "w4_bad_intervals": """WITH w AS (SELECT recording_id, channel, win, MAX(ABS(v)) > 60 AS bad FROM signal GROUP BY recording_id, channel, win), i AS (SELECT recording_id, channel, win, win - ROW_NUMBER() OVER (PARTITION BY recording_id, channel ORDER BY win) AS island FROM w WHERE bad)
+ SELECT recording_id, channel, MIN(win) AS first_win, MAX(win) AS last_win, COUNT(*) AS n FROM i GROUP BY recording_id, channel, island""",
     "w5_trapezoid": f"WITH {BANDPOWER} SELECT recording_id, {r('total')} AS total FROM total",
-    "w6_block_coverage": f"WITH {MARK} SELECT recording_id, kind, COUNT(*) AS n_blocks, {r('SUM(COALESCE(nxt, onset) - onset)')} AS seconds FROM ev WHERE kind <> 'boundary' GROUP BY recording_id, kind",
+    "w6_block_coverage": f"WITH {MARK} SELECT recording_id, kind, COUNT(*) AS n_blocks, {r('SUM(stop - onset)')} AS seconds FROM block GROUP BY recording_id, kind",
     "w8_pre_post_order": "SELECT o_orderkey, o_custkey, CASE WHEN COUNT(*) OVER (PARTITION BY o_custkey, o_orderstatus) = 1 THEN 'single' WHEN ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderdate, o_orderkey) = 1 THEN 'pre' ELSE 'post' END AS timing FROM orders",
     "w9_format_priority": "SELECT stem, fmt, o_orderkey FROM (SELECT o_orderkey, o_custkey AS stem, CASE o_orderstatus WHEN 'F' THEN 'set' WHEN 'O' THEN 'edf' ELSE 'raw' END AS fmt, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END, o_orderkey) AS k FROM orders) q WHERE k = 1",
     "w10_middle_epochs": "SELECT channel, epoch FROM (SELECT channel, epoch, ROW_NUMBER() OVER (PARTITION BY channel ORDER BY epoch) - 1 AS k, COUNT(*) OVER (PARTITION BY channel) AS n FROM (SELECT DISTINCT channel, epoch FROM epochs) e) q WHERE n >= 30 AND k >= CAST(FLOOR((n - LEAST(n, 120)) / 2) AS BIGINT) AND k < CAST(FLOOR((n - LEAST(n, 120)) / 2) AS BIGINT) + LEAST(n, 120)",
@@ -146,23 +154,27 @@ QUERIES: dict[str, str] = {
     "v4_ranges": f"WITH {MEANS} SELECT q.metric, q.lo, q.hi, COUNT(*) AS n, COUNT_IF(c.mean BETWEEN q.lo AND q.hi) AS n_inside FROM cell c JOIN (VALUES ('relative_power', 0.0, 0.1), ('absolute_power', 1.0, 60000.0)) AS q(metric, lo, hi) ON q.metric = c.metric WHERE c.sex = 'pooled' GROUP BY q.metric, q.lo, q.hi",
     "v6_relative_sum": f"WITH {MEANS}, s AS (SELECT bin, condition, channel, SUM(mean) AS total, COUNT(*) AS k FROM cell WHERE sex = 'pooled' AND metric = 'relative_power' GROUP BY bin, condition, channel) SELECT COUNT(*) AS n, COUNT_IF(total BETWEEN 0.05 AND 0.25) AS n_ok, {r('MIN(total)')} AS least, {r('MAX(total)')} AS most FROM s WHERE k >= 3",
     "v7_scale_consistency": f"WITH {MEANS} SELECT condition, band, {r('STDDEV_POP(mean) / nullif(ABS(AVG(mean)), 0)')} AS cv, STDDEV_POP(mean) / nullif(ABS(AVG(mean)), 0) < 0.1 AS ok FROM cell WHERE sex = 'pooled' AND metric = 'absolute_power' GROUP BY condition, band",
-    "v11_check_summary": f"WITH {MEANS}, c AS (SELECT CASE WHEN n < 5 THEN 'SKIP' WHEN sd = 0 THEN 'WARN' WHEN ABS(p50 - mean) > sd THEN 'FAIL' ELSE 'PASS' END AS status FROM cell) SELECT status, COUNT(*) AS n FROM c GROUP BY status",
+    "v11_check_summary": f"""WITH {MEANS}, k AS (SELECT 'alpha' AS check_name, bin AS item, CASE WHEN COUNT_IF(condition = 'ec') = 0 THEN 'SKIP' WHEN SUM(CASE WHEN condition = 'ec' THEN mean ELSE -mean END) > 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM cell WHERE sex = 'pooled' AND band = 'Alpha' AND metric = 'absolute_power' AND channel = 'Pz' GROUP BY bin
+ UNION ALL SELECT 'spread', CONCAT(bin, band, metric), CASE WHEN MIN(n) < 2 THEN 'SKIP' WHEN COUNT_IF(sd = 0) > 0 THEN 'WARN' WHEN AVG(ABS(p50 - mean)) > AVG(sd) THEN 'FAIL' ELSE 'PASS' END FROM cell WHERE sex = 'pooled' GROUP BY bin, band, metric UNION ALL SELECT 'size', CONCAT(bin, condition), CASE WHEN MIN(n) < 10 THEN 'WARN' ELSE 'PASS' END FROM cell WHERE sex = 'pooled' GROUP BY bin, condition)
+ SELECT check_name, status, COUNT(*) AS n FROM k GROUP BY check_name, status""",
     # --- recording quality ---------------------------------------------------------------------------------------------------
     "q1_integrity": f"WITH m AS (SELECT recording_id, channel, v, AVG(v) OVER (PARTITION BY recording_id) AS c FROM signal) SELECT recording_id, COUNT(DISTINCT channel) AS n_channels, COUNT(*) AS n, {r('$PCT(ABS(v - c), 0.5)')} AS typical, COUNT(DISTINCT channel) >= 3 AS ok FROM m GROUP BY recording_id",
     "q2_flat_railed": f"SELECT recording_id, channel, {r('VAR_POP(v)')} AS variance, VAR_POP(v) < 0.1 AS flat, AVG(CASE WHEN ABS(v) > 80 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) > 0.1 AS railed FROM signal GROUP BY recording_id, channel",
     "q3_line_noise": f"WITH p AS (SELECT recording_id, AVG(psd) AS power FROM psd WHERE freq BETWEEN 48 AND 50.5 GROUP BY recording_id), s AS (SELECT AVG(power) AS m, STDDEV_POP(power) AS s FROM p) SELECT recording_id, {r('(power - m) / nullif(s, 0)')} AS z, (power - m) / nullif(s, 0) > 3 AS noisy FROM p CROSS JOIN s",
-    "q4_gross_artefacts": f"WITH c AS (SELECT win, channel, MAX(ABS(v)) > 60 AS bad FROM signal GROUP BY win, channel), w AS (SELECT win, AVG(CASE WHEN bad THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) > 0.5 AS bad FROM c GROUP BY win) SELECT COUNT(*) AS n_windows, COUNT_IF(bad) AS n_bad, {r('AVG(CASE WHEN bad THEN CAST(100 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)')} AS percent, COUNT_IF(NOT bad) * 3600 AS usable_seconds FROM w",
-    "q5_amplitude": f"SELECT channel, {r('AVG(v)')} AS dc, {r('STDDEV_POP(v)')} AS sd, {r('MAX(ABS(v))')} AS peak, {r('$PCT(ABS(v), 0.5)')} AS median FROM signal GROUP BY channel",
+    "q4_gross_artefacts": f"WITH c AS (SELECT recording_id, win, channel, MAX(ABS(v)) > 60 AS bad FROM signal GROUP BY recording_id, win, channel), w AS (SELECT recording_id, win, AVG(CASE WHEN bad THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) > 0.5 AS bad FROM c GROUP BY recording_id, win) SELECT recording_id, COUNT(*) AS n_windows, COUNT_IF(bad) AS n_bad, {r('AVG(CASE WHEN bad THEN CAST(100 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)')} AS percent, COUNT_IF(NOT bad) * 3600 AS usable_seconds FROM w GROUP BY recording_id",
+    "q5_amplitude": f"SELECT recording_id, channel, {r('AVG(v)')} AS dc, {r('STDDEV_POP(v)')} AS sd, {r('MAX(ABS(v))')} AS peak, {r('$PCT(ABS(v), 0.5)')} AS median FROM signal GROUP BY recording_id, channel",
     "q7_marker_limits": "SELECT recording_id, kind, COUNT(*) AS n, CASE WHEN COUNT(*) < 3 THEN 'fail' WHEN COUNT(*) < 6 THEN 'warn' ELSE 'pass' END AS verdict FROM markers WHERE kind IN ('eo', 'ec') GROUP BY recording_id, kind",
-    "q8_alpha_peak": "SELECT MAX_BY(freq, m) AS peak FROM (SELECT freq, AVG(psd) AS m FROM psd WHERE freq BETWEEN 8 AND 13 GROUP BY freq) q",
+    "q8_alpha_peak": "SELECT recording, MAX_BY(freq, m) AS peak FROM (SELECT CAST(FLOOR(recording_id / 5) AS BIGINT) AS recording, freq, AVG(psd) AS m FROM psd WHERE freq BETWEEN 8 AND 13 GROUP BY CAST(FLOOR(recording_id / 5) AS BIGINT), freq) q GROUP BY recording",
     "q9_bad_channels": f"WITH v AS (SELECT recording_id, channel, VAR_POP(v) AS var FROM signal GROUP BY recording_id, channel), m AS (SELECT recording_id, $PCT(var, 0.5) AS med FROM v GROUP BY recording_id) SELECT v.recording_id, v.channel, {r('var')} AS var, var < 0.01 * med OR var > 10 * med AS bad FROM v JOIN m ON m.recording_id = v.recording_id",
     "q10_line_share": f"SELECT recording_id, {r('SUM(CASE WHEN freq BETWEEN 48 AND 50.5 THEN psd ELSE 0 END) / nullif(SUM(psd), 0)')} AS share, SUM(CASE WHEN freq BETWEEN 48 AND 50.5 THEN psd ELSE 0 END) / nullif(SUM(psd), 0) > 0.4 AS noisy FROM psd WHERE freq BETWEEN 40 AND 50.5 GROUP BY recording_id",
-    "q11_bad_windows": f"WITH w AS (SELECT channel, win, STDDEV_POP(v) AS s FROM signal GROUP BY channel, win), m AS (SELECT channel, $PCT(s, 0.5) AS med FROM w GROUP BY channel) SELECT w.channel, COUNT(*) AS n, COUNT_IF(s > 1.5 * med) AS n_bad FROM w JOIN m ON m.channel = w.channel GROUP BY w.channel",
+    "q11_bad_windows": f"""WITH w AS (SELECT recording_id, channel, win, STDDEV_POP(v) AS s FROM signal GROUP BY recording_id, channel, win), m AS (SELECT recording_id, channel, $PCT(s, 0.5) AS med, COUNT(*) AS n FROM w GROUP BY recording_id, channel HAVING COUNT(*) >= 4),
+ b AS (SELECT w.recording_id, w.channel, w.win, m.n, s > 1.5 * med AS bad FROM w JOIN m ON m.recording_id = w.recording_id AND m.channel = w.channel), i AS (SELECT *, CASE WHEN bad THEN win - ROW_NUMBER() OVER (PARTITION BY recording_id, channel, bad ORDER BY win) END AS island FROM b)
+ SELECT recording_id, channel, MAX(n) AS n, COUNT_IF(bad) AS n_bad, COUNT(DISTINCT island) AS n_intervals, COUNT_IF(bad) * 3600 AS bad_seconds FROM i GROUP BY recording_id, channel""",
     # --- spectra -----------------------------------------------------------------------------------------------------------------
     "k1_average_reference": f"SELECT channel, epoch, t_idx, {r('v - AVG(v) OVER (PARTITION BY epoch, t_idx)')} AS v FROM epochs",
     "k2_welch": f"WITH {DFT} SELECT channel, k, {r('AVG(re * re + im * im)')} AS power FROM spec GROUP BY channel, k",
     "k3_band_power": f"WITH {BANDPOWER} SELECT b.recording_id, b.band, {r('power')} AS absolute, {r('power / nullif(total, 0)')} AS relative FROM bp b JOIN total t ON t.recording_id = b.recording_id",
-    "k4_band_ratios": f"WITH {BANDPOWER} SELECT b.recording_id, q.ratio, {r(RATIO)} AS value FROM bp b JOIN ratios q ON q.band = b.band GROUP BY b.recording_id, q.ratio",
+    "k4_band_ratios": f"WITH {BANDPOWER} SELECT b.recording_id, q.ratio, {r(RATIO)} AS value FROM bp b JOIN ratios q ON q.band = b.band JOIN (SELECT ratio, COUNT(*) AS need FROM ratios GROUP BY ratio) n ON n.ratio = q.ratio GROUP BY b.recording_id, q.ratio HAVING COUNT(*) = MAX(n.need)",
     "k5_aperiodic": f"WITH {FIT} SELECT recording_id, {r('-slope')} AS exponent, {r('intercept')} AS level, {r('r2')} AS r2, r2 >= 0.85 AS good, n_points FROM f2 WHERE n_points >= 5",
     "k6_corrected_power": f"WITH {FIT} SELECT p.recording_id, p.freq, {r('p.psd / POWER(10, f.intercept + f.slope * LOG10(p.freq))')} AS corrected FROM psd p JOIN f2 f ON f.recording_id = p.recording_id WHERE p.freq >= 2 AND p.freq <= 40 AND f.n_points >= 5",
     "k7_asymmetry": f"SELECT a.subject_id, a.condition, a.band, p.lft, p.rgt, {r('CASE WHEN a.value + b.value > 0 THEN (b.value - a.value) / (a.value + b.value) ELSE 0 END')} AS asymmetry FROM metrics a JOIN (VALUES ('F3', 'F4'), ('C3', 'C4'), ('P3', 'P4'), ('O1', 'O2')) AS p(lft, rgt) ON p.lft = a.channel JOIN metrics b ON b.channel = p.rgt AND b.subject_id = a.subject_id AND b.condition = a.condition AND b.band = a.band AND b.metric = a.metric WHERE a.metric = 'absolute_power'",
@@ -171,7 +183,8 @@ QUERIES: dict[str, str] = {
     "k10_alpha_frequency": f"WITH q AS (SELECT recording_id, freq, psd, LAG(psd) OVER (PARTITION BY recording_id ORDER BY freq) AS a, LEAD(psd) OVER (PARTITION BY recording_id ORDER BY freq) AS b FROM psd WHERE freq BETWEEN 7 AND 14) SELECT recording_id, {r('SUM(freq * psd) / nullif(SUM(psd), 0)')} AS gravity, MAX_BY(freq, CASE WHEN psd > a AND psd > b THEN psd END) AS peak FROM q GROUP BY recording_id",
     "k12_mean_log_power": f"WITH {BANDPOWER} SELECT band, {r('AVG(LOG10(power))')} AS mean FROM bp WHERE power > 0 GROUP BY band",
     # --- coupling and graphs ---------------------------------------------------------------------------------------------------------
-    "c1_hub_signals": f"SELECT h.hub, e.epoch, e.t_idx, {r('AVG(v)')} AS v FROM epochs e JOIN (VALUES ('front', 0), ('front', 1), ('back', 2), ('back', 3), ('back', 4)) AS h(hub, channel) ON h.channel = e.channel GROUP BY h.hub, e.epoch, e.t_idx",
+    "c1_hub_signals": f"""WITH e AS (SELECT CASE channel WHEN 0 THEN 'Fz' WHEN 1 THEN 'F3' WHEN 2 THEN 'F7' WHEN 3 THEN 'O1' ELSE 'O2' END AS channel, epoch, t_idx, v FROM epochs), have AS (SELECT h.hub, e.epoch, e.t_idx, AVG(v) AS v FROM e JOIN hubs h ON h.channel = e.channel GROUP BY h.hub, e.epoch, e.t_idx),
+ grid AS (SELECT h.hub, t.epoch, t.t_idx FROM (SELECT DISTINCT epoch, t_idx FROM epochs) t CROSS JOIN (SELECT DISTINCT hub FROM hubs) h) SELECT g.hub, g.epoch, g.t_idx, {r('COALESCE(v, 0)')} AS v FROM grid g LEFT JOIN have h ON h.hub = g.hub AND h.epoch = g.epoch AND h.t_idx = g.t_idx""",
     "c14_hub_matrix": f"SELECT m.subject_id, m.condition, m.band, h.hub, {r('AVG(m.value)')} AS value, COUNT(*) AS n_channels FROM hubs h JOIN metrics m ON m.channel = h.channel WHERE m.metric = 'absolute_power' GROUP BY m.subject_id, m.condition, m.band, h.hub",
     "c2_coherence": f"WITH {DFT} SELECT ca, cb, band, {r('coh')} AS coh, {r('dwpli')} AS dwpli, {r('imcoh')} AS imcoh FROM edge",
     "c4_volume_conduction": f"WITH {DFT} SELECT ca, cb, band, coh > 0.6 AND dwpli < 0.1 AS suspect FROM edge",
@@ -186,4 +199,50 @@ QUERIES: dict[str, str] = {
     "g2_region_mean_peak": f"SELECT m.subject_id, m.condition, m.band, g.region, {r('AVG(m.value)')} AS mean, MAX_BY(m.channel, m.value) AS peak_channel FROM metrics m JOIN regions g ON g.channel = m.channel WHERE m.metric = 'absolute_power' GROUP BY m.subject_id, m.condition, m.band, g.region",
     "g3_region_ratios": f"WITH p AS (SELECT m.subject_id, m.condition, g.region, m.band, AVG(m.value) AS power FROM metrics m JOIN regions g ON g.channel = m.channel WHERE m.metric = 'absolute_power' GROUP BY m.subject_id, m.condition, g.region, m.band) SELECT subject_id, condition, region, {r('''MAX(CASE WHEN band = 'Theta' THEN power END) / nullif(MAX(CASE WHEN band = 'Beta' THEN power END), 0)''')} AS theta_beta, {r('''MAX(CASE WHEN band = 'Alpha' THEN power END) / nullif(MAX(CASE WHEN band = 'Theta' THEN power END), 0)''')} AS alpha_theta FROM p GROUP BY subject_id, condition, region",
     "a25_network_means": f"WITH {GRAPH} SELECT g.subject_id, g.condition, g.band, CASE WHEN a.region = b.region THEN 'within' ELSE 'between' END AS kind, {r('AVG(weight)')} AS mean, COUNT(*) AS n FROM graph g JOIN regions a ON a.channel = g.ca JOIN regions b ON b.channel = g.cb GROUP BY g.subject_id, g.condition, g.band, CASE WHEN a.region = b.region THEN 'within' ELSE 'between' END",
+    # --- long metrics from spectra, graphs and regions -----------------------------------------------------------------------------------
+    "k11_long_spectral": f"""WITH {BANDPOWER}, {FIT}, g AS (SELECT recording_id, POWER(10, AVG(LOG10(GREATEST(psd, {num(1e-30)})))) AS s FROM psd GROUP BY recording_id),
+ cp AS (SELECT p.recording_id, b.band, AVG(p.psd / POWER(10, f.intercept + f.slope * LOG10(p.freq))) AS power FROM psd p JOIN f2 f ON f.recording_id = p.recording_id JOIN bands b ON p.freq >= b.lo AND p.freq <= b.hi WHERE p.freq >= 2 AND p.freq <= 40 AND f.n_points >= 5 GROUP BY p.recording_id, b.band),
+ ra AS (SELECT b.recording_id, q.ratio, {RATIO} AS value FROM bp b JOIN ratios q ON q.band = b.band JOIN (SELECT ratio, COUNT(*) AS need FROM ratios GROUP BY ratio) n ON n.ratio = q.ratio GROUP BY b.recording_id, q.ratio HAVING COUNT(*) = MAX(n.need))
+ SELECT recording_id, band, 'absolute_power' AS metric, {r('power')} AS value FROM bp UNION ALL SELECT b.recording_id, b.band, 'relative_power', {r('power / nullif(total, 0)')} FROM bp b JOIN total t ON t.recording_id = b.recording_id UNION ALL SELECT b.recording_id, b.band, 'gsf_absolute_power', {r('power / s')} FROM bp b JOIN g ON g.recording_id = b.recording_id
+ UNION ALL SELECT recording_id, ratio, 'band_ratio', {r('value')} FROM ra UNION ALL SELECT recording_id, band, 'corrected_absolute_power', {r('power')} FROM cp UNION ALL SELECT recording_id, 'broadband', 'aperiodic_exponent', {r('-slope')} FROM f2 WHERE r2 >= 0.85 AND n_points >= 5""",
+    "c13_long_connectivity": f"""WITH {GRAPH} SELECT subject_id, condition, band, CONCAT('_pair_', ca, '_', cb) AS channel, 'coupling' AS metric, {r('weight')} AS value FROM graph UNION ALL SELECT subject_id, condition, band, CONCAT('_hub_', u), 'strength', {r('SUM(weight)')} FROM sym GROUP BY subject_id, condition, band, u
+ UNION ALL SELECT subject_id, condition, band, '_graph', 'mean_weight', {r('AVG(weight)')} FROM kept GROUP BY subject_id, condition, band""",
+    "j16_pair_remap": f"""WITH {GRAPH}, area AS (SELECT hub, channel, CASE WHEN hub LIKE '%_L' THEN 'L' WHEN hub LIKE '%_R' THEN 'R' ELSE 'M' END AS side FROM hubs)
+ SELECT g.subject_id, g.condition, g.band, LEAST(a.hub, b.hub) AS area_a, GREATEST(a.hub, b.hub) AS area_b, {r('AVG(g.weight)')} AS weight, COUNT(*) AS n FROM graph g JOIN area a ON a.channel = g.ca JOIN area b ON b.channel = g.cb AND b.side = a.side AND b.hub <> a.hub GROUP BY g.subject_id, g.condition, g.band, LEAST(a.hub, b.hub), GREATEST(a.hub, b.hub)""",
+    "g4_long_regions": f"""WITH {GRAPH} SELECT m.subject_id, m.condition, m.band, CONCAT('_src_dk_', g.region) AS channel, 'power' AS metric, {r('AVG(m.value)')} AS value FROM metrics m JOIN regions g ON g.channel = m.channel WHERE m.metric = 'absolute_power' GROUP BY m.subject_id, m.condition, m.band, g.region
+ UNION ALL SELECT g.subject_id, g.condition, g.band, CONCAT('_src_conn_', LEAST(a.region, b.region), '_', GREATEST(a.region, b.region)), 'coupling', {r('AVG(g.weight)')} FROM graph g JOIN regions a ON a.channel = g.ca JOIN regions b ON b.channel = g.cb WHERE a.region <> b.region GROUP BY g.subject_id, g.condition, g.band, LEAST(a.region, b.region), GREATEST(a.region, b.region)
+ UNION ALL SELECT g.subject_id, g.condition, g.band, CONCAT('_src_net_', a.region), 'within', {r('AVG(g.weight)')} FROM graph g JOIN regions a ON a.channel = g.ca JOIN regions b ON b.channel = g.cb AND b.region = a.region GROUP BY g.subject_id, g.condition, g.band, a.region""",
+    "g5_region_correction": f"""WITH area AS (SELECT CAST(FLOOR(recording_id / 5) AS BIGINT) AS recording_id, CASE WHEN recording_id % 5 < 2 THEN 'front' ELSE 'back' END AS region, freq, AVG(psd) AS psd FROM psd GROUP BY CAST(FLOOR(recording_id / 5) AS BIGINT), CASE WHEN recording_id % 5 < 2 THEN 'front' ELSE 'back' END, freq),
+ pts AS (SELECT recording_id, region, freq, LOG10(freq) AS x, LOG10(GREATEST(psd, {num(1e-30)})) AS y FROM area WHERE freq >= 2 AND freq <= 40), f AS (SELECT recording_id, region, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM pts GROUP BY recording_id, region HAVING COUNT(*) >= 5)
+ SELECT p.recording_id, p.region, d.band, {r('AVG(p.y - f.a - f.b * p.x)')} AS log_corrected, {r('AVG(POWER(10, p.y - f.a - f.b * p.x))')} AS corrected FROM pts p JOIN f ON f.recording_id = p.recording_id AND f.region = p.region JOIN bands d ON p.freq >= d.lo AND p.freq <= d.hi GROUP BY p.recording_id, p.region, d.band""",
+    "s11_spectra_registered": "SELECT COUNT(DISTINCT p.freq) AS n_freqs, COUNT(DISTINCT p.recording_id % 5) AS n_channels, COUNT(DISTINCT s.subject_id) AS n_subjects, $JOIN(DISTINCT s.sex) AS sexes FROM psd p JOIN subjects s ON s.subject_id = CAST(FLOOR(p.recording_id / 5) AS BIGINT)",
+    "j11_spectra_subjects": f"SELECT p.recording_id, s.subject_id, s.age, s.sex, COUNT(*) AS n_freqs, {r('AVG(LOG10(GREATEST(p.psd, 1e-30)))')} AS level FROM psd p JOIN subjects s ON s.subject_id = CAST(FLOOR(p.recording_id / 5) AS BIGINT) GROUP BY p.recording_id, s.subject_id, s.age, s.sex",
+    # --- names, bins, lists ----------------------------------------------------------------------------------------------------------------
+    "p6_sessions": "SELECT o_orderkey, name, COALESCE(NULLIF(REGEXP_EXTRACT(name, 'ses-([A-Za-z0-9]+)', 1), ''), 'session1') AS session, CASE WHEN LOWER(name) LIKE '%pre%' THEN 'pre' WHEN LOWER(name) LIKE '%post%' THEN 'post' ELSE 'none' END AS timing FROM (SELECT o_orderkey, CONCAT('sub-', CAST(o_custkey AS VARCHAR(20)), CASE o_orderkey % 3 WHEN 0 THEN '_ses-t1' WHEN 1 THEN '_ses-t2' ELSE '' END, CASE o_orderstatus WHEN 'O' THEN '_acq-pre' WHEN 'F' THEN '_acq-Post' ELSE '' END, '_eeg.vhdr') AS name FROM orders) q",
+    "p7_trial_types": "SELECT event_id, label, CASE WHEN LOWER(label) LIKE '%open%' THEN 'eo' WHEN LOWER(label) LIKE '%clos%' THEN 'ec' END AS condition FROM (SELECT event_id, CASE event_type WHEN 'view' THEN 'instructed_toOpenEyes' WHEN 'click' THEN 'instructed_toCloseEyes' ELSE event_type END AS label FROM events) q",
+    "p9_inclusive_bins": "SELECT subject_id, age, CONCAT(CAST(CAST(FLOOR(age / 5) * 5 AS BIGINT) AS VARCHAR(20)), '-', CAST(CAST(FLOOR(age / 5) * 5 + 4 AS BIGINT) AS VARCHAR(20))) AS five, CASE WHEN age BETWEEN 20 AND 29 THEN '20-29' WHEN age BETWEEN 30 AND 39 THEN '30-39' WHEN age BETWEEN 40 AND 49 THEN '40-49' WHEN age BETWEEN 50 AND 59 THEN '50-59' WHEN age BETWEEN 60 AND 69 THEN '60-69' WHEN age BETWEEN 70 AND 79 THEN '70-79' END AS decade, CASE WHEN age BETWEEN 5 AND 8 THEN '5-8' WHEN age BETWEEN 9 AND 12 THEN '9-12' WHEN age BETWEEN 13 AND 17 THEN '13-17' WHEN age BETWEEN 18 AND 21 THEN '18-21' END AS young FROM subjects",
+    "p15_signal_channels": "SELECT c_custkey, channel FROM (SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN 'VEOG' WHEN 1 THEN 'ECG1' WHEN 2 THEN 'EMG left' WHEN 3 THEN 'Status' WHEN 4 THEN 'Fz' WHEN 5 THEN 'T7' ELSE 'GSR' END AS channel FROM customer) q WHERE NOT (UPPER(channel) LIKE '%EOG%' OR UPPER(channel) LIKE '%ECG%' OR UPPER(channel) LIKE '%EMG%' OR UPPER(channel) LIKE '%STATUS%' OR UPPER(channel) LIKE '%GSR%')",
+    "p21_families": f"WITH {GRAPH}, every AS (SELECT CONCAT('_pair_', ca, '_', cb) AS channel FROM graph UNION ALL SELECT CONCAT('_src_net_', region) FROM regions UNION ALL SELECT CONCAT('_src_dk_', channel) FROM regions UNION ALL SELECT channel FROM metrics) SELECT channel, CASE WHEN channel LIKE '%pair%' THEN 'pair' WHEN channel LIKE '%src_net%' THEN 'network' WHEN channel LIKE '%src%' THEN 'source' ELSE 'scalp' END AS family, COUNT(*) AS n FROM every GROUP BY channel, CASE WHEN channel LIKE '%pair%' THEN 'pair' WHEN channel LIKE '%src_net%' THEN 'network' WHEN channel LIKE '%src%' THEN 'source' ELSE 'scalp' END",
+    "a29_peripheral": "WITH place AS (SELECT s_nationkey AS montage, s_suppkey AS channel, s_acctbal AS z FROM supplier), lim AS (SELECT montage, $PCT(z, 0.5) - 0.4 * (MAX(z) - MIN(z)) AS cut FROM place GROUP BY montage) SELECT p.montage, p.channel, p.z < l.cut AS peripheral FROM place p JOIN lim l ON l.montage = p.montage",
+    "u5_bad_channels": "SELECT recording_id, $JOIN(channel) AS channels, COUNT(*) AS n FROM (SELECT recording_id, channel FROM (SELECT recording_id, channel, VAR_POP(v) AS s FROM signal GROUP BY recording_id, channel) a WHERE s < 0.1 UNION SELECT recording_id, channel FROM signal WHERE ABS(v) > 80) u GROUP BY recording_id",
+    # --- sorted tables -----------------------------------------------------------------------------------------------------------------------
+    "t1_cell_order": f"WITH {MEANS} SELECT bin, sex, condition, channel, band, metric, n FROM cell ORDER BY bin_lo, sex, condition, channel, band, metric",
+    "t2_reliability_order": f"WITH {ICC} SELECT condition, channel, band, metric, {r('COALESCE(icc, 1)')} AS order_icc FROM rel2 ORDER BY COALESCE(icc, 1), condition, channel, band, metric",
+    # --- checks --------------------------------------------------------------------------------------------------------------------------------
+    "v5_exponent_age": f"WITH {FIT}, e AS (SELECT b.bin_lo, b.bin_hi, AVG(-f.slope) AS exponent, COUNT(*) AS n FROM f2 f JOIN subjects s ON s.subject_id = CAST(FLOOR(f.recording_id / 5) AS BIGINT) JOIN bins b ON s.age >= b.bin_lo AND s.age < b.bin_hi WHERE f.n_points >= 5 GROUP BY b.bin_lo, b.bin_hi) SELECT COUNT(*) AS n_bins, {r(corr('(bin_lo + bin_hi) / 2.0', 'exponent'))} AS r, {corr('(bin_lo + bin_hi) / 2.0', 'exponent')} < 0 AS ok FROM e",
+    "v8_source_checks": f"""WITH p AS (SELECT m.subject_id, m.condition, g.region, AVG(m.value) AS power, MIN(m.value) AS least FROM metrics m JOIN regions g ON g.channel = m.channel WHERE m.metric = 'absolute_power' AND m.band = 'Alpha' GROUP BY m.subject_id, m.condition, g.region),
+ a AS (SELECT AVG(CASE WHEN region = 'posterior' THEN power END) / nullif(AVG(CASE WHEN region = 'anterior' THEN power END), 0) AS ratio, MIN(least) AS least FROM p), c AS (SELECT subject_id, region, MAX(CASE WHEN condition = 'ec' THEN power END) AS ec, MAX(CASE WHEN condition = 'eo' THEN power END) AS eo FROM p GROUP BY subject_id, region)
+ SELECT 'posterior_ratio' AS check_name, {r('ratio')} AS value, ratio > 0.9 AS ok FROM a UNION ALL SELECT 'non_negative', {r('least')}, least >= 0 FROM a UNION ALL SELECT 'closed_over_open', {r('AVG(CASE WHEN ec > eo THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)')}, AVG(CASE WHEN ec > eo THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) >= 0.7 FROM c WHERE ec IS NOT NULL AND eo IS NOT NULL
+ UNION ALL SELECT 'in_range', {r('AVG(CASE WHEN value BETWEEN -0.01 AND 1.01 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)')}, COUNT_IF(NOT value BETWEEN -0.01 AND 1.01) = 0 FROM metrics WHERE metric = 'relative_power'""",
+    "v9_network_checks": f"""WITH {GRAPH}, w AS (SELECT g.band, AVG(CASE WHEN a.region = b.region AND a.region = 'posterior' THEN weight END) AS within_, AVG(CASE WHEN a.region <> b.region THEN weight END) AS between_ FROM graph g JOIN regions a ON a.channel = g.ca JOIN regions b ON b.channel = g.cb GROUP BY g.band)
+ SELECT band, {r('within_')} AS within_mean, {r('within_ / nullif(between_, 0)')} AS ratio, within_ > 0.005 AS strong, within_ / nullif(between_, 0) > 0.7 AS ok, within_ > (SELECT AVG(within_) FROM w) AS above_mean FROM w""",
+    "v10_topography": f"""WITH {MEANS}, t AS (SELECT c.band, g.region, AVG(c.mean) AS power FROM cell c JOIN regions g ON g.channel = c.channel WHERE c.sex = 'pooled' AND c.metric = 'relative_power' GROUP BY c.band, g.region), o AS (SELECT band, AVG(CASE WHEN channel IN ('O1', 'O2') THEN mean END) AS within_, AVG(CASE WHEN channel NOT IN ('O1', 'O2') THEN mean END) AS across_ FROM cell WHERE sex = 'pooled' AND metric = 'relative_power' GROUP BY band)
+ SELECT t.band, t.region, {r('t.power')} AS power, {r('o.within_')} AS occipital, {r('o.across_')} AS elsewhere, o.within_ > o.across_ AS ok FROM t JOIN o ON o.band = t.band""",
+    "q6_reference": "SELECT r.recording_id, s.recording_id IS NULL AS absent, COALESCE(s.var < 0.1, FALSE) AS flat FROM (SELECT DISTINCT recording_id FROM signal) r LEFT JOIN (SELECT recording_id, VAR_POP(v) AS var FROM signal WHERE channel = 'purchase' GROUP BY recording_id) s ON s.recording_id = r.recording_id",
+    "q12_recording_results": """WITH flat AS (SELECT recording_id, COUNT_IF(var < 0.1) AS n_flat, COUNT(*) AS n_channels FROM (SELECT recording_id, channel, VAR_POP(v) AS var FROM signal GROUP BY recording_id, channel) c GROUP BY recording_id), gross AS (SELECT recording_id, COUNT_IF(ABS(v) > 60) AS n_gross, COUNT(*) AS n FROM signal GROUP BY recording_id),
+ blocks AS (SELECT recording_id, COUNT_IF(kind = 'eo') AS n_eo, COUNT_IF(kind = 'ec') AS n_ec FROM markers GROUP BY recording_id)
+ SELECT f.recording_id, f.n_channels, f.n_flat, g.n_gross, COALESCE(b.n_eo, 0) AS n_eo, COALESCE(b.n_ec, 0) AS n_ec, CASE WHEN f.n_flat * 2 > f.n_channels OR COALESCE(b.n_eo, 0) + COALESCE(b.n_ec, 0) = 0 THEN 'excluded' WHEN g.n_gross * 2 > g.n OR f.n_flat > 0 THEN 'review' ELSE 'ready' END AS verdict,
+ CONCAT(CASE WHEN f.n_flat > 0 THEN 'flat;' ELSE '' END, CASE WHEN g.n_gross * 2 > g.n THEN 'gross;' ELSE '' END, CASE WHEN COALESCE(b.n_eo, 0) = 0 THEN 'no eo;' ELSE '' END, CASE WHEN COALESCE(b.n_ec, 0) = 0 THEN 'no ec;' ELSE '' END) AS issues FROM flat f JOIN gross g ON g.recording_id = f.recording_id LEFT JOIN blocks b ON b.recording_id = f.recording_id""",
+    "q13_montage_report": f"""WITH {SEEN}, named AS (SELECT subject_id, CASE channel WHEN 'T3' THEN 'T7' WHEN 'T4' THEN 'T8' ELSE channel END AS raw FROM seen), back AS (SELECT DISTINCT subject_id, CASE UPPER(raw) WHEN 'T7' THEN 'T3' WHEN 'T8' THEN 'T4' ELSE raw END AS channel FROM named)
+ SELECT b.subject_id, COUNT(a.channel) AS n_present, 19 - COUNT(a.channel) AS n_missing, COUNT(*) - COUNT(a.channel) AS n_extra, COUNT(a.channel) = 19 AS complete FROM back b LEFT JOIN (SELECT DISTINCT channel FROM adjacency) a ON a.channel = b.channel GROUP BY b.subject_id""",
 }

@@ -9,7 +9,7 @@ from plumbline.functions.numeric import SW_C1, SW_C2, low_first, norm_ppf, num,
 from plumbline.plans import norms
 from plumbline.plans.catalog import CELL, FAN, LOG, MEANS, r
 from plumbline.plans.sql import run
-from plumbline.sources.fixtures import NEIGHBOURS, POINTS
+from plumbline.sources.fixtures import EDGES, NEIGHBOURS, POINTS
 
 NUDGE = 1.23e-8
 
@@ -26,7 +26,7 @@ def scaled(x: str) -> str:
 
 
 def norm_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = norms.norm_cells(norms.metrics(spark, sf_dir))
+    cells = norms.norm_cells(norms.metrics(spark, sf_dir), shape=False)
     points = {f"p{str(p).replace('.', '_')}": F.element_at("percentiles", i + 1) for i, p in enumerate(POINTS)}
     numbers = ["mean", "sd", "log_mean", "log_sd", "ci_lower", "ci_upper", "pi_lower", "pi_upper", *points]
     return cells.withColumns(points).select(*norms.KEYS, "n", "log_transformed", *(F.expr(scaled(c)).alias(c) for c in numbers))
@@ -39,7 +39,7 @@ def cell_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = norms.metrics(spark, sf_dir)
-    return norms.score(rows, norms.best_cells(norms.norm_cells(rows)))
+    return norms.score(rows, norms.best_cells(norms.norm_cells(rows, shape=False)), edges=EDGES)
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +97,7 @@ _U = "(1 / sqrt(k))"
 _A1 = f"(CASE WHEN k = 3 THEN sqrt({num(0.5)}) ELSE {low_first(SW_C1, _U)} + mn / sqrt(mm) END)"
 _A2 = f"({low_first(SW_C2, _U)} + mn1 / sqrt(mm))"
 _SHAPE = f"""{_CELLS}, sx AS (SELECT {CELL}, CASE WHEN is_log THEN lv ELSE value END AS x FROM lg), sr AS (SELECT *, row_number() OVER (PARTITION BY {CELL} ORDER BY x) AS i, count(*) OVER (PARTITION BY {CELL}) AS k FROM sx WHERE x IS NOT NULL),
-sm AS (SELECT *, CASE WHEN 2 * i = k + 1 THEN 0.0 ELSE {norm_ppf("((i - 0.375) / (k + 0.25))")} END AS m FROM sr WHERE k BETWEEN 3 AND 5000),
+sm AS (SELECT *, CASE WHEN 2 * i = k + 1 THEN 0.0 ELSE {norm_ppf("((i - 0.375) / (k + 0.25))")} END AS m FROM sr WHERE k >= 3),
 se AS (SELECT *, sum(m * m) OVER w AS mm, max(CASE WHEN i = k THEN m END) OVER w AS mn, max(CASE WHEN i = k - 1 THEN m END) OVER w AS mn1 FROM sm WINDOW w AS (PARTITION BY {CELL})),
 sa AS (SELECT *, {_A1} AS a1, {_A2} AS a2 FROM se),
 sw AS (SELECT *, CASE WHEN k > 5 THEN (mm - 2 * mn * mn - 2 * mn1 * mn1) / (1 - 2 * a1 * a1 - 2 * a2 * a2) ELSE (mm - 2 * mn * mn) / nullif(1 - 2 * a1 * a1, 0) END AS phi FROM sa),

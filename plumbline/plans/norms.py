@@ -11,7 +11,8 @@ from plumbline.plans.sql import run
 from plumbline.sources.fixtures import EDGES, LOG_METRICS, NEIGHBOURS, POINTS
 
 KEYS = ["bin", "bin_lo", "bin_hi", "sex", "condition", "channel", "band", "metric"]
-SHAPIRO_MOST = 5_000
+#: Cells of more values are ranked in this many slices, so that no cell is sorted in one task.
+SLICED, SLICES = 5_000, 64
 
 
 def is_log() -> Column:
@@ -35,11 +36,21 @@ def fan_out(metrics: DataFrame, edges: list[int] = EDGES) -> DataFrame:
 
 
 def shapiro(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """normality_p of the scoring space per cell, for cells of 3 to SHAPIRO_MOST values with spread: sorted within the cell only."""
+    """normality_p of the scoring space per cell of 3 values and more with spread (Royston's fit is to 5,000; beyond it extrapolates).
+
+    Counts come first, so that only cells that qualify are sorted. Slices of a large cell are cut at approximate quantiles, ranked
+    apart and moved by the counts of the slices before them: ranks are exact.
+    """
     x = F.when(is_log(), F.when(F.col("value") > 0, F.ln("value"))).otherwise(F.col("value"))
-    rows = rows.withColumn("x", x).where("x is not null")
-    w = Window.partitionBy(*keys)
-    ranked = rows.withColumn("i", F.row_number().over(w.orderBy("x"))).withColumn("n", F.count("*").over(w)).where((F.col("n") >= 3) & (F.col("n") <= SHAPIRO_MOST))
+    rows = rows.select(*keys, x.alias("x")).where("x is not null")
+    points = F.array(*(F.lit(k / SLICES) for k in range(1, SLICES)))
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"), F.percentile_approx("x", points, 1_000).alias("cuts")).where("n >= 3 and hi > lo")
+    sizes = sizes.select(*keys, "n", F.when(F.col("n") > SLICED, F.array_distinct("cuts")).otherwise(F.array().cast("array<double>")).alias("cuts"))
+    placed = rows.join(sizes, keys).select(*keys, "x", "n", F.size(F.filter("cuts", lambda c: c < F.col("x"))).alias("slice"))
+    part = Window.partitionBy(*keys, "slice")
+    ranked = placed.withColumn("i", F.row_number().over(part.orderBy("x")))
+    before = placed.groupBy(*keys, "slice").count().withColumn("before", F.sum("count").over(Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)))
+    ranked = ranked.join(before.drop("count"), [*keys, "slice"]).withColumn("i", F.col("i") + F.coalesce("before", F.lit(0)))
     m = F.expr(norm_ppf(f"((i - {num(0.375)}) / (n + {num(0.25)}))"))
     ranked = ranked.withColumn("m", F.when((F.col("n") % 2 == 1) & (2 * F.col("i") == F.col("n") + 1), F.lit(0.0)).otherwise(m))
     ends = [F.max(F.when(F.col("i") == F.col("n") - k, F.col("m"))) for k in (0, 1)]
@@ -71,8 +82,8 @@ SHAPIRO_STEPS = {
 }
 
 
-def norm_cells(metrics: DataFrame, edges: list[int] = EDGES) -> DataFrame:
-    """The norm cells of long metrics (subject_id, age, sex, condition, channel, band, metric, value)."""
+def norm_cells(metrics: DataFrame, edges: list[int] = EDGES, shape: bool = True) -> DataFrame:
+    """The norm cells of long metrics (subject_id, age, sex, condition, channel, band, metric, value); shape: with normality_p."""
     spark = metrics.sparkSession
     rows = fan_out(metrics, edges)
     positive = F.when(is_log() & (F.col("value") > 0), F.ln("value"))
@@ -100,6 +111,8 @@ def norm_cells(metrics: DataFrame, edges: list[int] = EDGES) -> DataFrame:
     cells = cells.select(
         "*", bound(-1, mean_width).alias("ci_lower"), bound(1, mean_width).alias("ci_upper"), bound(-1, value_width).alias("pi_lower"), bound(1, value_width).alias("pi_upper"),
     ).drop("df", "t")
+    if not shape:
+        return cells
     return cells.join(shapiro(rows, KEYS), KEYS, "left").withColumn("transform_normalized", F.col("normality_p") >= 0.05)
 
 
@@ -109,20 +122,26 @@ def best_cells(cells: DataFrame) -> DataFrame:
     return cells.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k")
 
 
-def score(metrics: DataFrame, cells: DataFrame, match: str = "label", use_sex: bool = True) -> DataFrame:
-    """z scores of long metrics against cells. match 'label': the label's whole years, both ends included (29.5 has no bin)."""
+def spark_bins(spark: SparkSession, edges: list[int]) -> DataFrame:
+    return spark.createDataFrame(list(zip(edges[:-1], edges[1:], strict=True)), "bin_lo int, bin_hi int")
+
+
+def score(metrics: DataFrame, cells: DataFrame, match: str = "label", use_sex: bool = True, edges: list[int] | None = None) -> DataFrame:
+    """z scores of long metrics against cells. match 'label': the label's whole years, both ends included (29.5 has no bin).
+
+    edges: those that the cells were built with, if known; else their bins are collected from the cells. A sex without cells is scored
+    against the pooled ones. Cells must be unique by key (see best_cells).
+    """
     top = F.col("bin_hi") - 1 if match == "label" else F.col("bin_hi")
-    bins = cells.select("bin_lo", "bin_hi").distinct()
+    bins = spark_bins(metrics.sparkSession, edges) if edges else cells.select("bin_lo", "bin_hi").distinct()
     inside = (F.col("age") >= F.col("bin_lo")) & ((F.col("age") <= top) if match == "label" else (F.col("age") < top))
-    # Subjects meet the few bins first, so that cells join on equal keys only.
+    # Subjects meet the few bins first, so that cells join on equal keys only; a cell's sexes are one row, so that one join is left.
     keys = ["bin_lo", "bin_hi", "condition", "channel", "band", "metric"]
     rows = metrics.withColumn("own", F.upper(F.trim("sex"))).join(F.broadcast(bins), inside)
-    pooled = cells.where("sex = 'pooled'").select(*keys, F.struct("n", "mean", "sd", "log_mean", "log_sd", "percentiles", "pi_lower", "pi_upper", F.lit("pooled").alias("used")).alias("p"))
-    if use_sex:
-        mine = cells.where("sex <> 'pooled'").select(*keys, F.col("sex").alias("own"), F.struct("n", "mean", "sd", "log_mean", "log_sd", "percentiles", "pi_lower", "pi_upper", F.col("sex").alias("used")).alias("s"))
-        rows = rows.join(mine, [*keys, "own"], "left").join(pooled, keys, "left").withColumn("cell", F.coalesce("s", "p"))
-    else:
-        rows = rows.join(pooled, keys).withColumn("cell", F.col("p"))
+    cell = F.struct("n", "mean", "sd", "log_mean", "log_sd", "log_transformed", "percentiles", "pi_lower", "pi_upper", F.col("sex").alias("used"))
+    sexes = cells.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("sex", cell.alias("cell")))).alias("cells"))
+    own = F.coalesce(F.col("cells")[F.col("own")], F.col("cells")["pooled"]) if use_sex else F.col("cells")["pooled"]
+    rows = rows.join(sexes, keys).withColumn("cell", own)
     rows = rows.where("cell is not null").select("subject_id", "age", "condition", "channel", "band", "metric", "value", "cell.*")
     log_ok = is_log() & (F.col("value") > 0) & F.col("log_mean").isNotNull() & (F.col("log_sd") > 0)
     z = F.when(log_ok, (F.ln("value") - F.col("log_mean")) / F.col("log_sd")).when(F.col("sd") > 0, (F.col("value") - F.col("mean")) / F.col("sd")).when(F.col("mean") != 0, (F.col("value") - F.col("mean")) / F.abs("mean")).otherwise(0.0)
@@ -169,7 +188,7 @@ def global_patterns(scores: DataFrame, cut: float = 1.5, share: float = 0.6) ->
     return found.withColumn("share", F.col("n_deviant") / F.col("n_channels")).where(F.col("share") >= share)
 
 
-def clusters(scores: DataFrame, cut: float = 1.5, neighbours: dict[str, list[str]] | None = None, turns: int = 19) -> DataFrame:
+def clusters(scores: DataFrame, cut: float = 1.5, neighbours: dict[str, list[str]] | None = None) -> DataFrame:
     """Connected channels that deviate in one direction, two at least. Labels spread over a fixed adjacency of few channels."""
     spark = scores.sparkSession
     near = neighbours or NEIGHBOURS
@@ -181,7 +200,8 @@ def clusters(scores: DataFrame, cut: float = 1.5, neighbours: dict[str, list[str
     around = F.create_map(*(x for n in names for x in (F.lit(n), F.array(*(F.lit(b) for b in near.get(n, []))))))
     near_labels = lambda label, k: F.filter(F.transform(F.coalesce(around[k], F.array().cast("array<string>")), lambda b: label[b]), lambda x: x.isNotNull())
     step = lambda label, _: F.transform_values(label, lambda k, v: F.array_min(F.concat(F.array(v), near_labels(label, k))))
-    sets = sets.withColumn("label", F.aggregate(F.sequence(F.lit(1), F.lit(turns)), F.col("label"), step))
+    # A label needs one turn less than there are channels to reach all.
+    sets = sets.withColumn("label", F.aggregate(F.sequence(F.lit(1), F.lit(len(names))), F.col("label"), step))
     out = sets.select(*keys, F.explode(F.map_entries("label")).alias("e"), "zs").select(*keys, F.col("e.value").alias("root"), F.col("e.key").alias("channel"), F.col("zs")[F.col("e.key")].alias("z"))
     return out.groupBy(*keys, "root").agg(F.count("*").alias("size"), F.array_join(F.array_sort(F.collect_list("channel")), ",").alias("channels"), F.avg(F.abs("z")).alias("mean_abs_z"), F.max(F.abs("z")).alias("max_abs_z")).where("size >= 2")
 
@@ -193,7 +213,7 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build the norms, score every subject, control the false-discovery rate."""
     rows = metrics(spark, sf_dir)
-    return false_discovery(score(rows, best_cells(norm_cells(rows)))).drop("percentiles")
+    return false_discovery(score(rows, best_cells(norm_cells(rows, shape=False)), edges=EDGES)).drop("percentiles", "log_transformed")
 
 
 __all__ = ["best_cells", "clusters", "false_discovery", "flagship", "global_patterns", "norm_cdf", "norm_cells", "score", "shapiro"]

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-# The 19 scalp channels in order, the adjacency of channels, regions, bands and ratios.
+# The 19 scalp channels in order, the adjacency of channels (neighbours in the order of CHANNELS), regions, bands and ratios.
 CHANNELS = ["Fp1", "Fp2", "F7", "F3", "Fz", "F4", "F8", "T3", "C3", "Cz", "C4", "T4", "T5", "P3", "Pz", "P4", "T6", "O1", "O2"]
 NEIGHBOURS = {
-    "Fp1": ["Fp2", "F3", "F7"], "Fp2": ["Fp1", "F4", "F8"], "F7": ["Fp1", "F3", "T3"], "F3": ["Fp1", "F7", "Fz", "C3"], "Fz": ["F3", "F4", "Cz"], "F4": ["Fp2", "F8", "Fz", "C4"], "F8": ["Fp2", "F4", "T4"],
-    "T3": ["F7", "C3", "T5"], "C3": ["F3", "T3", "Cz", "P3"], "Cz": ["Fz", "C3", "C4", "Pz"], "C4": ["F4", "T4", "Cz", "P4"], "T4": ["F8", "C4", "T6"], "T5": ["T3", "P3", "O1"], "P3": ["C3", "T5", "Pz", "O1"],
-    "Pz": ["Cz", "P3", "P4"], "P4": ["C4", "T6", "Pz", "O2"], "T6": ["T4", "P4", "O2"], "O1": ["T5", "P3", "O2"], "O2": ["T6", "P4", "O1"],
+    "Fp1": ["Fp2", "F7", "F3"], "Fp2": ["Fp1", "F4", "F8"], "F7": ["Fp1", "F3", "T3"], "F3": ["Fp1", "F7", "Fz", "C3"], "Fz": ["F3", "F4", "Cz"], "F4": ["Fp2", "Fz", "F8", "C4"], "F8": ["Fp2", "F4", "T4"],
+    "T3": ["F7", "C3", "T5"], "C3": ["F3", "T3", "Cz", "P3"], "Cz": ["Fz", "C3", "C4", "Pz"], "C4": ["F4", "Cz", "T4", "P4"], "T4": ["F8", "C4", "T6"], "T5": ["T3", "P3", "O1"], "P3": ["C3", "T5", "Pz", "O1"],
+    "Pz": ["Cz", "P3", "P4"], "P4": ["C4", "Pz", "T6", "O2"], "T6": ["T4", "P4", "O2"], "O1": ["T5", "P3", "O2"], "O2": ["P4", "T6", "O1"],
 }
 POSTERIOR, ANTERIOR = ["P3", "Pz", "P4", "O1", "O2"], ["Fp1", "Fp2", "F3", "Fz", "F4"]
 BANDS = {"Delta": (1.0, 4.0), "Theta": (4.0, 8.0), "Alpha": (8.0, 13.0), "Alpha1": (8.0, 10.5), "Alpha2": (10.5, 13.0), "Beta": (13.0, 30.0), "Beta1": (13.0, 15.0), "Beta2": (15.0, 18.0), "Beta3": (18.0, 25.0), "HighBeta": (25.0, 30.0), "Gamma": (30.0, 50.0)}
@@ -30,9 +30,11 @@ def rows(*values: tuple, names: str) -> str:
 
 
 _CHANNEL = "CASE " + " ".join(f"WHEN {{0}} = {i} THEN '{c}'" for i, c in enumerate(CHANNELS)) + " END"
-_LONG = """SELECT subject_id, MAX(age) AS age, MAX(sex) AS sex, MAX(dataset) AS dataset, {session}condition, channel, band, '{metric}' AS metric, AVG({value}) AS value
- FROM measured GROUP BY subject_id, {session}condition, channel, band"""
 _METRICS = [("absolute_power", "l_extendedprice"), ("corrected_absolute_power", "l_extendedprice * (1 - l_discount)"), ("relative_power", "l_discount")]
+#: One aggregation with all averages, then a row for each. Averages keep nine decimals: the last bits depend on the order of sums.
+_LONG = """SELECT subject_id, age, sex, dataset, {session}condition, channel, band, metric, CASE metric {cases} END AS value FROM (SELECT subject_id, MAX(age) AS age, MAX(sex) AS sex, MAX(dataset) AS dataset, {session}condition, channel, band, {averages}
+ FROM measured GROUP BY subject_id, {session}condition, channel, band) g $EACH({names})"""
+_PARTS = {"cases": " ".join(f"WHEN '{m}' THEN a{i}" for i, (m, _) in enumerate(_METRICS)), "averages": ", ".join(f"ROUND(AVG({v}), 9) AS a{i}" for i, (_, v) in enumerate(_METRICS)), "names": ", ".join(f"'{m}'" for m, _ in _METRICS)}
 
 VIEWS = {
     "subjects": """SELECT c_custkey AS subject_id, CAST(15 + (c_custkey * 7) % 70 AS DOUBLE) + CASE WHEN c_custkey % 11 = 0 THEN CAST(0.5 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS age,
@@ -40,8 +42,8 @@ VIEWS = {
     "measured": f"""SELECT s.subject_id, s.age, s.sex, s.dataset, CASE WHEN l_linestatus = 'O' THEN 'eo' ELSE 'ec' END AS condition, {_CHANNEL.format("l_suppkey % 19")} AS channel,
  CASE l_returnflag WHEN 'A' THEN 'Alpha' WHEN 'N' THEN 'Beta' ELSE 'Theta' END AS band, CASE WHEN l_linenumber % 2 = 1 THEN 'session1' ELSE 'session2' END AS session, l_extendedprice, l_discount
  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN subjects s ON s.subject_id = o_custkey""",
-    "metrics": " UNION ALL ".join(_LONG.format(session="", metric=m, value=v) for m, v in _METRICS),
-    "retest": " UNION ALL ".join(_LONG.format(session="session, ", metric=m, value=v) for m, v in _METRICS[::2]),
+    "metrics": _LONG.format(session="", **_PARTS),
+    "retest": _LONG.format(session="session, ", **_PARTS),
     "bins": rows(*((lo, hi, f"{lo}-{hi - 1}") for lo, hi in zip(EDGES[:-1], EDGES[1:], strict=True)), names="t(bin_lo, bin_hi, bin)"),
     "adjacency": rows(*((a, b) for a, bs in NEIGHBOURS.items() for b in bs), names="t(channel, neighbour)"),
     "bands": rows(*((n, lo, hi) for n, (lo, hi) in BANDS.items()), names="t(band, lo, hi)"),
