@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from plumbline.functions.numeric import SW_C1, SW_C2, low_first, norm_ppf, num, shapiro_p, t_table, two_tailed
 from plumbline.plans import norms
@@ -66,12 +67,76 @@ def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out, *out.columns)
 
 
+def trust_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each z can be trusted: its distance from the robust one, thin cells, and whether the value is in the prediction interval."""
+    rows = _scored(spark, sf_dir).withColumn("parametric_z_unreliable", F.col("low_confidence") | F.col("discrepant"))
+    return rounded(rows, "subject_id", "condition", "channel", "band", "metric", "z_discrepancy", "discrepant", "parametric_z_unreliable", "in_prediction")
+
+
+def effect_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cohen's d in words and the tier of severity, counted for each subject."""
+    d = F.abs("cohen_d")
+    label = F.when(d.isNull(), "none").when(d < 0.2, "negligible").when(d < 0.5, "small").when(d < 0.8, "medium").otherwise("large")
+    return _scored(spark, sf_dir).groupBy("subject_id", "condition", label.alias("effect"), "severity").agg(F.count("*").alias("n"))
+
+
+DISAGREE = [("absolute_power", "corrected_absolute_power"), ("absolute_power", "relative_power")]
+
+
+def metric_disagreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places where two metrics deviate in opposite directions, one of them beyond 1.5."""
+    wide = _scored(spark, sf_dir).groupBy("subject_id", "condition", "channel", "band").agg(F.map_from_entries(F.collect_list(F.struct("metric", "z"))).alias("z"))
+    pair = F.explode(F.array(*(F.struct(F.lit(x).alias("first"), F.lit(y).alias("second"), F.col("z")[x].alias("a"), F.col("z")[y].alias("b")) for x, y in DISAGREE)))
+    pairs = wide.select("subject_id", "condition", "channel", "band", pair.alias("p")).select("subject_id", "condition", "channel", "band", "p.*")
+    return rounded(pairs.where((F.col("a") * F.col("b") < 0) & (F.greatest(F.abs("a"), F.abs("b")) > 1.5)), *pairs.columns)
+
+
+def significant_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each subject's significant values, the most deviant first."""
+    found = norms.false_discovery(_scored(spark, sf_dir), alpha=0.2).where("significant")
+    order = Window.partitionBy("subject_id", "condition").orderBy(F.desc(F.abs("z")), "channel", "band", "metric")
+    return rounded(found.withColumn("place", F.row_number().over(order)), "subject_id", "condition", "channel", "band", "metric", "z", "place")
+
+
+def transform_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 25 cells whose scoring space is furthest from normal: a report of its own length."""
+    cells = norms.norm_cells(norms.metrics(spark, sf_dir))
+    # Ordered as shown, so that ties in the shown digits are ties. The filter comes last: pushed into p's formula it outgrows the compiler.
+    return rounded(cells, *norms.KEYS, "n", "normality_p").orderBy(F.asc_nulls_last("normality_p"), *norms.KEYS).limit(25).where("normality_p < 0.05")
+
+
+def shape_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells that are thin or not normal (p < 0.01), by bin and in all."""
+    cells = norms.norm_cells(norms.metrics(spark, sf_dir))
+    bad = F.col("normality_p") < 0.01
+    out = cells.rollup("bin").agg(F.count("*").alias("n_cells"), F.min("n").alias("n_min"), F.expr("percentile(n, 0.5)").alias("n_median"), F.max("n").alias("n_max"), F.count_if(F.col("n") < 10).alias("n_thin"), F.count_if(F.coalesce(bad, F.lit(False))).alias("n_not_normal"), F.avg(bad.cast("double")).alias("share_not_normal"), F.count_if(F.coalesce(F.col("log_transformed") & ~F.col("transform_normalized"), F.lit(False))).alias("n_transform_failed"))
+    return rounded(out, *out.columns)
+
+
+def spectral_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Norms of spectra: log power by bin, condition, sex, channel and frequency (the band), with the normality of each."""
+    cells = norms.norm_cells(run(spark, sf_dir, "SELECT * FROM spectra"))
+    points = {f"p{str(p).replace('.', '_')}": F.element_at("percentiles", i + 1) for i, p in enumerate(POINTS)}
+    return rounded(cells.withColumns(points), *norms.KEYS, "n", "mean", "sd", *points, "normality_p")
+
+
 def report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON document for each subject and condition: its scores, the most deviant first."""
-    rows = rounded(_scored(spark, sf_dir), "subject_id", "condition", "channel", "band", "metric", "z", "severity")
-    item = F.struct((-F.abs("z")).alias("order"), "channel", "band", "metric", "z", "severity")
+    """One JSON document for each subject and condition (its scores, the most deviant first) and a summary in words."""
+    rows = rounded(_scored(spark, sf_dir), "subject_id", "condition", "channel", "band", "metric", "z", "severity", "in_prediction")
+    item = F.struct((-F.abs("z")).alias("order"), "channel", "band", "metric", "z", "severity", "in_prediction")
     packed = rows.groupBy("subject_id", "condition").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    return packed.select("subject_id", "condition", F.size("items").cast("long").alias("n"), F.to_json(F.struct("subject_id", "condition", "items")).alias("report"))
+    top = F.col("items")[0]
+    far, outside = F.size(F.filter("items", lambda x: x["severity"] >= 3)), F.size(F.filter("items", lambda x: ~x["in_prediction"]))
+    words = F.format_string("%s: %d values, %d at 1.5 or beyond, %d outside the prediction interval; most deviant %s %s %s", "condition", F.size("items"), far, outside, top["channel"], top["band"], top["metric"])
+    return packed.select("subject_id", "condition", F.size("items").cast("long").alias("n"), words.alias("summary"), F.to_json(F.struct("subject_id", "condition", "items")).alias("report"))
+
+
+def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the JSON documents hold, read back: counts, the most deviant value and the summary."""
+    kind = "struct<subject_id: long, condition: string, items: array<struct<order: double, channel: string, band: string, metric: string, z: double, severity: int, in_prediction: boolean>>>"
+    got = report_json(spark, sf_dir).select(F.from_json("report", kind).alias("d"), "summary")
+    top = F.col("d.items")[0]
+    return got.select("d.subject_id", "d.condition", F.size("d.items").cast("long").alias("n"), top["channel"].alias("channel"), top["band"].alias("band"), top["metric"].alias("metric"), top["z"].alias("z"), "summary")
 
 
 _T = "t975(df, t) AS (VALUES " + ", ".join(f"({i + 1}, CAST({float(t)!r} AS DOUBLE))" for i, t in enumerate(t_table())) + ")"
@@ -110,7 +175,18 @@ def _cols(*names: str) -> str:
     return ", ".join(f"{r(n)} AS {n}" for n in names)
 
 
+_FIRST = "row_number() OVER (PARTITION BY subject_id, condition ORDER BY -abs(zr), channel, band, metric)"
+_KEYLIST = "subject_id, condition, channel, band, metric"
+_FLAGS = f"{_SCORED}, flag AS (SELECT *, abs(z - robust_z) AS gap, value BETWEEN pi_lower AND pi_upper AS inside, {r('z')} AS zr FROM scored)"
+_SHAPED = f"{_SHAPE}, sc AS (SELECT c.*, s.normality_p FROM cells c LEFT JOIN shape s ON s.bin = c.bin AND s.sex = c.sex AND s.condition = c.condition AND s.channel = c.channel AND s.band = c.band AND s.metric = c.metric)"
 ORACLES = {
+    "z4_trust_flags": f"WITH {_FLAGS} SELECT {_KEYLIST}, {r('gap')} AS z_discrepancy, gap > 1 AS discrepant, gap > 1 OR low_confidence AS parametric_z_unreliable, inside AS in_prediction FROM flag",
+    "p12_effect_labels": f"WITH {_SCORED} SELECT subject_id, condition, CASE WHEN cohen_d IS NULL THEN 'none' WHEN abs(cohen_d) < 0.2 THEN 'negligible' WHEN abs(cohen_d) < 0.5 THEN 'small' WHEN abs(cohen_d) < 0.8 THEN 'medium' ELSE 'large' END AS effect, severity, count(*) AS n FROM scored GROUP BY ALL",
+    "z8_metric_disagreement": f"WITH {_SCORED} SELECT a.subject_id, a.condition, a.channel, a.band, a.metric AS first, b.metric AS second, {r('a.z')} AS a, {r('b.z')} AS b FROM scored a JOIN scored b USING (subject_id, condition, channel, band) WHERE (a.metric, b.metric) IN ({', '.join(map(str, DISAGREE))}) AND sign(a.z) * sign(b.z) = -1 AND (abs(a.z) > 1.5 OR abs(b.z) > 1.5)",
+    "t5_significant_findings": f"WITH {_FDR.replace('0.05 * k2 / m2 THEN', '0.2 * k2 / m2 THEN')} SELECT {_KEYLIST}, {r('z')} AS z, row_number() OVER (PARTITION BY subject_id, condition ORDER BY abs(z) DESC, channel, band, metric) AS place FROM fdr WHERE significant",
+    "t3_transform_failures": f"WITH {_SHAPED} SELECT {CELL}, n, {r('normality_p')} AS normality_p FROM sc WHERE normality_p < 0.05 ORDER BY {r('normality_p')}, {CELL} LIMIT 25",
+    "a14_shape_rollup": f"WITH {_SHAPED} SELECT bin, count(*) AS n_cells, min(n) AS n_min, {r('quantile_cont(n, 0.5)')} AS n_median, max(n) AS n_max, count_if(n < 10) AS n_thin, count_if(normality_p < 0.01) AS n_not_normal, {r('avg(CAST(normality_p < 0.01 AS INT))')} AS share_not_normal, count_if(log_transformed AND normality_p < 0.05) AS n_transform_failed FROM sc GROUP BY ROLLUP (bin)",
+    "z9_report_lines": f"WITH {_FLAGS}, o AS (SELECT *, {_FIRST} AS place, count(*) OVER p AS n_all, count_if(severity >= 3) OVER p AS far, count_if(NOT inside) OVER p AS outside FROM flag WINDOW p AS (PARTITION BY subject_id, condition)) SELECT subject_id, condition, n_all AS n, channel, band, metric, zr AS z, printf('%s: %d values, %d at 1.5 or beyond, %d outside the prediction interval; most deviant %s %s %s', condition, n_all, far, outside, channel, band, metric) AS summary FROM o WHERE place = 1",
     "a1_norm_cells": f"WITH {_CELLS} SELECT {CELL}, n, log_transformed, {', '.join(f'{scaled(c)} AS {c}' for c in ('mean', 'sd', 'log_mean', 'log_sd', 'ci_lower', 'ci_upper', 'pi_lower', 'pi_upper', *_P))} FROM cells",
     "a5_cell_shape": f"WITH {_SHAPE} SELECT c.bin, c.bin_lo, c.bin_hi, c.sex, c.condition, c.channel, c.band, c.metric, {r('CASE WHEN n >= 3 AND sd > 0 THEN c3 / c2 ** 1.5 END')} AS skewness, {r('CASE WHEN n >= 3 AND sd > 0 THEN c4 / (c2 * c2) - 3 END')} AS kurtosis, {r('s.normality_p')} AS normality_p, s.normality_p >= 0.05 AS transform_normalized FROM cells c LEFT JOIN shape s ON s.bin = c.bin AND s.sex = c.sex AND s.condition = c.condition AND s.channel = c.channel AND s.band = c.band AND s.metric = c.metric",
     "z1_scores": f"WITH {_SCORED} SELECT subject_id, condition, channel, band, metric, used, severity, low_confidence, {_cols('z', 'rank', 'robust_z', 'p', 'se_z', 'cohen_d')} FROM scored",
@@ -119,7 +195,11 @@ ORACLES = {
     "z6_global_patterns": f"WITH {_SCORED}, g AS (SELECT subject_id, condition, band, metric, d.direction, count(*) AS n_channels, count_if(z * d.s > 0.5) AS n_deviant FROM scored CROSS JOIN (VALUES ('high', 1), ('low', -1)) AS d(direction, s) GROUP BY ALL) SELECT *, {r('n_deviant * CAST(1 AS DOUBLE) / n_channels')} AS share FROM g WHERE n_deviant * CAST(1 AS DOUBLE) / n_channels >= 0.4",
     "z7_clusters": f"WITH RECURSIVE {_SCORED}, dev AS (SELECT subject_id, condition, band, metric, channel, z, CASE WHEN z > 0 THEN 'high' ELSE 'low' END AS direction FROM scored WHERE abs(z) > 1.0), walk AS (SELECT subject_id, condition, band, metric, direction, channel, channel AS seen FROM dev UNION SELECT w.subject_id, w.condition, w.band, w.metric, w.direction, w.channel, d.channel FROM walk w JOIN adjacency a ON a.channel = w.seen JOIN dev d ON d.channel = a.neighbour AND d.subject_id = w.subject_id AND d.condition = w.condition AND d.band = w.band AND d.metric = w.metric AND d.direction = w.direction), root AS (SELECT subject_id, condition, band, metric, direction, channel, min(seen) AS root FROM walk GROUP BY ALL) SELECT r.subject_id, r.condition, r.band, r.metric, r.direction, count(*) AS size, string_agg(r.channel, ',' ORDER BY r.channel) AS channels, {r('avg(abs(d.z))')} AS mean_abs_z, {r('max(abs(d.z))')} AS max_abs_z FROM root r JOIN dev d USING (subject_id, condition, band, metric, direction, channel) GROUP BY r.subject_id, r.condition, r.band, r.metric, r.direction, r.root HAVING count(*) >= 2",
 }
-QUERIES = {"a1_norm_cells": norm_cells, "a5_cell_shape": cell_shape, "z1_scores": scores, "w1_false_discovery": false_discovery, "a26_report_rollup": report_rollup, "z6_global_patterns": global_patterns, "z7_clusters": clusters, "z9_report_json": report_json}
+PCTS = ", ".join(f"{r(c)} AS {c}" for c in _P)
+#: The norm machinery over spectra in place of metrics.
+SPECTRAL = f"WITH {_SHAPED.replace('FROM metrics JOIN', 'FROM spectra JOIN')} SELECT {CELL}, n, {r('mean')} AS mean, {r('sd')} AS sd, {PCTS}, {r('normality_p')} AS normality_p FROM sc"
+ORACLES["a8_spectral_norms"] = SPECTRAL
+QUERIES = {"z4_trust_flags": trust_flags, "p12_effect_labels": effect_labels, "z8_metric_disagreement": metric_disagreement, "t5_significant_findings": significant_findings, "t3_transform_failures": transform_failures, "a14_shape_rollup": shape_rollup, "a8_spectral_norms": spectral_norms, "z9_report_lines": report_lines} | {"a1_norm_cells": norm_cells, "a5_cell_shape": cell_shape, "z1_scores": scores, "w1_false_discovery": false_discovery, "a26_report_rollup": report_rollup, "z6_global_patterns": global_patterns, "z7_clusters": clusters, "z9_report_json": report_json}
 
 assert all(set(NEIGHBOURS[b]) >= {a} for a, bs in NEIGHBOURS.items() for b in bs), "adjacency goes both ways"
 __all__ = ["MEANS", "ORACLES", "QUERIES", "run"]

@@ -51,6 +51,8 @@ VIEWS = {
     "hubs": rows(*((h, c) for h, cs in HUBS.items() for c in cs), names="t(hub, channel)"),
     "regions": rows(*((c, "posterior") for c in POSTERIOR), *((c, "anterior") for c in ANTERIOR), names="t(channel, region)"),
     "psd": "SELECT vec_id AS recording_id, CAST(pos AS DOUBLE) * CAST(0.78125 AS DOUBLE) AS freq, CAST(v AS DOUBLE) * CAST(v AS DOUBLE) AS psd FROM ($POS(embedding, embeddings, vec_id))",
+    "spectra": f"""SELECT s.subject_id, s.age, s.sex, s.dataset, CASE WHEN p.recording_id % 2 = 0 THEN 'eo' ELSE 'ec' END AS condition, {_CHANNEL.format("p.recording_id % 5")} AS channel, CAST(p.freq AS VARCHAR(20)) AS band, 'log_psd' AS metric, ROUND(LOG10(GREATEST(p.psd, CAST(1e-30 AS DOUBLE)) * 1e12), 12) AS value
+ FROM psd p JOIN subjects s ON s.subject_id = CAST(FLOOR(p.recording_id / 5) AS BIGINT) WHERE p.freq >= 0.5 AND p.freq <= 50""",
     "epochs": "SELECT vec_id % 5 AS channel, CAST(FLOOR(vec_id / 5) AS BIGINT) AS epoch, pos AS t_idx, CAST(v AS DOUBLE) AS v FROM ($POS(embedding, embeddings, vec_id))",
     "markers": """SELECT event_id, user_id AS recording_id, ($US(ts) - MIN($US(ts)) OVER (PARTITION BY user_id)) / CAST(1000000 AS DOUBLE) AS onset,
  CASE event_type WHEN 'view' THEN 'eo' WHEN 'click' THEN 'ec' WHEN 'signup' THEN 'boundary' END AS kind FROM events""",
