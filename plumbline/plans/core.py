@@ -75,7 +75,7 @@ def trust_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def effect_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cohen's d in words and the tier of severity, counted for each subject."""
-    d = F.abs("cohen_d")
+    d = F.round(F.abs("cohen_d"), 9)  # limits fall on whole digits, not on the order of sums
     label = F.when(d.isNull(), "none").when(d < 0.2, "negligible").when(d < 0.5, "small").when(d < 0.8, "medium").otherwise("large")
     return _scored(spark, sf_dir).groupBy("subject_id", "condition", label.alias("effect"), "severity").agg(F.count("*").alias("n"))
 
@@ -181,7 +181,7 @@ _FLAGS = f"{_SCORED}, flag AS (SELECT *, abs(z - robust_z) AS gap, value BETWEEN
 _SHAPED = f"{_SHAPE}, sc AS (SELECT c.*, s.normality_p FROM cells c LEFT JOIN shape s ON s.bin = c.bin AND s.sex = c.sex AND s.condition = c.condition AND s.channel = c.channel AND s.band = c.band AND s.metric = c.metric)"
 ORACLES = {
     "z4_trust_flags": f"WITH {_FLAGS} SELECT {_KEYLIST}, {r('gap')} AS z_discrepancy, gap > 1 AS discrepant, gap > 1 OR low_confidence AS parametric_z_unreliable, inside AS in_prediction FROM flag",
-    "p12_effect_labels": f"WITH {_SCORED} SELECT subject_id, condition, CASE WHEN cohen_d IS NULL THEN 'none' WHEN abs(cohen_d) < 0.2 THEN 'negligible' WHEN abs(cohen_d) < 0.5 THEN 'small' WHEN abs(cohen_d) < 0.8 THEN 'medium' ELSE 'large' END AS effect, severity, count(*) AS n FROM scored GROUP BY ALL",
+    "p12_effect_labels": f"WITH {_SCORED} SELECT subject_id, condition, CASE WHEN cohen_d IS NULL THEN 'none' WHEN round(abs(cohen_d), 9) < 0.2 THEN 'negligible' WHEN round(abs(cohen_d), 9) < 0.5 THEN 'small' WHEN round(abs(cohen_d), 9) < 0.8 THEN 'medium' ELSE 'large' END AS effect, severity, count(*) AS n FROM scored GROUP BY ALL",
     "z8_metric_disagreement": f"WITH {_SCORED} SELECT a.subject_id, a.condition, a.channel, a.band, a.metric AS first, b.metric AS second, {r('a.z')} AS a, {r('b.z')} AS b FROM scored a JOIN scored b USING (subject_id, condition, channel, band) WHERE (a.metric, b.metric) IN ({', '.join(map(str, DISAGREE))}) AND sign(a.z) * sign(b.z) = -1 AND (abs(a.z) > 1.5 OR abs(b.z) > 1.5)",
     "t5_significant_findings": f"WITH {_FDR.replace('0.05 * k2 / m2 THEN', '0.2 * k2 / m2 THEN')} SELECT {_KEYLIST}, {r('z')} AS z, row_number() OVER (PARTITION BY subject_id, condition ORDER BY abs(z) DESC, channel, band, metric) AS place FROM fdr WHERE significant",
     "t3_transform_failures": f"WITH {_SHAPED} SELECT {CELL}, n, {r('normality_p')} AS normality_p FROM sc WHERE normality_p < 0.05 ORDER BY {r('normality_p')}, {CELL} LIMIT 25",

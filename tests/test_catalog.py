@@ -1,6 +1,5 @@
 """Every query with an oracle gives the oracle's rows on the smallest tables."""
 
-import math
 import os
 
 import duckdb
@@ -14,7 +13,8 @@ SF = "/root/testdata/sf0.001"
 
 def plain(v):
     if isinstance(v, float):
-        return "nan" if v != v else round(v, 5) + 0.0
+        # Bounds of cells of two values reach 1e16, which only a relative tolerance can compare.
+        return "nan" if v != v else round(v, 5) + 0.0 if abs(v) < 1e4 else float(f"{v:.9g}")
     return float(v) if type(v).__name__ == "Decimal" else v
 
 
