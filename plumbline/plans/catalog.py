@@ -81,7 +81,7 @@ QUERIES: dict[str, str] = {
     "p11_channel_names": "SELECT n_name, raw, CASE UPPER(stem) WHEN 'T7' THEN 'T3' WHEN 'T8' THEN 'T4' WHEN 'P7' THEN 'T5' WHEN 'P8' THEN 'T6' ELSE CONCAT(UPPER(SUBSTR(stem, 1, 1)), LOWER(SUBSTR(stem, 2))) END AS channel FROM (SELECT n_name, raw, SPLIT_PART(REPLACE(REPLACE(raw, 'EEG ', ''), '.', ''), '-', 1) AS stem FROM (SELECT n_name, CASE n_nationkey % 5 WHEN 0 THEN 'EEG FZ-REF' WHEN 1 THEN 'T7..' WHEN 2 THEN 'P8-LE' WHEN 3 THEN 'EEG o1' ELSE 'Cz.' END AS raw FROM nation) q) w",
     "p13_normal": f"SELECT l_orderkey, l_linenumber, {r(norm_cdf('z'))} AS cdf, {r(two_tailed('z'))} AS p, {r(norm_ppf('u'))} AS ppf FROM (SELECT l_orderkey, l_linenumber, (l_quantity - 25) / 7 AS z, (l_discount * 100 + 1) / 13 AS u FROM lineitem) q",
     "p17_row_filters": "SELECT m.subject_id, m.channel, m.band, m.value FROM metrics m WHERE m.condition = 'eo' AND m.metric = 'relative_power' AND m.channel NOT IN ('Fp1', 'Fp2') AND EXISTS (SELECT 1 FROM subjects s WHERE s.subject_id = m.subject_id AND s.sex IN ('F', 'M') AND s.age >= 20)".replace("m.value", "(round(m.value, 6) + 0.0) AS value", 1),
-    "p18_slice": "SELECT subject_id, k FROM (SELECT subject_id, ROW_NUMBER() OVER (ORDER BY subject_id) AS k FROM (SELECT DISTINCT subject_id FROM metrics WHERE condition = 'eo') e) q WHERE k > 10 AND k <= 60",
+    "p18_slice": "SELECT subject_id, k FROM (SELECT subject_id, ROW_NUMBER() OVER (ORDER BY subject_id) AS k FROM (SELECT DISTINCT subject_id FROM metrics WHERE condition = 'eo' ORDER BY subject_id LIMIT 60) e) q WHERE k > 10 AND k <= 60",
     "p20_montage": f"WITH {SEEN} SELECT subject_id, COUNT(DISTINCT channel) AS n_channels, CASE WHEN MAX(CASE WHEN channel IN ('AF3', 'AF4', 'FC1') THEN 1 ELSE 0 END) = 1 THEN '37' ELSE '19' END AS montage, COUNT(DISTINCT CASE WHEN channel IN ({names(POSTERIOR)}) THEN channel END) AS n_posterior FROM seen GROUP BY subject_id",
     # --- joins and sets --------------------------------------------------------------------------------------------
     "j4_demographics_priority": "SELECT o.o_orderkey, COALESCE(a.age, b.age) AS age, CASE WHEN a.subject_id IS NOT NULL THEN 'first' WHEN b.subject_id IS NOT NULL THEN 'second' ELSE 'none' END AS found FROM orders o LEFT JOIN subjects a ON a.subject_id = o.o_orderkey LEFT JOIN subjects b ON b.subject_id = o.o_custkey",
