@@ -15,7 +15,7 @@ goes on to the shuffle, so a bucket gets at most one row from each block. Then,
 2. Once the pairs across components are no more than a few a row, they are compared one by one.
 3. If after TURNS more are left (a hot group whose stragglers stay just below the threshold), its sets are dealt to tiles of each
    half key, and the tiles outside the key's main component are compared with all others, in blocks inside the tasks: no pair is
-   emitted but a spanning forest of the links. Tiles are bounded, so the size of a group adds tasks and not memory.
+   emitted but the links that join components, confirmed on full sets. Tiles are bounded, so the size of a group adds tasks and not memory.
 
 So every candidate pair is either compared or already known to be in one component. Results per document: n_shingles,
 component_id (smallest reachable id) and kept. Long texts are whole; an empty table gives an empty one; further columns are ignored. Null or wordless text has an empty set and no link; fewer words than the
@@ -46,6 +46,8 @@ ENOUGH = 4
 TILE_LEAST, TILE_MOST = 128, 1_024
 #: Shingles that a block of the tiles' comparison covers.
 BLOCK = 4_096
+#: Bytes of each hash that tiles are sent; full sets confirm their links.
+WIDTH = 4
 
 
 def shingles(data: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -202,34 +204,84 @@ def _half_rows(side: int):
     return run
 
 
-def _compare_tiles(percent: int):
-    """A spanning forest of the links between the sets of two tiles (or within one)."""
+def _narrow(width: int):
+    """(id, words): the leading `width` bytes of each hash, in order; what is equal in full stays equal."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = (np.frombuffer(v.as_buffer(), np.uint64).astype(">u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes() for v in batch.column("words"))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(words, pa.binary())], names=["id", "words"])
+
+    return run
+
+
+def _joining(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places of links a-b that join the n groups as all the links do: each turn every group takes its first link outwards."""
+    label, at, chosen = np.arange(n), np.arange(len(a)), [np.zeros(0, np.int64)]
+    while len(at := at[label[a[at]] != label[b[at]]]):
+        x, y = label[a[at]], label[b[at]]
+        first = np.full(n, len(at))
+        np.minimum.at(first, x, np.arange(len(at)))
+        np.minimum.at(first, y, np.arange(len(at)))
+        take = np.unique(first[first < len(at)])
+        chosen.append(at[take])
+        node, root = forest(n, x[take], y[take])
+        to = np.arange(n)
+        to[node] = root
+        label = to[label]
+    return np.concatenate(chosen)
+
+
+def _compare_tiles(percent: int, width: int):
+    """Links that join the components within two tiles (or one), by sets of `width` bytes a hash.
+
+    Narrow hashes that are equal by chance can only add links: the k-th of a value in one set counts as equal to the k-th in another.
+    """
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        ids, size = part["id"].to_numpy(), part["words"].str.len().to_numpy() // 8
-        values, column = np.unique(np.frombuffer(b"".join(part["words"]), np.uint64), return_inverse=True)
-        row = np.repeat(np.arange(len(part)), size)
-        shared = np.bincount(column, minlength=len(values)) > 1
-        row, column = row[shared[column]], (np.cumsum(shared) - 1)[column[shared[column]]]
-        order = np.argsort(column, kind="stable")
-        row, column = row[order], column[order]
-        common = np.zeros((len(part), len(part)), np.float32)
-        for lo in range(0, int(shared.sum()), BLOCK):
-            a, z = np.searchsorted(column, [lo, lo + BLOCK])
+        ids, size = part["id"].to_numpy(), part["words"].str.len().to_numpy() // width
+        names, group = np.unique(part["component"].to_numpy(), return_inverse=True)
+        wide = np.zeros((int(size.sum()), 8), np.uint8)
+        wide[:, 8 - width :] = np.frombuffer(b"".join(part["words"]), np.uint8).reshape(-1, width)
+        value, row = wide.view(">u8").ravel().astype(np.uint64), np.repeat(np.arange(len(part)), size)
+        at = np.arange(len(value))
+        new = np.ones(len(value), bool)
+        new[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])
+        again = at - np.maximum.accumulate(np.where(new, at, 0))
+        order = np.lexsort((again, value))
+        value, again, row = value[order], again[order], row[order]
+        new = np.ones(len(value), bool)
+        new[1:] = (value[1:] != value[:-1]) | (again[1:] != again[:-1])
+        # Only what components share counts: a column for each value of several.
+        start = np.flatnonzero(new)
+        several = np.minimum.reduceat(group[row], start) < np.maximum.reduceat(group[row], start)
+        live = several[np.cumsum(new) - 1]
+        row, column = row[live], (np.cumsum(several) - 1)[(np.cumsum(new) - 1)[live]]
+        others = np.flatnonzero(group != np.bincount(group).argmax())
+        common = np.zeros((len(others), len(part)), np.float32)
+        for lo in range(0, int(several.sum()), BLOCK):
+            i, j = np.searchsorted(column, [lo, lo + BLOCK])
             block = np.zeros((len(part), BLOCK), np.float32)
-            block[row[a:z], column[a:z] - lo] = 1
-            common += block @ block.T
-        both = size[:, None] + size[None]
-        a, b = np.nonzero(np.triu(100 * common.astype(np.int64) >= percent * (both - common.astype(np.int64)), 1))
-        node, root = forest(len(part), a, b)
-        return pd.DataFrame({"a": ids[root], "b": ids[node]})
+            block[row[i:j], column[i:j] - lo] = 1
+            common += block[others] @ block.T
+        common = common.astype(np.int64)
+        near = (100 * common >= percent * (size[others, None] + size[None] - common)) & (group[others, None] != group[None])
+        a, b = np.nonzero(near)
+        a = others[a]
+        take = _joining(len(names), group[a], group[b])
+        return pd.DataFrame({"a": np.minimum(ids[a], ids[b])[take], "b": np.maximum(ids[a], ids[b])[take]})
 
     return run
 
 
 def _in_tiles(bucket: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, side: int) -> DataFrame:
-    """Links (a, b) between the components of the buckets (key, id, component) that are left."""
+    """Links (a, b) that join the components of the buckets (key, id, component) that are left, where links do.
+
+    Tiles get narrow sets, which are all that is copied; the links that they choose are confirmed on full sets. If one fails
+    (hashes that differ only beyond WIDTH bytes), all tiles are compared again on full sets.
+    """
     ids = stored(bucket.select("id", "component").distinct())
+    sets = semi(sets, ids.select("id"), "id")
     half = stored(semi(classes.select("id", "sig"), ids.select("id"), "id").join(ids, "id").mapInArrow(_half_rows(side), "half long, id long, component long"))
     per = half.groupBy("half", "component").count().groupBy("half").agg(F.max(F.struct("count", "component")).alias("main"), F.sum("count").alias("n")).where("main.count < n")
     tile = F.greatest(F.lit(TILE_LEAST), F.least(F.lit(TILE_MOST), (F.col("n") / 8).cast("long")))
@@ -240,11 +292,19 @@ def _in_tiles(bucket: DataFrame, classes: DataFrame, sets: DataFrame, percent: i
     dealt = small_join(half, per, "half").withColumn("tile", place)
     with_rest = F.sequence(F.lit(0).cast("long"), F.col("rest") - 1)
     with_all = F.sequence(F.lit(0).cast("long"), F.col("rest") + F.col("more") - 1)
-    dealt = dealt.select("half", "id", "tile", F.explode(F.when(inside, with_rest).otherwise(with_all)).alias("other"))
-    dealt = dealt.select("half", "id", F.least("tile", "other").alias("x"), F.greatest("tile", "other").alias("y"))
-    found = dealt.join(sets, "id").groupBy("half", "x", "y").applyInPandas(_compare_tiles(percent), "a long, b long")
-    out = stored(found.distinct())
-    release(ids, half, per)
+    dealt = dealt.select("half", "id", "component", "tile", F.explode(F.when(inside, with_rest).otherwise(with_all)).alias("other"))
+    dealt = dealt.select("half", "id", "component", F.least("tile", "other").alias("x"), F.greatest("tile", "other").alias("y"))
+
+    def compared(width: int) -> DataFrame:
+        narrow = sets.mapInArrow(_narrow(width), "id long, words binary")
+        return stored(dealt.join(narrow, "id").groupBy("half", "x", "y").applyInPandas(_compare_tiles(percent, width), "a long, b long").distinct())
+
+    found = compared(WIDTH)
+    out = _verified(found, sets, percent)
+    if out.count() < found.count():
+        release(out)
+        out = compared(8)
+    release(ids, half, per, found)
     return out
 
 
@@ -261,7 +321,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # One class for each set; its smallest id stands for it. Counts and minima aggregate before the shuffle.
     classes = stored(signed.where("n > 0 and id is not null").groupBy("h1", "h2", "n").agg(F.min(F.struct("id", "sig")).alias("m")).select("h1", "h2", "n", "m.id", "m.sig"))
     keys = classes.select("id", "sig").mapInArrow(_table_keys(side), "key long, id long, leader long")
-    keys = keys.where("id <> leader").union(keys.where("id = leader").repartition(max(partitions(spark), keys_parts(classes, side)), "key").mapInPandas(_bucket_leaders, "key long, id long, leader long"))
+    keys = keys.where("id <> leader").union(keys.where("id = leader").select("key", "id").repartition(max(partitions(spark), keys_parts(classes, side)), "key").mapInPandas(_bucket_leaders, "key long, id long, leader long"))
     members = stored(keys)
     # Sets of all that share a bucket, from the classes' texts (equal rows give equal sets).
     bucket = stored(members.select("key", "id").union(members.select("key", F.col("leader").alias("id"))).distinct())

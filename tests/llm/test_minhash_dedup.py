@@ -28,8 +28,9 @@ def brute(rows, size, percent):
     return {i: (len(sets[i]), find(i), find(i) == i) for i in ids}
 
 
-@pytest.mark.parametrize(("size", "turns"), [(2, 3), (5, 3), (2, 0)])
-def test_equals_brute_force(spark, monkeypatch, size, turns):
+@pytest.mark.parametrize(("size", "turns", "width"), [(2, 3, 4), (5, 3, 4), (2, 0, 4), (2, 0, 1)])
+def test_equals_brute_force(spark, monkeypatch, size, turns, width):
+    monkeypatch.setattr(minhash_dedup, "WIDTH", width)  # of one byte, most values are equal by chance: full sets decide
     if not turns:  # all that the buckets leave goes to tiles at once
         for name, value in {"TURNS": 0, "ENOUGH": 0, "TILE_LEAST": 3, "TILE_MOST": 5, "BLOCK": 64}.items():
             monkeypatch.setattr(minhash_dedup, name, value)
@@ -53,3 +54,23 @@ def test_repeats_nulls_and_empty(spark):
     got = sorted(((x.doc_id, x.component_id, x.kept) for x in near_duplicates(df).collect()), key=str)
     assert got == [(1, 1, True), (1, 1, True), (2, 1, False), (None, None, True)]
     assert near_duplicates(df.limit(0)).count() == 0
+
+
+def test_narrow_sets_never_lose_a_common_hash():
+    import numpy as np
+    import pandas as pd
+
+    r = np.random.default_rng(3)
+    base = np.unique(r.integers(0, 2**63, 200).astype(np.uint64))
+    sets = [np.sort(np.concatenate([r.choice(base, 150, False), np.unique(r.integers(0, 2**63, 20).astype(np.uint64))])) for _ in range(12)]
+    for width in (1, 2, 4, 8):
+        words = [x.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes() for x in sets]
+        part = pd.DataFrame({"id": range(12), "component": range(12), "words": words})
+        out = minhash_dedup._compare_tiles(60, width)(part)
+        full = {(a, b) for a in range(12) for b in range(a + 1, 12) if 100 * (c := len(np.intersect1d(sets[a], sets[b]))) >= 60 * (len(sets[a]) + len(sets[b]) - c)}
+        if width == 8:
+            assert {tuple(x) for x in out[["a", "b"]].to_numpy()} <= full
+        ids = np.arange(12)
+        for a, b in out[["a", "b"]].to_numpy():
+            ids[ids == ids[b]] = ids[a]
+        assert all(ids[a] == ids[b] for a, b in full)
