@@ -259,9 +259,9 @@ def _compare_tiles(percent: int, width: int):
         row, column = row[live], (np.cumsum(several) - 1)[(np.cumsum(new) - 1)[live]]
         others = np.flatnonzero(group != np.bincount(group).argmax())
         common = np.zeros((len(others), len(part)), np.float32)
-        for lo in range(0, int(several.sum()), BLOCK):
+        for lo in range(0, columns := int(several.sum()), BLOCK):
             i, j = np.searchsorted(column, [lo, lo + BLOCK])
-            block = np.zeros((len(part), BLOCK), np.float32)
+            block = np.zeros((len(part), min(BLOCK, columns - lo)), np.float32)
             block[row[i:j], column[i:j] - lo] = 1
             common += block[others] @ block.T
         common = common.astype(np.int64)
