@@ -12,8 +12,9 @@ from plumbline.llm.minhash_dedup import OP4_SQL, op4_minhash_near_dedup
 from plumbline.llm.pii import op6_personal_data
 from plumbline.llm.suffix_dedup import op8_suffix_array_dedup
 from plumbline.llm.unigram import op7_sentencepiece
+from plumbline.llm.whitening import op13_embedding_whitening
 
-ALL = [op1_embedding_near_dedup, op2_benchmark_decontamination, op3_line_template_dedup, op4_minhash_near_dedup, op5_katz_backoff, op6_personal_data, op7_sentencepiece, op8_suffix_array_dedup, op9_html_extraction, op10_language_id]
+ALL = [op1_embedding_near_dedup, op2_benchmark_decontamination, op3_line_template_dedup, op4_minhash_near_dedup, op5_katz_backoff, op6_personal_data, op7_sentencepiece, op8_suffix_array_dedup, op9_html_extraction, op10_language_id, op13_embedding_whitening]
 
 
 def queries():
