@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from plumbline.functions.numeric import norm_cdf, norm_ppf, num, two_tailed
-from plumbline.sources.fixtures import ANTERIOR, CHANNELS, POINTS, POSTERIOR
+from plumbline.sources.fixtures import CHANNELS, POINTS
 
 
 def r(x: str) -> str:
@@ -24,10 +24,6 @@ def corr(x: str, y: str) -> str:
     return GUARDED.format(x=x, y=y)
 
 
-def names(values: list[str]) -> str:
-    return ", ".join(f"'{v}'" for v in values)
-
-
 PAIR = "(SELECT subject_id, condition, channel, band, metric, MAX(CASE WHEN session = 'session1' THEN value END) AS x1, MAX(CASE WHEN session = 'session2' THEN value END) AS x2 FROM retest GROUP BY subject_id, condition, channel, band, metric)"
 PAIRS = f"pair AS (SELECT subject_id, condition, channel, band, metric, x1, x2 FROM {PAIR} q WHERE x1 IS NOT NULL AND x2 IS NOT NULL)"
 # Two-way ICC from sums of centred values.
@@ -50,9 +46,9 @@ block AS (SELECT e.recording_id, e.event_id, e.kind, e.onset, COALESCE(e.nxt, c.
 #: Channels as recorded: subjects of the second dataset wear two more.
 SEEN = "seen AS (SELECT DISTINCT subject_id, channel FROM metrics UNION ALL SELECT subject_id, 'AF3' FROM subjects WHERE dataset = 1 UNION ALL SELECT subject_id, 'FC1' FROM subjects WHERE dataset = 1)"
 N = 64
-#: All bins of an epoch but the mean's. Epochs last a second (64 samples at 64 Hz, as in c12_), so bin k is k Hz.
+#: All bins of an epoch but the mean's; the last one, at half the rate, is real. Epochs last a second (64 samples at 64 Hz, as in c12_), so bin k is k Hz.
 DFT = f"""freqs AS (SELECT * FROM (VALUES {', '.join(f'({k})' for k in range(1, N // 2 + 1))}) AS t(k)),
-spec AS (SELECT channel, epoch, k, SUM(v * (0.5 - 0.5 * COS(2 * PI() * t_idx / {N})) * COS(2 * PI() * k * t_idx / {N})) AS re, -SUM(v * (0.5 - 0.5 * COS(2 * PI() * t_idx / {N})) * SIN(2 * PI() * k * t_idx / {N})) AS im FROM epochs CROSS JOIN freqs GROUP BY channel, epoch, k),
+spec AS (SELECT channel, epoch, k, SUM(v * (0.5 - 0.5 * COS(2 * PI() * t_idx / {N})) * COS(2 * PI() * k * t_idx / {N})) AS re, CASE WHEN k = {N // 2} THEN CAST(0 AS DOUBLE) ELSE -SUM(v * (0.5 - 0.5 * COS(2 * PI() * t_idx / {N})) * SIN(2 * PI() * k * t_idx / {N})) END AS im FROM epochs CROSS JOIN freqs GROUP BY channel, epoch, k),
 cross_ AS (SELECT a.channel AS ca, b.channel AS cb, a.k, a.epoch, a.re * b.re + a.im * b.im AS sr, a.im * b.re - a.re * b.im AS si, a.re * a.re + a.im * a.im AS sa, b.re * b.re + b.im * b.im AS sb FROM spec a JOIN spec b ON a.epoch = b.epoch AND a.k = b.k AND a.channel < b.channel),
 coh_f AS (SELECT ca, cb, k, SQRT(SUM(sr) * SUM(sr) + SUM(si) * SUM(si)) / nullif(SQRT(SUM(sa) * SUM(sb)), 0) AS coh, ABS(SUM(si)) / nullif(SQRT(SUM(sa) * SUM(sb)), 0) AS imcoh,
  (SUM(si) * SUM(si) - SUM(si * si)) / nullif(SUM(ABS(si)) * SUM(ABS(si)) - SUM(si * si), 0) AS wpli FROM cross_ GROUP BY ca, cb, k),
@@ -82,7 +78,6 @@ QUERIES: dict[str, str] = {
     "p13_normal": f"SELECT l_orderkey, l_linenumber, {r(norm_cdf('z'))} AS cdf, {r(two_tailed('z'))} AS p, {r(norm_ppf('u'))} AS ppf FROM (SELECT l_orderkey, l_linenumber, (l_quantity - 25) / 7 AS z, (l_discount * 100 + 1) / 13 AS u FROM lineitem) q",
     "p17_row_filters": "SELECT m.subject_id, m.channel, m.band, m.value FROM metrics m WHERE m.condition = 'eo' AND m.metric = 'relative_power' AND m.channel NOT IN ('Fp1', 'Fp2') AND EXISTS (SELECT 1 FROM subjects s WHERE s.subject_id = m.subject_id AND s.sex IN ('F', 'M') AND s.age >= 20)".replace("m.value", "(round(m.value, 6) + 0.0) AS value", 1),
     "p18_slice": "SELECT subject_id, k FROM (SELECT subject_id, ROW_NUMBER() OVER (ORDER BY subject_id) AS k FROM (SELECT DISTINCT subject_id FROM metrics WHERE condition = 'eo' ORDER BY subject_id LIMIT 60) e) q WHERE k > 10 AND k <= 60",
-    "p20_montage": f"WITH {SEEN} SELECT subject_id, COUNT(DISTINCT channel) AS n_channels, CASE WHEN MAX(CASE WHEN channel IN ('AF3', 'AF4', 'FC1') THEN 1 ELSE 0 END) = 1 THEN '37' ELSE '19' END AS montage, COUNT(DISTINCT CASE WHEN channel IN ({names(POSTERIOR)}) THEN channel END) AS n_posterior FROM seen GROUP BY subject_id",
     # --- joins and sets --------------------------------------------------------------------------------------------
     "j4_demographics_priority": "SELECT o.o_orderkey, COALESCE(a.age, b.age) AS age, CASE WHEN a.subject_id IS NOT NULL THEN 'first' WHEN b.subject_id IS NOT NULL THEN 'second' ELSE 'none' END AS found FROM orders o LEFT JOIN subjects a ON a.subject_id = o.o_orderkey LEFT JOIN subjects b ON b.subject_id = o.o_custkey",
     "j5_session_pairs": f"WITH {PAIRS} SELECT subject_id, condition, channel, band, metric, {r('x1')} AS x1, {r('x2')} AS x2 FROM pair",
@@ -150,7 +145,6 @@ QUERIES: dict[str, str] = {
     "r6_reliability_summary": f"WITH {ICC} SELECT metric, COUNT(*) AS n, {r('$PCT(icc, 0.5)')} AS median_icc, COUNT_IF(icc < 0.7) AS n_low FROM rel2 GROUP BY ROLLUP (metric)",
     "v1_alpha_closed_over_open": f"WITH {MEANS}, p AS (SELECT bin, channel, MAX(CASE WHEN condition = 'ec' THEN mean END) AS ec, MAX(CASE WHEN condition = 'eo' THEN mean END) AS eo FROM cell WHERE sex = 'pooled' AND band = 'Alpha' AND metric = 'absolute_power' GROUP BY bin, channel) SELECT COUNT(*) AS n, COUNT_IF(ec > eo) AS n_pass, {r('AVG(CASE WHEN ec > eo THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)')} AS share, AVG(CASE WHEN ec > eo THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) >= 0.9 AS ok FROM p WHERE ec IS NOT NULL AND eo IS NOT NULL",
     "v2_age_trend": f"WITH {MEANS} SELECT condition, channel, metric, COUNT(*) AS n_bins, {r(corr('(bin_lo + bin_hi) / 2.0', 'mean'))} AS r FROM cell WHERE sex = 'pooled' AND band = 'Alpha' AND n >= 5 GROUP BY condition, channel, metric HAVING COUNT(*) >= 3",
-    "v3_posterior_ratio": f"WITH {MEANS} SELECT bin, condition, {r(f'AVG(CASE WHEN channel IN ({names(POSTERIOR)}) THEN mean END) / nullif(AVG(CASE WHEN channel IN ({names(ANTERIOR)}) THEN mean END), 0)')} AS ratio FROM cell WHERE sex = 'pooled' AND band = 'Alpha' AND metric = 'absolute_power' GROUP BY bin, condition",
     "v4_ranges": f"WITH {MEANS} SELECT q.metric, q.lo, q.hi, COUNT(*) AS n, COUNT_IF(c.mean BETWEEN q.lo AND q.hi) AS n_inside FROM cell c JOIN (VALUES ('relative_power', 0.0, 0.1), ('absolute_power', 1.0, 60000.0)) AS q(metric, lo, hi) ON q.metric = c.metric WHERE c.sex = 'pooled' GROUP BY q.metric, q.lo, q.hi",
     "v6_relative_sum": f"WITH {MEANS}, s AS (SELECT bin, condition, channel, SUM(mean) AS total, COUNT(*) AS k FROM cell WHERE sex = 'pooled' AND metric = 'relative_power' GROUP BY bin, condition, channel) SELECT COUNT(*) AS n, COUNT_IF(total BETWEEN 0.05 AND 0.25) AS n_ok, {r('MIN(total)')} AS least, {r('MAX(total)')} AS most FROM s WHERE k >= 3",
     "v7_scale_consistency": f"WITH {MEANS} SELECT condition, band, {r('STDDEV_POP(mean) / nullif(ABS(AVG(mean)), 0)')} AS cv, STDDEV_POP(mean) / nullif(ABS(AVG(mean)), 0) < 0.1 AS ok FROM cell WHERE sex = 'pooled' AND metric = 'absolute_power' GROUP BY condition, band",
@@ -160,7 +154,6 @@ QUERIES: dict[str, str] = {
     # --- recording quality ---------------------------------------------------------------------------------------------------
     "q1_integrity": f"WITH m AS (SELECT recording_id, channel, v, AVG(v) OVER (PARTITION BY recording_id) AS c FROM signal) SELECT recording_id, COUNT(DISTINCT channel) AS n_channels, COUNT(*) AS n, {r('$PCT(ABS(v - c), 0.5)')} AS typical, COUNT(DISTINCT channel) >= 3 AS ok FROM m GROUP BY recording_id",
     "q2_flat_railed": f"SELECT recording_id, channel, {r('VAR_POP(v)')} AS variance, VAR_POP(v) < 0.1 AS flat, AVG(CASE WHEN ABS(v) > 80 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) > 0.1 AS railed FROM signal GROUP BY recording_id, channel",
-    "q3_line_noise": f"WITH p AS (SELECT recording_id, AVG(psd) AS power FROM psd WHERE freq BETWEEN 48 AND 50.5 GROUP BY recording_id), s AS (SELECT AVG(power) AS m, STDDEV_POP(power) AS s FROM p) SELECT recording_id, {r('(power - m) / nullif(s, 0)')} AS z, (power - m) / nullif(s, 0) > 3 AS noisy FROM p CROSS JOIN s",
     "q4_gross_artefacts": f"WITH c AS (SELECT recording_id, win, channel, MAX(ABS(v)) > 60 AS bad FROM signal GROUP BY recording_id, win, channel), w AS (SELECT recording_id, win, AVG(CASE WHEN bad THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) > 0.5 AS bad FROM c GROUP BY recording_id, win) SELECT recording_id, COUNT(*) AS n_windows, COUNT_IF(bad) AS n_bad, {r('AVG(CASE WHEN bad THEN CAST(100 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)')} AS percent, COUNT_IF(NOT bad) * 3600 AS usable_seconds FROM w GROUP BY recording_id",
     "q5_amplitude": f"SELECT recording_id, channel, {r('AVG(v)')} AS dc, {r('STDDEV_POP(v)')} AS sd, {r('MAX(ABS(v))')} AS peak, {r('$PCT(ABS(v), 0.5)')} AS median FROM signal GROUP BY recording_id, channel",
     "q7_marker_limits": "SELECT recording_id, kind, COUNT(*) AS n, CASE WHEN COUNT(*) < 3 THEN 'fail' WHEN COUNT(*) < 6 THEN 'warn' ELSE 'pass' END AS verdict FROM markers WHERE kind IN ('eo', 'ec') GROUP BY recording_id, kind",
@@ -172,28 +165,18 @@ QUERIES: dict[str, str] = {
  SELECT recording_id, channel, MAX(n) AS n, COUNT_IF(bad) AS n_bad, COUNT(DISTINCT island) AS n_intervals, COUNT_IF(bad) * 3600 AS bad_seconds FROM i GROUP BY recording_id, channel""",
     # --- spectra -----------------------------------------------------------------------------------------------------------------
     "k1_average_reference": f"SELECT channel, epoch, t_idx, {r('v - AVG(v) OVER (PARTITION BY epoch, t_idx)')} AS v FROM epochs",
-    "k2_welch": f"WITH {DFT} SELECT channel, k, {r('AVG(re * re + im * im)')} AS power FROM spec GROUP BY channel, k",
     "k3_band_power": f"WITH {BANDPOWER} SELECT b.recording_id, b.band, {r('power')} AS absolute, {r('power / nullif(total, 0)')} AS relative FROM bp b JOIN total t ON t.recording_id = b.recording_id",
     "k4_band_ratios": f"WITH {BANDPOWER} SELECT b.recording_id, q.ratio, {r(RATIO)} AS value FROM bp b JOIN ratios q ON q.band = b.band JOIN (SELECT ratio, COUNT(*) AS need FROM ratios GROUP BY ratio) n ON n.ratio = q.ratio GROUP BY b.recording_id, q.ratio HAVING COUNT(*) = MAX(n.need)",
     "k5_aperiodic": f"WITH {FIT} SELECT recording_id, {r('-slope')} AS exponent, {r('intercept')} AS level, {r('r2')} AS r2, r2 >= 0.85 AS good, n_points FROM f2 WHERE n_points >= 5",
     "k6_corrected_power": f"WITH {FIT} SELECT p.recording_id, p.freq, {r('p.psd / POWER(10, f.intercept + f.slope * LOG10(p.freq))')} AS corrected FROM psd p JOIN f2 f ON f.recording_id = p.recording_id WHERE p.freq >= 2 AND p.freq <= 40 AND f.n_points >= 5",
-    "k7_asymmetry": f"SELECT a.subject_id, a.condition, a.band, p.lft, p.rgt, {r('CASE WHEN a.value + b.value > 0 THEN (b.value - a.value) / (a.value + b.value) ELSE 0 END')} AS asymmetry FROM metrics a JOIN (VALUES ('F3', 'F4'), ('C3', 'C4'), ('P3', 'P4'), ('O1', 'O2')) AS p(lft, rgt) ON p.lft = a.channel JOIN metrics b ON b.channel = p.rgt AND b.subject_id = a.subject_id AND b.condition = a.condition AND b.band = a.band AND b.metric = a.metric WHERE a.metric = 'absolute_power'",
     "k8_global_scale": f"SELECT recording_id, {r(f'AVG(LOG10(GREATEST(psd, {num(1e-30)})))')} AS gsf FROM psd GROUP BY recording_id",
     "k9_gsf_power": f"WITH {BANDPOWER}, g AS (SELECT recording_id, POWER(10, AVG(LOG10(GREATEST(psd, {num(1e-30)})))) AS s FROM psd GROUP BY recording_id) SELECT b.recording_id, b.band, {r('power / s')} AS value FROM bp b JOIN g ON g.recording_id = b.recording_id",
     "k10_alpha_frequency": f"WITH q AS (SELECT recording_id, freq, psd, LAG(psd) OVER (PARTITION BY recording_id ORDER BY freq) AS a, LEAD(psd) OVER (PARTITION BY recording_id ORDER BY freq) AS b FROM psd WHERE freq BETWEEN 7 AND 14) SELECT recording_id, {r('SUM(freq * psd) / nullif(SUM(psd), 0)')} AS gravity, MAX_BY(freq, CASE WHEN psd > a AND psd > b THEN psd END) AS peak FROM q GROUP BY recording_id",
     "k12_mean_log_power": f"WITH {BANDPOWER} SELECT band, {r('AVG(LOG10(power))')} AS mean FROM bp WHERE power > 0 GROUP BY band",
     # --- coupling and graphs ---------------------------------------------------------------------------------------------------------
-    "c1_hub_signals": f"""WITH e AS (SELECT CASE channel WHEN 0 THEN 'Fz' WHEN 1 THEN 'F3' WHEN 2 THEN 'F7' WHEN 3 THEN 'O1' ELSE 'O2' END AS channel, epoch, t_idx, v FROM epochs), have AS (SELECT h.hub, e.epoch, e.t_idx, AVG(v) AS v FROM e JOIN hubs h ON h.channel = e.channel GROUP BY h.hub, e.epoch, e.t_idx),
- grid AS (SELECT h.hub, t.epoch, t.t_idx FROM (SELECT DISTINCT epoch, t_idx FROM epochs) t CROSS JOIN (SELECT DISTINCT hub FROM hubs) h) SELECT g.hub, g.epoch, g.t_idx, {r('COALESCE(v, 0)')} AS v FROM grid g LEFT JOIN have h ON h.hub = g.hub AND h.epoch = g.epoch AND h.t_idx = g.t_idx""",
     "c14_hub_matrix": f"SELECT m.subject_id, m.condition, m.band, h.hub, {r('AVG(m.value)')} AS value, COUNT(*) AS n_channels FROM hubs h JOIN metrics m ON m.channel = h.channel WHERE m.metric = 'absolute_power' GROUP BY m.subject_id, m.condition, m.band, h.hub",
-    "c2_coherence": f"WITH {DFT} SELECT ca, cb, band, {r('coh')} AS coh, {r('dwpli')} AS dwpli, {r('imcoh')} AS imcoh FROM edge",
-    "c4_volume_conduction": f"WITH {DFT} SELECT ca, cb, band, coh > 0.6 AND dwpli < 0.1 AS suspect FROM edge",
-    "c5_node_strength": f"WITH {DFT} SELECT channel, band, {r('SUM(coh)')} AS strength FROM (SELECT ca AS channel, band, coh FROM edge UNION ALL SELECT cb, band, coh FROM edge) q GROUP BY channel, band",
     "c6_threshold": f"WITH {GRAPH} SELECT subject_id, condition, band, COUNT(*) AS n_edges, {r('MIN(weight)')} AS least FROM kept GROUP BY subject_id, condition, band",
     "c7_thresholded_strength": f"WITH {GRAPH} SELECT subject_id, condition, band, u AS channel, {r('SUM(weight)')} AS strength, COUNT(*) AS degree FROM sym GROUP BY subject_id, condition, band, u",
-    "c11_modulation_index": f"""WITH pa AS (SELECT a.vec_id, CAST(FLOOR((ATAN2(b.v, a.v) + PI()) / (2 * PI() / 18)) AS BIGINT) AS bin, SQRT(a.v * a.v + b.v * b.v) AS amp FROM (SELECT vec_id, pos, CAST(v AS DOUBLE) AS v FROM ($POS(embedding, embeddings, vec_id))) a JOIN (SELECT vec_id, pos, CAST(v AS DOUBLE) AS v FROM ($POS(embedding, embeddings, vec_id))) b ON a.vec_id = b.vec_id AND b.pos = a.pos + 1),
- m AS (SELECT vec_id, bin, AVG(amp) AS amp FROM pa WHERE bin BETWEEN 0 AND 17 GROUP BY vec_id, bin), t AS (SELECT vec_id, bin, amp / SUM(amp) OVER (PARTITION BY vec_id) AS p FROM m)
- SELECT vec_id, COUNT(*) AS n_bins, {r(f'(LN(18) + SUM(p * LN(GREATEST(p, {num(1e-12)}))) + (18 - COUNT(*)) * {num(1e-12)} * LN({num(1e-12)})) / LN(18)')} AS modulation FROM t GROUP BY vec_id""",
     # --- region projection ---------------------------------------------------------------------------------------------------------------
     "g1_projection": f"SELECT subject_id, condition, band, voxel, {r('SQRT(SUM(part * part))')} AS power FROM (SELECT m.subject_id, m.condition, m.band, t.voxel, t.orient, SUM(t.w * m.value) AS part FROM metrics m JOIN (SELECT a.channel, v.voxel, o.orient, (LENGTH(a.channel) + v.voxel * o.orient) / 10.0 AS w FROM (SELECT DISTINCT channel FROM adjacency) a CROSS JOIN (VALUES (1), (2), (3)) AS v(voxel) CROSS JOIN (VALUES (0), (1), (2)) AS o(orient)) t ON t.channel = m.channel WHERE m.metric = 'absolute_power' GROUP BY m.subject_id, m.condition, m.band, t.voxel, t.orient) q GROUP BY subject_id, condition, band, voxel",
     "g2_region_mean_peak": f"SELECT m.subject_id, m.condition, m.band, g.region, {r('AVG(m.value)')} AS mean, MAX_BY(m.channel, m.value) AS peak_channel FROM metrics m JOIN regions g ON g.channel = m.channel WHERE m.metric = 'absolute_power' GROUP BY m.subject_id, m.condition, m.band, g.region",
@@ -205,8 +188,6 @@ QUERIES: dict[str, str] = {
  ra AS (SELECT b.recording_id, q.ratio, {RATIO} AS value FROM bp b JOIN ratios q ON q.band = b.band JOIN (SELECT ratio, COUNT(*) AS need FROM ratios GROUP BY ratio) n ON n.ratio = q.ratio GROUP BY b.recording_id, q.ratio HAVING COUNT(*) = MAX(n.need))
  SELECT recording_id, band, 'absolute_power' AS metric, {r('power')} AS value FROM bp UNION ALL SELECT b.recording_id, b.band, 'relative_power', {r('power / nullif(total, 0)')} FROM bp b JOIN total t ON t.recording_id = b.recording_id UNION ALL SELECT b.recording_id, b.band, 'gsf_absolute_power', {r('power / s')} FROM bp b JOIN g ON g.recording_id = b.recording_id
  UNION ALL SELECT recording_id, ratio, 'band_ratio', {r('value')} FROM ra UNION ALL SELECT recording_id, band, 'corrected_absolute_power', {r('power')} FROM cp UNION ALL SELECT recording_id, 'broadband', 'aperiodic_exponent', {r('-slope')} FROM f2 WHERE r2 >= 0.85 AND n_points >= 5""",
-    "c13_long_connectivity": f"""WITH {GRAPH} SELECT subject_id, condition, band, CONCAT('_pair_', ca, '_', cb) AS channel, 'coupling' AS metric, {r('weight')} AS value FROM graph UNION ALL SELECT subject_id, condition, band, CONCAT('_hub_', u), 'strength', {r('SUM(weight)')} FROM sym GROUP BY subject_id, condition, band, u
- UNION ALL SELECT subject_id, condition, band, '_graph', 'mean_weight', {r('AVG(weight)')} FROM kept GROUP BY subject_id, condition, band""",
     "j16_pair_remap": f"""WITH {GRAPH}, area AS (SELECT hub, channel, CASE WHEN hub LIKE '%_L' THEN 'L' WHEN hub LIKE '%_R' THEN 'R' ELSE 'M' END AS side FROM hubs)
  SELECT g.subject_id, g.condition, g.band, LEAST(a.hub, b.hub) AS area_a, GREATEST(a.hub, b.hub) AS area_b, {r('AVG(g.weight)')} AS weight, COUNT(*) AS n FROM graph g JOIN area a ON a.channel = g.ca JOIN area b ON b.channel = g.cb AND b.side = a.side AND b.hub <> a.hub GROUP BY g.subject_id, g.condition, g.band, LEAST(a.hub, b.hub), GREATEST(a.hub, b.hub)""",
     "g4_long_regions": f"""WITH {GRAPH} SELECT m.subject_id, m.condition, m.band, CONCAT('_src_dk_', g.region) AS channel, 'power' AS metric, {r('AVG(m.value)')} AS value FROM metrics m JOIN regions g ON g.channel = m.channel WHERE m.metric = 'absolute_power' GROUP BY m.subject_id, m.condition, m.band, g.region

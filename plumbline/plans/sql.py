@@ -7,6 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.sources.fixtures import TABLES, VIEWS
+from plumbline.sources.parameters import MONTAGE_VIEWS
 
 SPARK = {"PCT": "percentile", "US": "unix_micros", "KURT": "kurtosis"}
 DUCK = {"PCT": "quantile_cont", "US": "epoch_us", "KURT": "kurtosis_pop"}
@@ -35,7 +36,7 @@ def duck_sql(text: str) -> str:
 
 def with_views(text: str, extra: dict[str, str] | None = None) -> str:
     """The text after a WITH clause of the views it uses, directly or through others."""
-    views = VIEWS | (extra or {})
+    views = VIEWS | MONTAGE_VIEWS | (extra or {})
     used: list[str] = []
 
     def need(sql: str) -> None:
