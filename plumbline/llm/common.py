@@ -16,6 +16,8 @@ BROADCAST_IDS = 500_000
 #: Rows in an Arrow batch: bounds what a Python worker holds of long texts.
 BATCH_ROWS = 1_000
 BATCH_BYTES = 8_000_000
+#: Rows of a few longs that a task may well write alone.
+TASK_ROWS = 200_000
 
 
 def prepare(spark: SparkSession) -> None:
@@ -42,14 +44,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(rows: DataFrame, *by: str) -> DataFrame:
-    """Cut the lineage with a compressed table in the shared checkpoint folder.
+def stored(rows: DataFrame, *by: str, size: int | None = None) -> DataFrame:
+    """Cut the lineage with a compressed table in the shared checkpoint folder. size: rows at most, if known; few rows make few tasks.
 
     It is much smaller there than a checkpoint, and its size is known anew: a checkpoint keeps the estimate of its plan, which
     squares with each join of a loop until planning takes minutes.
     """
     spark = rows.sparkSession
     path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{uuid.uuid4().hex}"
+    rows = rows if size is None else rows.coalesce(1 + size // TASK_ROWS)
     rows.write.option("compression", "zstd").partitionBy(*by).parquet(path)
     out = spark.read.schema(rows.schema).parquet(path)
     out._stored_at = path
@@ -98,29 +101,32 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Each round every node hooks on the neighbour of least hash (a random order, so chains shrink by a
     constant share), and edges are rewritten between the hooked nodes until none is left. A node with very
-    many edges only meets partial aggregations and joins that Spark can split.
+    many edges only meets partial aggregations and joins that Spark can split. Tables have as many tasks as their rows need.
     """
     spark = edges.sparkSession
     link = stored(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct())
-    nodes, left = None, not link.isEmpty()
-    steps = []
+    n = link.count()
+    if not n:
+        return spark.createDataFrame([], "node bigint, component bigint")
+
+    def join(rows: DataFrame, hook: DataFrame, key: str, how: str = "inner") -> DataFrame:
+        return rows.join(F.broadcast(hook) if 2 * n <= BROADCAST_IDS // 4 else hook, key, how)
+
+    steps, left = [], n
     while left:
         both = link.union(link.select("b", "a"))
         near = F.min(F.struct(F.xxhash64("b").alias("r"), F.col("b").alias("v"))).alias("m")
-        hook = stored(both.groupBy("a").agg(near).select("a", F.least("m", F.struct(F.xxhash64("a").alias("r"), F.col("a").alias("v")))["v"].alias("to")))
+        hook = stored(both.groupBy("a").agg(near).select("a", F.least("m", F.struct(F.xxhash64("a").alias("r"), F.col("a").alias("v")))["v"].alias("to")), size=2 * left)
         steps.append(hook)
-        from_a = hook.select(F.col("a"), F.col("to").alias("ta"))
-        from_b = hook.select(F.col("a").alias("b"), F.col("to").alias("tb"))
-        before, link = link, stored(link.join(from_a, "a").join(from_b, "b").select(F.col("ta").alias("a"), F.col("tb").alias("b")).where("a <> b").distinct())
+        moved = join(join(link, hook.select(F.col("a"), F.col("to").alias("ta")), "a"), hook.select(F.col("a").alias("b"), F.col("to").alias("tb")), "b")
+        before, link = link, stored(moved.select(F.col("ta").alias("a"), F.col("tb").alias("b")).where("a <> b").distinct(), size=left)
         release(before)
-        left = not link.isEmpty()
-    if not steps:
-        return spark.createDataFrame([], "node bigint, component bigint")
+        left = link.count()
     nodes = steps[0].select(F.col("a").alias("node"), F.col("to").alias("root"))
     for hook in steps[1:]:
-        nodes = nodes.join(hook.withColumnRenamed("a", "root"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
-    nodes = stored(nodes)
+        nodes = join(nodes, hook.withColumnRenamed("a", "root"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    nodes = stored(nodes, size=2 * n)
     least = nodes.groupBy("root").agg(F.min("node").alias("component"))
-    out = stored(nodes.join(least, "root").select("node", "component"))
+    out = stored(join(nodes, least, "root").select("node", "component"), size=2 * n)
     release(link, nodes, *steps)
     return out

@@ -44,6 +44,8 @@ PARTNERS = 6
 ENOUGH = 4
 #: Sets of a tile: an eighth of the group, within these bounds.
 TILE_LEAST, TILE_MOST = 128, 1_024
+#: Shingles of all sets of a tile, on average at most: long texts make smaller tiles.
+TILE_SHINGLES = 500_000
 #: Shingles that a block of the tiles' comparison covers.
 BLOCK = 4_096
 #: Bytes of each hash that tiles are sent; full sets confirm their links.
@@ -192,14 +194,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _half_rows(side: int):
-    """(half, id, component): a row for each half key of the first collection."""
+    """(half, id, component, n): a row for each half key of the first collection."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint64).reshape(-1, 2 * side)[:, :side]
             half = pair_hash(sig, np.broadcast_to(np.arange(side, dtype=np.uint64), sig.shape)).ravel()
             rows = pa.array(np.repeat(np.arange(batch.num_rows), side))
-            yield pa.RecordBatch.from_arrays([pa.array(half.view(np.int64)), batch.column("id").take(rows), batch.column("component").take(rows)], names=["half", "id", "component"])
+            yield pa.RecordBatch.from_arrays([pa.array(half.view(np.int64)), *(batch.column(c).take(rows) for c in ("id", "component", "n"))], names=["half", "id", "component", "n"])
 
     return run
 
@@ -269,7 +271,8 @@ def _compare_tiles(percent: int, width: int):
         a, b = np.nonzero(near)
         a = others[a]
         take = _joining(len(names), group[a], group[b])
-        return pd.DataFrame({"a": np.minimum(ids[a], ids[b])[take], "b": np.maximum(ids[a], ids[b])[take]})
+        where = {c: np.full(len(take), part[c].iloc[0]) for c in ("half", "x", "y") if c in part}
+        return pd.DataFrame({**where, "a": np.minimum(ids[a], ids[b])[take], "b": np.maximum(ids[a], ids[b])[take]})
 
     return run
 
@@ -277,16 +280,19 @@ def _compare_tiles(percent: int, width: int):
 def _in_tiles(bucket: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, side: int) -> DataFrame:
     """Links (a, b) that join the components of the buckets (key, id, component) that are left, where links do.
 
-    Tiles get narrow sets, which are all that is copied; the links that they choose are confirmed on full sets. If one fails
-    (hashes that differ only beyond WIDTH bytes), all tiles are compared again on full sets.
+    Tiles get narrow sets, which are all that is copied; the links that they choose are confirmed on full sets. Where one fails
+    (hashes that differ only beyond WIDTH bytes), its tiles are compared again on full sets. Tiles are bounded in sets and in shingles.
     """
     ids = stored(bucket.select("id", "component").distinct())
     sets = semi(sets, ids.select("id"), "id")
-    half = stored(semi(classes.select("id", "sig"), ids.select("id"), "id").join(ids, "id").mapInArrow(_half_rows(side), "half long, id long, component long"))
-    per = half.groupBy("half", "component").count().groupBy("half").agg(F.max(F.struct("count", "component")).alias("main"), F.sum("count").alias("n")).where("main.count < n")
+    half = stored(semi(classes.select("id", "sig", "n"), ids.select("id"), "id").join(ids, "id").mapInArrow(_half_rows(side), "half long, id long, component long, n long"))
+    per = half.groupBy("half", "component").agg(F.count("*").alias("count"), F.sum("n").alias("words")).groupBy("half")
+    per = per.agg(F.max(F.struct("count", "component", "words")).alias("main"), F.sum("count").alias("n"), F.sum("words").alias("words")).where("main.count < n")
     tile = F.greatest(F.lit(TILE_LEAST), F.least(F.lit(TILE_MOST), (F.col("n") / 8).cast("long")))
+    tiles = lambda count, words: F.greatest(F.ceil(count / tile), F.ceil(words / TILE_SHINGLES))
     # Tiles 0 to rest - 1 hold what is outside the main component, the next ones what is in it.
-    per = stored(per.select("half", F.col("main.component").alias("top"), F.ceil((F.col("n") - F.col("main.count")) / tile).alias("rest"), F.ceil(F.col("main.count") / tile).alias("more")))
+    rest = tiles(F.col("n") - F.col("main.count"), F.col("words") - F.col("main.words")).alias("rest")
+    per = stored(per.select("half", F.col("main.component").alias("top"), rest, tiles(F.col("main.count"), F.col("main.words")).alias("more")))
     inside = F.col("component") == F.col("top")
     place = F.when(inside, F.col("rest") + F.pmod(F.xxhash64("id"), "more")).otherwise(F.pmod(F.xxhash64("id"), "rest"))
     dealt = small_join(half, per, "half").withColumn("tile", place)
@@ -295,16 +301,17 @@ def _in_tiles(bucket: DataFrame, classes: DataFrame, sets: DataFrame, percent: i
     dealt = dealt.select("half", "id", "component", "tile", F.explode(F.when(inside, with_rest).otherwise(with_all)).alias("other"))
     dealt = dealt.select("half", "id", "component", F.least("tile", "other").alias("x"), F.greatest("tile", "other").alias("y"))
 
-    def compared(width: int) -> DataFrame:
+    def compared(rows: DataFrame, width: int) -> DataFrame:
         narrow = sets.mapInArrow(_narrow(width), "id long, words binary")
-        return stored(dealt.join(narrow, "id").groupBy("half", "x", "y").applyInPandas(_compare_tiles(percent, width), "a long, b long").distinct())
-
-    found = compared(WIDTH)
-    out = _verified(found, sets, percent)
-    if out.count() < found.count():
-        release(out)
-        out = compared(8)
-    release(ids, half, per, found)
+        return stored(rows.join(narrow, "id").groupBy("half", "x", "y").applyInPandas(_compare_tiles(percent, width), "half long, x long, y long, a long, b long"))
+
+    found = compared(dealt, WIDTH)
+    out = _verified(found.select("a", "b").distinct(), sets, percent)
+    # Tiles of which a link failed chose it in place of others: they are compared again, on full sets.
+    failed = stored(found.join(out, ["a", "b"], "left_anti").select("half", "x", "y").distinct())
+    if not failed.isEmpty():
+        out = out.union(compared(small_join(dealt, failed, ["half", "x", "y"], "left_semi"), 8).select("a", "b")).distinct()
+    release(ids, half, per, found, failed)
     return out
 
 
@@ -349,8 +356,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             links = found if links is None else links.union(found)
             break
         if few_left:
+            # Only what lies outside a bucket's main component meets the others of the bucket.
+            main = bucket.groupBy("key", "component").count().groupBy("key").agg(F.max(F.struct("count", "component")).alias("m")).select("key", F.col("m.component").alias("top"))
+            outside = bucket.join(main, "key").where("component <> top").select("key", "id", "component")
             other = bucket.select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
-            pairs = bucket.join(other, "key").where("component < cb").select(*_ordered("id", "b"))
+            pairs = outside.join(other, "key").where("component <> cb").select(*_ordered("id", "b"))
         else:
             # One leader for each bucket, another each turn; a set meets the few leaders that it shares most tables with.
             lead = bucket.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("r"), "id", "component")).alias("m")).select("key", F.col("m.id").alias("leader"), F.col("m.component").alias("cl"))

@@ -74,3 +74,20 @@ def test_narrow_sets_never_lose_a_common_hash():
         for a, b in out[["a", "b"]].to_numpy():
             ids[ids == ids[b]] = ids[a]
         assert all(ids[a] == ids[b] for a, b in full)
+
+
+def test_long_texts_in_tiles(spark, monkeypatch):
+    """Texts of 20,000 words, of which near copies join only in tiles that hold a few sets each."""
+    for name, value in {"TURNS": 0, "ENOUGH": 0, "TILE_LEAST": 3, "TILE_MOST": 50, "TILE_SHINGLES": 60_000}.items():
+        monkeypatch.setattr(minhash_dedup, name, value)
+    r = random.Random(11)
+    base = [f"w{r.randint(0, 5000)}" for _ in range(20_000)]
+    rows = []
+    for i in range(14):
+        text = list(base)
+        for k in range(0, len(text), 24 if i % 2 else 9):  # a third of the group is too far from the others
+            text[k] = f"x{r.randint(0, 10**6)}"
+        rows.append((i, " ".join(text)))
+    got = {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), size=2).collect()}
+    assert got == brute(rows, 2, 80)
+    assert len({c for _, c, _ in got.values()}) > 1
