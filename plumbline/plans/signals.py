@@ -87,7 +87,7 @@ def long_connectivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = run(spark, sf_dir, PAIR_ROWS)
     kept = run(spark, sf_dir, f"WITH {GRAPH} SELECT subject_id, condition, band, ca, cb, weight FROM kept")
     measures = {"global_efficiency": "efficiency", "char_path_length": "path_length", "clustering": "clustering"}
-    graph = graph_metrics(kept, ["subject_id", "condition", "band"]).select("subject_id", "condition", "band", F.lit("_graph").alias("channel"), F.explode(F.array(*(F.struct(F.lit(n).alias("metric"), F.col(c).alias("value")) for n, c in measures.items()))).alias("m")).select("subject_id", "condition", "band", "channel", "m.metric", "m.value")
+    graph = graph_metrics(kept, ["subject_id", "condition", "band"], measures=tuple(measures.values())).select("subject_id", "condition", "band", F.lit("_graph").alias("channel"), F.explode(F.array(*(F.struct(F.lit(n).alias("metric"), F.col(c).alias("value")) for n, c in measures.items()))).alias("m")).select("subject_id", "condition", "band", "channel", "m.metric", "m.value")
     inside = F.col("phase_hub") == F.col("amplitude_hub")
     name = F.when(inside, F.concat(F.lit("_hub_"), "phase_hub")).otherwise(F.concat(F.lit("_pac_"), "phase_hub", F.lit("__"), "amplitude_hub"))
     pac = _modulation(spark, sf_dir).select(F.col("recording_id").alias("subject_id"), F.lit("eo").alias("condition"), F.lit("ThetaGamma").alias("band"), name.alias("channel"), F.lit("pac_mi").alias("metric"), F.col("modulation").alias("value"))
