@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from plumbline.functions.numeric import SW_C1, SW_C2, SW_MEAN_LARGE, SW_MEAN_SMALL, SW_SD_LARGE, SW_SD_SMALL, low_first, norm_cdf, norm_ppf, num, t_beyond, t_table, two_tailed
 from plumbline.plans.sql import run
+from plumbline.session import written
 from plumbline.sources.fixtures import EDGES, LOG_METRICS, NEIGHBOURS, POINTS
 
 KEYS = ["bin", "bin_lo", "bin_hi", "sex", "condition", "channel", "band", "metric"]
@@ -35,36 +36,70 @@ def fan_out(metrics: DataFrame, edges: list[int] = EDGES) -> DataFrame:
     return rows.select("b.*", F.explode(both).alias("sex"), "condition", "channel", "band", "metric", "value")
 
 
-def shapiro(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """normality_p of the scoring space per cell of 3 values and more with spread (Royston's fit is to 5,000; beyond it extrapolates).
+def with_cells(rows: DataFrame, cells: DataFrame, keys: list[str], *columns: str, how: str = "inner") -> DataFrame:
+    """rows with columns of their cell (one row a key); null keys meet null keys."""
+    other = cells.select(*(F.col(k).alias(f"_{k}") for k in keys), *columns)
+    meets = F.lit(True)
+    for k in keys:
+        meets = meets & rows[k].eqNullSafe(other[f"_{k}"])
+    return rows.join(other, meets, how).select(*(rows[c] for c in rows.columns), *(other[c] for c in columns))
+
 
-    Counts come first, so that only cells that qualify are sorted. Slices of a large cell are cut at approximate quantiles, ranked
-    apart and moved by the counts of the slices before them: ranks are exact.
+def ranked(rows: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame:
+    """rows (keys, value) with their cell's n and n_log and their exact rank i in it by value. No cell is sorted in one task.
+
+    Cells of over SLICED values are cut at approximate quantiles of their own; slices are ranked apart and moved by the counts of those before.
     """
-    x = F.when(is_log(), F.when(F.col("value") > 0, F.ln("value"))).otherwise(F.col("value"))
-    rows = rows.select(*keys, x.alias("x")).where("x is not null")
     points = F.array(*(F.lit(k / SLICES) for k in range(1, SLICES)))
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"), F.percentile_approx("x", points, 1_000).alias("cuts")).where("n >= 3 and hi > lo")
-    sizes = sizes.select(*keys, "n", F.when(F.col("n") > SLICED, F.array_distinct("cuts")).otherwise(F.array().cast("array<double>")).alias("cuts"))
-    placed = rows.join(sizes, keys).select(*keys, "x", "n", F.size(F.filter("cuts", lambda c: c < F.col("x"))).alias("slice"))
-    part = Window.partitionBy(*keys, "slice")
-    ranked = placed.withColumn("i", F.row_number().over(part.orderBy("x")))
-    before = placed.groupBy(*keys, "slice").count().withColumn("before", F.sum("count").over(Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)))
-    ranked = ranked.join(before.drop("count"), [*keys, "slice"]).withColumn("i", F.col("i") + F.coalesce("before", F.lit(0)))
-    m = F.expr(norm_ppf(f"((i - {num(0.375)}) / (n + {num(0.25)}))"))
-    ranked = ranked.withColumn("m", F.when((F.col("n") % 2 == 1) & (2 * F.col("i") == F.col("n") + 1), F.lit(0.0)).otherwise(m))
-    ends = [F.max(F.when(F.col("i") == F.col("n") - k, F.col("m"))) for k in (0, 1)]
-    tops = [F.max(F.when(F.col("i") == F.col("n") - k, F.col("x"))) for k in (0, 1)]
-    lows = [F.max(F.when(F.col("i") == 1 + k, F.col("x"))) for k in (0, 1)]
-    cells = ranked.groupBy(*keys).agg(
-        F.max("n").alias("k"), F.sum(F.col("m") * F.col("m")).alias("mm"), F.sum(F.col("m") * F.col("x")).alias("mx"), F.var_pop("x").alias("v"),
-        ends[0].alias("m1"), ends[1].alias("m2"), tops[0].alias("x1"), tops[1].alias("x2"), lows[0].alias("y1"), lows[1].alias("y2"), F.min("x").alias("lo"), F.max("x").alias("hi"),
-    )
-    cells = cells.where("hi > lo")
-    # One column a step: written out as one expression this grows beyond what a planner can hold.
-    for name, text in SHAPIRO_STEPS.items():
-        cells = cells.withColumn(name, F.expr(text))
-    return cells.select(*keys, "normality_p")
+    large = cells.where(F.col("n") > SLICED)
+    cuts = with_cells(rows, large, keys, "n").groupBy(*keys).agg(F.array_distinct(F.percentile_approx("value", points, 1_000)).alias("cuts"))
+    placed = with_cells(with_cells(rows, cells, keys, "n", "n_log"), cuts, keys, "cuts", how="left")
+    placed = placed.withColumn("slice", F.coalesce(F.size(F.filter("cuts", lambda c: c < F.col("value"))), F.lit(0))).withColumn("sliced", F.col("cuts").isNotNull()).drop("cuts")
+    order = Window.partitionBy(*keys, "slice").orderBy("value")
+    sizes = placed.where("sliced").groupBy(*keys, "slice").count()
+    before = sizes.withColumn("before", F.sum("count").over(Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1))).drop("count")
+    out = placed.withColumn("i", F.row_number().over(order).cast("long"))
+    return with_cells(out, before, [*keys, "slice"], "before", how="left").withColumn("i", F.col("i") + F.coalesce("before", F.lit(0))).drop("before", "slice", "sliced")
+
+
+def rank_statistics(rows: DataFrame, cells: DataFrame, keys: list[str], shape: bool) -> DataFrame:
+    """Per cell its percentiles (by linear interpolation) and, if shape, normality_p of the scoring space, from one ranking of its values.
+
+    normality_p needs 3 values and spread (Royston's fit is to 5,000; beyond it extrapolates). Logarithms keep the order, so a positive value's rank
+    among positive ones is its rank less the number of others.
+    """
+    at = ranked(rows, cells, keys)
+    place = {p: F.lit(p / 100) * (F.col("n") - 1) for p in POINTS}
+    low = {p: F.max(F.when(F.col("i") == F.floor(x) + 1, F.col("value"))) for p, x in place.items()}
+    high = {p: F.max(F.when(F.col("i") == F.ceil(x) + 1, F.col("value"))) for p, x in place.items()}
+    sums = [F.max("n").alias("n"), *(c.alias(f"{side}{k}") for side, of in (("lo", low), ("hi", high)) for k, c in enumerate(of.values()))]
+    if shape:
+        x = F.when(is_log(), F.when(F.col("value") > 0, F.ln("value"))).otherwise(F.col("value"))
+        at = at.withColumn("k", F.when(is_log(), F.col("n_log")).otherwise(F.col("n"))).withColumns({"x": x, "j": F.col("i") - (F.col("n") - F.col("k"))})
+        m = F.expr(norm_ppf(f"((j - {num(0.375)}) / (k + {num(0.25)}))"))
+        at = at.withColumn("m", F.when(F.col("x").isNotNull() & (F.col("k") >= 3), F.when((F.col("k") % 2 == 1) & (2 * F.col("j") == F.col("k") + 1), F.lit(0.0)).otherwise(m)))
+        end = lambda k, c: F.max(F.when(F.col("x").isNotNull() & (F.col("j") == k), F.col(c)))
+        sums += [
+            F.max("k").alias("k"), F.sum(F.col("m") * F.col("m")).alias("mm"), F.sum(F.col("m") * F.col("x")).alias("mx"), F.var_pop("x").alias("v"), F.min("x").alias("least"), F.max("x").alias("most"),
+            end(F.col("k"), "m").alias("m1"), end(F.col("k") - 1, "m").alias("m2"), end(F.col("k"), "x").alias("x1"), end(F.col("k") - 1, "x").alias("x2"), end(F.lit(1), "x").alias("y1"), end(F.lit(2), "x").alias("y2"),
+        ]
+    out = at.groupBy(*keys).agg(*sums)
+    # As a + (b - a) * t, with t the part of the place beyond the lower rank.
+    between = [F.col(f"lo{k}") + (F.col(f"hi{k}") - F.col(f"lo{k}")) * (place[p] - F.floor(place[p])) for k, p in enumerate(POINTS)]
+    out = out.withColumn("percentiles", F.array(*between))
+    if shape:
+        fit = (F.col("k") >= 3) & (F.col("most") > F.col("least"))
+        # One column a step: written out as one expression this grows beyond what a planner can hold.
+        for name, text in SHAPIRO_STEPS.items():
+            out = out.withColumn(name, F.expr(text))
+        out = out.withColumn("normality_p", F.when(fit, F.col("normality_p")))
+    return out.select(*keys, "percentiles", *(["normality_p"] if shape else []))
+
+
+def shapiro(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """normality_p of the scoring space of each cell (keys, metric and band among them, and value)."""
+    cells = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.count(F.when(is_log() & (F.col("value") > 0), 1)).alias("n_log"))
+    return rank_statistics(rows, cells, keys, True).select(*keys, "normality_p")
 
 
 _U = "(1 / sqrt(k))"
@@ -85,12 +120,11 @@ SHAPIRO_STEPS = {
 def norm_cells(metrics: DataFrame, edges: list[int] = EDGES, shape: bool = True) -> DataFrame:
     """The norm cells of long metrics (subject_id, age, sex, condition, channel, band, metric, value); shape: with normality_p."""
     spark = metrics.sparkSession
-    rows = fan_out(metrics, edges)
+    rows = written(fan_out(metrics, edges))
     positive = F.when(is_log() & (F.col("value") > 0), F.ln("value"))
     cells = rows.groupBy(*KEYS).agg(
         F.count("*").alias("n"), F.avg("value").alias("mean"), F.coalesce(F.stddev_samp("value"), F.lit(0.0)).alias("sd"),
         F.avg(positive).alias("log_mean"), F.count(positive).alias("n_log"), F.coalesce(F.stddev_samp(positive), F.when(F.count(positive) > 0, 0.0)).alias("log_sd"),
-        F.expr(f"percentile(value, array({', '.join(str(p / 100) for p in POINTS)}))").alias("percentiles"),
         F.skewness("value").alias("skewness"), F.kurtosis("value").alias("kurtosis"),
     ).withColumn("log_transformed", is_log())
     usable = (F.col("n") >= 3) & (F.col("sd") > 0)
@@ -111,9 +145,9 @@ def norm_cells(metrics: DataFrame, edges: list[int] = EDGES, shape: bool = True)
     cells = cells.select(
         "*", bound(-1, mean_width).alias("ci_lower"), bound(1, mean_width).alias("ci_upper"), bound(-1, value_width).alias("pi_lower"), bound(1, value_width).alias("pi_upper"),
     ).drop("df", "t")
-    if not shape:
-        return cells
-    return cells.join(shapiro(rows, KEYS), KEYS, "left").withColumn("transform_normalized", F.col("normality_p") >= 0.05)
+    ranks = rank_statistics(rows, written(cells.select(*KEYS, "n", "n_log")), KEYS, shape)
+    cells = with_cells(cells, ranks, KEYS, *ranks.columns[len(KEYS) :], how="left")
+    return cells.withColumn("transform_normalized", F.col("normality_p") >= 0.05) if shape else cells
 
 
 def best_cells(cells: DataFrame) -> DataFrame:
