@@ -38,9 +38,9 @@ from plumbline.llm.text import BASE, MIX2, NOT_SPACE, chunks, mix, pair_hash, wo
 
 SIDE = 12
 ROWS = 3
-TURNS = 3
+TURNS = 2
 PARTNERS = 6
-#: Pairs across components, for each row of a bucket, that are few.
+#: Pairs left to compare, for each row of a bucket, that are few.
 ENOUGH = 4
 #: Sets of a tile: an eighth of the group, within these bounds.
 TILE_LEAST, TILE_MOST = 128, 1_024
@@ -338,39 +338,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     none = spark.createDataFrame([], "node bigint, component bigint")
     links = tested = known = None
     for turn in range(TURNS + 1):
-        # Buckets whose members are in several components so far.
+        # Buckets whose members are in several components so far, each row with its bucket's leader of this turn and that one's component.
         release(known)
         known = components(links) if links is not None else none
-        before, bucket = bucket, bucket.select("key", "id").join(known.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-        mixed = bucket.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-        bucket = stored(bucket.join(mixed, "key"))
+        before, bucket = bucket, small_join(bucket.select("key", "id"), known.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+        lead = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("r"), "id", "component")).alias("m")
+        mixed = bucket.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), lead).where("lo < hi")
+        bucket = stored(bucket.join(mixed.select("key", "n", F.col("m.id").alias("leader"), F.col("m.component").alias("top")), "key"))
         release(before)
-        # Pairs across components that all-pairs would now make.
-        count = bucket.groupBy("key", "component").count().groupBy("key").agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("own"))
-        left = count.agg(F.coalesce(F.sum(F.col("n") * F.col("n") - F.col("own")), F.lit(0)) / 2, F.coalesce(F.sum("n"), F.lit(0))).first()
-        if not left[0]:
+        # Pairs that would now be compared if all outside the leader's component met their whole bucket.
+        left = bucket.agg(F.coalesce(F.sum(F.when(F.col("component") != F.col("top"), F.col("n"))), F.lit(0)), F.count("*")).first()
+        if not left[1]:
             break
         few_left = left[0] <= ENOUGH * left[1]
         if turn == TURNS and not few_left:
             found = _in_tiles(bucket, classes, sets, percent, side)
             links = found if links is None else links.union(found)
             break
+        outside = bucket.where("component <> top")
         if few_left:
-            # Only what lies outside a bucket's main component meets the others of the bucket.
-            main = bucket.groupBy("key", "component").count().groupBy("key").agg(F.max(F.struct("count", "component")).alias("m")).select("key", F.col("m.component").alias("top"))
-            outside = bucket.join(main, "key").where("component <> top").select("key", "id", "component")
+            # Pairs within the leader's component are joined already, so one side of each pair lies outside it.
             other = bucket.select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
-            pairs = outside.join(other, "key").where("component <> cb").select(*_ordered("id", "b"))
+            pairs = outside.select("key", "id", "component").join(other, "key").where("component <> cb").select(*_ordered("id", "b"))
         else:
-            # One leader for each bucket, another each turn; a set meets the few leaders that it shares most tables with.
-            lead = bucket.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("r"), "id", "component")).alias("m")).select("key", F.col("m.id").alias("leader"), F.col("m.component").alias("cl"))
-            meet = bucket.join(lead, "key").where("component <> cl").groupBy("id", "leader").count()
+            # A set meets the few leaders that it shares most tables with. Dealt by id once for both counts.
+            meet = outside.select("id", "leader").repartition("id").groupBy("id", "leader").count()
             few = meet.groupBy("id").agg(F.slice(F.sort_array(F.collect_list(F.struct("count", "leader")), False), 1, PARTNERS).alias("few"))
             pairs = few.select("id", F.explode("few.leader").alias("leader")).select(*_ordered("id", "leader"))
-        pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs)
+        pairs = stored(pairs.distinct())
         found = _verified(pairs, sets, percent)
         links = found if links is None else links.union(found)
         tested = pairs if tested is None else tested.union(pairs)
