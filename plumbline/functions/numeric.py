@@ -58,7 +58,7 @@ def incomplete_beta(a: np.ndarray, b: float, x: np.ndarray) -> np.ndarray:
     a, x = np.broadcast_arrays(np.asarray(a, float), np.asarray(x, float))
     swap = x > (a + 1) / (a + b + 2)
     p, q, y = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, 1 - x, x)
-    log = np.vectorize(lgamma)
+    log = np.vectorize(lgamma, otypes=[float])
     front = np.exp(log(p + q) - log(p) - log(q) + p * np.log(np.maximum(y, 1e-300)) + q * np.log1p(-np.minimum(y, 1 - 1e-16))) / p
     tiny = 1e-300
     c, d = np.ones_like(y), 1 / np.maximum(np.abs(1 - (p + q) * y / (p + 1)), tiny) * np.sign(1 - (p + q) * y / (p + 1) + tiny)

@@ -29,7 +29,7 @@ PAIRS = f"pair AS (SELECT subject_id, condition, channel, band, metric, x1, x2 F
 # Two-way ICC from sums of centred values.
 ICC = f"""{PAIRS}, c AS (SELECT *, AVG(x1 + x2) OVER (PARTITION BY condition, channel, band, metric) / 2 AS g FROM pair),
 s AS (SELECT condition, channel, band, metric, COUNT(*) AS n, SUM((x1 - g) * (x1 - g) + (x2 - g) * (x2 - g)) AS ss, SUM((x1 + x2 - 2 * g) * (x1 + x2 - 2 * g)) / 2 AS ssr, (SUM(x1 - g) * SUM(x1 - g) + SUM(x2 - g) * SUM(x2 - g)) / COUNT(*) AS ssc,
- AVG(x1 - x2) AS bias, STDDEV_SAMP(x1 - x2) AS sd_diff FROM c GROUP BY condition, channel, band, metric HAVING COUNT(*) >= 10),
+ AVG(x2 - x1) AS bias, STDDEV_SAMP(x2 - x1) AS sd_diff FROM c GROUP BY condition, channel, band, metric HAVING COUNT(*) >= 10),
 m AS (SELECT *, ssr / (n - 1) AS msr, ssc AS msc, (ss - ssr - ssc) / (n - 1) AS mse, SQRT(ss / (2 * n - 1)) AS sd_all FROM s),
 rel AS (SELECT *, (msr - mse) / nullif(msr + mse + 2 * (msc - mse) / n, 0) AS icc FROM m),
 rel2 AS (SELECT *, sd_all * SQRT(GREATEST(CAST(0 AS DOUBLE), 1 - icc)) AS sem FROM rel)"""
@@ -101,13 +101,6 @@ QUERIES: dict[str, str] = {
     "a12_coverage": f"WITH {MEANS} SELECT bin, SUM(CASE WHEN condition = 'eo' THEN n ELSE 0 END) AS n_eo, SUM(CASE WHEN condition = 'ec' THEN n ELSE 0 END) AS n_ec, MIN(n) < 20 AS low FROM cell WHERE sex = 'pooled' AND channel = 'Cz' AND band = 'Alpha' AND metric = 'absolute_power' GROUP BY bin",
     "a13_low_cells": f"WITH {MEANS} SELECT bin, condition, band, metric, COUNT(*) AS n_cells, COUNT_IF(n < 20) AS n_low, $JOIN(DISTINCT channel) AS channels FROM cell WHERE sex = 'pooled' GROUP BY bin, condition, band, metric",
     "a14_cell_quality": f"WITH {MEANS} SELECT bin, COUNT(*) AS n_cells, MIN(n) AS n_min, $PCT(n, 0.5) AS n_median, MAX(n) AS n_max, COUNT_IF(n < 10) AS n_thin FROM cell WHERE sex = 'pooled' GROUP BY ROLLUP (bin)",
-    "a15_disclosure": f"WITH {MEANS} SELECT metric, COUNT(*) AS n_cells, COUNT_IF({LOG}) AS n_log, {r('AVG(ABS(mean - p50) / nullif(sd, 0))')} AS shift, {r('AVG(sd / nullif(ABS(mean), 0))')} AS cv FROM cell GROUP BY ROLLUP (metric)",
-    "a16_split_half": f"""WITH half AS (SELECT k, m.subject_id, CASE WHEN ROW_NUMBER() OVER (PARTITION BY k ORDER BY MD5(CONCAT('42:', CAST(k AS VARCHAR(20)), ':', CAST(m.subject_id AS VARCHAR(20)))), m.subject_id) * 2 <= COUNT(*) OVER (PARTITION BY k) THEN 0 ELSE 1 END AS side FROM (SELECT DISTINCT subject_id FROM metrics) m CROSS JOIN (VALUES (0), (1), (2), (3)) AS t(k)),
- grp AS (SELECT k, side, bin, condition, channel, band, metric, AVG(value) AS mean, COUNT(*) AS n FROM metrics m JOIN half h ON h.subject_id = m.subject_id JOIN bins ON age >= bin_lo AND age < bin_hi GROUP BY k, side, bin, condition, channel, band, metric HAVING COUNT(*) >= 3)
- SELECT a.k AS split, a.metric, COUNT(*) AS n_cells, {r(corr('a.mean', 'b.mean'))} AS r FROM grp a JOIN grp b ON a.k = b.k AND a.side = 0 AND b.side = 1 AND a.bin = b.bin AND a.condition = b.condition AND a.channel = b.channel AND a.band = b.band AND a.metric = b.metric GROUP BY a.k, a.metric HAVING COUNT(*) >= 5""",
-    "a17_cross_dataset": f"""WITH grp AS (SELECT dataset, bin, condition, channel, band, metric, AVG(value) AS mean, COALESCE(STDDEV_SAMP(value), 0) AS sd, COUNT(*) AS n FROM metrics JOIN bins ON age >= bin_lo AND age < bin_hi GROUP BY dataset, bin, condition, channel, band, metric HAVING COUNT(*) >= 3),
- both_ AS (SELECT a.bin, a.metric, a.mean AS m1, b.mean AS m2, (a.mean - b.mean) / nullif(SQRT(((a.n - 1) * a.sd * a.sd + (b.n - 1) * b.sd * b.sd) / (a.n + b.n - 2)), 0) AS d FROM grp a JOIN grp b ON a.dataset = 0 AND b.dataset = 1 AND a.bin = b.bin AND a.condition = b.condition AND a.channel = b.channel AND a.band = b.band AND a.metric = b.metric)
- SELECT metric, bin, COUNT(*) AS n, {r(corr('m1', 'm2'))} AS r, {r('AVG(ABS(d))')} AS mean_d, {r('MAX(ABS(d))')} AS max_d FROM both_ GROUP BY GROUPING SETS ((metric), (bin), ())""",
     "a18_age_distribution": f"SELECT CAST(FLOOR(age / 5) * 5 AS BIGINT) AS bin5, COUNT(*) AS n, COUNT_IF(sex = 'F') AS n_f, COUNT_IF(sex = 'M') AS n_m, {r('AVG(age)')} AS mean, {r('STDDEV_SAMP(age)')} AS sd, $PCT(age, 0.5) AS median, COUNT(*) < 10 AS thin FROM subjects GROUP BY CAST(FLOOR(age / 5) * 5 AS BIGINT)",
     "a19_score_histogram": "SELECT CASE WHEN s <= 13 THEN 'minimal' WHEN s <= 19 THEN 'mild' WHEN s <= 28 THEN 'moderate' ELSE 'severe' END AS level, COUNT(*) AS n, COUNT_IF(s <= 13) AS healthy FROM (SELECT c_custkey % 64 AS s FROM customer) q GROUP BY CASE WHEN s <= 13 THEN 'minimal' WHEN s <= 19 THEN 'mild' WHEN s <= 28 THEN 'moderate' ELSE 'severe' END",
     "a20_thresholds": "SELECT t.cut, COUNT_IF(s.score < t.cut OR s.score IS NULL) AS n_eligible, COUNT(*) AS n FROM (SELECT CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_custkey % 100 END AS score FROM customer) s CROSS JOIN (VALUES (60), (63), (70)) AS t(cut) GROUP BY t.cut",
@@ -139,18 +132,10 @@ QUERIES: dict[str, str] = {
     # --- reliability and validation -----------------------------------------------------------------------------------------
     "r1_icc": f"WITH {ICC} SELECT condition, channel, band, metric, n, {r('icc')} AS icc, {r('sem')} AS sem, {r('sem * 1.96 * SQRT(2)')} AS mdc95 FROM rel2",
     "r3_bland_altman": f"WITH {ICC} SELECT condition, channel, band, metric, {r('bias')} AS bias, {r('sd_diff')} AS sd_diff, {r('bias - 1.96 * sd_diff')} AS lower_limit, {r('bias + 1.96 * sd_diff')} AS upper_limit FROM rel2",
-    "r4_heteroscedasticity": f"""WITH {PAIRS}, t AS (SELECT condition, band, metric, ABS(x1 - x2) AS d, x1 - x2 AS raw, (x1 + x2) / 2 AS lev, ROW_NUMBER() OVER (PARTITION BY condition, band, metric ORDER BY (x1 + x2) / 2, subject_id, channel) AS k, COUNT(*) OVER (PARTITION BY condition, band, metric) AS n FROM pair)
- SELECT condition, band, metric, COUNT(*) AS n, {r('regr_slope(d, lev)')} AS slope, {r(corr('d', 'lev'))} AS r, {r('VAR_SAMP(CASE WHEN k > n - CAST(FLOOR(n / 3) AS BIGINT) THEN raw END) / nullif(VAR_SAMP(CASE WHEN k <= CAST(FLOOR(n / 3) AS BIGINT) THEN raw END), 0)')} AS tail_ratio FROM t GROUP BY condition, band, metric HAVING COUNT(*) >= 6""",
     "r5_beyond_mdc": f"WITH {ICC} SELECT r.condition, r.channel, r.band, r.metric, {r('AVG(CASE WHEN ABS(p.x1 - p.x2) > r.sem * 1.96 * SQRT(2) THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)')} AS share FROM rel2 r JOIN pair p ON p.condition = r.condition AND p.channel = r.channel AND p.band = r.band AND p.metric = r.metric GROUP BY r.condition, r.channel, r.band, r.metric",
-    "r6_reliability_summary": f"WITH {ICC} SELECT metric, COUNT(*) AS n, {r('$PCT(icc, 0.5)')} AS median_icc, COUNT_IF(icc < 0.7) AS n_low FROM rel2 GROUP BY ROLLUP (metric)",
     "v1_alpha_closed_over_open": f"WITH {MEANS}, p AS (SELECT bin, channel, MAX(CASE WHEN condition = 'ec' THEN mean END) AS ec, MAX(CASE WHEN condition = 'eo' THEN mean END) AS eo FROM cell WHERE sex = 'pooled' AND band = 'Alpha' AND metric = 'absolute_power' GROUP BY bin, channel) SELECT COUNT(*) AS n, COUNT_IF(ec > eo) AS n_pass, {r('AVG(CASE WHEN ec > eo THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)')} AS share, AVG(CASE WHEN ec > eo THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) >= 0.9 AS ok FROM p WHERE ec IS NOT NULL AND eo IS NOT NULL",
     "v2_age_trend": f"WITH {MEANS} SELECT condition, channel, metric, COUNT(*) AS n_bins, {r(corr('(bin_lo + bin_hi) / 2.0', 'mean'))} AS r FROM cell WHERE sex = 'pooled' AND band = 'Alpha' AND n >= 5 GROUP BY condition, channel, metric HAVING COUNT(*) >= 3",
-    "v4_ranges": f"WITH {MEANS} SELECT q.metric, q.lo, q.hi, COUNT(*) AS n, COUNT_IF(c.mean BETWEEN q.lo AND q.hi) AS n_inside FROM cell c JOIN (VALUES ('relative_power', 0.0, 0.1), ('absolute_power', 1.0, 60000.0)) AS q(metric, lo, hi) ON q.metric = c.metric WHERE c.sex = 'pooled' GROUP BY q.metric, q.lo, q.hi",
-    "v6_relative_sum": f"WITH {MEANS}, s AS (SELECT bin, condition, channel, SUM(mean) AS total, COUNT(*) AS k FROM cell WHERE sex = 'pooled' AND metric = 'relative_power' GROUP BY bin, condition, channel) SELECT COUNT(*) AS n, COUNT_IF(total BETWEEN 0.05 AND 0.25) AS n_ok, {r('MIN(total)')} AS least, {r('MAX(total)')} AS most FROM s WHERE k >= 3",
     "v7_scale_consistency": f"WITH {MEANS} SELECT condition, band, {r('STDDEV_POP(mean) / nullif(ABS(AVG(mean)), 0)')} AS cv, STDDEV_POP(mean) / nullif(ABS(AVG(mean)), 0) < 0.1 AS ok FROM cell WHERE sex = 'pooled' AND metric = 'absolute_power' GROUP BY condition, band",
-    "v11_check_summary": f"""WITH {MEANS}, k AS (SELECT 'alpha' AS check_name, bin AS item, CASE WHEN COUNT_IF(condition = 'ec') = 0 THEN 'SKIP' WHEN SUM(CASE WHEN condition = 'ec' THEN mean ELSE -mean END) > 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM cell WHERE sex = 'pooled' AND band = 'Alpha' AND metric = 'absolute_power' AND channel = 'Pz' GROUP BY bin
- UNION ALL SELECT 'spread', CONCAT(bin, band, metric), CASE WHEN MIN(n) < 2 THEN 'SKIP' WHEN COUNT_IF(sd = 0) > 0 THEN 'WARN' WHEN AVG(ABS(p50 - mean)) > AVG(sd) THEN 'FAIL' ELSE 'PASS' END FROM cell WHERE sex = 'pooled' GROUP BY bin, band, metric UNION ALL SELECT 'size', CONCAT(bin, condition), CASE WHEN MIN(n) < 10 THEN 'WARN' ELSE 'PASS' END FROM cell WHERE sex = 'pooled' GROUP BY bin, condition)
- SELECT check_name, status, COUNT(*) AS n FROM k GROUP BY check_name, status""",
     # --- recording quality ---------------------------------------------------------------------------------------------------
     "q1_integrity": f"WITH m AS (SELECT recording_id, channel, v, AVG(v) OVER (PARTITION BY recording_id) AS c FROM signal) SELECT recording_id, COUNT(DISTINCT channel) AS n_channels, COUNT(*) AS n, {r('$PCT(ABS(v - c), 0.5)')} AS typical, COUNT(DISTINCT channel) >= 3 AS ok FROM m GROUP BY recording_id",
     "q2_flat_railed": f"SELECT recording_id, channel, {r('VAR_POP(v)')} AS variance, VAR_POP(v) < 0.1 AS flat, AVG(CASE WHEN ABS(v) > 80 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) > 0.1 AS railed FROM signal GROUP BY recording_id, channel",
@@ -168,10 +153,6 @@ QUERIES: dict[str, str] = {
     "k3_band_power": f"WITH {BANDPOWER} SELECT b.recording_id, b.band, {r('power')} AS absolute, {r('power / nullif(total, 0)')} AS relative FROM bp b JOIN total t ON t.recording_id = b.recording_id",
     "k4_band_ratios": f"WITH {BANDPOWER} SELECT b.recording_id, q.ratio, {r(RATIO)} AS value FROM bp b JOIN ratios q ON q.band = b.band JOIN (SELECT ratio, COUNT(*) AS need FROM ratios GROUP BY ratio) n ON n.ratio = q.ratio GROUP BY b.recording_id, q.ratio HAVING COUNT(*) = MAX(n.need)",
     "k5_aperiodic": f"WITH {FIT} SELECT recording_id, {r('-slope')} AS exponent, {r('intercept')} AS level, {r('r2')} AS r2, r2 >= 0.85 AS good, n_points FROM f2 WHERE n_points >= 5",
-    "k6_corrected_power": f"WITH {FIT} SELECT p.recording_id, p.freq, {r('p.psd / POWER(10, f.intercept + f.slope * LOG10(p.freq))')} AS corrected FROM psd p JOIN f2 f ON f.recording_id = p.recording_id WHERE p.freq >= 2 AND p.freq <= 40 AND f.n_points >= 5",
-    "k8_global_scale": f"SELECT recording_id, {r(f'AVG(LOG10(GREATEST(psd, {num(1e-30)})))')} AS gsf FROM psd GROUP BY recording_id",
-    "k9_gsf_power": f"WITH {BANDPOWER}, g AS (SELECT recording_id, POWER(10, AVG(LOG10(GREATEST(psd, {num(1e-30)})))) AS s FROM psd GROUP BY recording_id) SELECT b.recording_id, b.band, {r('power / s')} AS value FROM bp b JOIN g ON g.recording_id = b.recording_id",
-    "k10_alpha_frequency": f"WITH q AS (SELECT recording_id, freq, psd, LAG(psd) OVER (PARTITION BY recording_id ORDER BY freq) AS a, LEAD(psd) OVER (PARTITION BY recording_id ORDER BY freq) AS b FROM psd WHERE freq BETWEEN 7 AND 14) SELECT recording_id, {r('SUM(freq * psd) / nullif(SUM(psd), 0)')} AS gravity, MAX_BY(freq, CASE WHEN psd > a AND psd > b THEN psd END) AS peak FROM q GROUP BY recording_id",
     "k12_mean_log_power": f"WITH {BANDPOWER} SELECT band, {r('AVG(LOG10(power))')} AS mean FROM bp WHERE power > 0 GROUP BY band",
     # --- coupling and graphs ---------------------------------------------------------------------------------------------------------
     "c14_hub_matrix": f"SELECT m.subject_id, m.condition, m.band, h.hub, {r('AVG(m.value)')} AS value, COUNT(*) AS n_channels FROM hubs h JOIN metrics m ON m.channel = h.channel WHERE m.metric = 'absolute_power' GROUP BY m.subject_id, m.condition, m.band, h.hub",
@@ -183,11 +164,6 @@ QUERIES: dict[str, str] = {
     "g3_region_ratios": f"WITH p AS (SELECT m.subject_id, m.condition, g.region, m.band, AVG(m.value) AS power FROM metrics m JOIN regions g ON g.channel = m.channel WHERE m.metric = 'absolute_power' GROUP BY m.subject_id, m.condition, g.region, m.band) SELECT subject_id, condition, region, {r('''MAX(CASE WHEN band = 'Theta' THEN power END) / nullif(MAX(CASE WHEN band = 'Beta' THEN power END), 0)''')} AS theta_beta, {r('''MAX(CASE WHEN band = 'Alpha' THEN power END) / nullif(MAX(CASE WHEN band = 'Theta' THEN power END), 0)''')} AS alpha_theta FROM p GROUP BY subject_id, condition, region",
     "a25_network_means": f"WITH {GRAPH} SELECT g.subject_id, g.condition, g.band, CASE WHEN a.region = b.region THEN 'within' ELSE 'between' END AS kind, {r('AVG(weight)')} AS mean, COUNT(*) AS n FROM graph g JOIN regions a ON a.channel = g.ca JOIN regions b ON b.channel = g.cb GROUP BY g.subject_id, g.condition, g.band, CASE WHEN a.region = b.region THEN 'within' ELSE 'between' END",
     # --- long metrics from spectra, graphs and regions -----------------------------------------------------------------------------------
-    "k11_long_spectral": f"""WITH {BANDPOWER}, {FIT}, g AS (SELECT recording_id, POWER(10, AVG(LOG10(GREATEST(psd, {num(1e-30)})))) AS s FROM psd GROUP BY recording_id),
- cp AS (SELECT p.recording_id, b.band, AVG(p.psd / POWER(10, f.intercept + f.slope * LOG10(p.freq))) AS power FROM psd p JOIN f2 f ON f.recording_id = p.recording_id JOIN bands b ON p.freq >= b.lo AND p.freq <= b.hi WHERE p.freq >= 2 AND p.freq <= 40 AND f.n_points >= 5 GROUP BY p.recording_id, b.band),
- ra AS (SELECT b.recording_id, q.ratio, {RATIO} AS value FROM bp b JOIN ratios q ON q.band = b.band JOIN (SELECT ratio, COUNT(*) AS need FROM ratios GROUP BY ratio) n ON n.ratio = q.ratio GROUP BY b.recording_id, q.ratio HAVING COUNT(*) = MAX(n.need))
- SELECT recording_id, band, 'absolute_power' AS metric, {r('power')} AS value FROM bp UNION ALL SELECT b.recording_id, b.band, 'relative_power', {r('power / nullif(total, 0)')} FROM bp b JOIN total t ON t.recording_id = b.recording_id UNION ALL SELECT b.recording_id, b.band, 'gsf_absolute_power', {r('power / s')} FROM bp b JOIN g ON g.recording_id = b.recording_id
- UNION ALL SELECT recording_id, ratio, 'band_ratio', {r('value')} FROM ra UNION ALL SELECT recording_id, band, 'corrected_absolute_power', {r('power')} FROM cp UNION ALL SELECT recording_id, 'broadband', 'aperiodic_exponent', {r('-slope')} FROM f2 WHERE r2 >= 0.85 AND n_points >= 5""",
     "j16_pair_remap": f"""WITH {GRAPH}, area AS (SELECT hub, channel, CASE WHEN hub LIKE '%_L' THEN 'L' WHEN hub LIKE '%_R' THEN 'R' ELSE 'M' END AS side FROM hubs)
  SELECT g.subject_id, g.condition, g.band, LEAST(a.hub, b.hub) AS area_a, GREATEST(a.hub, b.hub) AS area_b, {r('AVG(g.weight)')} AS weight, COUNT(*) AS n FROM graph g JOIN area a ON a.channel = g.ca JOIN area b ON b.channel = g.cb AND b.side = a.side AND b.hub <> a.hub GROUP BY g.subject_id, g.condition, g.band, LEAST(a.hub, b.hub), GREATEST(a.hub, b.hub)""",
     "g4_long_regions": f"""WITH {GRAPH} SELECT m.subject_id, m.condition, m.band, CONCAT('_src_dk_', g.region) AS channel, 'power' AS metric, {r('AVG(m.value)')} AS value FROM metrics m JOIN regions g ON g.channel = m.channel WHERE m.metric = 'absolute_power' GROUP BY m.subject_id, m.condition, m.band, g.region
@@ -210,7 +186,6 @@ QUERIES: dict[str, str] = {
     "t1_cell_order": f"WITH {MEANS} SELECT bin, sex, condition, channel, band, metric, n FROM cell ORDER BY bin_lo, sex, condition, channel, band, metric",
     "t2_reliability_order": f"WITH {ICC} SELECT condition, channel, band, metric, {r('COALESCE(icc, 1)')} AS order_icc FROM rel2 ORDER BY COALESCE(icc, 1), condition, channel, band, metric",
     # --- checks --------------------------------------------------------------------------------------------------------------------------------
-    "v5_exponent_age": f"WITH {FIT}, e AS (SELECT b.bin_lo, b.bin_hi, AVG(-f.slope) AS exponent, COUNT(*) AS n FROM f2 f JOIN subjects s ON s.subject_id = CAST(FLOOR(f.recording_id / 5) AS BIGINT) JOIN bins b ON s.age >= b.bin_lo AND s.age < b.bin_hi WHERE f.n_points >= 5 GROUP BY b.bin_lo, b.bin_hi) SELECT COUNT(*) AS n_bins, {r(corr('(bin_lo + bin_hi) / 2.0', 'exponent'))} AS r, {corr('(bin_lo + bin_hi) / 2.0', 'exponent')} < 0 AS ok FROM e",
     "v8_source_checks": f"""WITH p AS (SELECT m.subject_id, m.condition, g.region, AVG(m.value) AS power, MIN(m.value) AS least FROM metrics m JOIN regions g ON g.channel = m.channel WHERE m.metric = 'absolute_power' AND m.band = 'Alpha' GROUP BY m.subject_id, m.condition, g.region),
  a AS (SELECT AVG(CASE WHEN region = 'posterior' THEN power END) / nullif(AVG(CASE WHEN region = 'anterior' THEN power END), 0) AS ratio, MIN(least) AS least FROM p), c AS (SELECT subject_id, region, MAX(CASE WHEN condition = 'ec' THEN power END) AS ec, MAX(CASE WHEN condition = 'eo' THEN power END) AS eo FROM p GROUP BY subject_id, region)
  SELECT 'posterior_ratio' AS check_name, {r('ratio')} AS value, ratio > 0.9 AS ok FROM a UNION ALL SELECT 'non_negative', {r('least')}, least >= 0 FROM a UNION ALL SELECT 'closed_over_open', {r('AVG(CASE WHEN ec > eo THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)')}, AVG(CASE WHEN ec > eo THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) >= 0.7 FROM c WHERE ec IS NOT NULL AND eo IS NOT NULL

@@ -80,15 +80,9 @@ def effect_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir).groupBy("subject_id", "condition", label.alias("effect"), "severity").agg(F.count("*").alias("n"))
 
 
-DISAGREE = [("absolute_power", "corrected_absolute_power"), ("absolute_power", "relative_power")]
-
-
 def metric_disagreement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Places where two metrics deviate in opposite directions, one of them beyond 1.5."""
-    wide = _scored(spark, sf_dir).groupBy("subject_id", "condition", "channel", "band").agg(F.map_from_entries(F.collect_list(F.struct("metric", "z"))).alias("z"))
-    pair = F.explode(F.array(*(F.struct(F.lit(x).alias("first"), F.lit(y).alias("second"), F.col("z")[x].alias("a"), F.col("z")[y].alias("b")) for x, y in DISAGREE)))
-    pairs = wide.select("subject_id", "condition", "channel", "band", pair.alias("p")).select("subject_id", "condition", "channel", "band", "p.*")
-    return rounded(pairs.where((F.col("a") * F.col("b") < 0) & (F.greatest(F.abs("a"), F.abs("b")) > 1.5)), *pairs.columns)
+    out = norms.disagreements(_scored(spark, sf_dir))
+    return rounded(out, *out.columns)
 
 
 def significant_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,14 +172,15 @@ def _cols(*names: str) -> str:
 _FIRST = "row_number() OVER (PARTITION BY subject_id, condition ORDER BY -abs(zr), channel, band, metric)"
 _KEYLIST = "subject_id, condition, channel, band, metric"
 _FLAGS = f"{_SCORED}, flag AS (SELECT *, abs(z - robust_z) AS gap, value BETWEEN pi_lower AND pi_upper AS inside, {r('z')} AS zr FROM scored)"
-_SHAPED = f"{_SHAPE}, sc AS (SELECT c.*, s.normality_p FROM cells c LEFT JOIN shape s ON s.bin = c.bin AND s.sex = c.sex AND s.condition = c.condition AND s.channel = c.channel AND s.band = c.band AND s.metric = c.metric)"
+SHAPED = f"{_SHAPE}, sc AS (SELECT c.*, s.normality_p FROM cells c LEFT JOIN shape s ON s.bin = c.bin AND s.sex = c.sex AND s.condition = c.condition AND s.channel = c.channel AND s.band = c.band AND s.metric = c.metric)"
 ORACLES = {
     "z4_trust_flags": f"WITH {_FLAGS} SELECT {_KEYLIST}, {r('gap')} AS z_discrepancy, gap > 1 AS discrepant, gap > 1 OR low_confidence AS parametric_z_unreliable, inside AS in_prediction FROM flag",
     "p12_effect_labels": f"WITH {_SCORED} SELECT subject_id, condition, CASE WHEN cohen_d IS NULL THEN 'none' WHEN round(abs(cohen_d), 9) < 0.2 THEN 'negligible' WHEN round(abs(cohen_d), 9) < 0.5 THEN 'small' WHEN round(abs(cohen_d), 9) < 0.8 THEN 'medium' ELSE 'large' END AS effect, severity, count(*) AS n FROM scored GROUP BY ALL",
-    "z8_metric_disagreement": f"WITH {_SCORED} SELECT a.subject_id, a.condition, a.channel, a.band, a.metric AS first, b.metric AS second, {r('a.z')} AS a, {r('b.z')} AS b FROM scored a JOIN scored b USING (subject_id, condition, channel, band) WHERE (a.metric, b.metric) IN ({', '.join(map(str, DISAGREE))}) AND sign(a.z) * sign(b.z) = -1 AND (abs(a.z) > 1.5 OR abs(b.z) > 1.5)",
+    "z8_metric_disagreement": f"""WITH {_SCORED}, pr AS (SELECT subject_id, condition, channel, band, max(CASE WHEN metric = 'absolute_power' THEN z END) AS a, max(CASE WHEN metric = 'corrected_absolute_power' THEN z END) AS c FROM scored GROUP BY ALL)
+SELECT subject_id, condition, channel, band, {r('a')} AS absolute_z, {r('c')} AS corrected_z, concat('total power ', CASE WHEN a > 0 THEN 'elevated' ELSE 'reduced' END, ', periodic power ', CASE WHEN c > 0 THEN 'elevated' ELSE 'reduced' END, ' at ', channel, ' ', band, ': the deviation is aperiodic') AS interpretation FROM pr WHERE sign(a) * sign(c) = -1 AND (abs(a) > 1.5 OR abs(c) > 1.5)""",
     "t5_significant_findings": f"WITH {_FDR.replace('0.05 * k2 / m2 THEN', '0.2 * k2 / m2 THEN')} SELECT {_KEYLIST}, {r('z')} AS z, row_number() OVER (PARTITION BY subject_id, condition ORDER BY abs(z) DESC, channel, band, metric) AS place FROM fdr WHERE significant",
-    "t3_transform_failures": f"WITH {_SHAPED} SELECT {CELL}, n, {r('normality_p')} AS normality_p FROM sc WHERE normality_p < 0.05 ORDER BY {r('normality_p')}, {CELL} LIMIT 25",
-    "a14_shape_rollup": f"WITH {_SHAPED} SELECT bin, count(*) AS n_cells, min(n) AS n_min, {r('quantile_cont(n, 0.5)')} AS n_median, max(n) AS n_max, count_if(n < 10) AS n_thin, count_if(normality_p < 0.01) AS n_not_normal, {r('avg(CAST(normality_p < 0.01 AS INT))')} AS share_not_normal, count_if(log_transformed AND normality_p < 0.05) AS n_transform_failed FROM sc GROUP BY ROLLUP (bin)",
+    "t3_transform_failures": f"WITH {SHAPED} SELECT {CELL}, n, {r('normality_p')} AS normality_p FROM sc WHERE normality_p < 0.05 ORDER BY {r('normality_p')}, {CELL} LIMIT 25",
+    "a14_shape_rollup": f"WITH {SHAPED} SELECT bin, count(*) AS n_cells, min(n) AS n_min, {r('quantile_cont(n, 0.5)')} AS n_median, max(n) AS n_max, count_if(n < 10) AS n_thin, count_if(normality_p < 0.01) AS n_not_normal, {r('avg(CAST(normality_p < 0.01 AS INT))')} AS share_not_normal, count_if(log_transformed AND normality_p < 0.05) AS n_transform_failed FROM sc GROUP BY ROLLUP (bin)",
     "z9_report_lines": f"WITH {_FLAGS}, o AS (SELECT *, {_FIRST} AS place, count(*) OVER p AS n_all, count_if(severity >= 3) OVER p AS far, count_if(NOT inside) OVER p AS outside FROM flag WINDOW p AS (PARTITION BY subject_id, condition)) SELECT subject_id, condition, n_all AS n, channel, band, metric, zr AS z, printf('%s: %d values, %d at 1.5 or beyond, %d outside the prediction interval; most deviant %s %s %s', condition, n_all, far, outside, channel, band, metric) AS summary FROM o WHERE place = 1",
     "a1_norm_cells": f"WITH {_CELLS} SELECT {CELL}, n, log_transformed, {', '.join(f'{scaled(c)} AS {c}' for c in ('mean', 'sd', 'log_mean', 'log_sd', 'ci_lower', 'ci_upper', 'pi_lower', 'pi_upper', *_P))} FROM cells",
     "a5_cell_shape": f"WITH {_SHAPE} SELECT c.bin, c.bin_lo, c.bin_hi, c.sex, c.condition, c.channel, c.band, c.metric, {r('CASE WHEN n >= 3 AND sd > 0 THEN c3 / c2 ** 1.5 END')} AS skewness, {r('CASE WHEN n >= 3 AND sd > 0 THEN c4 / (c2 * c2) - 3 END')} AS kurtosis, {r('s.normality_p')} AS normality_p, s.normality_p >= 0.05 AS transform_normalized FROM cells c LEFT JOIN shape s ON s.bin = c.bin AND s.sex = c.sex AND s.condition = c.condition AND s.channel = c.channel AND s.band = c.band AND s.metric = c.metric",
@@ -197,7 +192,7 @@ ORACLES = {
 }
 PCTS = ", ".join(f"{r(c)} AS {c}" for c in _P)
 #: The norm machinery over spectra in place of metrics.
-SPECTRAL = f"WITH {_SHAPED.replace('FROM metrics JOIN', 'FROM spectra JOIN')} SELECT {CELL}, n, {r('mean')} AS mean, {r('sd')} AS sd, {PCTS}, {r('normality_p')} AS normality_p FROM sc"
+SPECTRAL = f"WITH {SHAPED.replace('FROM metrics JOIN', 'FROM spectra JOIN')} SELECT {CELL}, n, {r('mean')} AS mean, {r('sd')} AS sd, {PCTS}, {r('normality_p')} AS normality_p FROM sc"
 ORACLES["a8_spectral_norms"] = SPECTRAL
 QUERIES = {"z4_trust_flags": trust_flags, "p12_effect_labels": effect_labels, "z8_metric_disagreement": metric_disagreement, "t5_significant_findings": significant_findings, "t3_transform_failures": transform_failures, "a14_shape_rollup": shape_rollup, "a8_spectral_norms": spectral_norms, "z9_report_lines": report_lines} | {"a1_norm_cells": norm_cells, "a5_cell_shape": cell_shape, "z1_scores": scores, "w1_false_discovery": false_discovery, "a26_report_rollup": report_rollup, "z6_global_patterns": global_patterns, "z7_clusters": clusters, "z9_report_json": report_json}
 

@@ -240,6 +240,16 @@ def clusters(scores: DataFrame, cut: float = 1.5, neighbours: dict[str, list[str
     return out.groupBy(*keys, "root").agg(F.count("*").alias("size"), F.array_join(F.array_sort(F.collect_list("channel")), ",").alias("channels"), F.avg(F.abs("z")).alias("mean_abs_z"), F.max(F.abs("z")).alias("max_abs_z")).where("size >= 2")
 
 
+def disagreements(scores: DataFrame, cut: float = 1.5) -> DataFrame:
+    """Places where total and periodic power deviate in opposite directions, one of them beyond the cut, with what it means."""
+    z = lambda m: F.max(F.when(F.col("metric") == m, F.col("z")))
+    pairs = scores.groupBy("subject_id", "condition", "channel", "band").agg(z("absolute_power").alias("absolute_z"), z("corrected_absolute_power").alias("corrected_z"))
+    found = pairs.where((F.col("absolute_z") * F.col("corrected_z") < 0) & (F.greatest(F.abs("absolute_z"), F.abs("corrected_z")) > cut))
+    word = lambda c: F.when(F.col(c) > 0, "elevated").otherwise("reduced")
+    text = F.concat(F.lit("total power "), word("absolute_z"), F.lit(", periodic power "), word("corrected_z"), F.lit(" at "), "channel", F.lit(" "), "band", F.lit(": the deviation is aperiodic"))
+    return found.withColumn("interpretation", text)
+
+
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir, "SELECT * FROM metrics")
 
