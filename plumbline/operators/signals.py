@@ -30,6 +30,15 @@ def segment_numbers(t: Column, size: int, step: int) -> Column:
     return F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
 
 
+def middle(rows: DataFrame, keys: list[str], order: str, least: int = 30, most: int = 120) -> DataFrame:
+    """The middle `most` rows of each group by order; groups of fewer than `least` go."""
+    part = Window.partitionBy(*keys)
+    placed = rows.withColumns({"_k": F.row_number().over(part.orderBy(order)) - 1, "_n": F.count("*").over(part)})
+    take = F.least(F.col("_n"), F.lit(most))
+    first = F.floor((F.col("_n") - take) / 2)
+    return placed.where((F.col("_n") >= least) & (F.col("_k") >= first) & (F.col("_k") < first + take)).drop("_k", "_n")
+
+
 def rfft_segments(samples: DataFrame, keys: list[str], size: int, step: int | None = None, demean: bool = False) -> DataFrame:
     """(keys, segment, re, im): the tapered real FFT of each whole segment of samples (keys, t_idx, v); arrays of size // 2 + 1 bins.
 

@@ -65,9 +65,6 @@ RATIO = "SUM(CASE WHEN side = 'num' THEN power END) / nullif(SUM(CASE WHEN side
 QUERIES: dict[str, str] = {
     # --- sources, cleaning, projections -------------------------------------------------------------------------
     "s2_merge_sources": "SELECT CASE WHEN dataset = 0 THEN 'lemon' ELSE 'dortmund' END AS source, CONCAT(CASE WHEN dataset = 0 THEN 'lemon' ELSE 'dortmund' END, '_', CAST(subject_id AS VARCHAR(20))) AS subject, age, sex FROM subjects",
-    "s9_category_routing": """SELECT c_name, channel, CASE WHEN channel LIKE '\\_src\\_ba\\_conn%' ESCAPE '\\' THEN 'source_ba_connectivity' WHEN channel LIKE '%src%' THEN 'source' WHEN channel LIKE '%pair%' THEN 'pair' WHEN channel LIKE '%/%' THEN 'asymmetry' ELSE 'scalp' END AS category
- FROM (SELECT c_name, CASE c_custkey % 5 WHEN 0 THEN '_src_ba_conn_1' WHEN 1 THEN '_src_ba_4' WHEN 2 THEN '_pair_F3_F4' WHEN 3 THEN 'F3/F4' ELSE 'Fz' END AS channel FROM customer) q""".replace("LIKE '\\_src\\_ba\\_conn%' ESCAPE '\\'", "LIKE '%src_ba_conn%'"),
-    "s10_bundle_manifest": f"WITH {FAN} SELECT metric AS category, COUNT(*) AS n_values, COUNT(DISTINCT channel) AS n_channels, COUNT(DISTINCT band) AS n_bands, COUNT(DISTINCT sex) AS n_sexes, $JOIN(DISTINCT band) AS bands, $JOIN(DISTINCT bin) AS age_bins FROM fan GROUP BY metric",
     "s7_wide_subjects": "SELECT subject_id, MAX(age) AS age, MAX(sex) AS sex, condition, " + ", ".join(f"{r(f'''MAX(CASE WHEN channel = '{c}' AND band = '{b}' AND metric = '{m}' THEN value END)''')} AS {c.lower()}_{b.lower()}_{m}" for c in sorted(CHANNELS) for b in ("Alpha", "Beta", "Theta") for m in ("absolute_power", "corrected_absolute_power", "relative_power")) + " FROM metrics GROUP BY subject_id, condition",
     "p2_age_parse": "SELECT subject_id, COALESCE(TRY_CAST(raw AS DOUBLE), (TRY_CAST(SPLIT_PART(raw, '-', 1) AS DOUBLE) + TRY_CAST(SPLIT_PART(raw, '-', 2) AS DOUBLE)) / 2) AS age FROM (SELECT subject_id, CASE subject_id % 4 WHEN 0 THEN CAST(CAST(FLOOR(age) AS BIGINT) AS VARCHAR(20)) WHEN 1 THEN CONCAT(CAST(CAST(FLOOR(age) AS BIGINT) AS VARCHAR(20)), '-', CAST(CAST(FLOOR(age) AS BIGINT) + 5 AS VARCHAR(20))) WHEN 2 THEN 'n/a' ELSE NULL END AS raw FROM subjects) q",
     "p3_sex_normalise": "SELECT c_custkey, raw, CASE WHEN UPPER(TRIM(raw)) LIKE 'M%' THEN 'M' WHEN UPPER(TRIM(raw)) LIKE 'F%' THEN 'F' WHEN TRIM(raw) = '1' THEN 'F' WHEN TRIM(raw) = '2' THEN 'M' ELSE TRIM(raw) END AS sex FROM (SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN ' male' WHEN 1 THEN 'Female ' WHEN 2 THEN '1' WHEN 3 THEN '2' WHEN 4 THEN 'x' ELSE c_mktsegment END AS raw FROM customer) q",
@@ -161,7 +158,6 @@ QUERIES: dict[str, str] = {
     # --- region projection ---------------------------------------------------------------------------------------------------------------
     "g1_projection": f"SELECT subject_id, condition, band, voxel, {r('SQRT(SUM(part * part))')} AS power FROM (SELECT m.subject_id, m.condition, m.band, t.voxel, t.orient, SUM(t.w * m.value) AS part FROM metrics m JOIN (SELECT a.channel, v.voxel, o.orient, (LENGTH(a.channel) + v.voxel * o.orient) / 10.0 AS w FROM (SELECT DISTINCT channel FROM adjacency) a CROSS JOIN (VALUES (1), (2), (3)) AS v(voxel) CROSS JOIN (VALUES (0), (1), (2)) AS o(orient)) t ON t.channel = m.channel WHERE m.metric = 'absolute_power' GROUP BY m.subject_id, m.condition, m.band, t.voxel, t.orient) q GROUP BY subject_id, condition, band, voxel",
     "g2_region_mean_peak": f"SELECT m.subject_id, m.condition, m.band, g.region, {r('AVG(m.value)')} AS mean, MAX_BY(m.channel, m.value) AS peak_channel FROM metrics m JOIN regions g ON g.channel = m.channel WHERE m.metric = 'absolute_power' GROUP BY m.subject_id, m.condition, m.band, g.region",
-    "g3_region_ratios": f"WITH p AS (SELECT m.subject_id, m.condition, g.region, m.band, AVG(m.value) AS power FROM metrics m JOIN regions g ON g.channel = m.channel WHERE m.metric = 'absolute_power' GROUP BY m.subject_id, m.condition, g.region, m.band) SELECT subject_id, condition, region, {r('''MAX(CASE WHEN band = 'Theta' THEN power END) / nullif(MAX(CASE WHEN band = 'Beta' THEN power END), 0)''')} AS theta_beta, {r('''MAX(CASE WHEN band = 'Alpha' THEN power END) / nullif(MAX(CASE WHEN band = 'Theta' THEN power END), 0)''')} AS alpha_theta FROM p GROUP BY subject_id, condition, region",
     "a25_network_means": f"WITH {GRAPH} SELECT g.subject_id, g.condition, g.band, CASE WHEN a.region = b.region THEN 'within' ELSE 'between' END AS kind, {r('AVG(weight)')} AS mean, COUNT(*) AS n FROM graph g JOIN regions a ON a.channel = g.ca JOIN regions b ON b.channel = g.cb GROUP BY g.subject_id, g.condition, g.band, CASE WHEN a.region = b.region THEN 'within' ELSE 'between' END",
     # --- long metrics from spectra, graphs and regions -----------------------------------------------------------------------------------
     "j16_pair_remap": f"""WITH {GRAPH}, area AS (SELECT hub, channel, CASE WHEN hub LIKE '%_L' THEN 'L' WHEN hub LIKE '%_R' THEN 'R' ELSE 'M' END AS side FROM hubs)
@@ -169,10 +165,6 @@ QUERIES: dict[str, str] = {
     "g4_long_regions": f"""WITH {GRAPH} SELECT m.subject_id, m.condition, m.band, CONCAT('_src_dk_', g.region) AS channel, 'power' AS metric, {r('AVG(m.value)')} AS value FROM metrics m JOIN regions g ON g.channel = m.channel WHERE m.metric = 'absolute_power' GROUP BY m.subject_id, m.condition, m.band, g.region
  UNION ALL SELECT g.subject_id, g.condition, g.band, CONCAT('_src_conn_', LEAST(a.region, b.region), '_', GREATEST(a.region, b.region)), 'coupling', {r('AVG(g.weight)')} FROM graph g JOIN regions a ON a.channel = g.ca JOIN regions b ON b.channel = g.cb WHERE a.region <> b.region GROUP BY g.subject_id, g.condition, g.band, LEAST(a.region, b.region), GREATEST(a.region, b.region)
  UNION ALL SELECT g.subject_id, g.condition, g.band, CONCAT('_src_net_', a.region), 'within', {r('AVG(g.weight)')} FROM graph g JOIN regions a ON a.channel = g.ca JOIN regions b ON b.channel = g.cb AND b.region = a.region GROUP BY g.subject_id, g.condition, g.band, a.region""",
-    "g5_region_correction": f"""WITH area AS (SELECT CAST(FLOOR(recording_id / 5) AS BIGINT) AS recording_id, CASE WHEN recording_id % 5 < 2 THEN 'front' ELSE 'back' END AS region, freq, AVG(psd) AS psd FROM psd GROUP BY CAST(FLOOR(recording_id / 5) AS BIGINT), CASE WHEN recording_id % 5 < 2 THEN 'front' ELSE 'back' END, freq),
- pts AS (SELECT recording_id, region, freq, LOG10(freq) AS x, LOG10(GREATEST(psd, {num(1e-30)})) AS y FROM area WHERE freq >= 2 AND freq <= 40), f AS (SELECT recording_id, region, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM pts GROUP BY recording_id, region HAVING COUNT(*) >= 5)
- SELECT p.recording_id, p.region, d.band, {r('AVG(p.y - f.a - f.b * p.x)')} AS log_corrected, {r('AVG(POWER(10, p.y - f.a - f.b * p.x))')} AS corrected FROM pts p JOIN f ON f.recording_id = p.recording_id AND f.region = p.region JOIN bands d ON p.freq >= d.lo AND p.freq <= d.hi GROUP BY p.recording_id, p.region, d.band""",
-    "s11_spectra_registered": "SELECT COUNT(DISTINCT p.freq) AS n_freqs, COUNT(DISTINCT p.recording_id % 5) AS n_channels, COUNT(DISTINCT s.subject_id) AS n_subjects, $JOIN(DISTINCT s.sex) AS sexes FROM psd p JOIN subjects s ON s.subject_id = CAST(FLOOR(p.recording_id / 5) AS BIGINT)",
     "j11_spectra_subjects": f"SELECT p.recording_id, s.subject_id, s.age, s.sex, COUNT(*) AS n_freqs, {r('AVG(LOG10(GREATEST(p.psd, 1e-30)))')} AS level FROM psd p JOIN subjects s ON s.subject_id = CAST(FLOOR(p.recording_id / 5) AS BIGINT) GROUP BY p.recording_id, s.subject_id, s.age, s.sex",
     # --- names, bins, lists ----------------------------------------------------------------------------------------------------------------
     "p6_sessions": "SELECT o_orderkey, name, COALESCE(NULLIF(REGEXP_EXTRACT(name, 'ses-([A-Za-z0-9]+)', 1), ''), 'session1') AS session, CASE WHEN LOWER(name) LIKE '%pre%' THEN 'pre' WHEN LOWER(name) LIKE '%post%' THEN 'post' ELSE 'none' END AS timing FROM (SELECT o_orderkey, CONCAT('sub-', CAST(o_custkey AS VARCHAR(20)), CASE o_orderkey % 3 WHEN 0 THEN '_ses-t1' WHEN 1 THEN '_ses-t2' ELSE '' END, CASE o_orderstatus WHEN 'O' THEN '_acq-pre' WHEN 'F' THEN '_acq-Post' ELSE '' END, '_eeg.vhdr') AS name FROM orders) q",

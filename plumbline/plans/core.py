@@ -85,9 +85,9 @@ def metric_disagreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out, *out.columns)
 
 
-def significant_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def significant_findings(spark: SparkSession, sf_dir: str, alpha: float = 0.2) -> DataFrame:
     """Each subject's significant values, the most deviant first."""
-    found = norms.false_discovery(_scored(spark, sf_dir), alpha=0.2).where("significant")
+    found = norms.false_discovery(_scored(spark, sf_dir), alpha=alpha).where("significant")
     order = Window.partitionBy("subject_id", "condition").orderBy(F.desc(F.abs("z")), "channel", "band", "metric")
     return rounded(found.withColumn("place", F.row_number().over(order)), "subject_id", "condition", "channel", "band", "metric", "z", "place")
 
@@ -149,9 +149,29 @@ pick AS (SELECT o.subject_id, o.condition, o.channel, o.band, o.metric, o.value,
 z0 AS (SELECT *, CASE WHEN log_transformed AND value > 0 AND log_mean IS NOT NULL AND log_sd > 0 THEN (ln(value) - log_mean) / log_sd WHEN sd > 0 THEN (value - mean) / sd WHEN mean <> 0 THEN (value - mean) / abs(mean) ELSE 0 END AS z_raw, CAST({_RANK} AS DOUBLE) AS rank FROM pick WHERE pr = 1),
 z1 AS (SELECT *, round(z_raw, 10) AS z, CASE WHEN n < 200 THEN greatest(1.0, least(99.0, rank)) ELSE greatest(0.5, least(99.5, rank)) END / 100 AS q FROM z0),
 scored AS (SELECT *, {norm_ppf("q")} AS robust_z, {two_tailed("z")} AS p, sqrt(1.0 / n + z * z / (2 * n)) AS se_z, CASE WHEN sd > 0 THEN (value - mean) / sd END AS cohen_d, CASE WHEN abs(z) < 0.5 THEN 0 WHEN abs(z) < 1 THEN 1 WHEN abs(z) < 1.5 THEN 2 WHEN abs(z) < 2 THEN 3 WHEN abs(z) < 3 THEN 4 ELSE 5 END AS severity, n < 10 AS low_confidence FROM z1)"""
-_FDR = f"""{_SCORED}, f0 AS (SELECT *, row_number() OVER (PARTITION BY subject_id, condition ORDER BY p, channel, band, metric) AS k2, count(*) OVER (PARTITION BY subject_id, condition) AS m2 FROM scored),
-f1 AS (SELECT *, max(CASE WHEN p <= 0.05 * k2 / m2 THEN k2 END) OVER (PARTITION BY subject_id, condition) AS largest FROM f0),
-fdr AS (SELECT *, CAST(0.05 AS DOUBLE) * k2 / m2 AS threshold, k2 <= coalesce(largest, 0) AS significant FROM f1)"""
+
+
+def fdr_sql(alpha: float = 0.05) -> str:
+    return f"""{_SCORED}, f0 AS (SELECT *, row_number() OVER (PARTITION BY subject_id, condition ORDER BY p, channel, band, metric) AS k2, count(*) OVER (PARTITION BY subject_id, condition) AS m2 FROM scored),
+f1 AS (SELECT *, max(CASE WHEN p <= {alpha} * k2 / m2 THEN k2 END) OVER (PARTITION BY subject_id, condition) AS largest FROM f0),
+fdr AS (SELECT *, CAST({alpha} AS DOUBLE) * k2 / m2 AS threshold, k2 <= coalesce(largest, 0) AS significant FROM f1)"""
+
+
+_FDR = fdr_sql()
+
+
+def significant_sql(alpha: float) -> str:
+    return f"WITH {fdr_sql(alpha)} SELECT subject_id, condition, channel, band, metric, {r('z')} AS z, row_number() OVER (PARTITION BY subject_id, condition ORDER BY abs(z) DESC, channel, band, metric) AS place FROM fdr WHERE significant"
+
+
+def patterns_sql(cut: float, share: float) -> str:
+    return f"WITH {_SCORED}, g AS (SELECT subject_id, condition, band, metric, d.direction, count(*) AS n_channels, count_if(z * d.s > {cut}) AS n_deviant FROM scored CROSS JOIN (VALUES ('high', 1), ('low', -1)) AS d(direction, s) GROUP BY ALL) SELECT *, {r('n_deviant * CAST(1 AS DOUBLE) / n_channels')} AS share FROM g WHERE n_deviant * CAST(1 AS DOUBLE) / n_channels >= {share}"
+
+
+def clusters_sql(cut: float) -> str:
+    return f"WITH RECURSIVE {_SCORED}, dev AS (SELECT subject_id, condition, band, metric, channel, z, CASE WHEN z > 0 THEN 'high' ELSE 'low' END AS direction FROM scored WHERE abs(z) > {cut}), walk AS (SELECT subject_id, condition, band, metric, direction, channel, channel AS seen FROM dev UNION SELECT w.subject_id, w.condition, w.band, w.metric, w.direction, w.channel, d.channel FROM walk w JOIN adjacency a ON a.channel = w.seen JOIN dev d ON d.channel = a.neighbour AND d.subject_id = w.subject_id AND d.condition = w.condition AND d.band = w.band AND d.metric = w.metric AND d.direction = w.direction), root AS (SELECT subject_id, condition, band, metric, direction, channel, min(seen) AS root FROM walk GROUP BY ALL) SELECT r.subject_id, r.condition, r.band, r.metric, r.direction, count(*) AS size, string_agg(r.channel, ',' ORDER BY r.channel) AS channels, {r('avg(abs(d.z))')} AS mean_abs_z, {r('max(abs(d.z))')} AS max_abs_z FROM root r JOIN dev d USING (subject_id, condition, band, metric, direction, channel) GROUP BY r.subject_id, r.condition, r.band, r.metric, r.direction, r.root HAVING count(*) >= 2"
+
+
 _U = "(1 / sqrt(k))"
 _A1 = f"(CASE WHEN k = 3 THEN sqrt({num(0.5)}) ELSE {low_first(SW_C1, _U)} + mn / sqrt(mm) END)"
 _A2 = f"({low_first(SW_C2, _U)} + mn1 / sqrt(mm))"
@@ -178,7 +198,7 @@ ORACLES = {
     "p12_effect_labels": f"WITH {_SCORED} SELECT subject_id, condition, CASE WHEN cohen_d IS NULL THEN 'none' WHEN round(abs(cohen_d), 9) < 0.2 THEN 'negligible' WHEN round(abs(cohen_d), 9) < 0.5 THEN 'small' WHEN round(abs(cohen_d), 9) < 0.8 THEN 'medium' ELSE 'large' END AS effect, severity, count(*) AS n FROM scored GROUP BY ALL",
     "z8_metric_disagreement": f"""WITH {_SCORED}, pr AS (SELECT subject_id, condition, channel, band, max(CASE WHEN metric = 'absolute_power' THEN z END) AS a, max(CASE WHEN metric = 'corrected_absolute_power' THEN z END) AS c FROM scored GROUP BY ALL)
 SELECT subject_id, condition, channel, band, {r('a')} AS absolute_z, {r('c')} AS corrected_z, concat('total power ', CASE WHEN a > 0 THEN 'elevated' ELSE 'reduced' END, ', periodic power ', CASE WHEN c > 0 THEN 'elevated' ELSE 'reduced' END, ' at ', channel, ' ', band, ': the deviation is aperiodic') AS interpretation FROM pr WHERE sign(a) * sign(c) = -1 AND (abs(a) > 1.5 OR abs(c) > 1.5)""",
-    "t5_significant_findings": f"WITH {_FDR.replace('0.05 * k2 / m2 THEN', '0.2 * k2 / m2 THEN')} SELECT {_KEYLIST}, {r('z')} AS z, row_number() OVER (PARTITION BY subject_id, condition ORDER BY abs(z) DESC, channel, band, metric) AS place FROM fdr WHERE significant",
+    "t5_significant_findings": significant_sql(0.2),
     "t3_transform_failures": f"WITH {SHAPED} SELECT {CELL}, n, {r('normality_p')} AS normality_p FROM sc WHERE normality_p < 0.05 ORDER BY {r('normality_p')}, {CELL} LIMIT 25",
     "a14_shape_rollup": f"WITH {SHAPED} SELECT bin, count(*) AS n_cells, min(n) AS n_min, {r('quantile_cont(n, 0.5)')} AS n_median, max(n) AS n_max, count_if(n < 10) AS n_thin, count_if(normality_p < 0.01) AS n_not_normal, {r('avg(CAST(normality_p < 0.01 AS INT))')} AS share_not_normal, count_if(log_transformed AND normality_p < 0.05) AS n_transform_failed FROM sc GROUP BY ROLLUP (bin)",
     "z9_report_lines": f"WITH {_FLAGS}, o AS (SELECT *, {_FIRST} AS place, count(*) OVER p AS n_all, count_if(severity >= 3) OVER p AS far, count_if(NOT inside) OVER p AS outside FROM flag WINDOW p AS (PARTITION BY subject_id, condition)) SELECT subject_id, condition, n_all AS n, channel, band, metric, zr AS z, printf('%s: %d values, %d at 1.5 or beyond, %d outside the prediction interval; most deviant %s %s %s', condition, n_all, far, outside, channel, band, metric) AS summary FROM o WHERE place = 1",
@@ -187,8 +207,8 @@ SELECT subject_id, condition, channel, band, {r('a')} AS absolute_z, {r('c')} AS
     "z1_scores": f"WITH {_SCORED} SELECT subject_id, condition, channel, band, metric, used, severity, low_confidence, {_cols('z', 'rank', 'robust_z', 'p', 'se_z', 'cohen_d')} FROM scored",
     "w1_false_discovery": f"WITH {_FDR} SELECT subject_id, condition, channel, band, metric, k2 AS k, m2 AS m, {r('threshold')} AS threshold, significant FROM fdr",
     "a26_report_rollup": f"WITH {_FDR} SELECT subject_id, condition, count(*) AS n_tests, count_if(significant) AS n_significant, {r('count(*) * CAST(0.05 AS DOUBLE)')} AS expected_false, count_if(used = 'pooled') AS n_pooled FROM fdr GROUP BY ALL",
-    "z6_global_patterns": f"WITH {_SCORED}, g AS (SELECT subject_id, condition, band, metric, d.direction, count(*) AS n_channels, count_if(z * d.s > 0.5) AS n_deviant FROM scored CROSS JOIN (VALUES ('high', 1), ('low', -1)) AS d(direction, s) GROUP BY ALL) SELECT *, {r('n_deviant * CAST(1 AS DOUBLE) / n_channels')} AS share FROM g WHERE n_deviant * CAST(1 AS DOUBLE) / n_channels >= 0.4",
-    "z7_clusters": f"WITH RECURSIVE {_SCORED}, dev AS (SELECT subject_id, condition, band, metric, channel, z, CASE WHEN z > 0 THEN 'high' ELSE 'low' END AS direction FROM scored WHERE abs(z) > 1.0), walk AS (SELECT subject_id, condition, band, metric, direction, channel, channel AS seen FROM dev UNION SELECT w.subject_id, w.condition, w.band, w.metric, w.direction, w.channel, d.channel FROM walk w JOIN adjacency a ON a.channel = w.seen JOIN dev d ON d.channel = a.neighbour AND d.subject_id = w.subject_id AND d.condition = w.condition AND d.band = w.band AND d.metric = w.metric AND d.direction = w.direction), root AS (SELECT subject_id, condition, band, metric, direction, channel, min(seen) AS root FROM walk GROUP BY ALL) SELECT r.subject_id, r.condition, r.band, r.metric, r.direction, count(*) AS size, string_agg(r.channel, ',' ORDER BY r.channel) AS channels, {r('avg(abs(d.z))')} AS mean_abs_z, {r('max(abs(d.z))')} AS max_abs_z FROM root r JOIN dev d USING (subject_id, condition, band, metric, direction, channel) GROUP BY r.subject_id, r.condition, r.band, r.metric, r.direction, r.root HAVING count(*) >= 2",
+    "z6_global_patterns": patterns_sql(0.5, 0.4),
+    "z7_clusters": clusters_sql(1.0),
 }
 PCTS = ", ".join(f"{r(c)} AS {c}" for c in _P)
 #: The norm machinery over spectra in place of metrics.

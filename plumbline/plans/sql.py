@@ -14,11 +14,13 @@ DUCK = {"PCT": "quantile_cont", "US": "epoch_us", "KURT": "kurtosis_pop"}
 _POS = re.compile(r"\$POS\((\w+), (\w+), (\w+)\)")
 _SKEW = re.compile(r"\$SKEW\((\w+)\)")
 _EACH = re.compile(r"\$EACH\(([^()]+)\)")
+_SHA = re.compile(r"\$SHA\((\$JOIN\([^()]+\)|[^()$]+)\)")
 _JOIN = re.compile(r"\$JOIN\(([^()]+)\)")
 
 
 def spark_sql(text: str) -> str:
     text = _POS.sub(r"SELECT \3, pos, v FROM \2 LATERAL VIEW posexplode(\1) e AS pos, v", text)
+    text = _SHA.sub(r"sha2(\1, 256)", text)
     text = _SKEW.sub(r"skewness(\1)", text)
     text = _EACH.sub(r"LATERAL VIEW explode(array(\1)) e AS metric", text)
     text = _JOIN.sub(r"array_join(array_sort(collect_list(\1)), ',')", text)
@@ -26,6 +28,7 @@ def spark_sql(text: str) -> str:
 
 
 def duck_sql(text: str) -> str:
+    text = _SHA.sub(r"sha256(\1)", text)
     text = _EACH.sub(r", UNNEST([\1]) AS e(metric)", text)
     text = _POS.sub(r"SELECT \3, UNNEST(range(0, len(\1))) AS pos, UNNEST(\1) AS v FROM \2", text)
     mean = r"(avg(\1 * \1 * \1) - 3 * avg(\1) * avg(\1 * \1) + 2 * avg(\1) ** 3)"

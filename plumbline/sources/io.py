@@ -61,6 +61,35 @@ def category() -> Column:
     return F.when(c.contains("/"), F.lit("asymmetry")).otherwise(out)
 
 
+SPECTRUM = "recording_id string, channels array<string>, freqs array<double>, psd array<array<double>>"
+
+
+def spectra_rows(spectra: DataFrame, channels: list[str], freqs: list[float] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(long rows, recordings left out and why) of array spectra (recording_id, channels, freqs, psd by channel).
+
+    Channels are aligned by name, in the order of `channels` (position); others go and missing ones have no rows. All recordings must
+    have one frequency grid: the given one, or that of most recordings (the longer one of two). Another grid, or a matrix of another shape, is left out whole.
+    """
+    if freqs is None:
+        first = spectra.where("freqs is not null").groupBy("freqs").count().orderBy(F.desc("count"), F.desc(F.size("freqs")), "freqs").select("freqs").first()
+        freqs = list(first[0]) if first else []
+    grid = F.array(*(F.lit(float(f)) for f in freqs)).cast("array<double>")
+    near = F.coalesce((F.size("freqs") == len(freqs)) & F.forall(F.zip_with("freqs", grid, lambda a, b: F.abs(a - b) <= 1e-9), lambda ok: ok), F.lit(False))
+    shape = F.coalesce((F.size("psd") == F.size("channels")) & F.forall("psd", lambda row: F.size(row) == F.size("freqs")), F.lit(False))
+    why = F.when(~near, "grid").when(~shape, "shape")
+    told = spectra.withColumn("reason", why)
+    rows = told.where("reason is null").select("recording_id", "freqs", F.explode(F.arrays_zip("channels", "psd")).alias("x")).select("recording_id", F.col("x.channels").alias("channel"), F.explode(F.arrays_zip("freqs", F.col("x.psd").alias("psd"))).alias("y"))
+    place = F.array_position(F.array(*(F.lit(c) for c in channels)), F.col("channel"))
+    long = rows.select("recording_id", "channel", (place - 1).cast("int").alias("position"), F.col("y.freqs").alias("freq"), number(F.col("y.psd")).alias("psd")).where("position >= 0")
+    return long, told.where("reason is not null").select("recording_id", "reason")
+
+
+def channel_vector(cells: DataFrame, channels: list[str], value: str = "mean", keys: tuple[str, ...] = ("bin", "sex", "condition", "band", "metric")) -> DataFrame:
+    """(keys, vector): the cells' values in the order of channels, null where there is no cell."""
+    at = cells.where(F.col("channel").isin(channels)).groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("channel", value))).alias("m"))
+    return at.select(*keys, F.array(*(F.col("m")[c] for c in channels)).alias("vector"))
+
+
 def write_norms_json(cells: DataFrame, path: str) -> None:
     cells.write.mode("overwrite").json(path)
 
