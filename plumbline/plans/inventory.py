@@ -12,7 +12,7 @@ from plumbline.plans import catalog, core, norms
 from plumbline.plans.catalog import FAN, FIT, GRAPH, r
 from plumbline.plans.core import rounded
 from plumbline.plans.sql import run
-from plumbline.sources import adapters
+from plumbline.sources import adapters, io
 from plumbline.sources.fixtures import CHANNELS
 
 # The category of a cell by its channel's prefix; the longer prefix decides.
@@ -98,6 +98,14 @@ def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out, *out.columns)
 
 
+def nested_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long metrics as one JSON document for each record, read back and exploded."""
+    keys = ["subject_id", "condition"]
+    packed = io.nest_metrics(run(spark, sf_dir, "SELECT * FROM metrics"), keys).select(*keys, F.to_json("metrics").alias("document"))
+    back = packed.select(*keys, F.from_json("document", "map<string, map<string, map<string, double>>>").alias("metrics"))
+    return rounded(io.explode_metrics(back), *keys, "channel", "band", "metric", "value")
+
+
 _RULES = ", ".join(str(x) for x in adapters.RULES)
 ORACLES = {
     "p5_condition_rules": f"""WITH n AS ({_NAMES}), rule_(dataset, priority, kind, pattern, condition) AS (VALUES {_RULES}),
@@ -107,8 +115,9 @@ SELECT n.*, m.condition FROM n LEFT JOIN m USING (o_orderkey)""",
     "w10_overlapping_epochs": f"""WITH e AS (SELECT recording_id, channel, g.e AS epoch, count(*) AS n, avg(v) AS mean FROM samples, range(0, 200) AS g(e) WHERE t_idx BETWEEN g.e * 64 AND g.e * 64 + 127 GROUP BY ALL HAVING count(*) = 128),
 k AS (SELECT *, row_number() OVER w - 1 AS k, count(*) OVER (PARTITION BY recording_id, channel) AS m FROM e WINDOW w AS (PARTITION BY recording_id, channel ORDER BY epoch))
 SELECT recording_id, channel, epoch, n, {r('mean')} AS mean FROM k WHERE m >= 3 AND k >= (m - least(m, 8)) // 2 AND k < (m - least(m, 8)) // 2 + least(m, 8)""",
+    "k13_nested_round_trip": f"SELECT subject_id, condition, channel, band, metric, {r('value')} AS value FROM metrics",
     "t5_significant_surveyed": core.significant_sql(0.05),
     "z6_patterns_surveyed": core.patterns_sql(1.5, 0.6),
     "z7_clusters_surveyed": core.clusters_sql(1.5),
 }
-QUERIES = {"p5_condition_rules": condition_rules, "j3_best_cells": best_cells, "w10_overlapping_epochs": overlapping_epochs, "t5_significant_surveyed": significant, "z6_patterns_surveyed": patterns, "z7_clusters_surveyed": clusters}
+QUERIES = {"p5_condition_rules": condition_rules, "j3_best_cells": best_cells, "w10_overlapping_epochs": overlapping_epochs, "k13_nested_round_trip": nested_round_trip, "t5_significant_surveyed": significant, "z6_patterns_surveyed": patterns, "z7_clusters_surveyed": clusters}

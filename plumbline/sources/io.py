@@ -122,18 +122,36 @@ def read_bundle(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumns({n: F.lit(None).cast(t) for n, t in missing})
 
 
-def read_participants(spark: SparkSession, path: str, age_columns: tuple[str, ...] = ("age", "Age", "AGE"), sex_columns: tuple[str, ...] = ("sex", "Sex", "gender", "Gender")) -> DataFrame:
-    """participant_id, age (numbers or ranges' middles), sex (M, F or as it is) and all other columns as a map."""
-    rows = spark.read.csv(path, sep="\t", header=True)
-    first = lambda names: F.coalesce(*(F.col(n) for n in names if n in rows.columns), F.lit(None).cast("string"))
-    raw, sex = F.trim(first(age_columns)), F.trim(first(sex_columns))
+# Names of columns and codes of sexes in participant tables, by dialect; what a dialect lacks is that of 'bids'.
+DIALECTS = {
+    "bids": {"sep": "\t", "id": ["participant_id"], "age": ["age", "Age", "AGE"], "sex": ["sex", "Sex", "gender", "Gender"], "codes": {"1": "F", "2": "M"}, "decimal": "."},
+    "lemon": {"sep": ",", "id": ["ID", "participant_id"], "age": ["Age", "age"], "sex": ["Gender_ 1=female_2=male", "Gender"], "codes": {"1": "F", "2": "M"}},
+    "hbn": {"id": ["participant_id", "EID"], "age": ["age", "Age"], "sex": ["sex", "Sex"], "codes": {"0": "M", "1": "F"}},
+    "german": {"sep": ";", "id": ["Proband", "participant_id"], "age": ["Alter"], "sex": ["Geschlecht"], "codes": {"m": "M", "w": "F"}, "decimal": ","},
+}
+
+
+def read_participants(spark: SparkSession, path: str, age_columns: tuple[str, ...] | None = None, sex_columns: tuple[str, ...] | None = None, dialect: str | dict = "bids") -> DataFrame:
+    """participant_id, age (numbers or ranges' middles), sex (M, F or as it is) and all other columns as a map, in one of the DIALECTS or one of the caller's.
+
+    Ranges are split at - or _; codes and words of sexes are the dialect's, else the first letter's; empty texts and n/a are missing.
+    """
+    how = DIALECTS["bids"] | (DIALECTS[dialect] if isinstance(dialect, str) else dialect)
+    ids, ages, sexes = how["id"], list(age_columns or how["age"]), list(sex_columns or how["sex"])
+    rows = spark.read.csv(path, sep=how["sep"], header=True)
+    known = lambda c: F.when(~F.lower(F.trim(c)).isin("", "n/a", "na", "nan"), F.trim(c))
+    first = lambda names: F.coalesce(*(known(F.col(f"`{n}`")) for n in names if n in rows.columns), F.lit(None).cast("string"))
+    plain = lambda c: (F.replace(c, F.lit(how["decimal"]), F.lit(".")) if how["decimal"] != "." else c).try_cast("double")
+    raw, sex = first(ages), first(sexes)
     ends = F.split(raw, "[-_]")
-    age = F.coalesce(raw.try_cast("double"), (F.get(ends, F.lit(0)).try_cast("double") + F.get(ends, F.lit(1)).try_cast("double")) / 2)
-    low = F.upper(sex)
-    clean = F.when(low.startswith("M") | (low == "2"), "M").when(low.startswith("F") | (low == "1"), "F").otherwise(sex)
-    rest = [c for c in rows.columns if c not in ("participant_id", *age_columns, *sex_columns)]
-    more = F.create_map(*(x for c in rest for x in (F.lit(c), F.col(c)))) if rest else F.create_map().cast("map<string, string>")
-    return rows.select("participant_id", number(age).alias("age"), clean.alias("sex"), more.alias("other"))
+    age = F.coalesce(plain(raw), (plain(F.get(ends, F.lit(0))) + plain(F.get(ends, F.lit(1)))) / 2)
+    low, clean = F.upper(sex), sex
+    clean = F.when(low.startswith("M"), "M").when(low.startswith("F"), "F").otherwise(clean)
+    for code, name in how["codes"].items():
+        clean = F.when(F.lower(sex) == code, name).otherwise(clean)
+    rest = [c for c in rows.columns if c not in (*ids, *ages, *sexes)]
+    more = F.create_map(*(x for c in rest for x in (F.lit(c), F.col(f"`{c}`")))) if rest else F.create_map().cast("map<string, string>")
+    return rows.select(first(ids).alias("participant_id"), number(age).alias("age"), clean.alias("sex"), more.alias("other"))
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:

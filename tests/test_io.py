@@ -70,3 +70,13 @@ def test_electrodes_are_matched_greedily_and_analytic_signals_are_right(spark):
     rows = [(1, k, float(v)) for k, v in enumerate(3 * np.cos(2 * np.pi * 8 * t + 0.5) + np.cos(2 * np.pi * 20 * t))]
     out = analytic_signal(spark.createDataFrame(rows, "g long, t_idx int, v double"), ["g"], 64.0, 4.0, 13.0).orderBy("t_idx").collect()
     assert all(abs(x.amplitude - 3) < 1e-9 and abs(np.exp(1j * x.phase) - np.exp(1j * (2 * np.pi * 8 * s + 0.5))) < 1e-9 for x, s in zip(out, t, strict=True))
+
+
+def test_participants_in_several_dialects(spark, tmp_path):
+    (tmp_path / "lemon.csv").write_text("ID,Gender_ 1=female_2=male,Age,Smoker\ns1,1,20-25,no\ns2,2,,yes\n")
+    (tmp_path / "hbn.tsv").write_text("EID\tSex\tAge\nA\t0\t9.5\nB\t1\tn/a\n")
+    (tmp_path / "de.csv").write_text("Proband;Alter;Geschlecht\np1;31,5;w\np2;40_44;m\np3;x;divers\n")
+    read = lambda name, dialect: {x.participant_id: (x.age, x.sex, dict(x.other)) for x in io.read_participants(spark, f"{tmp_path}/{name}", dialect=dialect).collect()}
+    assert read("lemon.csv", "lemon") == {"s1": (22.5, "F", {"Smoker": "no"}), "s2": (None, "M", {"Smoker": "yes"})}
+    assert read("hbn.tsv", "hbn") == {"A": (9.5, "M", {}), "B": (None, "F", {})}
+    assert read("de.csv", "german") == {"p1": (31.5, "F", {}), "p2": (42.0, "M", {}), "p3": (None, "divers", {})}
