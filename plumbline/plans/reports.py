@@ -131,7 +131,7 @@ SHARED: dict[str, str] = {
 }
 #: The checks of the summary: each one's rows with its verdict in the column ok (null: not decided).
 CHECKS = {name: (catalog.QUERIES | montages.QUERIES | spectra.QUERIES)[name] for name in ("v1_alpha_closed_over_open", "v3_posterior_ratio", "v4_ranges", "v5_exponent_age", "v6_relative_sum", "v7_scale_consistency", "v8_source_checks", "v9_network_checks", "v10_topography")}
-_CHECK = "SELECT '{0}' AS check_name, CASE WHEN COUNT(ok) = 0 THEN 'SKIP' WHEN COUNT_IF(NOT ok) = 0 THEN 'PASS' WHEN COUNT_IF(ok) * 10 >= COUNT(ok) * 9 THEN 'WARN' ELSE 'FAIL' END AS status, COUNT(*) AS n_tested, COUNT_IF(ok) AS n_ok FROM {0}"
+_CHECK = "SELECT '{0}' AS check_name, CASE WHEN COUNT(ok) = 0 THEN 'SKIP' WHEN COUNT_IF(NOT ok) = 0 THEN 'PASS' WHEN COUNT_IF(ok) * 10 >= COUNT(ok) * 9 THEN 'WARN' ELSE 'FAIL' END AS status, COUNT(*) AS n_tested, COALESCE(COUNT_IF(ok), 0) AS n_ok FROM {0}"
 ALL_CHECKS = "WITH " + ", ".join(f"{name} AS ({text})" for name, text in CHECKS.items()) + ", done AS (" + " UNION ALL ".join(_CHECK.format(name) for name in CHECKS) + ")"
 SHARED["v11_check_summary"] = f"{ALL_CHECKS} SELECT check_name, status, n_tested, n_ok FROM done"
 SHARED["v11_status_counts"] = f"{ALL_CHECKS} SELECT status, COUNT(*) AS n, $JOIN(check_name) AS checks FROM done GROUP BY status"
