@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.numeric import num
 from plumbline.operators import signals
-from plumbline.operators.grouped import graph_metrics
+from plumbline.operators.grouped import MEASURES, c12_analytic_signal, graph_metrics, j12_greedy_electrodes
 from plumbline.plans.catalog import DFT, GRAPH, r
 from plumbline.plans.core import rounded
 from plumbline.plans.sql import run
@@ -94,6 +94,19 @@ def long_connectivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(rounded(graph.unionByName(pac), "subject_id", "condition", "band", "channel", "metric", "value"))
 
 
+def graphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = run(spark, sf_dir, f"WITH {GRAPH} SELECT subject_id, condition, band, ca, cb, weight FROM kept")
+    return rounded(graph_metrics(kept, ["subject_id", "condition", "band"]), "subject_id", "condition", "band", "n_nodes", *MEASURES)
+
+
+def analytic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(c12_analytic_signal(spark, sf_dir), "channel", "epoch", "t_idx", "phase", "amplitude")
+
+
+def electrodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(j12_greedy_electrodes(spark, sf_dir), "recording_id", "target", "channel", "distance")
+
+
 #: Condition intervals: start seconds from -2, 4 to 8 seconds long, some beyond the recording's end.
 CONDITIONS = """SELECT DISTINCT user_id % 6 AS recording_id, CASE WHEN event_type = 'view' THEN 'eo' ELSE 'ec' END AS condition, CAST(CAST(FLOOR($US(ts) / 1000000) AS BIGINT) % 6 * 5 - 2 AS DOUBLE) AS start, CAST(CAST(FLOOR($US(ts) / 1000000) AS BIGINT) % 6 * 5 + 2 + event_id % 3 * 2 AS DOUBLE) + CAST(0.25 AS DOUBLE) AS stop FROM events WHERE event_type IN ('view', 'click')"""
 _PAIRS = f"""SELECT subject_id, condition, band, CONCAT('_pair_', ca, '_', cb) AS channel, 'coupling' AS metric, {r('weight')} AS value FROM graph UNION ALL SELECT subject_id, condition, band, CONCAT('_hub_', u), 'strength', {r('SUM(weight)')} FROM sym GROUP BY subject_id, condition, band, u
@@ -136,7 +149,29 @@ clu AS (SELECT {_GKEYS}, avg(CASE WHEN k > 1 THEN coalesce(s, 0) / (k * (k - 1))
 _EFFICIENCY = f"eff AS (SELECT b.subject_id, b.condition, b.band, sum(1.0 / b.hops) / any_value(n.n * (n.n - 1)) AS value FROM hop b JOIN (SELECT {_GKEYS}, count(DISTINCT u) AS n FROM sym GROUP BY ALL) n USING ({_GKEYS}) GROUP BY ALL)"
 _HOPS = ", ".join(f"h{i + 1} AS (SELECT {_GKEYS}, u, v, min(d) AS d FROM (SELECT * FROM h{i} UNION ALL SELECT a.subject_id, a.condition, a.band, a.u, b.v, a.d + b.d FROM h{i} a JOIN h{i} b ON b.subject_id = a.subject_id AND b.condition = a.condition AND b.band = a.band AND b.u = a.v WHERE a.u <> b.v) GROUP BY ALL)" for i in range(5))
 
+#: Counts of shortest paths by their number of edges, and what of them goes through each node.
+_LEVELS = ", ".join(f"p{i + 1} AS (SELECT p.subject_id, p.condition, p.band, p.s, e.v, sum(p.c) AS c FROM p{i} p JOIN sym e ON e.subject_id = p.subject_id AND e.condition = p.condition AND e.band = p.band AND e.u = p.v JOIN dz a ON a.subject_id = p.subject_id AND a.condition = p.condition AND a.band = p.band AND a.u = p.s AND a.v = p.v JOIN dz b ON b.subject_id = p.subject_id AND b.condition = p.condition AND b.band = p.band AND b.u = p.s AND b.v = e.v WHERE e.v <> p.s AND abs(a.d + e.weight - b.d) < 1e-9 GROUP BY ALL)" for i in range(18))
+_NODE = f"SELECT DISTINCT {_GKEYS}, u FROM sym"
+_BETWEEN = f"""dz AS (SELECT {_GKEYS}, u, v, d FROM d5 UNION ALL SELECT {_GKEYS}, u, u, 0 FROM ({_NODE})), p0 AS (SELECT {_GKEYS}, u AS s, u AS v, 1.0 AS c FROM ({_NODE})), {_LEVELS},
+sg AS (SELECT {_GKEYS}, s, v, sum(c) AS c FROM ({' UNION ALL '.join(f'SELECT * FROM p{i}' for i in range(1, 19))}) GROUP BY ALL),
+thru AS (SELECT a.subject_id, a.condition, a.band, a.v AS node, sum(x.c * y.c / z.c) AS share FROM d5 a JOIN d5 b ON b.subject_id = a.subject_id AND b.condition = a.condition AND b.band = a.band AND b.u = a.v AND b.v <> a.u JOIN d5 c ON c.subject_id = a.subject_id AND c.condition = a.condition AND c.band = a.band AND c.u = a.u AND c.v = b.v
+ JOIN sg x ON x.subject_id = a.subject_id AND x.condition = a.condition AND x.band = a.band AND x.s = a.u AND x.v = a.v JOIN sg y ON y.subject_id = a.subject_id AND y.condition = a.condition AND y.band = a.band AND y.s = b.u AND y.v = b.v JOIN sg z ON z.subject_id = a.subject_id AND z.condition = a.condition AND z.band = a.band AND z.s = a.u AND z.v = b.v WHERE abs(a.d + b.d - c.d) < 1e-9 GROUP BY ALL),
+size_ AS (SELECT {_GKEYS}, count(*) AS n FROM ({_NODE}) GROUP BY ALL), bt AS (SELECT {_GKEYS}, max(share) AS share FROM thru GROUP BY ALL)"""
+_PLACES = "place AS (SELECT CAST(s_nationkey AS BIGINT) AS recording_id, concat('E', s_suppkey) AS channel, s_suppkey % 7 AS x, s_suppkey % 5 AS y, s_suppkey % 3 AS z FROM supplier)"
+_TARGETS = [("Fz", 1, 1, 1), ("Cz", 3, 2, 1), ("Pz", 5, 3, 2)]
+_GREEDY = ", ".join(
+    f"m{i} AS (SELECT recording_id, '{t}' AS target, arg_min(channel, (d, channel)) AS channel, min(d) AS distance FROM (SELECT recording_id, channel, sqrt((x - {a}) ** 2 + (y - {b}) ** 2 + (z - {c}) ** 2) AS d FROM place p WHERE TRUE {' '.join(f'AND NOT EXISTS (SELECT 1 FROM m{j} q WHERE q.recording_id = p.recording_id AND q.channel = p.channel)' for j in range(i))}) GROUP BY recording_id)"
+    for i, (t, a, b, c) in enumerate(_TARGETS)
+)
+
 ORACLES = {
+    "c9_graph_metrics": f"""WITH {GRAPH}, {_GRAPH_ROWS}, h0 AS (SELECT {_GKEYS}, u, v, 1 AS d FROM sym), {_HOPS}, hop AS (SELECT {_GKEYS}, u, v, d AS hops FROM h5), {_EFFICIENCY}, {_BETWEEN}
+SELECT s.subject_id, s.condition, s.band, s.n AS n_nodes, {r('e.value')} AS efficiency, {r('l.value')} AS path_length, {r('c.value')} AS clustering, {r('CASE WHEN s.n > 2 THEN coalesce(b.share, 0) / ((s.n - 1) * (s.n - 2)) ELSE 0 END')} AS max_betweenness
+FROM size_ s JOIN eff e USING ({_GKEYS}) JOIN len l USING ({_GKEYS}) JOIN clu c USING ({_GKEYS}) LEFT JOIN bt b USING ({_GKEYS})""",
+    "c12_analytic_signal": f"""WITH f AS (SELECT channel, epoch, k, sum(v * cos(2 * pi() * ((k * t_idx) % 64) / 64)) AS re, -sum(v * sin(2 * pi() * ((k * t_idx) % 64) / 64)) AS im FROM epochs, range(4, 14) AS g(k) GROUP BY ALL),
+y AS (SELECT channel, epoch, CAST(t AS INT) AS t_idx, sum(re * cos(2 * pi() * ((k * t) % 64) / 64) - im * sin(2 * pi() * ((k * t) % 64) / 64)) / 32 AS re, sum(re * sin(2 * pi() * ((k * t) % 64) / 64) + im * cos(2 * pi() * ((k * t) % 64) / 64)) / 32 AS im FROM f, range(0, 64) AS g(t) GROUP BY ALL)
+SELECT channel, epoch, t_idx, {r('atan2(im, re)')} AS phase, {r('sqrt(re * re + im * im)')} AS amplitude FROM y""",
+    "j12_greedy_electrodes": f"WITH {_PLACES}, {_GREEDY} SELECT recording_id, target, channel, {r('distance')} AS distance FROM ({' UNION ALL '.join(f'SELECT * FROM m{i}' for i in range(len(_TARGETS)))})",
     "k2_welch": f"WITH {DFT} SELECT channel, k, {r('AVG(re * re + im * im)')} AS power FROM spec GROUP BY channel, k",
     "c2_coherence": f"WITH {DFT} SELECT ca, cb, band, {r('coh')} AS coh, {r('dwpli')} AS dwpli, {r('imcoh')} AS imcoh FROM edge",
     "c4_volume_conduction": f"WITH {DFT} SELECT ca, cb, band, coh > 0.6 AND dwpli < 0.1 AS suspect FROM edge",
@@ -161,6 +196,7 @@ UNION ALL SELECT subject_id, condition, band, '_graph', 'global_efficiency', {r(
 UNION ALL SELECT recording_id, 'eo', 'ThetaGamma', CASE WHEN phase_hub = amplitude_hub THEN CONCAT('_hub_', phase_hub) ELSE CONCAT('_pac_', phase_hub, '__', amplitude_hub) END, 'pac_mi', {r('modulation')} FROM mi""",
 }
 QUERIES = {
+    "c9_graph_metrics": graphs, "c12_analytic_signal": analytic, "j12_greedy_electrodes": electrodes,
     "k2_welch": welch_epochs, "c2_coherence": coherence, "c4_volume_conduction": volume_conduction, "c5_node_strength": node_strength, "k2_segments": welch_segments, "q3_line_noise": line_noise,
     "c11_modulation_index": modulation, "j17_segments": segments, "c13_long_connectivity": long_connectivity,
 }
