@@ -91,7 +91,6 @@ QUERIES: dict[str, str] = {
     "u4_missing_channels": f"WITH {SEEN}, want AS (SELECT s.subject_id, c.channel FROM (SELECT DISTINCT subject_id FROM seen) s CROSS JOIN (SELECT DISTINCT channel FROM adjacency) c) SELECT subject_id, channel, 'missing' AS kind FROM (SELECT * FROM want EXCEPT SELECT subject_id, channel FROM seen) a UNION ALL SELECT subject_id, channel, 'unexpected' FROM (SELECT subject_id, channel FROM seen EXCEPT SELECT * FROM want) b",
     # --- aggregations -----------------------------------------------------------------------------------------------
     "a7_cohort_counts": "SELECT b.bin, m.condition, COUNT(DISTINCT CASE WHEN sex = 'F' THEN subject_id END) AS n_f, COUNT(DISTINCT CASE WHEN sex = 'M' THEN subject_id END) AS n_m, COUNT(DISTINCT CASE WHEN sex NOT IN ('F', 'M') THEN subject_id END) AS n_other FROM metrics m JOIN bins b ON age >= bin_lo AND age < bin_hi GROUP BY b.bin, m.condition",
-    "a8_psd_norms": f"SELECT freq, COUNT(*) AS n, {r(f'AVG(LOG10(GREATEST(psd, {num(1e-30)}) * 1e12))')} AS mean, {r(f'STDDEV_SAMP(LOG10(GREATEST(psd, {num(1e-30)}) * 1e12))')} AS sd, " + ", ".join(f"{r(f'$PCT(LOG10(GREATEST(psd, {num(1e-30)}) * 1e12), {p / 100})')} AS p{str(p).replace('.', '_')}" for p in POINTS) + " FROM psd GROUP BY freq",
     "a9_unit_sanity": f"SELECT recording_id, {r('$PCT(psd, 0.5)')} AS median_psd, $PCT(psd, 0.5) < {num(1e-16)} OR $PCT(psd, 0.5) > {num(1e-2)} AS suspect FROM psd WHERE freq >= 8 AND freq <= 13 GROUP BY recording_id",
     "a10_duplicates": "SELECT o_custkey, o_orderstatus, COUNT(*) AS n FROM orders GROUP BY o_custkey, o_orderstatus HAVING COUNT(*) > 1",
     "a11_merge_summary": "SELECT dataset, COUNT(*) AS n, MIN(age) AS age_min, MAX(age) AS age_max, COUNT_IF(sex = 'F') AS n_f, COUNT_IF(sex = 'M') AS n_m FROM subjects GROUP BY ROLLUP (dataset)",

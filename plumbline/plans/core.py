@@ -10,6 +10,7 @@ from plumbline.functions.numeric import SW_C1, SW_C2, low_first, norm_ppf, num,
 from plumbline.plans import norms
 from plumbline.plans.catalog import CELL, FAN, LOG, MEANS, r
 from plumbline.plans.sql import run
+from plumbline.session import written
 from plumbline.sources.fixtures import EDGES, NEIGHBOURS, POINTS
 
 NUDGE = 1.23e-8
@@ -114,6 +115,15 @@ def spectral_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(cells.withColumns(points), *norms.KEYS, "n", "mean", "sd", *points, "normality_p")
 
 
+def psd_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log power by frequency over all spectra: a frequency's percentiles from exact ranks in slices, as those of cells."""
+    rows = written(run(spark, sf_dir, f"SELECT freq, LOG10(GREATEST(psd, {num(1e-30)}) * 1e12) AS value FROM psd"))
+    cells = written(rows.groupBy("freq").agg(F.count("*").alias("n"), F.count("*").alias("n_log"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd")))
+    points = {f"p{str(p).replace('.', '_')}": F.element_at("percentiles", i + 1) for i, p in enumerate(POINTS)}
+    out = norms.with_cells(norms.rank_statistics(rows, cells, ["freq"], False), cells, ["freq"], "n", "mean", "sd").withColumns(points)
+    return out.select("freq", "n", *(F.expr(r(c)).alias(c) for c in ("mean", "sd", *points)))
+
+
 def report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON document for each subject and condition (its scores, the most deviant first) and a summary in words."""
     rows = rounded(_scored(spark, sf_dir), "subject_id", "condition", "channel", "band", "metric", "z", "severity", "in_prediction")
@@ -214,7 +224,9 @@ PCTS = ", ".join(f"{r(c)} AS {c}" for c in _P)
 #: The norm machinery over spectra in place of metrics.
 SPECTRAL = f"WITH {SHAPED.replace('FROM metrics JOIN', 'FROM spectra JOIN')} SELECT {CELL}, n, {r('mean')} AS mean, {r('sd')} AS sd, {PCTS}, {r('normality_p')} AS normality_p FROM sc"
 ORACLES["a8_spectral_norms"] = SPECTRAL
-QUERIES = {"z4_trust_flags": trust_flags, "p12_effect_labels": effect_labels, "z8_metric_disagreement": metric_disagreement, "t5_significant_findings": significant_findings, "t3_transform_failures": transform_failures, "a14_shape_rollup": shape_rollup, "a8_spectral_norms": spectral_norms, "z9_report_lines": report_lines} | {"a1_norm_cells": norm_cells, "a5_cell_shape": cell_shape, "z1_scores": scores, "w1_false_discovery": false_discovery, "a26_report_rollup": report_rollup, "z6_global_patterns": global_patterns, "z7_clusters": clusters, "z9_report_json": report_json}
+A8_PSD = f"SELECT freq, COUNT(*) AS n, {r(f'AVG(LOG10(GREATEST(psd, {num(1e-30)}) * 1e12))')} AS mean, {r(f'STDDEV_SAMP(LOG10(GREATEST(psd, {num(1e-30)}) * 1e12))')} AS sd, " + ", ".join(f"{r(f'quantile_cont(LOG10(GREATEST(psd, {num(1e-30)}) * 1e12), {p / 100})')} AS p{str(p).replace('.', '_')}" for p in POINTS) + " FROM psd GROUP BY freq"
+ORACLES["a8_psd_norms"] = A8_PSD
+QUERIES = {"z4_trust_flags": trust_flags, "p12_effect_labels": effect_labels, "z8_metric_disagreement": metric_disagreement, "t5_significant_findings": significant_findings, "t3_transform_failures": transform_failures, "a14_shape_rollup": shape_rollup, "a8_spectral_norms": spectral_norms, "a8_psd_norms": psd_norms, "z9_report_lines": report_lines} | {"a1_norm_cells": norm_cells, "a5_cell_shape": cell_shape, "z1_scores": scores, "w1_false_discovery": false_discovery, "a26_report_rollup": report_rollup, "z6_global_patterns": global_patterns, "z7_clusters": clusters, "z9_report_json": report_json}
 
 assert all(set(NEIGHBOURS[b]) >= {a} for a, bs in NEIGHBOURS.items() for b in bs), "adjacency goes both ways"
 __all__ = ["MEANS", "ORACLES", "QUERIES", "run"]

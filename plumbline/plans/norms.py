@@ -38,11 +38,11 @@ def fan_out(metrics: DataFrame, edges: list[int] = EDGES) -> DataFrame:
 
 def with_cells(rows: DataFrame, cells: DataFrame, keys: list[str], *columns: str, how: str = "inner") -> DataFrame:
     """rows with columns of their cell (one row a key); null keys meet null keys."""
-    other = cells.select(*(F.col(k).alias(f"_{k}") for k in keys), *columns)
+    other = cells.select(*(F.col(k).alias(f"_{k}") for k in keys), *(F.col(c).alias(f"_of_{c}") for c in columns))
     meets = F.lit(True)
     for k in keys:
         meets = meets & rows[k].eqNullSafe(other[f"_{k}"])
-    return rows.join(other, meets, how).select(*(rows[c] for c in rows.columns), *(other[c] for c in columns))
+    return rows.join(other, meets, how).select(*(rows[c] for c in rows.columns), *(other[f"_of_{c}"].alias(c) for c in columns))
 
 
 def ranked(rows: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame:
