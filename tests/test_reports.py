@@ -64,6 +64,19 @@ def test_disagreement_of_total_and_periodic_power(spark):
     assert [(x.channel, x.absolute_z, x.corrected_z) for x in got] == [("Fz", 2.5, -0.3)] and "elevated, periodic power reduced" in got[0].interpretation and "aperiodic" in got[0].interpretation
 
 
+def test_disagreement_of_both_pairs(spark):
+    z = {("Fz", "absolute_power"): 2.5, ("Fz", "corrected_absolute_power"): -0.3, ("Fz", "relative_power"): -1.0, ("Pz", "absolute_power"): -1.4, ("Pz", "relative_power"): 1.6, ("Cz", "absolute_power"): 1.5, ("Cz", "relative_power"): -1.5, ("O1", "absolute_power"): 9.0, ("O1", "relative_power"): None}
+    rows = [(1, "eo", channel, "Alpha", metric, value) for (channel, metric), value in z.items()]
+    got = norms.pair_disagreements(spark.createDataFrame(rows, "subject_id long, condition string, channel string, band string, metric string, z double")).collect()
+    assert sorted((x.channel, x.second, x.a, x.b) for x in got) == [("Fz", "corrected_absolute_power", 2.5, -0.3), ("Fz", "relative_power", 2.5, -1.0), ("Pz", "relative_power", -1.4, 1.6)]
+    assert {x.interpretation for x in got if x.channel == "Pz"} == {"total power reduced, relative power elevated at Pz Alpha: the deviation is broadband"}
+
+
+def test_disagreement_query_finds_relative_power(spark):
+    got = registry.queries()["z8_metric_disagreement"](spark, "/root/testdata/sf0.001")
+    assert got.where("second = 'relative_power'").count() > 0
+
+
 @pytest.fixture(scope="module")
 def planted(spark, tmp_path_factory):
     """Spectra of a 1/f slope: one with a 10 Hz peak, one without, one too noisy to have a single one."""
