@@ -94,7 +94,7 @@ def patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = norms.clusters(core._scored(spark, sf_dir)).drop("root")
+    out = norms.clusters(core._scored(spark, sf_dir, ranks=False)).drop("root")
     return rounded(out, *out.columns)
 
 
