@@ -89,7 +89,7 @@ def significant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = norms.global_patterns(core._scored(spark, sf_dir))
+    out = norms.global_patterns(core._scored(spark, sf_dir, ranks=False))
     return rounded(out, *out.columns)
 
 
