@@ -10,7 +10,7 @@ from plumbline.plans import norms
 from plumbline.session import written
 
 SF = "/root/testdata/sf0.001"
-UNRANKED = ["z7_clusters", "a26_report_rollup", "t5_significant_surveyed", "z7_clusters_surveyed", "w1_false_discovery", "z8_metric_disagreement", "z6_global_patterns", "z6_patterns_surveyed", "z9_report_json"]
+UNRANKED = ["z7_clusters", "a26_report_rollup", "t5_significant_surveyed", "z7_clusters_surveyed", "w1_false_discovery", "z8_metric_disagreement", "z6_global_patterns", "z6_patterns_surveyed", "z9_report_json", "t5_significant_findings"]
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="needs the given tables")
