@@ -84,6 +84,15 @@ def overlapping_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(signals.middle(whole, ["recording_id", "channel"], "epoch", least=3, most=8), "recording_id", "channel", "epoch", "n", "mean")
 
 
+def nearest_within(spark: SparkSession, sf_dir: str, bucket: int = 15) -> DataFrame:
+    """For each part the nearest supplier by number within the bucket's width: each supplier once for its bucket and both beside it, met on equal buckets."""
+    parts = run(spark, sf_dir, f"SELECT p_partkey, CAST(FLOOR(p_partkey / {bucket}) AS BIGINT) AS b FROM part")
+    near = run(spark, sf_dir, f"SELECT s_suppkey, EXPLODE(SEQUENCE(b - 1, b + 1)) AS b FROM (SELECT s_suppkey, CAST(FLOOR(s_suppkey * 20 / {bucket}) AS BIGINT) AS b FROM supplier)")
+    pairs = parts.join(near, "b").withColumn("d", F.abs(F.col("p_partkey") - 20 * F.col("s_suppkey"))).where(F.col("d") <= bucket)
+    best = pairs.groupBy("p_partkey").agg(F.min(F.struct("d", "s_suppkey")).alias("best"))
+    return best.select("p_partkey", "best.s_suppkey", "best.d")
+
+
 def significant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return core.significant_findings(spark, sf_dir, alpha=0.05)
 
@@ -120,4 +129,4 @@ SELECT recording_id, channel, epoch, n, {r('mean')} AS mean FROM k WHERE m >= 3
     "z6_patterns_surveyed": core.patterns_sql(1.5, 0.6),
     "z7_clusters_surveyed": core.clusters_sql(1.5),
 }
-QUERIES = {"p5_condition_rules": condition_rules, "j3_best_cells": best_cells, "w10_overlapping_epochs": overlapping_epochs, "k13_nested_round_trip": nested_round_trip, "t5_significant_surveyed": significant, "z6_patterns_surveyed": patterns, "z7_clusters_surveyed": clusters}
+QUERIES = {"j13_nearest_within": nearest_within, "p5_condition_rules": condition_rules, "j3_best_cells": best_cells, "w10_overlapping_epochs": overlapping_epochs, "k13_nested_round_trip": nested_round_trip, "t5_significant_surveyed": significant, "z6_patterns_surveyed": patterns, "z7_clusters_surveyed": clusters}
