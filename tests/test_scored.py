@@ -2,11 +2,14 @@
 
 import os
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from plumbline import registry
 from plumbline.plans import norms
+from plumbline.plans.catalog import r
+from plumbline.plans.core import rounded
 from plumbline.session import written
 
 SF = "/root/testdata/sf0.001"
@@ -31,3 +34,9 @@ def test_written_leaves_no_shuffle_files(spark):
     before = shuffles()
     rows = written(spark.range(1_000).groupBy((F.col("id") % 7).alias("k")).count())
     assert shuffles() == before and rows.count() == 7
+
+
+def test_rounds_ties_as_the_oracle(spark):
+    z = [0.2168344877, -0.2168345123, 0.0, -1e-9, 1e16, 7.5, None]
+    got = [x.z for x in rounded(spark.createDataFrame([(v,) for v in z], "z double").coalesce(1), "z").collect()]
+    assert got == [duckdb.execute(f"SELECT {r('CAST(? AS DOUBLE)')}", [v]).fetchone()[0] for v in z]
